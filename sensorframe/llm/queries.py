@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, secrets, sharding
+from . import exact_dedup, near_dup, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_dart_minhash_dedup": near_dup.op3_dart_minhash_dedup,
         "op6_secret_ownership": secrets.op6_secret_ownership,
         "op7_hypergeometric_sharding": sharding.op7_hypergeometric_sharding,
         "op9_content_sort_dedup": exact_dedup.op9_content_sort_dedup,
