@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, near_dup, secrets, sharding
+from . import decontamination, exact_dedup, mixing, near_dup, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,11 +14,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op3_dart_minhash_dedup": near_dup.op3_dart_minhash_dedup,
+        "op4_containment_search": decontamination.op4_containment_search,
         "op6_secret_ownership": secrets.op6_secret_ownership,
         "op7_hypergeometric_sharding": sharding.op7_hypergeometric_sharding,
+        "op8_pfair_mixing": mixing.op8_pfair_mixing,
         "op9_content_sort_dedup": exact_dedup.op9_content_sort_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_content_sort_dedup": exact_dedup.OP9_SQL}
+    return {
+        "op4_containment_search": decontamination.OP4_SQL,
+        "op9_content_sort_dedup": exact_dedup.OP9_SQL,
+    }
