@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, mixing, near_dup, secrets, sharding
+from . import decontamination, exact_dedup, mixing, near_dup, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_toxicity_gbt": toxicity.op1_toxicity_gbt,
         "op3_dart_minhash_dedup": near_dup.op3_dart_minhash_dedup,
         "op4_containment_search": decontamination.op4_containment_search,
+        "op5_quality_gbt": quality.op5_quality_gbt,
         "op6_secret_ownership": secrets.op6_secret_ownership,
         "op7_hypergeometric_sharding": sharding.op7_hypergeometric_sharding,
         "op8_pfair_mixing": mixing.op8_pfair_mixing,
