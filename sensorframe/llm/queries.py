@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, mixing, near_dup, quality, secrets, sharding, toxicity
+from . import class_lm, decontamination, exact_dedup, mixing, near_dup, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_toxicity_gbt": toxicity.op1_toxicity_gbt,
+        "op2_class_lm": class_lm.op2_class_lm,
         "op3_dart_minhash_dedup": near_dup.op3_dart_minhash_dedup,
         "op4_containment_search": decontamination.op4_containment_search,
         "op5_quality_gbt": quality.op5_quality_gbt,
