@@ -131,6 +131,13 @@ def mix_sources(
     )
 
 
+def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
+    """The rows in the order of :func:`mix_sources`: partition after partition, row after row."""
+    mixed = mix_sources(docs, **options)
+    ordered = mixed.repartitionByRange(width(docs.sparkSession), "mix_position").sortWithinPartitions("mix_position")
+    return ordered.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every document in a mix of the sources by the square root of their size."""
     mixed = mix_sources(table(spark, sf_dir, "documents"))

@@ -143,7 +143,7 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def near_duplicates(
+def _classes(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -153,24 +153,7 @@ def near_duplicates(
     rows_a_band: int = BAND_ROWS,
     weighted: bool = False,
 ) -> DataFrame:
-    """The class of near-duplicates of every row.
-
-    Texts are sets of shingles of five words (lower-case runs of letters, digits, underscores and
-    whatever is beyond ASCII); with ``weighted`` they are bags, weighted by counts. Rows of equal
-    sets are one node. Nodes that share a band of their dart signatures are candidates;
-    links are candidates whose (weighted) Jaccard similarity, counted on 32-bit hashes of the
-    shingles, is ``similarity`` or more; classes are the connected components of the links. With 32 bands of 4
-    the chance to miss a link of exactly 0.8 is 5e-8.
-
-    Not all pairs of a band are looked at: each member is held against the least one of the band;
-    members that are not yet of that one's class, against one more of the class; and
-    only those still apart, against every member of another class whose size could allow a
-    link. What is skipped are pairs already in one class.
-
-    Returns one row per input row: id, class_id (least id of the class), class_size, n_shingles,
-    kept (one row of the class: of least id, repeated rows once). Null text is empty; texts without words are one class. Null
-    ids sort after others. Other columns of ``docs`` are not read; an empty table gives an empty result.
-    """
+    """What :func:`near_duplicates` returns, with ``_key``, a hash of each row's identifier and text."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     keyed = rows.select("_id", F.xxhash64("_id", "_t").alias("_key"), "_t")
     sketch = keyed.mapInArrow(_sketcher(shingle, coordinates, rows_a_band, weighted), "_id long, _key long, _print binary, _n int, _bands array<long>")
@@ -234,13 +217,51 @@ def near_duplicates(
     least = classed.groupBy("_comp").agg(F.min("_first").alias("_class"), F.sum("_rows").alias("_size"), F.min(F.struct(F.col("_first").isNull(), "_first", "_node")).alias("_best"))
     whole = materialise(classed.join(materialise(least, "classes"), "_comp").select("_print", "_node", "_class", "_size", F.col("_best._node").alias("_stay"), "_first"), "node-classes")
     # of the node that stays, its first row with the least id
-    out = sketch.select("_row", "_id", "_n", "_print").join(whole, "_print")
+    out = sketch.select("_row", "_id", "_n", "_print", "_key").join(whole, "_print")
     lead = out.where((F.col("_node") == F.col("_stay")) & F.col("_id").eqNullSafe(F.col("_first"))).groupBy("_node").agg(F.min("_row").alias("_row")).select("_row", F.lit(True).alias("_kept"))
     return out.join(lead, "_row", "left").select(
-        F.col("_id").alias(id_col), F.col("_class").alias("class_id"), F.col("_size").cast("long").alias("class_size"), F.col("_n").alias("n_shingles"), F.coalesce("_kept", F.lit(False)).alias("kept")
+        F.col("_id").alias(id_col), F.col("_class").alias("class_id"), F.col("_size").cast("long").alias("class_size"), F.col("_n").alias("n_shingles"), F.coalesce("_kept", F.lit(False)).alias("kept"), "_key",
     )
 
 
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similarity: float = SIMILARITY,
+    shingle: int = textnp.SHINGLE,
+    coordinates: int = COORDINATES,
+    rows_a_band: int = BAND_ROWS,
+    weighted: bool = False,
+) -> DataFrame:
+    """The class of near-duplicates of every row.
+
+    Texts are sets of shingles of five words (lower-case runs of letters, digits, underscores and
+    whatever is beyond ASCII); with ``weighted`` they are bags, weighted by counts. Rows of equal
+    sets are one node. Nodes that share a band of their dart signatures are candidates;
+    links are candidates whose (weighted) Jaccard similarity, counted on 32-bit hashes of the
+    shingles, is ``similarity`` or more; classes are the connected components of the links. With 32 bands of 4
+    the chance to miss a link of exactly 0.8 is 5e-8.
+
+    Not all pairs of a band are looked at: each member is held against the least one of the band;
+    members that are not yet of that one's class, against one more of the class; and
+    only those still apart, against every member of another class whose size could allow a
+    link. What is skipped are pairs already in one class.
+
+    Returns one row per input row: id, class_id (least id of the class), class_size, n_shingles,
+    kept (one row of the class: of least id, repeated rows once). Null text is empty; texts without words are one class. Null
+    ids sort after others. Other columns of ``docs`` are not read; an empty table gives an empty result.
+    """
+    return _classes(docs, id_col, text_col, similarity, shingle, coordinates, rows_a_band, weighted).drop("_key")
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows that :func:`near_duplicates` keeps, with all their columns; of rows that repeat, one."""
+    kept = _classes(docs, id_col, text_col, **options).where("kept").select("_key")
+    keyed = docs.withColumn("_key", F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))))
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key", id_col]).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def op3_dart_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))

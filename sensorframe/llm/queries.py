@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import class_lm, decontamination, exact_dedup, mixing, near_dup, quality, secrets, sharding, toxicity
+from . import class_lm, decontamination, exact_dedup, mixing, near_dup, quality, secrets, sharding, tool_calls, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,7 @@ def queries() -> dict[str, Query]:
         "op7_hypergeometric_sharding": sharding.op7_hypergeometric_sharding,
         "op8_pfair_mixing": mixing.op8_pfair_mixing,
         "op9_content_sort_dedup": exact_dedup.op9_content_sort_dedup,
+        "op10_tool_call_linking": tool_calls.op10_tool_call_linking,
     }
 
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_containment_search": decontamination.OP4_SQL,
         "op9_content_sort_dedup": exact_dedup.OP9_SQL,
+        "op10_tool_call_linking": tool_calls.OP10_SQL,
     }
