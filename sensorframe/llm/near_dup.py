@@ -13,6 +13,7 @@ from . import textnp
 from .common import materialise, table
 
 COORDINATES, BAND_ROWS, SIMILARITY = 128, 4, 0.8
+BLOCK_ROWS, MATRIX_COLUMNS = 512, 8192
 
 
 def dart_minhash(element: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: int, k: int = COORDINATES, seed: int = 1) -> np.ndarray:
@@ -69,14 +70,14 @@ def bands(signature: np.ndarray, rows_a_band: int = BAND_ROWS) -> np.ndarray:
     return key
 
 
-def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
-    """For each piece of a batch: its rows, their distinct shingles with counts, and a 128-bit fingerprint of each set."""
+def _sets(batch: pa.RecordBatch, k: int, weighted: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
+    """For each piece of a batch: its rows, their distinct shingles with counts, and a 128-bit fingerprint of each set, or bag."""
     for i, j, data, offsets in textnp.chunks(batch, "_t"):
         code, row, _, _ = textnp.words(data, offsets)
         value, row, count = textnp.distinct(*textnp.shingles(code, row, k))
         print_ = np.zeros((j - i, 2), dtype=np.uint64)
         for c, salt in enumerate((np.uint64(11), np.uint64(29))):
-            np.add.at(print_[:, c], row, textnp.mix(value ^ textnp.mix(np.full(1, salt, dtype=np.uint64))))
+            np.add.at(print_[:, c], row, textnp.mix((value + count.astype(np.uint64) if weighted else value) ^ textnp.mix(np.full(1, salt, dtype=np.uint64))))
         size = np.bincount(row, minlength=j - i).astype(np.uint64)
         print_ = textnp.mix(print_ + size[:, None])
         yield i, j, value, row, count, [x.tobytes() for x in print_]
@@ -85,7 +86,7 @@ def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[int, int, np.ndarray,
 def _sketcher(k: int, coordinates: int, rows_a_band: int, weighted: bool):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, value, row, count, prints in _sets(batch, k):
+            for i, j, value, row, count, prints in _sets(batch, k, weighted):
                 weight = count.astype(np.float64) if weighted else np.ones(len(value))
                 signature = dart_minhash(value, row, weight, j - i, coordinates)
                 keys = bands(signature, rows_a_band)
@@ -101,21 +102,77 @@ def _sketcher(k: int, coordinates: int, rows_a_band: int, weighted: bool):
     return sketch
 
 
-def _shingler(k: int):
+def _shingler(k: int, weighted: bool):
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(1).to_pylist()
-            for i, j, value, row, count, prints in _sets(batch, k):
+            for i, j, value, row, count, prints in _sets(batch, k, weighted):
                 part = batch.slice(i, j - i)
+                if weighted:  # the n-th copy of a shingle is an element of its own, so common elements add up to the lesser counts
+                    copy = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    value, row = textnp.mix(np.repeat(value, count) + copy.astype(np.uint64)), np.repeat(row, count)
                 short = (value >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                out = pa.RecordBatch.from_arrays(
-                    [part.column(0), textnp.lists(short, row, j - i, pa.int32()), textnp.lists(count.astype(np.int32), row, j - i, pa.int32())], ["_node", "_set", "_count"]
-                )
+                out = pa.RecordBatch.from_arrays([part.column(0), textnp.lists(short, row, j - i, pa.int32())], ["_node", "_set"])
                 yield out.filter(pa.array([a == b for a, b in zip(prints, wanted[i:j], strict=True)]))
 
     return shingle
 
 
+def _unit_links(node: np.ndarray, comp: np.ndarray, block: np.ndarray, values: np.ndarray, ends: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Similar pairs of different classes, within one block or between two, by products of 0/1 matrices."""
+    left = block == block[0]
+    right = left if left.all() else ~left
+    size = np.diff(ends)
+    row = np.repeat(np.arange(len(node)), size)
+    unique, column = np.unique(values, return_inverse=True)
+    common = np.zeros((int(left.sum()), int(right.sum())), dtype=np.float32)
+    for c in range(0, len(unique), MATRIX_COLUMNS):
+        here = (column >= c) & (column < c + MATRIX_COLUMNS)
+        has = np.zeros((len(node), min(MATRIX_COLUMNS, len(unique) - c)), dtype=np.float32)
+        has[row[here], column[here] - c] = 1
+        common += has[left] @ has[right].T
+    n = size.astype(np.float32)
+    alike = common >= similarity * (n[left][:, None] + n[right][None, :] - common) - 1e-4
+    apart = comp[left][:, None] != comp[right][None, :]
+    a, b = np.nonzero(alike & apart)
+    a, b = node[left][a], node[right][b]
+    first = a < b if left is right else np.ones(len(a), dtype=bool)
+    return a[first], b[first]
+
+
+def _swept(similarity: float):
+    """Links of units (_band, _i, _j) whose rows follow each other in a partition."""
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for x, y in zip(cuts, cuts[1:], strict=False):
+                if y == x:
+                    continue
+                piece = batch.slice(x, y - x)
+                if held and any(held[0].column(c)[0].as_py() != piece.column(c)[0].as_py() for c in range(3)):
+                    yield _of_unit(held, similarity)
+                    held = []
+                held.append(piece)
+        if held:
+            yield _of_unit(held, similarity)
+
+    return sweep
+
+
+def _of_unit(pieces: list[pa.RecordBatch], similarity: float) -> pa.RecordBatch:
+    unit = pa.Table.from_batches(pieces).combine_chunks()
+    column = lambda name: unit.column(name).combine_chunks().to_numpy()
+    sets = unit.column("_set").combine_chunks()
+    sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
+    a, b = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    if unit.num_rows > 1:
+        a, b = _unit_links(column("_node"), column("_comp"), column("_block"), sets.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())]), similarity)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["_a", "_b"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(_node, _comp) for every node of an edge table (_a, _b); _comp is the least node of the component.
 
@@ -168,51 +225,28 @@ def _classes(
     wanted = named.join(sketch.select(F.col("_row").alias("_node"), "_key"), "_node").select("_node", F.col("_print").alias("_want"), "_key")
     # at its own size the text moves once, for candidates only
     texts = keyed.select("_key", "_t").join(wanted, "_key").select("_node", "_want", "_t")
-    sets = texts.mapInArrow(_shingler(shingle), "_node long, _set array<int>, _count array<int>").dropDuplicates(["_node"])
-    sets = materialise(sets if weighted else sets.drop("_count"), "sets")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        """Those of the pairs (_a, _b) that are similar."""
-        of = lambda n: sets.select(F.col("_node").alias(f"_{n}"), F.col("_set").alias(f"_s{n}"), *([F.col("_count").alias(f"_c{n}")] if weighted else []))
-        both = pairs.join(of("b"), "_b").join(of("a"), "_a")
-        if weighted:
-            bag = lambda n: F.map_from_arrays(f"_s{n}", f"_c{n}")
-            common = F.aggregate(F.array_intersect("_sa", "_sb"), F.lit(0), lambda x, s: x + F.least(F.element_at(bag("a"), s), F.element_at(bag("b"), s)))
-            size = lambda n: F.aggregate(f"_c{n}", F.lit(0), lambda x, c: x + c)
-        else:
-            common = F.size(F.array_intersect("_sa", "_sb"))
-            size = lambda n: F.size(f"_s{n}")
-        measured = both.select("_a", "_b", common.alias("_common"), (size("a") + size("b")).alias("_both"))
-        return measured.where(F.col("_common") >= similarity * (F.col("_both") - F.col("_common"))).select("_a", "_b")
-
-    edges = materialise(links(members.where("_node != _leader").select(F.col("_leader").alias("_a"), F.col("_node").alias("_b")).distinct()), "edges")
+    sets = materialise(texts.mapInArrow(_shingler(shingle, weighted), "_node long, _set array<int>").dropDuplicates(["_node"]), "sets")
+
+    # every member against the least of its band
+    pairs = members.where("_node != _leader").select(F.col("_leader").alias("_a"), F.col("_node").alias("_b")).distinct()
+    of = lambda n: sets.select(F.col("_node").alias(f"_{n}"), F.col("_set").alias(f"_s{n}"))
+    both = pairs.join(of("b"), "_b").join(of("a"), "_a")
+    measured = both.select("_a", "_b", F.size(F.array_intersect("_sa", "_sb")).alias("_common"), (F.size("_sa") + F.size("_sb")).alias("_both"))
+    alike = F.col("_common") >= similarity * (F.col("_both") - F.col("_common")) - 1e-6
+    edges = materialise(measured.where(alike).select("_a", "_b"), "edges")
     labels = components(edges)
 
-    def apart() -> DataFrame:
-        """Members of bands, with the class of each and of the band's least one, where those differ."""
-        own = members.join(labels, "_node", "left").select("_band", "_node", "_leader", F.coalesce("_comp", "_node").alias("_comp"))
-        main = labels.select(F.col("_node").alias("_leader"), F.col("_comp").alias("_main"))
-        return own.join(main, "_leader", "left").withColumn("_main", F.coalesce("_main", "_leader"))
-
-    placed = materialise(apart(), "placed")
-    others = placed.where("_comp != _main")
-    if not others.isEmpty():
-        pick = placed.where("_comp = _main and _node != _leader").groupBy("_band").agg(F.max_by("_node", F.xxhash64("_node", "_band")).alias("_a"))
-        second = others.join(pick, "_band").select("_a", F.col("_node").alias("_b")).distinct()
-        edges = materialise(edges.union(links(second)), "edges")
-        labels = components(edges)
-        placed = materialise(apart(), "placed")
-        sizes = materialise(sets.select("_node", F.size("_set").alias("_size")), "sizes")
-        sized = placed.join(sizes, "_node")
-        x = sized.where("_comp != _main").select("_band", F.col("_node").alias("_b"), F.col("_comp").alias("_cb"), F.col("_size").alias("_nb"))
-        y = sized.select("_band", F.col("_node").alias("_a"), F.col("_comp").alias("_ca"), F.col("_size").alias("_na"), "_leader", "_main")
-        could = (F.col("_ca") != F.col("_cb")) & (F.col("_a") != F.col("_leader")) & ((F.col("_ca") == F.col("_main")) | (F.col("_a") < F.col("_b")))
-        if not weighted:
-            could = could & (F.least("_na", "_nb") >= similarity * F.greatest("_na", "_nb"))
-        third = y.join(x, "_band").where(could).select("_a", "_b").distinct()
-        more = materialise(links(third), "more-edges")
-        if not more.isEmpty():
-            labels = components(materialise(edges.union(more), "edges"))
+    # bands that still hold several classes: all pairs of different classes, block against block
+    placed = members.join(labels, "_node", "left").select("_band", "_node", F.coalesce("_comp", "_node").alias("_comp"))
+    mixed = placed.groupBy("_band").agg(F.count(F.lit(1)).alias("_size"), F.min("_comp").alias("_x"), F.max("_comp").alias("_y")).where("_x != _y")
+    mixed = materialise(mixed.select("_band", F.ceil(F.col("_size") / BLOCK_ROWS).cast("int").alias("_blocks")), "mixed-bands")
+    dealt = placed.join(mixed, "_band").withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
+    dealt = dealt.join(sets, "_node").withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    units = dealt.select("_band", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_block", "_node", "_comp", "_set")
+    units = units.repartition("_band", "_i", "_j").sortWithinPartitions("_band", "_i", "_j")
+    more = materialise(units.mapInArrow(_swept(similarity), "_a long, _b long").distinct(), "more-edges")
+    if not more.isEmpty():
+        labels = components(materialise(edges.union(more), "edges"))
     classed = nodes.join(labels, "_node", "left").withColumn("_comp", F.coalesce("_comp", "_node"))
     least = classed.groupBy("_comp").agg(F.min("_first").alias("_class"), F.sum("_rows").alias("_size"), F.min(F.struct(F.col("_first").isNull(), "_first", "_node")).alias("_best"))
     whole = materialise(classed.join(materialise(least, "classes"), "_comp").select("_print", "_node", "_class", "_size", F.col("_best._node").alias("_stay"), "_first"), "node-classes")
@@ -243,10 +277,11 @@ def near_duplicates(
     shingles, is ``similarity`` or more; classes are the connected components of the links. With 32 bands of 4
     the chance to miss a link of exactly 0.8 is 5e-8.
 
-    Not all pairs of a band are looked at: each member is held against the least one of the band;
-    members that are not yet of that one's class, against one more of the class; and
-    only those still apart, against every member of another class whose size could allow a
-    link. What is skipped are pairs already in one class.
+    Not all pairs of a band are looked at: each member is held against the least one of the band.
+    Where a band then still holds several classes, its members are dealt into blocks of about 512, and
+    two blocks at a time meet in a task that multiplies their 0/1 matrices and returns
+    links between classes only. What is skipped are pairs already in one class; no pairs are
+    emitted but links, and no task holds more than two blocks.
 
     Returns one row per input row: id, class_id (least id of the class), class_size, n_shingles,
     kept (one row of the class: of least id, repeated rows once). Null text is empty; texts without words are one class. Null
