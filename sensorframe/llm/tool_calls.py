@@ -110,26 +110,44 @@ def extract_events(messages: DataFrame, tools: dict) -> DataFrame:
     return rows.mapInArrow(run, EVENT)
 
 
-def _levels(calls: DataFrame, edges: DataFrame) -> DataFrame:
-    """(_node, _level): 0 for calls that refer to none, else one more than the deepest call referred to; none for calls on or behind a cycle.
+def _waiting(edges: DataFrame) -> DataFrame | None:
+    """(_node, _ready, _wait) for the calls that references to later calls touch; none where there are no such references.
 
-    Each round settles the calls whose references are all settled, so there are as many rounds as
-    the longest chain is deep, however many calls there are.
+    ``edges`` has _from, _from_place, _to, _to_place. A call is ready at the latest place among itself and all it
+    refers to, directly or not. Where all references go back that is its own place, so only calls on or behind a reference
+    to a later call are followed here, a round for each step of the longest such chain. Calls on or behind a cycle
+    come out without _ready.
     """
-    left, waiting, level = materialise(edges, "references"), calls.select("_node"), 0
-    waiting, settled = materialise(waiting, "waiting"), []
+    touched = materialise(edges.where("_to_place > _from_place").select(F.col("_from").alias("_node"), F.col("_from_place").alias("_own")).distinct(), "touched")
+    if touched.isEmpty():
+        return None
+    front = touched
     while True:
-        ready = materialise(waiting.join(left, waiting["_node"] == left["_from"], "left_anti"), "settled")
-        if ready.isEmpty():
+        behind = edges.join(front.select(F.col("_node").alias("_to")), "_to").select(F.col("_from").alias("_node"), F.col("_from_place").alias("_own")).distinct()
+        front = materialise(behind.join(touched, "_node", "left_anti"), "touched")
+        if front.isEmpty():
             break
-        settled.append(ready.withColumn("_level", F.lit(level)))
-        waiting = materialise(waiting.join(ready, "_node", "left_anti"), "waiting")
-        left = materialise(left.join(ready, left["_to"] == ready["_node"], "left_anti"), "references")
-        level += 1
-    out = calls.select("_node").where("false").withColumn("_level", F.lit(0))
-    for s in settled:
-        out = out.union(s)
-    return out
+        touched = materialise(touched.union(front), "touched")
+    inside = edges.join(touched.select(F.col("_node").alias("_from")), "_from", "left_semi")
+    is_touched = touched.select(F.col("_node").alias("_to"), F.lit(True).alias("_in"))
+    left = materialise(inside.join(is_touched, "_to", "left").withColumn("_known", F.when(F.col("_in").isNull(), F.struct(F.col("_to_place").alias("ready"), F.lit(0).alias("wait")))).drop("_in"), "references")
+    settled = touched.where("false").withColumns({"_ready": F.col("_own"), "_wait": F.lit(0)})
+    waiting = touched
+    while True:
+        ready = waiting.join(left.where("_known IS NULL").select(F.col("_from").alias("_node")).distinct(), "_node", "left_anti")
+        latest = left.groupBy(F.col("_from").alias("_node")).agg(F.max("_known").alias("_k"))
+        later = F.col("_k.ready") > F.col("_own")
+        done = ready.join(latest, "_node").select("_node", "_own", F.when(later, F.col("_k.ready")).otherwise(F.col("_own")).alias("_ready"), F.when(later, F.col("_k.wait") + 1).otherwise(0).alias("_wait"))
+        done = materialise(done, "settled")
+        if done.isEmpty():
+            break
+        settled = settled.unionByName(done)
+        waiting = materialise(waiting.join(done, "_node", "left_anti"), "waiting")
+        now = done.select(F.col("_node").alias("_to"), F.struct(F.col("_ready").alias("ready"), F.col("_wait").alias("wait")).alias("_now"))
+        open_ = left.join(waiting.select(F.col("_node").alias("_from")), "_from", "left_semi")
+        left = materialise(open_.join(now, "_to", "left").withColumn("_known", F.coalesce("_known", "_now")).drop("_now").select(*left.columns), "references")
+    none = F.lit(None)
+    return settled.drop("_own").unionByName(waiting.select("_node", none.cast(settled.schema["_ready"].dataType).alias("_ready"), none.cast("int").alias("_wait")))
 
 
 def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
@@ -137,12 +155,13 @@ def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
 
     ``messages`` has conv_id, turn, role, text. Calls are JSON objects (id, name, arguments) in
     ``<tool_call>`` tags of the assistant's messages; a result is a message of role tool with the JSON object (tool_call_id,
-    content). Arguments may refer to the results of other calls as {"$ref": id}; order within a conversation is by
-    (level, call_turn, call_seq, kind), where a call's level is above that of all calls it refers to and a
-    result follows its call. No conversation is gathered in one task.
+    content). Arguments may refer to the results of other calls as {"$ref": id}. Ordering a conversation by (ready_turn,
+    ready_seq, wait, call_turn, call_seq, kind) puts every call after all that it refers to and every result after its call:
+    a call is ready at the latest place among itself and all that it needs, and waits one more than those it needs of the same
+    place. No conversation is gathered in one task.
 
-    Returns one row per event: conv_id, turn, seq, kind, call_id, name, level, call_turn, call_seq, other_turn (of the result
-    or the call), status, errors, json (canonical). Status of a call: duplicate (not the first of its identifier), cycle,
+    Returns one row per event: conv_id, turn, seq, kind, call_id, name, ready_turn, ready_seq, wait, call_turn, call_seq, other_turn (of the
+    result or the call), status, errors, json (canonical). Status of a call: duplicate (not the first of its identifier), cycle,
     invalid (breaks its schema, refers to an unknown call, or cannot be read), unanswered or linked; of a result: duplicate, orphan or
     linked. Other roles, null roles and texts give no events; a null conversation is a conversation; a null turn comes
     first; rows that repeat give duplicates; other columns are not read; an empty table gives an empty result.
@@ -152,30 +171,36 @@ def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
     # null identifiers and conversations get keys of their own kind
     keyed = events.withColumn("_key", F.to_json(F.struct("conv_id", "call_id"), {"ignoreNullFields": "false"}))
     firsts = materialise(keyed.where("call_id IS NOT NULL").groupBy("_key", "kind").agg(F.min(place).alias("_first")), "firsts")
-    call = firsts.where("kind = 'call'").select("_key", F.col("_first._event").alias("_call"), F.col("_first.turn").alias("call_turn"), F.col("_first.seq").alias("call_seq"))
+    call = firsts.where("kind = 'call'").select("_key", F.col("_first._event").alias("_call"), F.col("_first").alias("_place"))
     result = firsts.where("kind = 'result'").select("_key", F.col("_first._event").alias("_result"), F.col("_first.turn").alias("_result_turn"))
     pairs = materialise(call.join(result, "_key", "full_outer"), "links")
-    refs = keyed.where("kind = 'call'").select("_event", "conv_id", F.explode("refs").alias("call_id"))
-    refs = refs.withColumn("_key", F.to_json(F.struct("conv_id", "call_id"), {"ignoreNullFields": "false"})).join(call.select("_key", "_call"), "_key", "left")
-    refs = materialise(refs, "refs")
+    refs = keyed.where("kind = 'call'").select("_event", "conv_id", place.alias("_from_place"), F.explode("refs").alias("call_id"))
+    refs = refs.withColumn("_key", F.to_json(F.struct("conv_id", "call_id"), {"ignoreNullFields": "false"})).join(call, "_key", "left")
+    refs = materialise(refs.select("_event", "_from_place", "call_id", "_call", "_place"), "refs")
     unknown = refs.where("_call IS NULL").groupBy("_event").agg(F.array_sort(F.collect_set(F.concat(F.lit("unknown reference "), "call_id"))).alias("_unknown"))
-    first_calls = call.select(F.col("_call").alias("_node"))
-    edges = refs.where("_call IS NOT NULL").select(F.col("_event").alias("_from"), F.col("_call").alias("_to")).distinct()
-    edges = edges.join(first_calls, F.col("_from") == F.col("_node"), "left_semi")
-    levels = _levels(first_calls, edges)
-    pairs = pairs.join(levels, pairs["_call"] == levels["_node"], "left").drop("_node")
+    edges = refs.where("_call IS NOT NULL").select(F.col("_event").alias("_from"), "_from_place", F.col("_call").alias("_to"), F.col("_place").alias("_to_place")).distinct()
+    edges = edges.join(call.select(F.col("_call").alias("_from")), "_from", "left_semi")
+    # a call that refers to itself waits for ever
+    edges = edges.withColumn("_to_place", F.when(F.col("_from") == F.col("_to"), F.struct(F.lit(2**62).alias("turn"), F.col("_to_place.seq").alias("seq"), F.col("_to_place._event").alias("_event"))).otherwise(F.col("_to_place")))
+    waits = _waiting(edges)
+    own = F.struct(F.col("_place").alias("_ready"), F.lit(0).alias("_wait"))
+    if waits is None:
+        pairs = pairs.withColumn("_order", F.when(F.col("_call").isNotNull(), own))
+    else:
+        known = waits.select(F.col("_node").alias("_call"), F.struct("_ready", "_wait").alias("_w"))
+        pairs = pairs.join(known, "_call", "left").withColumn("_order", F.when(F.col("_w").isNotNull(), F.col("_w")).when(F.col("_call").isNotNull(), own)).drop("_w")
     joined = keyed.join(materialise(pairs, "ordered"), "_key", "left").join(unknown, "_event", "left")
     errors = F.concat("errors", F.coalesce("_unknown", F.array().cast("array<string>")))
     of_call = (
         F.when(F.col("call_id").isNotNull() & (F.col("_event") != F.col("_call")), "duplicate")
-        .when(F.col("call_id").isNotNull() & F.col("_level").isNull(), "cycle")
+        .when(F.col("call_id").isNotNull() & F.col("_order._ready").isNull(), "cycle")
         .when(F.size(errors) > 0, "invalid").when(F.col("_result").isNull(), "unanswered").otherwise("linked")
     )
     of_result = F.when(F.col("call_id").isNotNull() & (F.col("_event") != F.col("_result")), "duplicate").when(F.col("_call").isNull(), "orphan").otherwise("linked")
     is_call = F.col("kind") == "call"
     return joined.select(
-        "conv_id", "turn", "seq", "kind", "call_id", "name", F.col("_level").alias("level"), "call_turn", "call_seq",
-        F.when(is_call, F.col("_result_turn")).otherwise(F.col("call_turn")).alias("other_turn"),
+        "conv_id", "turn", "seq", "kind", "call_id", "name", F.col("_order._ready.turn").alias("ready_turn"), F.col("_order._ready.seq").alias("ready_seq"), F.col("_order._wait").alias("wait"),
+        F.col("_place.turn").alias("call_turn"), F.col("_place.seq").alias("call_seq"), F.when(is_call, F.col("_result_turn")).otherwise(F.col("_place.turn")).alias("other_turn"),
         F.when(is_call, of_call).otherwise(of_result).alias("status"), F.array_join(errors, "; ").alias("errors"), "json",
     )
 
@@ -202,29 +227,25 @@ def op10_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP10_SQL = """
-WITH RECURSIVE c AS (
+WITH c AS (
   SELECT conv_id, turn, text, 'c' || conv_id || '-' || turn AS call_id, CASE WHEN turn % 4 < 2 THEN 'search' ELSE 'lookup' END AS name,
          CASE WHEN turn >= 2 THEN 'c' || conv_id || '-' || (turn - 2) END AS ref
   FROM conversations WHERE role = 'user'),
 r AS (SELECT conv_id, turn, text, 'c' || conv_id || '-' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'),
 known AS (SELECT c.*, p.call_id IS NOT NULL AS has_ref FROM c LEFT JOIN c p ON p.conv_id = c.conv_id AND p.call_id = c.ref),
-lv AS (
-  SELECT conv_id, call_id, 0 AS level FROM known WHERE NOT has_ref
-  UNION ALL
-  SELECT k.conv_id, k.call_id, lv.level + 1 FROM known k JOIN lv ON lv.conv_id = k.conv_id AND lv.call_id = k.ref WHERE k.has_ref),
 e AS (
-  SELECT k.*, lv.level, r.turn AS other,
+  SELECT k.*, r.turn AS other,
          concat_ws('; ', CASE WHEN length(k.text) < 1 THEN 'arguments.query: shorter than 1' END,
                    CASE WHEN name = 'lookup' AND length(k.text) > 160 THEN 'arguments.query: longer than 160' END,
                    CASE WHEN ref IS NOT NULL AND NOT has_ref THEN 'unknown reference ' || ref END) AS errors
-  FROM known k JOIN lv USING (conv_id, call_id) LEFT JOIN r USING (conv_id, call_id))
-SELECT conv_id, turn, 0 AS seq, 'call' AS kind, call_id, name, level, turn AS call_turn, 0 AS call_seq, other AS other_turn,
+  FROM known k LEFT JOIN r USING (conv_id, call_id))
+SELECT conv_id, turn, 0 AS seq, 'call' AS kind, call_id, name, turn AS ready_turn, 0 AS ready_seq, 0 AS wait, turn AS call_turn, 0 AS call_seq, other AS other_turn,
        CASE WHEN errors <> '' THEN 'invalid' WHEN other IS NULL THEN 'unanswered' ELSE 'linked' END AS status, errors,
        '{"arguments":{' || CASE WHEN ref IS NOT NULL THEN '"after":[{"$ref":"' || ref || '"}],' ELSE '' END || '"query":' || CAST(to_json(text) AS VARCHAR)
          || ',"turn":' || turn || '},"id":"' || call_id || '","name":"' || name || '"}' AS json
 FROM e
 UNION ALL
-SELECT r.conv_id, r.turn, 0, 'result', r.call_id, NULL, e.level, e.turn, CASE WHEN e.turn IS NOT NULL THEN 0 END, e.turn,
+SELECT r.conv_id, r.turn, 0, 'result', r.call_id, NULL, e.turn, CASE WHEN e.turn IS NOT NULL THEN 0 END, CASE WHEN e.turn IS NOT NULL THEN 0 END, e.turn, CASE WHEN e.turn IS NOT NULL THEN 0 END, e.turn,
        CASE WHEN e.turn IS NULL THEN 'orphan' ELSE 'linked' END, '',
        '{"content":' || CAST(to_json(r.text) AS VARCHAR) || ',"tool_call_id":"' || r.call_id || '"}'
 FROM r LEFT JOIN e ON e.conv_id = r.conv_id AND e.call_id = r.call_id
