@@ -22,8 +22,8 @@ class Items:
     A partition holds the items of up to L = 2, 4, 8... shingles that do not fit the one before.
     """
 
-    def __init__(self, ids: list[int], sets: list[np.ndarray], coordinates: int):
-        self.ids, self.sets, self.k = np.array(ids, dtype=np.int64), sets, coordinates
+    def __init__(self, ids: list[int | None], sets: list[np.ndarray], coordinates: int):
+        self.ids, self.sets, self.k = ids, sets, coordinates
         sizes = np.array([len(s) for s in sets])
         part = np.maximum(1, np.ceil(np.log2(np.maximum(sizes, 1)))).astype(int)
         self.parts = {}
@@ -154,7 +154,7 @@ def find_test_items(
                 row, item, shared = _matches(batch, "_t", held.value, shingle, containment)
                 size = np.array([len(held.value.sets[x]) for x in item], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(row)), pa.array(held.value.ids[item], pa.int64()), pa.array(shared, pa.int32()), pa.array(size, pa.int32()), pa.array(shared / np.maximum(size, 1), pa.float64())],
+                    [batch.column(0).take(pa.array(row)), pa.array([held.value.ids[x] for x in item], pa.int64()), pa.array(shared, pa.int32()), pa.array(size, pa.int32()), pa.array(shared / np.maximum(size, 1), pa.float64())],
                     [id_col, item_col, "shared", "item_shingles", "containment"],
                 )
 
