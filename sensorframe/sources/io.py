@@ -41,13 +41,18 @@ def build_bronze(table: DataFrame | None, scan: DataFrame, rebuild: bool = False
 
 
 def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, skip: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rows of the right width, and the text of the lines that are not (S07); unless ``skip``, any such line is an error."""
+    """Rows of the right width, and the text of the lines that are not (S07); unless ``skip``, any such line is an error.
+
+    The first line of each file is the header, which is that of the schema; a value does not span lines.
+    """
     wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").schema(wide).csv(path)
-    bad = rows.where("_corrupt_record IS NOT NULL").select(F.col("_corrupt_record").alias("line"))
+    lines = spark.read.text(path).where(F.col("value") != ",".join(schema.names))
+    row = F.from_csv("value", wide.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = lines.withColumn("_row", row)
+    bad = parsed.where("_row._corrupt_record IS NOT NULL").select(F.col("value").alias("line"))
     if not skip and (first := bad.head(3)):
         raise ValueError(f"lines of another width: {[r['line'] for r in first]}")
-    return rows.where("_corrupt_record IS NULL").drop("_corrupt_record"), bad
+    return parsed.where("_row._corrupt_record IS NULL").select(*(F.col(f"_row.`{c}`").alias(c) for c in schema.names)), bad
 
 
 def labelled_snapshot(df: DataFrame, label: str = "occupied") -> tuple[DataFrame, DataFrame]:
