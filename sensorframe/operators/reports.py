@@ -32,7 +32,7 @@ def quality_report(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def availability(df: DataFrame, features: list[str], keys: list[str] | None = None) -> DataFrame:
     """Percent of rows that have each feature (A15); NaN is missing."""
-    percent = lambda c: F.round(100 * F.count(no_nan(F.col(c).cast("double"))) / F.count(F.lit(1)), 4)
+    percent = lambda c: 100 * F.count(no_nan(F.col(c).cast("double"))) / F.count(F.lit(1))
     return df.groupBy(*(keys or [])).agg(*(percent(c).alias(c) for c in features))
 
 

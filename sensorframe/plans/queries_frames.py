@@ -17,14 +17,15 @@ W = "WITH " + v.READINGS
 KEYS = ["timestamp", "zone_id"]
 
 
-def r4(*names: str):
+def rounded(*names: str):
+    """Both sides of a comparison add floats up in their own order."""
     return lambda df: df.select(*(F.round(c, 8).alias(c) if c in names else F.col(c) for c in df.columns))
 
 
 @query(f"WITH {v.GAPPY} SELECT date_trunc('hour', timestamp) AS timestamp, zone_id, round(avg(value), 8) AS value, round(avg(k), 8) AS k FROM gappy WHERE timestamp >= TIMESTAMP '2024-01-03' AND timestamp < TIMESTAMP '2024-01-20' GROUP BY 1, 2")
 def a01_bucket_mean(spark, sf):
     k = F.get_json_object("payload", "$.k").try_cast("double")
-    return buckets.bucket_mean(v.gappy(spark, sf), {"value": F.col("value"), "k": k}, v.HOUR, ["zone_id"], "2024-01-03 00:00:00", "2024-01-20 00:00:00").transform(r4("value", "k"))
+    return buckets.bucket_mean(v.gappy(spark, sf), {"value": F.col("value"), "k": k}, v.HOUR, ["zone_id"], "2024-01-03 00:00:00", "2024-01-20 00:00:00").transform(rounded("value", "k"))
 
 
 @query(f"{W} SELECT date_trunc('second', timestamp) AS timestamp, " + ", ".join(f"arg_max(value, (timestamp, seq)) FILTER (zone_id = {z}) AS temp_s{z}" for z in range(1, 16)) + " FROM readings GROUP BY 1")
@@ -34,13 +35,13 @@ def a02_wide_positions(spark, sf):
 
 @query(f"{W}, d AS (SELECT date_trunc('day', timestamp) AS timestamp, zone_id, device_id, avg(value) AS x FROM readings GROUP BY ALL) SELECT timestamp, zone_id, round(sum(x), 8) AS power FROM d GROUP BY ALL")
 def a03_bucket_power(spark, sf):
-    return buckets.bucket_power(v.readings(spark, sf), F.col("value"), 86400).transform(r4("power"))
+    return buckets.bucket_power(v.readings(spark, sf), F.col("value"), 86400).transform(rounded("power"))
 
 
 @query(f"{W} SELECT date_trunc('hour', timestamp) AS timestamp, round(avg(value), 8) AS power FROM readings WHERE device_id = 5 GROUP BY 1")
 def a04_single_power(spark, sf):
     r = v.readings(spark, sf).where("device_id = 5")
-    return buckets.bucket_mean(r, {"power": buckets.power_column(r)}, v.HOUR, []).transform(r4("power"))
+    return buckets.bucket_mean(r, {"power": buckets.power_column(r)}, v.HOUR, []).transform(rounded("power"))
 
 
 @query(
@@ -65,7 +66,7 @@ def a06_bucket_flags(spark, sf):
 )
 def a07_bucket_room(spark, sf):
     g = v.gappy(spark, sf).withColumn("sensor_id", F.col("device_id")).withColumn("room", F.when(F.col("k") % 3 > 0, F.col("device_type")).otherwise(" "))
-    return buckets.bucket_room(g, ["value"], ["room"], v.HOUR, "seq").transform(r4("value"))
+    return buckets.bucket_room(g, ["value"], ["room"], v.HOUR, "seq").transform(rounded("value"))
 
 
 STATS = """count(occupancy_count) AS sample_count, round(min(occupancy_count)::DOUBLE, 3) AS min_count, round(max(occupancy_count)::DOUBLE, 3) AS max_count, round(avg(occupancy_count), 3) AS mean_count,
@@ -112,7 +113,7 @@ def a10_a11_regroup_labels(spark, sf):
     SELECT device_id, round(sum((a + b) / 2 * dt) / sum(dt), 8) AS time_weighted_avg, count(*) AS samples FROM s GROUP BY 1"""
 )
 def a12_time_weighted_average(spark, sf):
-    return buckets.time_weighted_average(v.readings(spark, sf), ["device_id"]).transform(r4("time_weighted_avg"))
+    return buckets.time_weighted_average(v.readings(spark, sf), ["device_id"]).transform(rounded("time_weighted_avg"))
 
 
 @query(f"{W} SELECT count(*) AS rows, min(timestamp) AS first_time, max(timestamp) AS last_time FROM readings")
@@ -127,7 +128,7 @@ def a14_quality_report(spark, sf):
 
 @query(f"WITH {v.GAPPY} SELECT zone_id, round(100 * count(value) / count(*), 8) AS value, round(100 * count(k) / count(*), 8) AS k FROM gappy GROUP BY 1")
 def a15_availability(spark, sf):
-    return reports.availability(v.gappy(spark, sf), ["value", "k"], ["zone_id"])
+    return reports.availability(v.gappy(spark, sf), ["value", "k"], ["zone_id"]).transform(rounded("value", "k"))
 
 
 COVERAGE = "d AS (SELECT CAST(timestamp AS DATE) AS date, zone_id, count(DISTINCT timestamp) AS n FROM hourly GROUP BY 1, 2), coverage AS (SELECT date, min(n) AS rows, min(n) >= 5 AS eligible FROM d GROUP BY 1)"
@@ -140,12 +141,12 @@ def a16_date_coverage(spark, sf):
 
 @query(f"WITH {v.GAPPY} SELECT round(coalesce(median(value), 0), 8) AS value FROM gappy WHERE timestamp < TIMESTAMP '2024-01-20'")
 def a17_fill_values(spark, sf):
-    return reports.fill_values(v.gappy(spark, sf).where("timestamp < TIMESTAMP_NTZ '2024-01-20'"), ["value"]).transform(r4("value"))
+    return reports.fill_values(v.gappy(spark, sf).where("timestamp < TIMESTAMP_NTZ '2024-01-20'"), ["value"]).transform(rounded("value"))
 
 
 @query(f"WITH {v.GAPPY} SELECT round(avg(value), 8) AS value_mean, round(stddev_pop(value), 8) AS value_std FROM gappy")
 def a18_scaler_stats(spark, sf):
-    return reports.scaler_stats(v.gappy(spark, sf), ["value"]).transform(r4("value_mean", "value_std"))
+    return reports.scaler_stats(v.gappy(spark, sf), ["value"]).transform(rounded("value_mean", "value_std"))
 
 
 @query(f"{W} SELECT device_id, count(*) AS rows FROM readings GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1")
@@ -174,7 +175,7 @@ def a22_label_snapshot(spark, sf):
 
 @query(f"{W}, l AS (SELECT * FROM readings QUALIFY row_number() OVER (PARTITION BY device_id ORDER BY timestamp DESC) = 1) SELECT round(avg(value), 8) AS value, round(avg(k), 8) AS k FROM l")
 def a23_environment_summary(spark, sf):
-    return reports.environment_summary(windows.latest_rows(v.readings(spark, sf)), ["value", "k"]).transform(r4("value", "k"))
+    return reports.environment_summary(windows.latest_rows(v.readings(spark, sf)), ["value", "k"]).transform(rounded("value", "k"))
 
 
 @query(f"WITH {v.SCORED} SELECT seq, round((probability - y) * (probability - y), 8) AS squared_error FROM scored WHERE y IS NOT NULL")
@@ -409,7 +410,7 @@ def f14_clean_label(spark, sf):
 def f15_f16_impute_standardise(spark, sf):
     g = scalars.with_missing_flags(v.gappy(spark, sf).select("seq", "value"), ["value"])
     fill = reports.fill_values(g, ["value"]).first()["value"]
-    return scalars.standardise(scalars.impute(g, {"value": fill}), reports.scaler_stats(g, ["value"]), ["value"]).transform(r4("value"))
+    return scalars.standardise(scalars.impute(g, {"value": fill}), reports.scaler_stats(g, ["value"]), ["value"]).transform(rounded("value"))
 
 
 @query(f"{W} SELECT zone_id, k % 2 AS occupied, round(sum(value), 2) AS temp_s5, max(k) AS rh_s5 FROM readings GROUP BY 1, 2")
@@ -434,21 +435,21 @@ def f21_co2_band(spark, sf):
     f"WITH {v.SCORED}, c AS (SELECT *, greatest(1e-7, least(1 - 1e-7, probability)) AS p FROM scored) SELECT zone_id, count(*) AS n, count(*) FILTER (y = 1) AS positives, count(*) FILTER (y = 0) AS negatives, round(avg(y), 8) AS rate, round(avg(probability), 8) AS mean_probability, round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 8) AS log_loss, round(avg((probability - y) * (probability - y)), 8) AS brier FROM c GROUP BY 1"
 )
 def l01_binary_metrics(spark, sf):
-    return metrics.binary_metrics(v.scored(spark, sf), ["zone_id"]).transform(r4("rate", "mean_probability", "log_loss", "brier"))
+    return metrics.binary_metrics(v.scored(spark, sf), ["zone_id"]).transform(rounded("rate", "mean_probability", "log_loss", "brier"))
 
 
 @query(
     f"WITH {v.SCORED}, g AS (SELECT zone_id, probability AS s, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM scored GROUP BY 1, 2), c AS (SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp, sum(p) OVER (PARTITION BY zone_id) AS a FROM g WINDOW w AS (PARTITION BY zone_id ORDER BY s DESC)) SELECT zone_id, round(sum(p / a * tp / (tp + fp))::DOUBLE, 8) AS pr_auc FROM c GROUP BY 1"
 )
 def l02_average_precision(spark, sf):
-    return metrics.average_precision(v.scored(spark, sf), ["zone_id"]).transform(r4("pr_auc"))
+    return metrics.average_precision(v.scored(spark, sf), ["zone_id"]).transform(rounded("pr_auc"))
 
 
 @query(
     f"WITH {v.SCORED}, g AS (SELECT zone_id, probability AS s, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM scored GROUP BY 1, 2), c AS (SELECT *, coalesce(sum(p + n) OVER (PARTITION BY zone_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM g) SELECT zone_id, round(((sum(p * (b + (p + n + 1) / 2)) - sum(p) * (sum(p) + 1) / 2) / (sum(p) * sum(n)))::DOUBLE, 8) AS roc_auc FROM c GROUP BY 1"
 )
 def l03_roc_auc(spark, sf):
-    return metrics.roc_auc(v.scored(spark, sf), ["zone_id"]).transform(r4("roc_auc"))
+    return metrics.roc_auc(v.scored(spark, sf), ["zone_id"]).transform(rounded("roc_auc"))
 
 
 @query(f"WITH {v.SCORED} SELECT count(*) FILTER (y = 0) / greatest(count(*) FILTER (y = 1), 1) AS positive_weight FROM scored")
@@ -505,7 +506,7 @@ def l08_promotion(spark, sf):
 
 @query(f"{W} SELECT zone_id, round(avg(value), 8) AS mean_score, round(stddev_pop(value), 8) AS std_score, CAST(ceil(median(k)) AS BIGINT) AS epochs FROM readings GROUP BY 1")
 def l09_fold_summary(spark, sf):
-    return metrics.fold_summary(v.readings(spark, sf), "value", "k", ["zone_id"]).transform(r4("mean_score", "std_score"))
+    return metrics.fold_summary(v.readings(spark, sf), "value", "k", ["zone_id"]).transform(rounded("mean_score", "std_score"))
 
 
 def _streamed(spark, sf, name, make):

@@ -158,7 +158,7 @@ def p04_by_region(spark, sf):
     return q.by_region(base(spark, sf), DAY1, None, [3, 5, 8])
 
 
-@query(f"{W} SELECT {COLS} FROM readings WHERE device_type = 'click' AND device_id IN (1, 2, 8)")
+@query(f"{W} SELECT {COLS} FROM readings WHERE device_type = 'click' AND device_id IN (1, 2, 4)")
 def p05_filters(spark, sf):
     return q.filtered(base(spark, sf), {"device_type": "click", "device_id": [1, 2, 4]})
 
