@@ -10,6 +10,9 @@ from pyspark.sql.window import Window
 
 from .common import table, width
 
+#: Characters of a text that splitters hold.
+PREFIX = 24
+
 
 def exact_dedup(
     docs: DataFrame,
@@ -21,7 +24,8 @@ def exact_dedup(
 ) -> DataFrame:
     """Group rows of equal normalised text and mark the one that stays.
 
-    Sampled splitters (those of ``repartitionByRange``) deal the rows by (text, identifier), so
+    Sampled splitters (those of ``repartitionByRange``) deal the rows by the first characters of the text, then its digest,
+    which stands for the rest so that splitters stay short whatever the texts are, then the identifier; so
     a text that a third of the rows share is cut into many ranges; each range is sorted, every
     row is compared in full with its neighbour, and runs of equal rows are counted. A run can go
     on over the edges of a range, so the first and last run of every range (two rows a range) are
@@ -35,15 +39,16 @@ def exact_dedup(
         raise ValueError("keep is min or max")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), (normalise(text) if normalise else text).alias("_t"))
+    rows = rows.withColumns({"_head": F.substring("_t", 1, PREFIX), "_sha": F.sha2(F.col("_t"), 256)})
     # the row that stays is the last of its run
     by_id = (F.col("_id").asc_nulls_first() if keep == "max" else F.col("_id").desc_nulls_first(),)
-    dealt = rows.repartitionByRange(partitions or width(docs.sparkSession), F.col("_t").asc(), *by_id).withColumn("_p", F.spark_partition_id())
-    line = Window.partitionBy("_p").orderBy(F.col("_t").asc(), *by_id)
+    dealt = rows.repartitionByRange(partitions or width(docs.sparkSession), "_head", "_sha", *by_id).withColumn("_p", F.spark_partition_id())
+    line = Window.partitionBy("_p").orderBy("_head", "_sha", "_t", *by_id)
     fresh = F.when(F.lag("_t").over(line) == F.col("_t"), 0).otherwise(1)
     runs = (
         dealt.withColumn("_new", fresh)
         .withColumn("_at", F.row_number().over(line))
-        .select("_id", "_p", "_at", "_new", F.sha2(F.col("_t"), 256).alias("_sha"))
+        .select("_id", "_p", "_at", "_new", "_sha")
         .withColumn("_run", F.sum("_new").over(Window.partitionBy("_p").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)))
     )
     whole = Window.partitionBy("_p", "_run")
