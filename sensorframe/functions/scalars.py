@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Words for states, and other names of columns.
 TRUE_WORDS = ["true", "on", "occupied", "detected", "yes"]
 FALSE_WORDS = ["false", "off", "clear", "unoccupied", "none", "no"]
 ALIASES = {"temperature": "temp", "humidity": "rh", "pm_2_5": "pm25"}

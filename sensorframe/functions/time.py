@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Seconds of the grid, and the zone that naive times are in.
 STEP = 10
 LOCAL_ZONE = "Asia/Singapore"
 

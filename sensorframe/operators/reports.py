@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import no_nan, to_binary
 from .merge import keep_last
 
+#: Shares of present values that live scoring needs.
 CORE_REQUIRED, RADAR_REQUIRED = 0.80, 0.95
 
 

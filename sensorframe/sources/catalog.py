@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Layers and device types.
 LAYERS = ("bronze", "silver", "gold")
 DEVICES = ("air-1", "msr-2", "smart-plug-v2", "ag-one", "zigbee2mqtt", "sensibo")
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+#: Keys of an envelope that may hold its records, in order.
 LISTS = ("data", "readings", "history", "results", "items")
 
 
