@@ -31,6 +31,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with columns c0, c1... and their names by the old ones, so that no column clashes with one an operator makes."""
+    own = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*own.values()), own
+
+
 def width(spark: SparkSession) -> int:
     """The number of partitions that the session's owner has set for shuffles."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

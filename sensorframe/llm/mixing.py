@@ -7,7 +7,7 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ranked, table, uniform, width
+from .common import numbered, ranked, table, uniform, width
 
 BLOCK_ROWS, PERIOD, MOST_SOURCES = 16, 2048, 1000
 
@@ -101,27 +101,28 @@ def mix_sources(
     target = [weights.get(s, least) if weights else n**temperature for s, n in sizes]
     phases = plan([-(-n // block_rows) for _, n in sizes], target, period)
     ends = []
-    for (_, n), own in zip(sizes, phases, strict=True):
-        first, slot, share, q, places = own[-1]
+    for (_, n), turns in zip(sizes, phases, strict=True):
+        first, slot, share, q, places = turns[-1]
         j = -(-n // block_rows) - 1 - first
         ends.append((slot + j // share * q + places[j % share], -n % block_rows))
     short = [e for e in ends if e[1]]
-    rows = [(s, [(a, b, c, d, e) for a, b, c, d, e in own], short) for (s, _), own in zip(sizes, phases, strict=True)]
+    rows = [(s, turns, short) for (s, _), turns in zip(sizes, phases, strict=True)]
     kind = docs.schema[source_col].dataType.simpleString()
     table_ = spark.createDataFrame(rows, f"_of {kind}, _phases array<struct<first:long,slot:long,share:long,period:long,places:array<long>>>, _short array<struct<slot:long,missing:long>>")
-    base = docs.drop(*added).withColumn("_order", uniform(F.col(id_col), seed=seed))
-    placed = ranked(base, [source_col], "_order", max(1, width(spark)), "_index", [id_col])
+    plain, own = numbered(docs)
+    base = plain.withColumn("_order", uniform(F.col(own[id_col]), seed=seed))
+    placed = ranked(base, [own[source_col]], "_order", max(1, width(spark)), "_index", [own[id_col]])
     block = F.floor(F.col("_index") / block_rows).cast("long")
     j = F.col("mix_block") - F.col("_phase.first")
     joined = (
-        placed.join(F.broadcast(table_), F.col(source_col).eqNullSafe(F.col("_of")))  # sources x sources x period integers at most
+        placed.join(F.broadcast(table_), F.col(own[source_col]).eqNullSafe(F.col("_of")))  # sources x sources x period integers at most
         .withColumn("mix_block", block)
         .withColumn("_phase", F.element_at(F.filter("_phases", lambda p: p["first"] <= F.col("mix_block")), -1))
         .withColumn("mix_slot", F.col("_phase.slot") + F.floor(j / F.col("_phase.share")) * F.col("_phase.period") + F.get(F.col("_phase.places"), (j % F.col("_phase.share")).cast("int")))
     )
     missing = F.aggregate("_short", F.lit(0).cast("long"), lambda n, e: n + F.when(e["slot"] < F.col("mix_slot"), e["missing"]).otherwise(F.lit(0).cast("long")))
     return joined.select(
-        *(F.col(f"`{c}`") for c in docs.columns if c not in added),
+        *(F.col(c).alias(name) for name, c in own.items() if name not in added),
         "mix_block",
         (F.col("_phase.slot") + F.floor(j * F.col("_phase.period") / F.col("_phase.share"))).cast("long").alias("mix_release"),
         (F.col("_phase.slot") + F.ceil((j + 1) * F.col("_phase.period") / F.col("_phase.share"))).cast("long").alias("mix_deadline"),
@@ -135,7 +136,7 @@ def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
     """The rows in the order of :func:`mix_sources`: partition after partition, row after row."""
     mixed = mix_sources(docs, **options)
     ordered = mixed.repartitionByRange(width(docs.sparkSession), "mix_position").sortWithinPartitions("mix_position")
-    return ordered.select(*(F.col(f"`{c}`") for c in docs.columns))
+    return ordered.select(*(F.col(f"`{c}`") for c in docs.columns if c in mixed.columns))
 
 
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import materialise, table
+from .common import materialise, numbered, table
 
 COORDINATES, BAND_ROWS, SIMILARITY = 128, 4, 0.8
 BLOCK_ROWS, MATRIX_COLUMNS = 512, 8192
@@ -293,8 +293,9 @@ def near_duplicates(
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows that :func:`near_duplicates` keeps, with all their columns; of rows that repeat, one."""
     kept = _classes(docs, id_col, text_col, **options).where("kept").select("_key")
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(id_col).cast("long"), F.coalesce(F.col(text_col), F.lit(""))))
-    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key", id_col]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    plain, own = numbered(docs)
+    keyed = plain.withColumn("_key", F.xxhash64(F.col(own[id_col]).cast("long"), F.coalesce(F.col(own[text_col]), F.lit(""))))
+    return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key", own[id_col]]).select(*(F.col(c).alias(name) for name, c in own.items()))
 
 
 def op3_dart_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ranked, table, uniform, width
+from .common import numbered, ranked, table, uniform, width
 
 ROWS_A_BLOCK = 1_000_000
 
@@ -55,14 +55,15 @@ def shard(
     """
     spark = docs.sparkSession
     added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
-    data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    plain, own = numbered(docs)
+    data = F.coalesce(F.col(own[text_col]), F.lit("")).cast("binary")
     rows = (
-        docs.withColumn("_b", data)
+        plain.withColumn("_b", data)
         .withColumn("_crc", F.crc32("_b"))
         .withColumn("_size", (F.octet_length("_b") + 8).cast("long"))
-        .drop("_b", *added)
+        .drop("_b")
     )
-    keys = [F.col(id_col), F.col("_crc"), F.col("_size")]
+    keys = [F.col(own[id_col]), F.col("_crc"), F.col("_size")]
     rows = rows.withColumn("_first", uniform(*keys, seed=seed)).withColumn("_second", uniform(*keys, seed=seed + 1))
     total = docs.count()
     blocks = max(width(spark), -(-total // rows_a_block))
@@ -71,7 +72,7 @@ def shard(
     matrix = communication_matrix([counts.get(b, 0) for b in range(blocks)], shards, seed)
     ends = ", ".join(f"({b}, array({','.join(f'{x}L' for x in np.cumsum(m))}))" for b, m in enumerate(matrix))
     plan = spark.sql(f"SELECT * FROM VALUES {ends} AS t(_block_id, _ends)")
-    inside = Window.partitionBy("_block").orderBy("_first", id_col)
+    inside = Window.partitionBy("_block").orderBy("_first", own[id_col])
     cut = (
         rows.withColumn("_row", F.row_number().over(inside))
         .join(F.broadcast(plan), F.col("_block") == F.col("_block_id"))  # blocks x shards integers
@@ -79,8 +80,8 @@ def shard(
         .drop("_ends", "_block_id", "_row", "_first", "_block")
     )
     slices = max(1, -(-blocks // shards) * 2)
-    placed = ranked(cut, ["shard"], "_second", slices, "slot", [id_col])
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    placed = ranked(cut, ["shard"], "_second", slices, "slot", [own[id_col]])
+    kept = [F.col(c).alias(name) for name, c in own.items() if name not in added]
     return placed.select(
         *kept, F.col("_size").alias("size"), F.col("_crc").alias("text_crc32"), F.lit("rows").alias("law"),
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),

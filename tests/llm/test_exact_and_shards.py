@@ -39,7 +39,7 @@ def test_exact_normalised_and_empty(spark):
 
 
 def test_shards_are_exact_and_hold_every_row(spark):
-    docs = spark.createDataFrame([(i, t, "own", 3) for i, t in ROWS], "doc_id long, text string, shard string, slot int")
+    docs = spark.createDataFrame([(i, t, "own", 3, 4, 5) for i, t in ROWS], "doc_id long, text string, shard string, slot int, _slice int, _n int")
     out = sharding.shard(docs, shards=7, rows_a_block=20).collect()
     assert Counter((r["doc_id"], r["text"]) for r in out) == Counter(ROWS)
     sizes = Counter(r["shard"] for r in out)
@@ -92,7 +92,7 @@ def test_period_is_edf_and_within_a_block(share):
 
 def test_mix_keeps_rows_and_weights(spark):
     rows = [(i, "a") for i in range(300)] + [(1000 + i, "b") for i in range(90)] + [(2000 + i, None) for i in range(25)] + [(None, "b"), (1000, "b")]
-    docs = spark.createDataFrame([(i, s, 1) for i, s in rows], "doc_id long, source string, mix_slot int").repartition(5)
+    docs = spark.createDataFrame([(i, s, 1, 2) for i, s in rows], "doc_id long, source string, _index int, _order int").repartition(5)
     out = mixing.mix_sources(docs, weights={"a": 0.5, "b": 0.3, None: 0.2}, block_rows=4, period=50).collect()
     assert Counter((r["doc_id"], r["source"]) for r in out) == Counter(rows)
     out.sort(key=lambda r: r["mix_position"])

@@ -67,8 +67,8 @@ def test_classes_equal_those_of_all_pairs(spark, rows, monkeypatch):
 
 
 def test_kept_rows_and_extra_columns(spark, rows):
-    again = [(i, t, "a", 1) for i, t in rows[:40]] + [(rows[0][0], rows[0][1], "a", 1), (None, "null id " * 9, None, None)]
-    docs = spark.createDataFrame(again, "doc_id long, text string, class_id string, kept int")
+    again = [(i, t, "a", 1, 2) for i, t in rows[:40]] + [(rows[0][0], rows[0][1], "a", 1, 2), (None, "null id " * 9, None, None, None)]
+    docs = spark.createDataFrame(again, "doc_id long, text string, class_id string, kept int, _key int")
     out = near_dup.keep_one_of_each(docs)
     assert out.columns == docs.columns
     ids = [r["doc_id"] for r in out.collect()]
