@@ -119,7 +119,7 @@ def _shingler(k: int, weighted: bool):
 
 
 def _unit_links(node: np.ndarray, comp: np.ndarray, block: np.ndarray, values: np.ndarray, ends: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Similar pairs of different classes, within one block or between two, by products of 0/1 matrices."""
+    """Links that join different classes, within one block or between two, by products of 0/1 matrices."""
     left = block == block[0]
     right = left if left.all() else ~left
     size = np.diff(ends)
@@ -135,9 +135,28 @@ def _unit_links(node: np.ndarray, comp: np.ndarray, block: np.ndarray, values: n
     alike = common >= similarity * (n[left][:, None] + n[right][None, :] - common) - 1e-4
     apart = comp[left][:, None] != comp[right][None, :]
     a, b = np.nonzero(alike & apart)
-    a, b = node[left][a], node[right][b]
-    first = a < b if left is right else np.ones(len(a), dtype=bool)
-    return a[first], b[first]
+    return _forest(node[left][a], node[right][b], comp[left][a], comp[right][b])
+
+
+def _forest(a: np.ndarray, b: np.ndarray, comp_a: np.ndarray, comp_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links of a unit, those that join its classes; further links between the same classes would not change any."""
+    pair = np.stack([np.minimum(comp_a, comp_b), np.maximum(comp_a, comp_b)], axis=1)
+    _, first = np.unique(pair, axis=0, return_index=True)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    keep = []
+    for i, (x, y) in zip(first.tolist(), pair[first].tolist(), strict=True):
+        x, y = find(x), find(y)
+        if x != y:
+            root[y] = x
+            keep.append(i)
+    return a[keep], b[keep]
 
 
 def _swept(similarity: float):
@@ -280,7 +299,7 @@ def near_duplicates(
     Not all pairs of a band are looked at: each member is held against the least one of the band.
     Where a band then still holds several classes, its members are dealt into blocks of about 512, and
     two blocks at a time meet in a task that multiplies their 0/1 matrices and returns
-    links between classes only. What is skipped are pairs already in one class; no pairs are
+    as many links as join the classes that are alike. What is skipped are pairs already in one class; no pairs are
     emitted but links, and no task holds more than two blocks.
 
     Returns one row per input row: id, class_id (least id of the class), class_size, n_shingles,
