@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from . import textnp
 from .common import materialise, remainder, table
 
-#: Words that are clustered one by one, groups of other words of like shape, classes, words that workers hold.
+#: Least words that the driver clusters one by one, groups of words of like shape, least classes, words that workers hold.
 SINGLE, SHAPES, CLASSES, HEAD, SWEEPS, SMOOTHING = 512, 192, 48, 200_000, 12, 5.0
+#: Sweeps over all words in Spark; neighbours that a worker counts before it hands them on.
+WORD_SWEEPS, MOST_EVENTS = 2, 1_500_000
 END = textnp.mix(np.array([0xE0D], dtype=np.uint64))[0]
 
 
@@ -94,28 +96,37 @@ class ClassModel:
     head: np.ndarray  # hashes in order
     count: np.ndarray
     single: np.ndarray  # hashes of the units of one word, in order
-    cls: np.ndarray | None = None
+    unit_cls: np.ndarray | None = None  # of the units that the driver clusters
+    head_cls: np.ndarray | None = None  # once all words have classes of their own
     transition: np.ndarray | None = None
-    unit: np.ndarray | None = None  # of the unit within its class
-    shape_tokens: np.ndarray | None = None
-    shape_discount: np.ndarray | None = None
+    tokens: np.ndarray | None = None  # of each class
+    discount: np.ndarray | None = None  # of each class
+    shape_cls: np.ndarray | None = None  # of words unseen in training
     shape_unseen: np.ndarray | None = None
 
     def units(self, code: np.ndarray, shape: np.ndarray) -> np.ndarray:
         at = _lookup(code, self.single)
         return np.where(at >= 0, 1 + at, 1 + len(self.single) + shape)
 
-    def pairs(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Tokens with their units, the unit before each, and the last unit of each row."""
-        code, row, shape = tokens(data, offsets)
-        unit = self.units(code, shape)
-        before = np.zeros_like(unit)
-        if len(unit):
-            same = row[1:] == row[:-1]
-            before[1:][same] = unit[:-1][same]
-        last = np.zeros(len(offsets) - 1, dtype=np.int64)
-        last[row] = unit  # the last assignment stays
-        return code, row, shape, unit, before, last
+    def known(self, code: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place among the frequent words and class of every token, -1 where a worker does not know them."""
+        if self.head_cls is None:
+            return np.full(len(code), -1), self.unit_cls[self.units(code, shape)]
+        at = _lookup(code, self.head)
+        return at, np.where(at >= 0, self.head_cls[at] if len(self.head) else -1, -1)
+
+    def word(self, count: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """log10 probability of a word that was seen in training within its class."""
+        return np.log10(np.maximum(count - self.discount[cls], 1e-9) / self.tokens[cls])
+
+
+def _pairs(value: np.ndarray, row: np.ndarray, rows: int, end: object) -> tuple[np.ndarray, np.ndarray]:
+    """What stands before and after at each of all neighbouring places of the rows, their ends being ``end``."""
+    before, last = np.full(len(value), end, dtype=value.dtype), np.full(rows, end, dtype=value.dtype)
+    same = row[1:] == row[:-1]
+    before[1:][same] = value[:-1][same]
+    last[row] = value  # the last assignment stays
+    return np.concatenate([before, last]), np.concatenate([value, np.full(rows, end, dtype=value.dtype)])
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
@@ -146,23 +157,142 @@ def _frequent(counts: DataFrame, most: int) -> DataFrame:
     return counts.where(F.lit(False) if least is None else bin_ >= least)
 
 
-def _unit_pairs(texts: DataFrame, model: ClassModel, units: int) -> np.ndarray:
-    """Counts of neighbouring units over the corpus; each task adds up its own matrix."""
-    held = texts.sparkSession.sparkContext.broadcast(model)
+def _counted(texts: DataFrame, m: int, ids: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Counts of neighbouring numbers below ``m`` over the corpus, 0 being the end; pairs with a number below 0 are left out. Each task adds up its own matrix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(units * units, dtype=np.int64)
+        total = np.zeros(m * m, dtype=np.int64)
         for batch in batches:
-            for _, _, data, offsets in textnp.chunks(batch, "_t"):
-                _, _, _, unit, before, last = held.value.pairs(data, offsets)
-                total += np.bincount(np.concatenate([before * units + unit, last * units]), minlength=units * units)
+            for i, j, data, offsets in textnp.chunks(batch, "_t"):
+                code, row, shape = tokens(data, offsets)
+                a, b = _pairs(ids(code, shape), row, j - i, 0)
+                both = (a >= 0) & (b >= 0)
+                total += np.bincount(a[both] * m + b[both], minlength=m * m)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "n"])
 
     rows = texts.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(units * units, dtype=np.int64)
+    out = np.zeros(m * m, dtype=np.int64)
     out[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
-    return out.reshape(units, units)
+    return out.reshape(m, m)
+
+
+def _rare_pairs(texts: DataFrame, model: ClassModel) -> DataFrame:
+    """(a, b, ha, hb, n): neighbouring words of which workers do not hold both; ha and hb tell which they hold, the end being held."""
+    held = texts.sparkSession.sparkContext.broadcast(model.head)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in textnp.chunks(batch, "_t"):
+                code, row, _ = tokens(data, offsets)
+                a, b = _pairs(code, row, j - i, END)
+                ha, hb = _pairs(_lookup(code, held.value) >= 0, row, j - i, True)
+                at = np.flatnonzero(~(ha & hb))
+                yield pa.RecordBatch.from_arrays([pa.array(a[at].view(np.int64)), pa.array(b[at].view(np.int64)), pa.array(ha[at]), pa.array(hb[at])], ["a", "b", "ha", "hb"])
+
+    return texts.mapInArrow(run, "a long, b long, ha boolean, hb boolean").groupBy("a", "b", "ha", "hb").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _class_pairs(texts: DataFrame, rare: DataFrame, words: DataFrame, model: ClassModel, classes: int) -> np.ndarray:
+    """Counts of neighbouring classes over the corpus, every word being in its own class."""
+    spark = texts.sparkSession
+    held = spark.sparkContext.broadcast(model)
+    g = _counted(texts, classes, lambda code, shape: held.value.known(code, shape)[1])
+    top = pa.table({"code": np.append(model.head, END).view(np.int64), "cls": np.append(model.head_cls, 0).astype(np.int32)})
+    of = {True: F.broadcast(spark.createDataFrame(top)), False: words.select("code", "cls")}  # as many rows as workers hold words; all words
+    for ha, hb in ((True, False), (False, True), (False, False)):
+        found = rare.where((F.col("ha") == ha) & (F.col("hb") == hb))
+        found = found.join(of[ha].toDF("a", "ca") if not ha else F.broadcast(of[ha].toDF("a", "ca")), "a")
+        found = found.join(of[hb].toDF("b", "cb") if not hb else F.broadcast(of[hb].toDF("b", "cb")), "b")
+        rows = found.groupBy("ca", "cb").agg(F.sum("n").alias("n")).toArrow()
+        np.add.at(g, (rows.column("ca").to_numpy(), rows.column("cb").to_numpy()), rows.column("n").to_numpy())
+    return g
+
+
+def _class_neighbours(texts: DataFrame, model: ClassModel, classes: int) -> DataFrame:
+    """(code, found): for every word the classes before it (k) and after it (classes + k) that workers know, each followed by its count."""
+    held = texts.sparkSession.sparkContext.broadcast(model)
+
+    def packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        code, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        at *= 2 * classes
+        at += np.concatenate([p[1] for p in parts])
+        event, n = np.unique(at, return_counts=True)
+        found = np.stack([event % (2 * classes), n], axis=1).astype(np.int32).ravel()
+        ends = pa.array((2 * np.searchsorted(event, np.arange(len(code) + 1) * (2 * classes))).astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.ListArray.from_arrays(ends, pa.array(found))], ["code", "found"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held_rows = [], 0
+        for batch in batches:
+            for i, j, data, offsets in textnp.chunks(batch, "_t"):
+                code, row, shape = tokens(data, offsets)
+                (a, b), (ca, cb) = _pairs(code, row, j - i, END), _pairs(held.value.known(code, shape)[1], row, j - i, 0)
+                right, left = (a != END) & (cb >= 0), (b != END) & (ca >= 0)
+                parts.append((np.concatenate([a[right], b[left]]), np.concatenate([classes + cb[right], ca[left]]).astype(np.int32)))
+                held_rows += len(parts[-1][0])
+                if held_rows >= MOST_EVENTS:
+                    yield packed(parts)
+                    parts, held_rows = [], 0
+        if parts:
+            yield packed(parts)
+
+    return texts.mapInArrow(run, "code long, found array<int>")
+
+
+def _sweep(texts: DataFrame, rare: DataFrame, words: DataFrame | None, model: ClassModel, g: np.ndarray) -> DataFrame:
+    """(code, cls): every word in the class where the counts of the classes before and after it are likeliest, by the class matrix.
+
+    That is the exchange of all words at once: to first order the likelihood of the class bigram model
+    grows most there. The words that the driver has clustered keep their classes.
+    """
+    classes = len(g)
+    found = _class_neighbours(texts, model, classes)
+    if words is not None:
+        own = words.select("code", "cls")
+        right = rare.where(~F.col("hb") & (F.col("a") != int(END.view(np.int64)))).join(own.toDF("b", "cls"), "b").select(F.col("a").alias("code"), (classes + F.col("cls")).alias("k"), "n")
+        left = rare.where(~F.col("ha") & (F.col("b") != int(END.view(np.int64)))).join(own.toDF("a", "cls"), "a").select(F.col("b").alias("code"), F.col("cls").alias("k"), "n")
+        more = right.union(left).groupBy("code", "k").agg(F.sum("n").cast("int").alias("n"))
+        found = found.union(more.select("code", F.array("k", "n")))
+    c = g.astype(np.float64)
+    into, out = c.sum(axis=0), c.sum(axis=1)
+    share = lambda x: (x + 0.5) / (x.sum() + 0.5 * classes)
+    left_of = np.log((c + SMOOTHING * share(out)[:, None]) / (into + SMOOTHING)[None, :])
+    right_of = np.log((c + SMOOTHING * share(into)[None, :]) / (out + SMOOTHING)[:, None]).T
+    held = texts.sparkSession.sparkContext.broadcast((np.concatenate([left_of, right_of]).astype(np.float32), model.single, model.unit_cls))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight, single, unit_cls = held.value
+
+        def best(code: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+            score[:, 0] = -np.inf
+            at = _lookup(code.view(np.uint64), single)
+            cls = np.where(at >= 0, unit_cls[1 + at], score.argmax(axis=1))
+            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(cls.astype(np.int32))], ["code", "cls"])
+
+        open_code, open_score = np.zeros(0, dtype=np.int64), np.zeros((0, classes), dtype=np.float32)
+        for batch in batches:
+            lists = batch.column(1)
+            length = lists.value_lengths().to_numpy() // 2
+            flat = lists.flatten().to_numpy().reshape(-1, 2)
+            for i in range(0, len(batch), 2048):
+                part = slice(i, min(i + 2048, len(batch)))
+                lo, hi = int(length[: part.start].sum()), int(length[: part.stop].sum())
+                code, at = np.unique(np.concatenate([open_code, batch.column(0).to_numpy()[part]]), return_inverse=True)
+                dense = np.bincount(np.repeat(at[len(open_code) :], length[part]) * (2 * classes) + flat[lo:hi, 0], flat[lo:hi, 1], len(code) * 2 * classes)
+                score = dense.reshape(len(code), 2 * classes).astype(np.float32) @ weight
+                np.add.at(score, at[: len(open_code)], open_score)
+                # the last word may go on
+                last = np.flatnonzero(code == batch.column(0)[part.stop - 1].as_py())
+                done = np.ones(len(code), dtype=bool)
+                done[last] = False
+                if done.any():
+                    yield best(code[done], score[done])
+                open_code, open_score = code[last], score[last]
+        if len(open_code):
+            yield best(open_code, open_score)
+
+    return found.repartition("code").sortWithinPartitions("code").mapInArrow(run, "code long, cls int")
 
 
 def class_lm_scores(
@@ -170,18 +300,22 @@ def class_lm_scores(
     train: Column,
     id_col: str = "doc_id",
     text_col: str = "text",
-    single: int = SINGLE,
-    classes: int = CLASSES,
+    single: int | None = None,
+    classes: int | None = None,
     head: int = HEAD,
+    word_sweeps: int = WORD_SWEEPS,
 ) -> DataFrame:
     """log10 probabilities of every text under a class bigram model fitted to the rows that meet ``train``.
 
     Tokens are runs of bytes that are not white space, A-Z in lower case, and one end a text. All words of
     the training rows are counted. The ``single`` most frequent words and groups of the other words
-    of like shape are the units that exchange clustering assigns to ``classes`` classes, by
-    the counts of all neighbouring units. A token's probability is that of its class after the
-    class before (smoothed with the class's share), of the unit in the class, and of the word in the unit: counts of words less
-    an absolute discount, whose mass is that of words never seen in training, as one symbol a unit. The base is
+    of like shape are the units that exchange clustering on the driver assigns to ``classes`` classes, by
+    the counts of all neighbouring units. From there ``word_sweeps`` sweeps in Spark put every other word into a class of its own choice, by the
+    counts of all classes before and after it. By default classes are twice the fourth root of the training tokens and single words four times
+    as many as classes, so both grow with the corpus (48 and 512 at least). A token's probability is that of its class after the
+    class before (smoothed with the class's share), and of the word in the class: its count less an absolute discount, whose
+    mass is that of words never seen in training. Those are in the class where most words of their shape that
+    were seen once are, as one symbol a shape. The base is
     an add-0.1 unigram model with one symbol for unseen words.
 
     Workers hold the most frequent words, ``head`` at most; all others meet their counts in a join, so the
@@ -198,32 +332,42 @@ def class_lm_scores(
     n_train = texts.count()
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = n + n_train, v + (n_train > 0)
+    classes = classes or max(CLASSES, round(2 * n**0.25))
+    single = single or max(SINGLE, 4 * classes)
     top = _frequent(counts, head).toArrow()
     code, count = top.column("code").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(code)
     model = ClassModel(code[order], count[order], np.sort(code[np.lexsort((code, -count))[:single]]))
     units = 1 + len(model.single) + SHAPES
-    pairs = _unit_pairs(texts, model, units)
-
-    cls = exchange_classes(pairs, classes)
-    share = np.bincount(cls, pairs.sum(axis=0), classes)
-    g = np.zeros((classes, classes))
-    np.add.at(g, (cls[:, None].repeat(units, 1), cls[None, :].repeat(units, 0)), pairs)
+    held = spark.sparkContext.broadcast(model)
+    pairs = _counted(texts, units, lambda code, shape: held.value.units(code, shape))
+    model.unit_cls = exchange_classes(pairs, classes)
+    g = np.zeros((classes, classes), dtype=np.int64)
+    np.add.at(g, (model.unit_cls[:, None].repeat(units, 1), model.unit_cls[None, :].repeat(units, 0)), pairs)
+    rare, words = materialise(_rare_pairs(texts, model), "rare-pairs"), None
+    for _ in range(word_sweeps):
+        words = materialise(counts.join(_sweep(texts, rare, words, model, g), "code"), "word-classes")
+        top = _frequent(words, head).toArrow()
+        order = np.argsort(top.column("code").to_numpy().view(np.uint64))
+        model.head_cls = top.column("cls").to_numpy()[order].astype(np.int64)
+        g = _class_pairs(texts, rare, words, model, classes)
+
+    share = g.sum(axis=0)
     prior = (share + 0.5) / (share.sum() + 0.5 * classes)
-    unit = pairs.sum(axis=0) + 0.5
-    model.cls = cls
     model.transition = np.log10((g + SMOOTHING * prior[None, :]) / (g.sum(axis=1, keepdims=True) + SMOOTHING))
-    model.unit = np.log10(unit / np.bincount(cls, unit, classes)[cls])
-    one_word = spark.createDataFrame([(int(c),) for c in model.single.view(np.int64)], "code long")
-    shapes = counts.join(F.broadcast(one_word), "code", "left_anti").groupBy("shape").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2")
-    )
-    tokens_of, words_of, n1, n2 = (np.zeros(SHAPES) for _ in range(4))
-    for r in shapes.collect():
-        tokens_of[r["shape"]], words_of[r["shape"]], n1[r["shape"]], n2[r["shape"]] = r["n"], r["v"], r["n1"], r["n2"]
-    discount = np.clip((n1 + 0.5) / (n1 + 2 * n2 + 1), 0.1, 0.9)
-    model.shape_tokens, model.shape_discount = np.maximum(tokens_of, 1), discount
-    model.shape_unseen = np.where(tokens_of > 0, np.log10(np.maximum(discount * words_of, 1e-9) / model.shape_tokens), 0.0)
+    once = F.count_if(F.col("n") == 1)
+    stats = words.groupBy("shape", "cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), once.alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).toArrow()
+    shape_of, cls_of = stats.column("shape").to_numpy(), stats.column("cls").to_numpy()
+    tokens_of, words_of, n1, n2 = (np.bincount(cls_of, stats.column(c).to_numpy(), classes) for c in ("n", "v", "n1", "n2"))
+    singly = np.zeros((SHAPES, classes))
+    np.add.at(singly, (shape_of, cls_of), stats.column("n1").to_numpy() + 1e-3 * stats.column("v").to_numpy())
+    model.shape_cls = np.where(singly.any(axis=1), singly.argmax(axis=1), model.unit_cls[1 + len(model.single) :])
+    weight = singly.sum(axis=1) + 0.5
+    some = np.bincount(model.shape_cls, weight, classes)  # classes that words unseen in training may have
+    model.tokens = np.maximum(tokens_of, 1)
+    model.discount = np.where(some > 0, np.clip((n1 + 0.5) / (n1 + 2 * n2 + 1), 0.1, 0.9), 0.0)
+    unseen = np.where(tokens_of > 0, np.maximum(model.discount * words_of, 1e-9) / model.tokens, 1.0)
+    model.shape_unseen = np.log10(unseen[model.shape_cls] * weight / some[model.shape_cls])
     held = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,21 +375,22 @@ def class_lm_scores(
         for batch in batches:
             for i, j, data, offsets in textnp.chunks(batch, "_t"):
                 rows = j - i
-                code, row, shape, unit, before, last = m.pairs(data, offsets)
-                at = _lookup(code, m.head)
+                code, row, shape = tokens(data, offsets)
+                at, cls = m.known(code, shape)
                 here = at >= 0
-                count = np.where(here, m.count[at] if len(m.count) else 0, 1)
-                inside = here & (unit > len(m.single))
-                word = np.where(inside, np.log10(np.maximum(count - m.shape_discount[shape], 1e-9) / m.shape_tokens[shape]), 0.0)
-                log = m.transition[m.cls[before], m.cls[unit]] + m.unit[unit] + word
-                score = np.bincount(row, log, rows) + m.transition[m.cls[last], 0] + m.unit[0]
-                base = np.bincount(row[here], np.log10(count[here] + 0.1), rows)
+                count = m.count[at[here]]
+                a, b = _pairs(cls, row, rows, 0)
+                both = (a >= 0) & (b >= 0)
+                score = np.bincount(np.concatenate([row, np.arange(rows)])[both], m.transition[a[both], b[both]], rows) + np.bincount(row[here], m.word(count, cls[here]), rows)
+                base = np.bincount(row[here], np.log10(count + 0.1), rows)
                 rare = np.flatnonzero(~here)
-                c, r, tf = textnp.distinct(code[rare], row[rare])
-                first = np.lexsort((code[rare], row[rare]))
-                shape_of = shape[rare][first][np.cumsum(tf) - tf] if len(rare) else shape[:0]
-                ends = pa.array(np.searchsorted(r, np.arange(rows + 1)).astype(np.int32))
-                entry = pa.StructArray.from_arrays([pa.array(c.view(np.int64)), pa.array(shape_of.astype(np.int32)), pa.array(tf.astype(np.int32))], ["code", "shape", "tf"])
+                before, after = a[: len(code)], np.append(cls[1:], 0)
+                after[np.flatnonzero(np.append(row[1:] != row[:-1], True))[: len(after)]] = 0
+                ends = pa.array(np.searchsorted(row[rare], np.arange(rows + 1)).astype(np.int32))
+                entry = pa.StructArray.from_arrays(
+                    [pa.array(rare.astype(np.int32)), pa.array(code[rare].view(np.int64)), *(pa.array(x[rare].astype(np.int32)) for x in (shape, before, after[: len(code)]))],
+                    ["at", "code", "shape", "before", "after"],
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, rows), pa.array(np.bincount(row, minlength=rows) + 1, pa.int64()), pa.array(np.bincount(row[here], minlength=rows), pa.int64()),
@@ -254,19 +399,25 @@ def class_lm_scores(
                     [id_col, "n_tokens", "known", "base", "score", "rare"],
                 )
 
-    schema = f"`{id_col}` {kind}, n_tokens long, known long, base double, score double, rare array<struct<code:long,shape:int,tf:int>>"
+    def run_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, last = held.value, 0
+        for batch in batches:
+            row, shape, before, after, count, cls = (batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("_row", "shape", "before", "after", "n", "cls"))
+            seen = batch.column("n").is_valid().to_numpy(zero_copy_only=False)
+            cls = np.where(seen, cls, m.shape_cls[shape])
+            before = np.where(before >= 0, before, np.append(last, cls[:-1])[: len(cls)])  # the one before is rare too
+            word = np.where(seen, m.word(count, cls), m.shape_unseen[shape])
+            score = word + m.transition[before, cls] + np.where(after >= 0, m.transition[cls, after], 0.0)
+            last = cls[-1] if len(cls) else last
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(seen.astype(np.int64)), pa.array(np.log10(count + 0.1)), pa.array(score)], ["_row", "_known", "_base", "_score"])
+
+    schema = f"`{id_col}` {kind}, n_tokens long, known long, base double, score double, rare array<struct<at:int,code:long,shape:int,before:int,after:int>>"
     scored = docs.select(F.col(id_col), text).mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id())
     scored = materialise(scored, "scored")
-    stats = spark.createDataFrame([(s, float(model.shape_tokens[s]), float(discount[s]), float(model.shape_unseen[s])) for s in range(SHAPES)], "shape int, of double, off double, unseen double")
-    rare = scored.select("_row", F.explode("rare").alias("_w")).select("_row", F.col("_w.code").alias("code"), F.col("_w.shape").alias("shape"), F.col("_w.tf").alias("tf"))
-    met = rare.join(counts.select("code", "n"), "code", "left").join(F.broadcast(stats), "shape")  # as many rows as shapes
-    seen = F.col("n").isNotNull()
-    word = F.when(seen, F.log10(F.greatest(F.col("n") - F.col("off"), F.lit(1e-9)) / F.col("of"))).otherwise(F.col("unseen"))
-    more = met.groupBy("_row").agg(
-        F.sum(F.when(seen, F.col("tf")).otherwise(0)).alias("_known"),
-        F.sum(F.col("tf") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("_base"),
-        F.sum(F.col("tf") * word).alias("_score"),
-    )
+    unheld = scored.select("_row", F.explode("rare").alias("_w")).select("_row", "_w.*")
+    met = unheld.join(words.select("code", "n", "cls"), "code", "left").select("_row", "at", "shape", "before", "after", "n", "cls")
+    met = met.repartition("_row").sortWithinPartitions("_row", "at").mapInArrow(run_rare, "_row long, _known long, _base double, _score double")
+    more = met.groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("_known", "_base", "_score")))
     per_token = float(np.log10(n + 0.1 * (v + 1)))
     end = float(np.log10((n_train if n_train else 0) + 0.1))
     total = F.col("score") + F.coalesce("_score", F.lit(0.0))

@@ -137,6 +137,20 @@ def test_class_bigrams_beat_the_base_where_order_matters(spark):
     assert per("score") > per("base_score") + 0.4  # three classes in turn: log10(3) = 0.477
 
 
+def test_rare_words_of_one_shape_get_classes_from_their_neighbours(spark):
+    rng = random.Random(3)
+    line = lambda: " ".join(w for _ in range(15) for w in ("aa", f"q{rng.randrange(100, 300)}z", "bb", f"q{rng.randrange(300, 500)}z"))
+    docs = spark.createDataFrame([(i, line(), "en", "s") for i in range(400)], DOCS).repartition(3)
+    scores = []
+    for head in (100, 1000):  # where words meet their classes must not matter
+        out = class_lm.class_lm_scores(docs, remainder("doc_id", 10) != 0, single=60, classes=6, head=head).collect()
+        held = [r for r in out if zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0]
+        scores.append({r["doc_id"]: round(r["score"], 6) for r in out})
+        # log10(200) for two tokens; one class for all rare words would cost log10(400) and log10(2)
+        assert sum(r["score"] for r in held) / sum(r["n_tokens"] for r in held) > -1.25
+    assert scores[0] == scores[1]
+
+
 def test_exchange_finds_two_classes():
     pairs = np.zeros((9, 9))
     for a in range(1, 5):
