@@ -110,44 +110,51 @@ def extract_events(messages: DataFrame, tools: dict) -> DataFrame:
     return rows.mapInArrow(run, EVENT)
 
 
-def _waiting(edges: DataFrame) -> DataFrame | None:
-    """(_node, _ready, _wait) for the calls that references to later calls touch; none where there are no such references.
+def _depths(edges: DataFrame, most: int, places: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(_node, _depth) for every _from: the length of the longest chain of references that begins there, none on or behind a cycle; and ``places``.
 
-    ``edges`` has _from, _from_place, _to, _to_place. A call is ready at the latest place among itself and all it
-    refers to, directly or not. Where all references go back that is its own place, so only calls on or behind a reference
-    to a later call are followed here, a round for each step of the longest such chain. Calls on or behind a cycle
-    come out without _ready.
+    Steps are doubled: a round joins the pairs of calls 2^k steps apart with themselves. A call's longest chain is
+    2^k steps, for the last k for which it has a pair, and the longest chain of those it meets there, so there are as many rounds as
+    the logarithm of the longest chain. ``most`` calls at most are in a conversation; longer chains are cycles. A row of
+    ``places`` (_node, _ready) becomes the latest place of the call and all that it refers to, directly or not.
     """
-    touched = materialise(edges.where("_to_place > _from_place").select(F.col("_from").alias("_node"), F.col("_from_place").alias("_own")).distinct(), "touched")
-    if touched.isEmpty():
-        return None
-    front = touched
-    while True:
-        behind = edges.join(front.select(F.col("_node").alias("_to")), "_to").select(F.col("_from").alias("_node"), F.col("_from_place").alias("_own")).distinct()
-        front = materialise(behind.join(touched, "_node", "left_anti"), "touched")
-        if front.isEmpty():
-            break
-        touched = materialise(touched.union(front), "touched")
-    inside = edges.join(touched.select(F.col("_node").alias("_from")), "_from", "left_semi")
-    is_touched = touched.select(F.col("_node").alias("_to"), F.lit(True).alias("_in"))
-    left = materialise(inside.join(is_touched, "_to", "left").withColumn("_known", F.when(F.col("_in").isNull(), F.struct(F.col("_to_place").alias("ready"), F.lit(0).alias("wait")))).drop("_in"), "references")
-    settled = touched.where("false").withColumns({"_ready": F.col("_own"), "_wait": F.lit(0)})
-    waiting = touched
-    while True:
-        ready = waiting.join(left.where("_known IS NULL").select(F.col("_from").alias("_node")).distinct(), "_node", "left_anti")
-        latest = left.groupBy(F.col("_from").alias("_node")).agg(F.max("_known").alias("_k"))
-        later = F.col("_k.ready") > F.col("_own")
-        done = ready.join(latest, "_node").select("_node", "_own", F.when(later, F.col("_k.ready")).otherwise(F.col("_own")).alias("_ready"), F.when(later, F.col("_k.wait") + 1).otherwise(0).alias("_wait"))
-        done = materialise(done, "settled")
-        if done.isEmpty():
-            break
-        settled = settled.unionByName(done)
-        waiting = materialise(waiting.join(done, "_node", "left_anti"), "waiting")
-        now = done.select(F.col("_node").alias("_to"), F.struct(F.col("_ready").alias("ready"), F.col("_wait").alias("wait")).alias("_now"))
-        open_ = left.join(waiting.select(F.col("_node").alias("_from")), "_from", "left_semi")
-        left = materialise(open_.join(now, "_to", "left").withColumn("_known", F.coalesce("_known", "_now")).drop("_now").select(*left.columns), "references")
-    none = F.lit(None)
-    return settled.drop("_own").unionByName(waiting.select("_node", none.cast(settled.schema["_ready"].dataType).alias("_ready"), none.cast("int").alias("_wait")))
+    steps, reach = materialise(edges.select("_from", "_to").distinct(), "steps"), 1
+    depth = steps.select(F.col("_from").alias("_node"), F.lit(0).alias("_depth")).where("false")
+    while not steps.isEmpty():
+        if reach >= most:
+            return depth.union(steps.select("_from", F.lit(None).cast("int")).distinct()), places
+        if places is not None:
+            met = steps.join(places.withColumnRenamed("_node", "_to"), "_to").groupBy(F.col("_from").alias("_node")).agg(F.max("_ready").alias("_met"))
+            later = F.when(F.col("_met") > F.col("_ready"), F.col("_met")).otherwise(F.col("_ready"))
+            places = materialise(places.join(met, "_node", "left").select("_node", later.alias("_ready")), "places")
+        on = steps.select(F.col("_from").alias("_to"), F.col("_to").alias("_next"))
+        further = materialise(steps.join(on, "_to").select("_from", F.col("_next").alias("_to")).distinct(), "steps")
+        ended = steps.join(further.select("_from").distinct(), "_from", "left_anti").join(depth.withColumnRenamed("_node", "_to"), "_to", "left")
+        found = ended.groupBy(F.col("_from").alias("_node")).agg((F.max(F.coalesce("_depth", F.lit(0))) + reach).cast("int").alias("_depth"))
+        depth = materialise(depth.union(found), "depths")
+        steps, reach = further, 2 * reach
+    return depth, places
+
+
+def _order(edges: DataFrame, most: int) -> DataFrame:
+    """(_call, _level, _ready, _wait) for every call that refers to others.
+
+    ``edges`` has _from, _from_place, _to, _to_place. The level is one more than that of the deepest call referred to. A call is ready at
+    the latest place among itself and all it refers to, directly or not; where all references go back that is its own. It
+    waits one more than those it refers to of the same place. Calls on or behind a cycle have none of these.
+    """
+    forward = not edges.where("_to_place > _from_place").isEmpty()
+    own = edges.select(F.col("_from").alias("_node"), F.col("_from_place").alias("_own")).distinct()
+    places = edges.select(F.col("_from").alias("_node"), F.col("_from_place").alias("_ready")).union(edges.select("_to", "_to_place")).distinct() if forward else None
+    depth, places = _depths(edges, most, places)
+    if not forward:
+        return depth.join(own, "_node").select(F.col("_node").alias("_call"), F.col("_depth").alias("_level"), F.when(F.col("_depth").isNotNull(), F.col("_own")).alias("_ready"), F.when(F.col("_depth").isNotNull(), 0).alias("_wait"))
+    late = materialise(depth.where("_depth IS NOT NULL").join(own, "_node").join(places, "_node").where("_ready > _own").select(F.col("_node").alias("_from"), F.col("_ready").alias("_from_ready")), "late")
+    same = edges.join(late, "_from").join(places.toDF("_to", "_to_ready"), "_to").where("_from_ready = _to_ready")
+    wait, _ = _depths(same, most)
+    placed = depth.join(places, "_node").join(wait.toDF("_node", "_wait"), "_node", "left")
+    known = F.col("_depth").isNotNull()
+    return placed.select(F.col("_node").alias("_call"), F.col("_depth").alias("_level"), F.when(known, F.col("_ready")).alias("_ready"), F.when(known, F.coalesce("_wait", F.lit(0))).alias("_wait"))
 
 
 def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
@@ -158,9 +165,9 @@ def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
     content). Arguments may refer to the results of other calls as {"$ref": id}. Ordering a conversation by (ready_turn,
     ready_seq, wait, call_turn, call_seq, kind) puts every call after all that it refers to and every result after its call:
     a call is ready at the latest place among itself and all that it needs, and waits one more than those it needs of the same
-    place. No conversation is gathered in one task.
+    place. Its level is one more than that of the deepest call it refers to, 0 where it refers to none. No conversation is gathered in one task.
 
-    Returns one row per event: conv_id, turn, seq, kind, call_id, name, ready_turn, ready_seq, wait, call_turn, call_seq, other_turn (of the
+    Returns one row per event: conv_id, turn, seq, kind, call_id, name, ready_turn, ready_seq, wait, level, call_turn, call_seq, other_turn (of the
     result or the call), status, errors, json (canonical). Status of a call: duplicate (not the first of its identifier), cycle,
     invalid (breaks its schema, refers to an unknown call, or cannot be read), unanswered or linked; of a result: duplicate, orphan or
     linked. Other roles, null roles and texts give no events; a null conversation is a conversation; a null turn comes
@@ -180,15 +187,11 @@ def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
     unknown = refs.where("_call IS NULL").groupBy("_event").agg(F.array_sort(F.collect_set(F.concat(F.lit("unknown reference "), "call_id"))).alias("_unknown"))
     edges = refs.where("_call IS NOT NULL").select(F.col("_event").alias("_from"), "_from_place", F.col("_call").alias("_to"), F.col("_place").alias("_to_place")).distinct()
     edges = edges.join(call.select(F.col("_call").alias("_from")), "_from", "left_semi")
-    # a call that refers to itself waits for ever
-    edges = edges.withColumn("_to_place", F.when(F.col("_from") == F.col("_to"), F.struct(F.lit(2**62).alias("turn"), F.col("_to_place.seq").alias("seq"), F.col("_to_place._event").alias("_event"))).otherwise(F.col("_to_place")))
-    waits = _waiting(edges)
-    own = F.struct(F.col("_place").alias("_ready"), F.lit(0).alias("_wait"))
-    if waits is None:
-        pairs = pairs.withColumn("_order", F.when(F.col("_call").isNotNull(), own))
-    else:
-        known = waits.select(F.col("_node").alias("_call"), F.struct("_ready", "_wait").alias("_w"))
-        pairs = pairs.join(known, "_call", "left").withColumn("_order", F.when(F.col("_w").isNotNull(), F.col("_w")).when(F.col("_call").isNotNull(), own)).drop("_w")
+    edges = materialise(edges, "edges")
+    most = keyed.where("kind = 'call'").groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    own = F.struct(F.lit(0).alias("_level"), F.col("_place").alias("_ready"), F.lit(0).alias("_wait"))
+    known = _order(edges, most).select("_call", F.struct("_level", "_ready", "_wait").alias("_w"))
+    pairs = pairs.join(known, "_call", "left").withColumn("_order", F.when(F.col("_w").isNotNull(), F.col("_w")).when(F.col("_call").isNotNull(), own)).drop("_w")
     joined = keyed.join(materialise(pairs, "ordered"), "_key", "left").join(unknown, "_event", "left")
     errors = F.concat("errors", F.coalesce("_unknown", F.array().cast("array<string>")))
     of_call = (
@@ -199,7 +202,7 @@ def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
     of_result = F.when(F.col("call_id").isNotNull() & (F.col("_event") != F.col("_result")), "duplicate").when(F.col("_call").isNull(), "orphan").otherwise("linked")
     is_call = F.col("kind") == "call"
     return joined.select(
-        "conv_id", "turn", "seq", "kind", "call_id", "name", F.col("_order._ready.turn").alias("ready_turn"), F.col("_order._ready.seq").alias("ready_seq"), F.col("_order._wait").alias("wait"),
+        "conv_id", "turn", "seq", "kind", "call_id", "name", F.col("_order._ready.turn").alias("ready_turn"), F.col("_order._ready.seq").alias("ready_seq"), F.col("_order._wait").alias("wait"), F.col("_order._level").alias("level"),
         F.col("_place.turn").alias("call_turn"), F.col("_place.seq").alias("call_seq"), F.when(is_call, F.col("_result_turn")).otherwise(F.col("_place.turn")).alias("other_turn"),
         F.when(is_call, of_call).otherwise(of_result).alias("status"), F.array_join(errors, "; ").alias("errors"), "json",
     )
@@ -222,8 +225,8 @@ def as_tool_messages(conversations: DataFrame) -> DataFrame:
 
 
 def op10_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calls and results of all conversations in the form of tool use."""
-    return link_tool_calls(as_tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
+    """Calls and results of all conversations in the form of tool use; the SQL has no level."""
+    return link_tool_calls(as_tool_messages(table(spark, sf_dir, "conversations")), TOOLS).drop("level")
 
 
 OP10_SQL = """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import random
 
 from sensorframe.llm import tool_calls
 
@@ -52,6 +54,32 @@ def test_long_chains_of_either_direction(spark):
     assert {r["status"] for r in out} == {"unanswered"}
 
 
+def test_levels_and_waits_by_brute_force(spark):
+    rng, rows, refs = random.Random(5), [], {}
+    for c in range(6):
+        rank = rng.sample(range(40), 40)  # references go to calls of less rank, before or after
+        for i in range(40):
+            below = [j for j in range(40) if rank[j] < rank[i]]
+            refs[c, i] = rng.sample(below, min(len(below), rng.choice([0, 1, 1, 2])))
+            rows.append((c, i // 2, i, call(f"k{i}", [f"k{j}" for j in refs[c, i]])))
+    chain = [(9, i, 0, call(f"k{i}", [f"k{i - 1}"] if i else [])) for i in range(70)]
+    refs |= {(9, i): [i - 1] if i else [] for i in range(70)}
+    texts = {}
+    for c, turn, _, text in rows + chain:
+        texts[c, turn] = texts.get((c, turn), "") + text
+    out = linked(spark, [(c, turn, "assistant", text) for (c, turn), text in texts.items()])
+    place = {(r["conv_id"], r["call_id"]): (r["call_turn"], r["call_seq"]) for r in out}
+
+    @functools.cache
+    def want(c, i):
+        own, below = place[c, f"k{i}"], [want(c, j) for j in refs[c, i]]
+        ready, wait = max(((b[1], b[2]) for b in below), default=(own, 0))
+        return max((b[0] for b in below), default=-1) + 1, max(own, ready), wait + 1 if ready > own else 0
+
+    got = {(r["conv_id"], int(r["call_id"][1:])): (r["level"], (r["ready_turn"], r["ready_seq"]), r["wait"]) for r in out}
+    assert got == {key: want(*key) for key in refs} and got[9, 69][0] == 69
+
+
 def test_canonical_json():
     assert tool_calls.canonical({"b": [1, 2.5, None], "a": "é\n\""}) == '{"a":"é\\n\\"","b":[1,2.5,null]}'
     assert tool_calls.canonical("\ud800") == '"\\ud800"'
