@@ -10,7 +10,7 @@ from .common import materialise, table
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 #: kind, pattern, group of the value, least length of the value; the base kinds come first.
 BASE = [("assign", ASSIGN, 2, 6), ("access", r"(AKIA[A-Z0-9]+)", 1, 20), ("hex", r"([0-9a-f]+)", 1, 24)]
-#: Kinds of the method itself: spans of theirs count where one owner alone holds the value.
+#: Kinds of the method itself.
 MORE = [
     ("github", r"(gh[pousr]_[A-Za-z0-9]{20,})", 1, 20),
     ("slack", r"(xox[abprs]-[A-Za-z0-9-]{10,})", 1, 10),
@@ -60,8 +60,8 @@ def scan_secrets(
     text_col: str = "text",
     owner_cols: tuple[str, ...] = ("source",),
     repo_cols: tuple[str, ...] = ("source", "lang"),
-    most_owners: int = 1,
-    most_repos: int = 2,
+    most_owners: int = 4,
+    most_repos: int = 8,
 ) -> DataFrame:
     """Find secrets in every text and separate live-looking credentials from copied examples.
 
@@ -69,7 +69,7 @@ def scan_secrets(
     candidates are counted over the corpus by distinct owners and by distinct repositories
     (``owner_cols``, ``repo_cols``; a null is a name of its own). A value that at most
     ``most_owners`` owners and ``most_repos`` repositories hold is ``live``, others are ``example``.
-    Base spans are always reported, spans of other kinds where they are live.
+    A few copies by a crawl do not make an example of a credential. Spans of all kinds are reported with their verdict.
 
     Returns one row per input row: id, base (array of spans: start, end, kind, value), spans
     (the same with verdict, owners, repos). Offsets count code points, ends are exclusive.
@@ -95,7 +95,7 @@ def scan_secrets(
     by_owner = by_repo.groupBy("_hash", "_owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"))
     held = materialise(by_owner.groupBy("_hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"), F.sum("n").alias("copies")), "secret-owners")
     live = (F.col("owners") <= most_owners) & (F.col("repos") <= most_repos)
-    judged = hits.join(held, "_hash").withColumn("_live", live).where(F.col("_live") | (F.col("_s.rank") < len(BASE)))
+    judged = hits.join(held, "_hash").withColumn("_live", live)
     span = F.struct(
         F.col("_s.start").alias("start"), F.col("_s.rank").alias("rank"), F.col("_s.end").alias("end"), F.col("_s.kind").alias("kind"),
         F.col("_s.value").alias("value"), F.when(F.col("_live"), "live").otherwise("example").alias("verdict"), "owners", "repos",

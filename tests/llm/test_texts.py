@@ -187,6 +187,13 @@ def test_secrets_against_regex_and_owners(spark):
     assert hashlib.sha256(b"").hexdigest()
 
 
+def test_secrets_copied_by_a_crawl_stay_live_and_examples_are_kept(spark):
+    forge, example = "ghp_" + "Ab1" * 12, "ghp_" + "Cd2" * 12
+    rows = [(i, f"use {forge} now", "en", f"s{i}") for i in range(2)] + [(10 + i, f"use {example} now", "en", f"s{i}") for i in range(9)]
+    of = {r["doc_id"]: [(s["kind"], s["verdict"], s["owners"]) for s in r["spans"] if s["kind"] == "github"] for r in secrets.scan_secrets(spark.createDataFrame(rows, DOCS)).collect()}
+    assert of == {i: [("github", "live", 2)] for i in range(2)} | {10 + i: [("github", "example", 9)] for i in range(9)}
+
+
 def grams(text, k=5):
     w = re.findall(r"[0-9a-z_\u0080-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
