@@ -10,6 +10,7 @@ from ..functions import scalars
 from ..functions import time as ft
 from ..operators import buckets, joins, metrics, models, reports, splits, windows
 from ..streaming import streams
+from ..session import shared_dir
 from . import views as v
 from .registry import query
 
@@ -511,8 +512,7 @@ def l09_fold_summary(spark, sf):
 
 def _streamed(spark, sf, name, make):
     """Run a streaming query over the events as a file stream into Parquet and read it back."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
-    path = f"{shared}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = v.load(spark, sf, "events").schema
     # a file stream takes a folder; the glob leaves the other tables out
     e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)

@@ -11,6 +11,7 @@ from ..functions import scalars
 from ..operators import buckets, joins, merge, windows
 from ..operators import query as q
 from ..sources import ingest, io
+from ..session import shared_dir
 from . import views as v
 from .registry import query
 
@@ -34,8 +35,7 @@ def slice_feature_frame(spark, sf):
 @query(f"{W} SELECT CAST(strftime(timestamp, '%Y') AS INTEGER) AS year, CAST(strftime(timestamp, '%m') AS INTEGER) AS month, CAST(strftime(timestamp, '%d') AS INTEGER) AS day, count(*) AS n, sum(seq)::BIGINT AS total FROM readings GROUP BY ALL")
 def s01_s02_partitioned_store(spark, sf):
     """Write by day and scan again with the partition columns."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
-    path = f"{shared}/raw-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/raw-{uuid.uuid4().hex}"
     io.save_by_day(base(spark, sf), path)
     return io.scan_raw(spark, path).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("total"))
 
