@@ -1,25 +1,28 @@
-"""What the operators of this subpackage share: tables, row hashes, gapless ranks and intermediate tables."""
+"""What the operators of this subpackage share: tables, row hashes, gapless ranks, spread joins and intermediate tables."""
 
 from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import shared_dir
+
+#: Rows of a slice that one task ranks, about.
+ROWS_A_SLICE = 1_000_000
+#: Low bits of ``monotonically_increasing_id``: the place of a row in its partition.
+PLACE_BITS = 33
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the given folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one under the warehouse where the session names none."""
-    own = spark.conf.get("spark.checkpoint.dir", None)
-    return own or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
@@ -37,6 +40,15 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return docs.toDF(*own.values()), own
 
 
+def with_rows(docs: DataFrame, stored: bool) -> DataFrame:
+    """The frame with ``_row``, a number for every row, repeated rows too.
+
+    The number is the partition and the place in it. It has to be the same whenever the frame is computed: where ``stored`` says
+    that the frame reads files as they are, it is; any other frame is written first.
+    """
+    return (docs if stored else materialise(docs, "rows")).withColumn("_row", F.monotonically_increasing_id())
+
+
 def width(spark: SparkSession) -> int:
     """The number of partitions that the session's owner has set for shuffles."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -54,28 +66,38 @@ def uniform(*cols: Column, seed: int) -> Column:
     return F.shiftrightunsigned(bits, 11).cast("double") / float(1 << 53)
 
 
-def ranked(df: DataFrame, group: list[str], order: str, buckets: int, out: str, ties: list[str]) -> DataFrame:
-    """Gapless rank from 0 within each group, by a uniform ``order`` in [0, 1) and then by ``ties``.
+def ranked(df: DataFrame, cell: Column, groups: list[int], order: list[str], out: str) -> DataFrame:
+    """Gapless rank from 0 within each group, by unique ``order``.
 
-    A group is split into ``buckets`` slices of the order, each ranked in its own task; the sizes
-    of the slices (groups x buckets rows) give every slice its offset, so a group that holds a
-    third of all rows is still spread out.
+    A group is split into cells, numbered through all groups, that follow each other in the order; ``groups`` names the group of each cell, in turn. A cell is one
+    task, so a group that holds a third of all rows is spread out. The driver sees a count a cell; the rows move once,
+    to the task that their cell's number names.
+    """
+    spark = df.sparkSession
+    celled = df.withColumn("_cell", cell.cast("int"))
+    count = np.zeros(len(groups), dtype=np.int64)
+    for r in celled.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect():
+        count[r["_cell"]] = r["n"]
+    before = np.cumsum(count) - count
+    first = np.concatenate([[True], np.diff(groups) != 0])
+    before -= before[np.maximum.accumulate(np.where(first, np.arange(len(groups)), 0))]
+    offsets = spark.createDataFrame(pa.table({"_of": pa.array(np.arange(len(groups)), pa.int32()), "_before": pa.array(before, pa.int64())}))
+    placed = celled.repartitionById(len(groups), F.col("_cell")).withColumn("_rank", F.row_number().over(Window.partitionBy("_cell").orderBy(*order)) - 1)
+    # two numbers a cell
+    return placed.join(F.broadcast(offsets), F.col("_cell") == F.col("_of")).withColumn(out, (F.col("_before") + F.col("_rank")).cast("long")).drop("_cell", "_of", "_before", "_rank")
+
+
+def spread_join(rows: DataFrame, facts: DataFrame, key: str, count: str, by: str, most: int = 50_000) -> DataFrame:
+    """Inner join of many rows with one fact a key, where some keys may have a large part of all rows.
+
+    ``count`` of the facts tells how many rows a key has. A key of more than ``most`` rows, and more than one in 10,000 of all, is dealt
+    into parts of so many by a hash of the column ``by``; there are 10,000 such keys at most, whose numbers of parts are broadcast.
     """
-    sliced = df.withColumn("_slice", F.least(F.floor(F.col(order) * buckets), F.lit(buckets - 1)).cast("int"))
-    sizes = sliced.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *(F.col(g).alias(f"_g{i}") for i, g in enumerate(group)),
-        F.col("_slice").alias("_s"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-    )
-    local = Window.partitionBy(*group, "_slice").orderBy(order, *ties)
-    placed = sliced.withColumn("_rank", F.row_number().over(local) - 1)
-    same = F.col("_slice") == F.col("_s")
-    for i, g in enumerate(group):
-        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
-    return (
-        placed.join(offsets, same, "left")
-        .withColumn(out, (F.col("_before") + F.col("_rank")).cast("long"))
-        .drop("_slice", "_s", "_before", "_rank", *(f"_g{i}" for i in range(len(group))))
-    )
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    most = max(most, -(-total // 10_000))
+    parts = F.ceil(F.col(count) / most).cast("int")
+    hot = facts.where(F.col(count) > most).select(F.col(key).alias("_hot"), parts.alias("_parts"))
+    salted = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    salted = salted.withColumn("_salt", F.when(F.col("_parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(F.col(by), F.lit(7)), F.col("_parts"))).cast("int")).drop("_hot", "_parts")
+    copied = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), parts) - 1)))
+    return salted.join(copied, [key, "_salt"]).drop("_salt")

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import table, width
+from .common import materialise, numbered, table, width, with_rows
 
-#: Characters of a text that splitters hold.
-PREFIX = 24
+#: Characters of a text that splitters hold; rows of one text that a cell holds at least; cells of hot texts at most, about.
+PREFIX, CELL_ROWS, HOT_CELLS = 64, 256, 10_000
 
 
 def exact_dedup(
@@ -21,73 +21,61 @@ def exact_dedup(
     normalise: Callable[[Column], Column] | None = None,
     keep: str = "min",
     partitions: int | None = None,
+    cell_rows: int = CELL_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Group rows of equal normalised text and mark the one that stays.
 
-    Sampled splitters (those of ``repartitionByRange``) deal the rows by the first characters of the text, then its digest,
-    which stands for the rest so that splitters stay short whatever the texts are, then the identifier; so
-    a text that a third of the rows share is cut into many ranges; each range is sorted, every
-    row is compared in full with its neighbour, and runs of equal rows are counted. A run can go
-    on over the edges of a range, so the first and last run of every range (two rows a range) are
-    joined with those of the same text elsewhere. No text ever gathers in one task.
+    Sampled splitters (those of ``repartitionByRange``) deal the rows by the first characters of the normalised text, then a hash that
+    stands for the rest, so that splitters stay short whatever the texts are, then a cell: a text that many rows share is split into
+    cells of about ``cell_rows`` rows, or a share of 1 in 5,000 of all rows if that is more, by the number of the row. Each range is sorted externally by
+    these and the whole text, so that equal texts are neighbours, and each row is compared with its neighbour in full.
+    Rows move once; the windows keep to the ranges. The cells of a hot text (one row each, with its whole text) are
+    then added up; hot cells have a proven bound, about ``HOT_CELLS``, and what they found is broadcast to their rows. No text gathers in one task.
 
     Returns one row per input row: id, keep_id, group_size, kept, text_sha256. Null text counts as
     empty. A row with a null identifier stays only where its group has no other. Of rows equal in text and identifier exactly one is
-    kept. Other columns of ``docs`` are not read; an empty table gives an empty result.
+    kept. Other columns of ``docs`` are not read; an empty table gives an empty result. ``stored`` says that ``docs`` reads files as they are;
+    any other frame is written first.
     """
     if keep not in ("min", "max"):
         raise ValueError("keep is min or max")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("_id"), (normalise(text) if normalise else text).alias("_t"))
-    rows = rows.withColumns({"_head": F.substring("_t", 1, PREFIX), "_sha": F.sha2(F.col("_t"), 256)})
-    # the row that stays is the last of its run
-    by_id = (F.col("_id").asc_nulls_first() if keep == "max" else F.col("_id").desc_nulls_first(),)
-    dealt = rows.repartitionByRange(partitions or width(docs.sparkSession), "_head", "_sha", *by_id).withColumn("_p", F.spark_partition_id())
-    line = Window.partitionBy("_p").orderBy("_head", "_sha", "_t", *by_id)
-    fresh = F.when(F.lag("_t").over(line) == F.col("_t"), 0).otherwise(1)
-    runs = (
-        dealt.withColumn("_new", fresh)
-        .withColumn("_at", F.row_number().over(line))
-        .select("_id", "_p", "_at", "_new", "_sha")
-        .withColumn("_run", F.sum("_new").over(Window.partitionBy("_p").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    whole = Window.partitionBy("_p", "_run")
-    edge = Window.partitionBy("_p")
-    sized = runs.select(
-        "_id", "_p", "_run", "_sha", "_at",
-        F.count(F.lit(1)).over(whole).alias("_n"),
-        F.max("_at").over(whole).alias("_last"),
-        F.max("_run").over(edge).alias("_runs"),
-    )
-    heads = sized.where(F.col("_at") == F.col("_last"))
-    touching = (F.col("_run") == 1) | (F.col("_run") == F.col("_runs"))
-    ends = heads.where(touching).select("_p", "_run", "_sha", "_n", F.struct("_p", F.struct("_id").alias("_k")).alias("_best"))
-    # _p rises with (text, id): the run of the last range holds the row that stays
-    spread = ends.groupBy("_sha").agg(F.sum("_n").alias("_total"), F.max("_best").alias("_best"), F.count(F.lit(1)).alias("_parts")).where("_parts > 1")
-    rest = F.struct("_total", "_best")
-    edges = (
-        ends.drop("_best").join(spread, "_sha").groupBy(F.col("_p").alias("_q"))
-        .agg(F.max(F.when(F.col("_run") == 1, rest)).alias("_first"), F.max(F.when(F.col("_run") != 1, rest)).alias("_final"))
-    )
-    line = Window.partitionBy("_p", "_run").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # one row of edges for a range: the rows stay where they are
-    joined = (
-        sized.withColumn("_stay", F.last(F.struct("_id")).over(line))
-        .join(edges, F.col("_p") == F.col("_q"), "left")
-        .withColumn("_wide", F.when(F.col("_run") == 1, F.col("_first")).when(F.col("_run") == F.col("_runs"), F.col("_final")))
+    plain, own = numbered(docs.select(id_col, text_col))
+    text = F.coalesce(F.col("c1"), F.lit(""))
+    rows = with_rows(plain, stored).select(F.col("c0").alias("_id"), "_row", (normalise(text) if normalise else text).alias("_t"))
+    rows = rows.withColumn("_x", F.xxhash64("_t"))
+    counts = rows.groupBy("_x").agg(F.count(F.lit(1)).alias("_n"))
+    total = rows.count()
+    most = max(cell_rows, -(-2 * total // HOT_CELLS))
+    hot = counts.where(F.col("_n") > most).select(F.col("_x").alias("_hot"), F.ceil(F.col("_n") / most).cast("int").alias("_cells"))
+    celled = rows.join(F.broadcast(hot), F.col("_x") == F.col("_hot"), "left")  # HOT_CELLS / 2 rows at most
+    celled = celled.withColumn("_cell", F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_cells")), F.lit(0)).cast("int")).withColumn("_head", F.substring("_t", 1, PREFIX)).drop("_hot")
+    dealt = celled.repartitionByRange(partitions or width(docs.sparkSession), "_head", "_x", "_cell")
+
+    # the row that stays is the first of its cell
+    first = (F.col("_id").desc_nulls_last() if keep == "max" else F.col("_id").asc_nulls_last(), F.col("_row"))
+    line = Window.partitionBy("_head", "_x", "_cell", "_t").orderBy(*first)
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    best = F.struct(F.col("_id"), F.col("_row"))
+    sized = dealt.withColumns({"_at": F.row_number().over(line), "_n": F.count(F.lit(1)).over(whole), "_best": F.first(best).over(whole)})
+    # one text a hot cell, else numbers and the digest: the sorted ranges are read twice, but sorted once
+    sized = materialise(sized.select("_id", "_row", "_cells", "_n", "_best", F.sha2("_t", 256).alias("_sha"), F.when(F.col("_cells").isNotNull() & (F.col("_at") == 1), F.col("_t")).alias("_t")), "runs")
+    place = F.struct(F.col("_best._id").isNull() if keep == "min" else F.col("_best._id").isNotNull(), F.col("_best._id").alias("_id"))
+    found = sized.where("_t IS NOT NULL").groupBy("_t", "_sha").agg(
+        F.sum("_n").alias("_total"), (F.min_by if keep == "min" else F.max_by)("_best", F.struct(place, (F.col("_best._row") if keep == "min" else -F.col("_best._row")))).alias("_stay")
     )
+    # a row a hot text, without the text; equal hashes of unlike texts differ in the digest
+    wide = found.select(F.col("_sha").alias("_of"), "_total", "_stay")
+    joined = sized.drop("_t").join(F.broadcast(wide), (F.col("_sha") == F.col("_of")) & F.col("_cells").isNotNull(), "left")
+    stay = F.coalesce("_stay", "_best")
     return joined.select(
-        F.col("_id").alias(id_col),
-        F.when(F.col("_wide").isNull(), F.col("_stay._id")).otherwise(F.col("_wide._best._k._id")).alias("keep_id"),
-        F.coalesce(F.col("_wide._total"), F.col("_n")).cast("long").alias("group_size"),
-        ((F.col("_at") == F.col("_last")) & (F.col("_wide").isNull() | (F.col("_wide._best._p") == F.col("_p")))).alias("kept"),
-        F.col("_sha").alias("text_sha256"),
+        F.col("_id").alias(id_col), stay["_id"].alias("keep_id"), F.coalesce("_total", "_n").cast("long").alias("group_size"), (F.col("_row") == stay["_row"]).alias("kept"), F.col("_sha").alias("text_sha256")
     )
 
 
 def op9_content_sort_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: equal texts keep the row with the largest identifier."""
-    return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
+    return exact_dedup(table(spark, sf_dir, "documents"), keep="max", stored=True)
 
 
 OP9_SQL = """

@@ -3,68 +3,72 @@
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import numbered, ranked, table, uniform, width
+from .common import ROWS_A_SLICE, numbered, ranked, table, uniform, width, with_rows
 
-BLOCK_ROWS, PERIOD, MOST_SOURCES = 16, 2048, 1000
+#: Least rows of a block, and most blocks of a mix, about: beyond, blocks grow, so that the schedule of all blocks has a bounded size.
+BLOCK_ROWS, MOST_BLOCKS = 16, 1 << 20
+#: Weights count in whole parts, the largest having so many.
+PARTS = 1 << 40
 
 
-def shares(weights: list[float], period: int) -> list[int]:
-    """Whole shares of a period, one at least, by largest remainder."""
-    total = sum(weights)
-    exact = [w / total * (period - len(weights)) for w in weights]
-    out = [int(x) + 1 for x in exact]
-    for i in sorted(range(len(weights)), key=lambda i: (int(exact[i]) - exact[i], i))[: period - sum(out)]:
-        out[i] += 1
-    return out
-
-
-def pfair_period(share: list[int]) -> list[int]:
-    """Which source has each slot of a period of ``sum(share)`` slots.
+def edf(share: list[int]) -> Iterator[tuple[int, int, int]]:
+    """The source, release and deadline of each slot in turn, without end, for whole shares.
 
-    Block j (from 0) of a source with share a is released at floor(j Q / a) and due by
-    ceil((j+1) Q / a); each slot goes to the released block that is due first. Every block runs within its
-    window, so after any slot a source is less than one block from its share, and the next period starts even.
+    Block j (from 0) of a source with share a of a total q is released at floor(j q / a) and due by
+    ceil((j+1) q / a); each slot goes to the released block that is due first. Every block runs within its
+    window, so after any slot a source is less than one block from its share.
     """
     q = sum(share)
-    due = lambda i, j: -(-(j + 1) * q // share[i])
     waiting = [(0, i, 0) for i in range(len(share))]  # release, source, block
-    ready: list[tuple[int, int, int]] = []
-    out = []
-    for t in range(q):
+    ready: list[tuple[int, int, int, int]] = []  # deadline, source, block, release
+    t = 0
+    while True:
         while waiting and waiting[0][0] <= t:
-            _, i, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (due(i, j), i, j))
-        _, i, j = heapq.heappop(ready)
-        out.append(i)
-        if j + 1 < share[i]:
-            heapq.heappush(waiting, ((j + 1) * q // share[i], i, j + 1))
-    return out
+            release, i, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(j + 1) * q // share[i]), i, j, release))
+        due, i, j, release = heapq.heappop(ready)
+        yield i, release, due
+        heapq.heappush(waiting, ((j + 1) * q // share[i], i, j + 1))
+        t += 1
 
 
-def plan(blocks: list[int], weights: list[float], period: int = PERIOD) -> list[list[tuple[int, int, int, int, list[int]]]]:
-    """For each source its phases: first block, first slot, share, period, slots within a period.
+def pfair_period(share: list[int]) -> list[int]:
+    """Which source has each slot of a period of ``sum(share)`` slots; at its end every source has had its share."""
+    return [i for i, _, _ in islice(edf(share), sum(share))]
 
-    A phase ends when a source runs out; those left share the slots by their weights. It costs
-    sources x period steps at most for each of as many phases as there are sources, however many rows there are.
+
+def schedule(blocks: list[int], weights: list[float]) -> list[tuple[list[int], list[int], list[int], list[float]]]:
+    """Slots, releases, deadlines and shares of the blocks of every source.
+
+    A phase ends with the slot in which a source runs out; those left begin a new one by their weights. Sources of weight 0 come
+    when all others have run out, and share alike. No period repeats: the schedule is of all blocks by weights exact to a part in 2^40, so
+    no error adds up.
     """
-    out: list[list[tuple[int, int, int, int, list[int]]]] = [[] for _ in blocks]
-    done, slot = [0] * len(blocks), 0
-    while on := [i for i, n in enumerate(blocks) if done[i] < n]:
-        q = max(period, 2 * len(on))
-        share = shares([weights[i] for i in on], q)
-        places: list[list[int]] = [[] for _ in on]
-        for t, x in enumerate(pfair_period(share)):
-            places[x].append(t)
-        last = [(blocks[i] - done[i] - 1) // share[x] * q + places[x][(blocks[i] - done[i] - 1) % share[x]] for x, i in enumerate(on)]
-        end = min(last) + 1
-        for x, i in enumerate(on):
-            out[i].append((done[i], slot, share[x], q, places[x]))
-            done[i] += end // q * share[x] + sum(p < end % q for p in places[x])
-        slot += end
+    if any(not math.isfinite(w) or w < 0 for w in weights):
+        raise ValueError("weights are finite and not negative")
+    out: list[tuple[list[int], list[int], list[int], list[float]]] = [([], [], [], []) for _ in blocks]
+    slot = 0
+    while on := [i for i, n in enumerate(blocks) if len(out[i][0]) < n]:
+        on = [i for i in on if weights[i] > 0] or on
+        top = max(weights[i] for i in on) or 1.0
+        share = [max(1, round(weights[i] / top * PARTS)) for i in on]
+        total, begin = sum(share), slot
+        for x, release, due in edf(share):
+            i = on[x]
+            for column, value in zip(out[i], (slot, begin + release, begin + due, share[x] / total), strict=True):
+                column.append(value)
+            slot += 1
+            if len(out[i][0]) == blocks[i]:
+                break
     return out
 
 
@@ -75,71 +79,77 @@ def mix_sources(
     id_col: str = "doc_id",
     source_col: str = "source",
     block_rows: int = BLOCK_ROWS,
-    period: int = PERIOD,
+    most_blocks: int = MOST_BLOCKS,
     seed: int = 23,
+    stored: bool = False,
 ) -> DataFrame:
     """Add to every row its place in a mix that keeps to the target weights.
 
     ``weights`` maps sources to target weights; without it they are the row counts to the power
-    ``temperature``; a source not named has the least weight named. Rows of a source are put in a random order and cut into blocks of
-    ``block_rows``. Blocks are scheduled by earliest deadline within Pfair windows: while no
+    ``temperature``; a source not named has the least weight named; weights may not be negative. Rows of a source are put in a random order and cut into blocks of
+    ``block_rows``, or more where that would make over ``most_blocks`` blocks. Blocks are scheduled by earliest deadline within Pfair windows: while no
     source has run out, each has had its share of the slots up to less than one block; then the
-    others share by their weights. Weights are rounded to whole shares of ``period`` slots, whose
-    order repeats, so the driver holds a table of sources and periods and every row finds its slot by itself.
+    others share by their weights. The driver holds a number a source and the slots of all blocks, ``most_blocks`` and one a source at most;
+    every row finds its slot by itself.
 
     Adds mix_block, mix_release, mix_deadline, mix_slot, mix_share (of slots, in its phase) and
     mix_position (gapless from 0). No row is dropped or repeated. A null source is a source; null ids and repeated rows
-    are rows like others; columns of these names are replaced; an empty table gives an empty result.
-    More than 1000 sources raise an error.
+    are rows like others, drawn by their place; columns of these names are replaced; an empty table gives an empty result. ``stored`` says that ``docs`` reads
+    files as they are; any other frame is written first.
     """
     spark = docs.sparkSession
     added = ["mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_share", "mix_position"]
-    sizes = sorted(((r["_source"], r["n"]) for r in docs.groupBy(F.col(source_col).alias("_source")).agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()), key=lambda x: (x[0] is None, str(x[0])))
-    if len(sizes) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources: map them to fewer first")
+    plain, own = numbered(docs)
+    plain = with_rows(plain, stored)
+    source = F.col(own[source_col])
+    sizes = sorted(((r["_source"], r["n"]) for r in plain.groupBy(source.alias("_source")).agg(F.count(F.lit(1)).alias("n")).collect()), key=lambda x: (x[0] is None, str(x[0])))
+    total = sum(n for _, n in sizes)
+    block_rows = max(block_rows, -(-total // most_blocks))
+    blocks = [-(-n // block_rows) for _, n in sizes]
     least = min(weights.values()) if weights else 0
-    target = [weights.get(s, least) if weights else n**temperature for s, n in sizes]
-    phases = plan([-(-n // block_rows) for _, n in sizes], target, period)
-    ends = []
-    for (_, n), turns in zip(sizes, phases, strict=True):
-        first, slot, share, q, places = turns[-1]
-        j = -(-n // block_rows) - 1 - first
-        ends.append((slot + j // share * q + places[j % share], -n % block_rows))
-    short = [e for e in ends if e[1]]
-    rows = [(s, turns, short) for (s, _), turns in zip(sizes, phases, strict=True)]
+    plan = schedule(blocks, [weights.get(s, least) if weights else n**temperature for s, n in sizes])
+
+    rows_of = np.zeros(sum(blocks), dtype=np.int64)  # rows of each slot
+    for (_, n), (slots, *_rest) in zip(sizes, plan, strict=True):
+        rows_of[slots] = block_rows
+        rows_of[slots[-1]] -= -n % block_rows
+    start = np.cumsum(rows_of) - rows_of
+    each = max(1, min(ROWS_A_SLICE, -(-total // width(spark))))
+    slices = [-(-n // each) for _, n in sizes]
+    base = np.cumsum([0, *slices])[:-1].tolist() if sizes else []
     kind = docs.schema[source_col].dataType.simpleString()
-    table_ = spark.createDataFrame(rows, f"_of {kind}, _phases array<struct<first:long,slot:long,share:long,period:long,places:array<long>>>, _short array<struct<slot:long,missing:long>>")
-    plain, own = numbered(docs)
-    base = plain.withColumn("_order", uniform(F.col(own[id_col]), seed=seed))
-    placed = ranked(base, [own[source_col]], "_order", max(1, width(spark)), "_index", [own[id_col]])
-    block = F.floor(F.col("_index") / block_rows).cast("long")
-    j = F.col("mix_block") - F.col("_phase.first")
-    joined = (
-        placed.join(F.broadcast(table_), F.col(own[source_col]).eqNullSafe(F.col("_of")))  # sources x sources x period integers at most
-        .withColumn("mix_block", block)
-        .withColumn("_phase", F.element_at(F.filter("_phases", lambda p: p["first"] <= F.col("mix_block")), -1))
-        .withColumn("mix_slot", F.col("_phase.slot") + F.floor(j / F.col("_phase.share")) * F.col("_phase.period") + F.get(F.col("_phase.places"), (j % F.col("_phase.share")).cast("int")))
-    )
-    missing = F.aggregate("_short", F.lit(0).cast("long"), lambda n, e: n + F.when(e["slot"] < F.col("mix_slot"), e["missing"]).otherwise(F.lit(0).cast("long")))
-    return joined.select(
+    cells = spark.createDataFrame([(s, k, base[k], slices[k]) for k, (s, _) in enumerate(sizes)], f"_of {kind}, _k int, _base int, _slices int")
+    column = lambda x, of: pa.ListArray.from_arrays(pa.array(np.cumsum([0, *blocks]), pa.int32()), pa.array(np.concatenate([*(np.asarray(p[x]) for p in plan), np.zeros(0)]), of))
+    arrays = {"_key": pa.array(np.arange(len(sizes)), pa.int32()), "_slot": column(0, pa.int64()), "_release": column(1, pa.int64()), "_due": column(2, pa.int64()), "_share": column(3, pa.float64())}
+    starts = pa.ListArray.from_arrays(arrays["_slot"].offsets, pa.array(start[arrays["_slot"].values.to_numpy()] if len(start) else start, pa.int64()))
+    places = spark.createDataFrame(pa.table(arrays | {"_start": starts}))
+
+    sliced = plain.withColumn("_order", uniform(F.col("_row"), seed=seed)).join(F.broadcast(cells), source.eqNullSafe(F.col("_of")))  # a row a source
+    cell = F.col("_base") + F.least(F.floor(F.col("_order") * F.col("_slices")), F.col("_slices") - 1)
+    groups = [k for k, n in enumerate(slices) for _ in range(n)] or [0]
+    placed = ranked(sliced.withColumn("_cell", cell).drop("_of", "_base", "_slices"), F.col("_cell"), groups, ["_order", "_row"], "_index")
+    block = F.floor(F.col("_index") / block_rows).cast("int")
+    of = lambda c: F.get(F.col(c), block)
+    # five numbers a block
+    return placed.join(F.broadcast(places), F.col("_k") == F.col("_key")).select(
         *(F.col(c).alias(name) for name, c in own.items() if name not in added),
-        "mix_block",
-        (F.col("_phase.slot") + F.floor(j * F.col("_phase.period") / F.col("_phase.share"))).cast("long").alias("mix_release"),
-        (F.col("_phase.slot") + F.ceil((j + 1) * F.col("_phase.period") / F.col("_phase.share"))).cast("long").alias("mix_deadline"),
-        F.col("mix_slot").cast("long").alias("mix_slot"),
-        (F.col("_phase.share") / F.col("_phase.period")).alias("mix_share"),
-        (F.col("mix_slot") * block_rows + F.col("_index") % block_rows - missing).cast("long").alias("mix_position"),
+        block.cast("long").alias("mix_block"), of("_release").alias("mix_release"), of("_due").alias("mix_deadline"), of("_slot").alias("mix_slot"), of("_share").alias("mix_share"),
+        (of("_start") + F.col("_index") % block_rows).cast("long").alias("mix_position"),
     )
 
 
 def in_mixed_order(docs: DataFrame, **options) -> DataFrame:
-    """The rows in the order of :func:`mix_sources`: partition after partition, row after row."""
+    """The rows in the order of :func:`mix_sources`: partition after partition, row after row; so a table written from it keeps the mix in the order of its files."""
     mixed = mix_sources(docs, **options)
-    ordered = mixed.repartitionByRange(width(docs.sparkSession), "mix_position").sortWithinPartitions("mix_position")
-    return ordered.select(*(F.col(f"`{c}`") for c in docs.columns if c in mixed.columns))
+    plain, own = numbered(mixed)
+    parts = width(docs.sparkSession)
+    total = docs.count()
+    part = F.floor(F.col(own["mix_position"]) * parts / max(total, 1)).cast("int")
+    ordered = plain.withColumn("_part", part).repartitionById(parts, F.col("_part")).sortWithinPartitions(own["mix_position"])
+    return ordered.select(*(F.col(own[c]).alias(c) for c in docs.columns if c in own))
 
 
 def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every document in a mix of the sources by the square root of their size."""
-    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    mixed = mix_sources(table(spark, sf_dir, "documents"), stored=True)
     return mixed.select("doc_id", "source", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_share", "mix_position")
