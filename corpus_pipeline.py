@@ -31,13 +31,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put all documents in the order of the mix; none is dropped or repeated."""
-    return in_mixed_order(docs)
+    """Put all documents in the order of the mix; none is dropped or repeated. The order is that of the files it is written to."""
+    return in_mixed_order(docs, stored=True)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deal all documents into shards of equal counts in a uniform random order."""
-    return shard(docs)
+    """Deal all documents into shards of equal counts: each is a uniform sample of the mix, in the order of the mix."""
+    return shard(docs, in_order=True, stored=True)
 
 
 STAGES = [
