@@ -9,6 +9,8 @@ import pytest
 
 import corpus_pipeline
 from sensorframe.llm.common import materialise, table
+from sensorframe.llm.mixing import mix_sources
+from sensorframe.llm.sharding import with_place
 from tests.llm.test_near_dup import classes, shingles
 
 SF = "/root/testdata/sf0.001"
@@ -36,6 +38,15 @@ def test_stages(spark):
             assert set(after) == set(before)
         if name != "sharding":
             assert docs.columns == columns
+        if name == "mixing":
+            mixed = [r["doc_id"] for r in with_place(docs).orderBy("_place").collect()]
+            places = {r["doc_id"]: r["mix_position"] for r in mix_sources(table_before, stored=True).collect()}
+            assert mixed == sorted(places, key=places.get) and mixed != sorted(mixed)
+        table_before = docs
+    place = {i: n for n, i in enumerate(mixed)}
+    for s in range(24):  # the mix decides the order of every shard
+        own = sorted((r["slot"], place[r["doc_id"]]) for r in rows if r["shard"] == s)
+        assert [x for x, _ in own] == list(range(len(own))) and [p for _, p in own] == sorted(p for _, p in own)
     sizes = Counter(r["shard"] for r in rows)
     assert max(sizes.values()) - min(sizes.values()) <= 1
     assert kept[0] > kept[1] > kept[2] > kept[3] == kept[4] == kept[5]
