@@ -18,6 +18,9 @@ WORD = ((_bytes >= 48) & (_bytes <= 57)) | ((_bytes >= 65) & (_bytes <= 90)) | (
 SOLID = ~((_bytes == 32) | ((_bytes >= 9) & (_bytes <= 13)))
 _BASE = 0x100000001B3
 _POWERS = np.array([pow(_BASE, i, 1 << 64) for i in range(1024)], dtype=np.uint64)
+#: Powers for every 1,024 and every 1,048,576 bytes of a long word.
+_KILO = np.array([pow(_BASE, i << 10, 1 << 64) for i in range(1024)], dtype=np.uint64)
+_MEGA = np.array([pow(_BASE, i << 20, 1 << 64) for i in range(2048)], dtype=np.uint64)
 _MIX = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
@@ -66,6 +69,9 @@ def words(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray = WORD) -> tu
     first = np.cumsum(length) - length
     at = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
     terms = (LOWER[data[is_word]].astype(np.uint64) + np.uint64(1)) * _POWERS[at & 1023]
+    if length.max() > 1024:
+        far = np.flatnonzero(at >= 1024)
+        terms[far] *= _KILO[(at[far] >> 10) & 1023] * _MEGA[at[far] >> 20]
     code = mix(np.add.reduceat(terms, first) + length.astype(np.uint64) * _MIX[1])
     return code, np.searchsorted(offsets, start, side="right") - 1, start, end
 

@@ -42,6 +42,14 @@ def test_words_against_regex():
     assert len(set(one.values())) == len(one)
 
 
+def test_long_words_hash_by_every_byte():
+    fill = "x" * 1023
+    texts = ["b" + fill + "c" + fill, "c" + fill + "b" + fill, "b" + "x" * ((1 << 20) - 1) + "c", "c" + "x" * ((1 << 20) - 1) + "b", "y" * 5000, "y" * 5001]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    codes = np.concatenate([textnp.words(data, offsets)[0] for _, _, data, offsets in textnp.chunks(batch, "t")])
+    assert len(codes) == len(texts) == len(set(codes.tolist()))
+
+
 @pytest.fixture(scope="module")
 def labelled():
     rng = random.Random(7)
@@ -194,6 +202,33 @@ def test_secrets_copied_by_a_crawl_stay_live_and_examples_are_kept(spark):
     assert of == {i: [("github", "live", 2)] for i in range(2)} | {10 + i: [("github", "example", 9)] for i in range(9)}
 
 
+def test_secret_kinds_of_any_length(spark):
+    t = lambda n: "aB3_" * (n // 4)
+    cases = {
+        "github": "x gho_" + "Ab1" * 200, "slack": "xoxb-123456789012-abc", "google": "AIza" + "Sy0-_" * 7, "jwt": "eyJ" + "a" * 500 + "." + "b" * 20 + "." + "c" * 900,
+        "pem": "-----BEGIN RSA PRIVATE KEY-----\n" + "MIIE\n" * 300 + "-----END RSA PRIVATE KEY-----", "url": "redis://" + "u" * 300 + ":" + "p" * 400 + "@host", "mixed": "A" + "b" * 500 + "7",
+    }
+    rows = [(i, f"words é {text} end", "en", "s") for i, text in enumerate(cases.values())]
+    rows += [(90, "http://:abc@h 1http://u:pw3@h", "en", "s"), (91, t(400000), "en", "s"), (92, "z" * 300000 + "://" * 9 + "-----BEGIN " * 2000, "en", "s"), (93, "eyJ" + "z" * 200000, "en", "s")]
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan_secrets(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, (kind, text) in enumerate(cases.items()):
+        at = 8 + (2 if kind == "github" else len("redis") if kind == "url" else 0)
+        end = 8 + (text.index("@") + 1 if kind == "url" else text.index("-----END") if kind == "pem" else len(text))
+        found = [s for s in out[i] if s["kind"] == kind]
+        assert [(s["start"], s["end"]) for s in found] == [(at, end)], kind
+        assert len(found[0]["hash"]) == 64 and "value" not in found[0].asDict()
+    assert [s["kind"] for s in out[90]] == ["url", "url"] and [(s["kind"], s["start"], s["end"]) for s in out[91]] == [("mixed", 0, 400000)] and out[92] == out[93] == []
+
+
+def test_a_secret_of_most_rows(spark, monkeypatch):
+    monkeypatch.setattr(secrets.spread_join, "__defaults__", (20,))
+    rows = [(i, "password=everyone123 " + (f"token=own{i:05d}" if i % 3 == 0 else ""), "en", f"s{i % 7}") for i in range(300)]
+    out = secrets.scan_secrets(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
+    assert sorted(r["doc_id"] for r in out) == list(range(300))
+    for r in out:
+        assert [s["verdict"] for s in r["spans"]] == ["example", *["live"] * (r["doc_id"] % 3 == 0)] and r["spans"][0]["owners"] == 7
+
+
 def grams(text, k=5):
     w = re.findall(r"[0-9a-z_\u0080-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
