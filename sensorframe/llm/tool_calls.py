@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Iterator
 
@@ -24,47 +25,79 @@ TOOLS = {
 
 
 def canonical(value: object) -> str:
-    """JSON with sorted keys and without spaces; characters beyond ASCII as they are unless UTF-8 cannot hold them."""
-    out = json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
-    return json.dumps(value, sort_keys=True, separators=(",", ":")) if re.search("[\ud800-\udfff]", out) else out
+    """JSON with sorted keys and without spaces; characters beyond ASCII as they are unless UTF-8 cannot hold them. A number that JSON cannot hold is an error."""
+    out = json.dumps(value, sort_keys=True, ensure_ascii=False, separators=(",", ":"), allow_nan=False)
+    return json.dumps(value, sort_keys=True, separators=(",", ":"), allow_nan=False) if re.search("[\ud800-\udfff]", out) else out
+
+
+def _finite(text: str) -> float:
+    number = float(text)
+    if not math.isfinite(number):
+        raise ValueError(f"{text} is beyond the range of numbers")
+    return number
+
+
+def parsed(text: str) -> object:
+    """A JSON value; NaN, infinities and numbers beyond the range of doubles are no JSON."""
+    return json.loads(text, parse_constant=_finite, parse_float=_finite)
+
+
+def _is(value: object, kind: str) -> bool:
+    return isinstance(value, KINDS[kind]) and not (isinstance(value, bool) and kind in ("integer", "number"))
 
 
 def violations(value: object, schema: dict, at: str = "arguments") -> list[str]:
-    """What a value breaks of a schema: type, enum, bounds, lengths, items, properties, required, additionalProperties."""
-    kind = schema.get("type")
-    if kind and (not isinstance(value, KINDS[kind]) or isinstance(value, bool) and kind in ("integer", "number")):
-        return [f"{at}: not of type {kind}"]
-    out = []
-    if "enum" in schema and value not in schema["enum"]:
-        out.append(f"{at}: not one of the values")
-    if isinstance(value, (int, float)) and not isinstance(value, bool):
-        out += [f"{at}: under {schema['minimum']}"] if value < schema.get("minimum", value) else []
-        out += [f"{at}: over {schema['maximum']}"] if value > schema.get("maximum", value) else []
-    if isinstance(value, str):
-        out += [f"{at}: shorter than {schema['minLength']}"] if len(value) < schema.get("minLength", 0) else []
-        out += [f"{at}: longer than {schema['maxLength']}"] if len(value) > schema.get("maxLength", len(value)) else []
-    if isinstance(value, list) and "items" in schema:
-        out += [x for i, v in enumerate(value) for x in violations(v, schema["items"], f"{at}[{i}]")]
-    if isinstance(value, dict):
-        known = schema.get("properties", {})
-        out += [f"{at}.{k}: missing" for k in schema.get("required", []) if k not in value]
-        for k in sorted(value):
-            if k in known:
-                out += violations(value[k], known[k], f"{at}.{k}")
-            elif schema.get("additionalProperties", True) is False:
-                out.append(f"{at}.{k}: unknown")
+    """What a value breaks of a schema: type (one or several), enum, bounds, lengths, items, properties, required, additionalProperties.
+
+    In the order of a walk that goes down before it goes on. Types that JSON Schema does not name are not asked for.
+    """
+    out: list[str] = []
+    left: list[tuple[object, dict | None, str]] = [(value, schema, at)]
+    while left:
+        value, schema, at = left.pop()
+        if schema is None:
+            out.append(at)
+            continue
+        kind = schema.get("type")
+        kinds = [k for k in ([kind] if isinstance(kind, str) else kind or []) if k in KINDS]
+        if kinds and not any(_is(value, k) for k in kinds):
+            out.append(f"{at}: not of type {' or '.join(kinds)}")
+            continue
+        if "enum" in schema and value not in schema["enum"]:
+            out.append(f"{at}: not one of the values")
+        if isinstance(value, (int, float)) and not isinstance(value, bool):
+            out += [f"{at}: under {schema['minimum']}"] if value < schema.get("minimum", value) else []
+            out += [f"{at}: over {schema['maximum']}"] if value > schema.get("maximum", value) else []
+        if isinstance(value, str):
+            out += [f"{at}: shorter than {schema['minLength']}"] if len(value) < schema.get("minLength", 0) else []
+            out += [f"{at}: longer than {schema['maxLength']}"] if len(value) > schema.get("maxLength", len(value)) else []
+        below: list[tuple[object, dict | None, str]] = []
+        if isinstance(value, list) and "items" in schema:
+            below += [(v, schema["items"], f"{at}[{i}]") for i, v in enumerate(value)]
+        if isinstance(value, dict):
+            known = schema.get("properties", {})
+            out += [f"{at}.{k}: missing" for k in schema.get("required", []) if k not in value]
+            for k in sorted(value):
+                if k in known:
+                    below.append((value[k], known[k], f"{at}.{k}"))
+                elif schema.get("additionalProperties", True) is False:
+                    below.append((None, None, f"{at}.{k}: unknown"))
+        left += reversed(below)
     return out
 
 
-def _references(value: object) -> Iterator[str]:
-    """Identifiers in {"$ref": id} anywhere in the arguments."""
-    if isinstance(value, dict):
-        if isinstance(value.get("$ref"), str):
-            yield value["$ref"]
-        value = list(value.values())
-    if isinstance(value, list):
-        for v in value:
-            yield from _references(v)
+def _references(value: object) -> set[str]:
+    """Identifiers in {"$ref": id} anywhere in the arguments, however deep."""
+    found, left = set(), [value]
+    while left:
+        value = left.pop()
+        if isinstance(value, dict):
+            if isinstance(value.get("$ref"), str):
+                found.add(value["$ref"])
+            left += value.values()
+        elif isinstance(value, list):
+            left += value
+    return found
 
 
 def _events(role: str | None, text: str | None, tools: dict) -> Iterator[tuple[str, str | None, str | None, list[str], list[str], str]]:
@@ -72,26 +105,27 @@ def _events(role: str | None, text: str | None, tools: dict) -> Iterator[tuple[s
     if role == "assistant":
         for m in CALL.finditer(text or ""):
             try:
-                call = json.loads(m[1])
-                name, own = call.get("name"), call.get("id")
+                call = parsed(m[1])
+                name, own, arguments = call.get("name"), call.get("id"), call.get("arguments", {})
+                errors = violations(arguments, tools[name]) if isinstance(name, str) and name in tools else ["unknown tool"]
+                name = name if isinstance(name, str) else None
+                made = canonical({"arguments": arguments, "id": own, "name": name})
             except (ValueError, AttributeError, RecursionError):
                 yield "call", None, None, [], ["not a JSON object"], canonical(m[1])
                 continue
-            arguments = call.get("arguments", {})
-            errors = violations(arguments, tools[name]) if isinstance(name, str) and name in tools else ["unknown tool"]
             if not isinstance(own, str):
                 errors.insert(0, "no identifier")
-            name = name if isinstance(name, str) else None
-            yield "call", own if isinstance(own, str) else None, name, sorted(set(_references(arguments))), errors, canonical({"arguments": arguments, "id": own, "name": name})
+            yield "call", own if isinstance(own, str) else None, name, sorted(_references(arguments)), errors, made
     elif role == "tool":
         try:
-            got = json.loads(text or "")
+            got = parsed(text or "")
             own = got.get("tool_call_id")
+            made = canonical({"content": got.get("content"), "tool_call_id": own})
         except (ValueError, AttributeError, RecursionError):
             yield "result", None, None, [], ["not a JSON object"], canonical(text or "")
             return
         ok = isinstance(own, str)
-        yield "result", own if ok else None, None, [], [] if ok else ["no identifier"], canonical({"content": got.get("content"), "tool_call_id": own})
+        yield "result", own if ok else None, None, [], [] if ok else ["no identifier"], made
 
 
 def extract_events(messages: DataFrame, tools: dict) -> DataFrame:
@@ -170,7 +204,7 @@ def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
     Returns one row per event: conv_id, turn, seq, kind, call_id, name, ready_turn, ready_seq, wait, level, call_turn, call_seq, other_turn (of the
     result or the call), status, errors, json (canonical). Status of a call: duplicate (not the first of its identifier), cycle,
     invalid (breaks its schema, refers to an unknown call, or cannot be read), unanswered or linked; of a result: duplicate, orphan or
-    linked. Other roles, null roles and texts give no events; a null conversation is a conversation; a null turn comes
+    linked. JSON nested deeper than Python's parser goes (some thousands of levels) or with numbers beyond doubles counts as no JSON object. Other roles, null roles and texts give no events; a null conversation is a conversation; a null turn comes
     first; rows that repeat give duplicates; other columns are not read; an empty table gives an empty result.
     """
     events = materialise(extract_events(messages, tools).withColumn("_event", F.monotonically_increasing_id()), "events")
@@ -209,47 +243,58 @@ def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
 
 
 def as_tool_messages(conversations: DataFrame) -> DataFrame:
-    """Conversations in the form of tool use: each user's turn is a call that refers to the user's turn two before, each answer its result."""
-    own = F.concat(F.lit("c"), "conv_id", F.lit("-"), "turn")
-    before = F.concat(F.lit("c"), "conv_id", F.lit("-"), F.col("turn") - 2)
+    """Conversations in the form of tool use: each user's turn is a call, each answer its result.
+
+    Pairs of turns are counted in threes. A call refers to the one two turns before; of each three the second also refers ahead, to the
+    call two turns after, and the third to the first instead, four turns before, so that no call needs itself.
+    """
+    of = lambda by: F.concat(F.lit("c"), "conv_id", F.lit("-"), F.col("turn") + by)
+    third = F.floor(F.col("turn") / 2) % 3
+    back = F.when(third == 2, of(-4)).when(F.col("turn") >= 2, of(-2))
+    refs = F.array_compact(F.array(back, F.when(third == 1, of(2))))
     arguments = F.struct(
-        F.when(F.col("turn") >= 2, F.array(F.struct(before.alias("$ref")))).alias("after"), F.col("turn").alias("turn"), F.col("text").alias("query")
+        F.when(F.size(refs) > 0, F.transform(refs, lambda r: F.struct(r.alias("$ref")))).alias("after"), F.col("turn").alias("turn"), F.col("text").alias("query")
     )
     name = F.when(F.col("turn") % 4 < 2, "search").otherwise("lookup")
-    call = F.concat(F.lit("<tool_call>"), F.to_json(F.struct(name.alias("name"), own.alias("id"), arguments.alias("arguments"))), F.lit("</tool_call>"))
-    answered = F.concat(F.lit("c"), "conv_id", F.lit("-"), F.col("turn") - 1)
-    result = F.to_json(F.struct(F.col("text").alias("content"), answered.alias("tool_call_id")))
+    call = F.concat(F.lit("<tool_call>"), F.to_json(F.struct(name.alias("name"), of(0).alias("id"), arguments.alias("arguments"))), F.lit("</tool_call>"))
+    result = F.to_json(F.struct(F.col("text").alias("content"), of(-1).alias("tool_call_id")))
     text = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result)
     role = F.when(F.col("role") == "user", "assistant").when(F.col("role") == "assistant", "tool").otherwise(F.col("role"))
     return conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))
 
 
 def op10_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calls and results of all conversations in the form of tool use; the SQL has no level."""
-    return link_tool_calls(as_tool_messages(table(spark, sf_dir, "conversations")), TOOLS).drop("level")
+    """Calls and results of all conversations in the form of tool use, with the level and place of each in the order of references."""
+    return link_tool_calls(as_tool_messages(table(spark, sf_dir, "conversations")), TOOLS)
 
 
 OP10_SQL = """
-WITH c AS (
+WITH RECURSIVE c AS (
   SELECT conv_id, turn, text, 'c' || conv_id || '-' || turn AS call_id, CASE WHEN turn % 4 < 2 THEN 'search' ELSE 'lookup' END AS name,
-         CASE WHEN turn >= 2 THEN 'c' || conv_id || '-' || (turn - 2) END AS ref
+         CASE WHEN turn // 2 % 3 = 2 THEN 'c' || conv_id || '-' || (turn - 4) WHEN turn >= 2 THEN 'c' || conv_id || '-' || (turn - 2) END AS back,
+         CASE WHEN turn // 2 % 3 = 1 THEN 'c' || conv_id || '-' || (turn + 2) END AS ahead
   FROM conversations WHERE role = 'user'),
 r AS (SELECT conv_id, turn, text, 'c' || conv_id || '-' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'),
-known AS (SELECT c.*, p.call_id IS NOT NULL AS has_ref FROM c LEFT JOIN c p ON p.conv_id = c.conv_id AND p.call_id = c.ref),
+known AS (SELECT c.*, b.call_id IS NOT NULL AS has_back, a.call_id IS NOT NULL AS has_ahead FROM c LEFT JOIN c b ON b.call_id = c.back LEFT JOIN c a ON a.call_id = c.ahead),
+edge AS (SELECT call_id, back AS needs FROM known WHERE has_back UNION ALL SELECT call_id, ahead FROM known WHERE has_ahead),
+walk AS (SELECT call_id, 0 AS level FROM known WHERE NOT has_back AND NOT has_ahead UNION ALL SELECT e.call_id, w.level + 1 FROM walk w JOIN edge e ON e.needs = w.call_id),
+depth AS (SELECT call_id, max(level) AS level FROM walk GROUP BY 1),
 e AS (
-  SELECT k.*, r.turn AS other,
+  SELECT k.*, r.turn AS other, d.level, CASE WHEN has_ahead THEN k.turn + 2 ELSE k.turn END AS ready_turn, CAST(has_ahead AS INTEGER) AS wait,
          concat_ws('; ', CASE WHEN length(k.text) < 1 THEN 'arguments.query: shorter than 1' END,
                    CASE WHEN name = 'lookup' AND length(k.text) > 160 THEN 'arguments.query: longer than 160' END,
-                   CASE WHEN ref IS NOT NULL AND NOT has_ref THEN 'unknown reference ' || ref END) AS errors
-  FROM known k LEFT JOIN r USING (conv_id, call_id))
-SELECT conv_id, turn, 0 AS seq, 'call' AS kind, call_id, name, turn AS ready_turn, 0 AS ready_seq, 0 AS wait, turn AS call_turn, 0 AS call_seq, other AS other_turn,
+                   array_to_string(list_sort(list_filter([CASE WHEN back IS NOT NULL AND NOT has_back THEN 'unknown reference ' || back END,
+                                                          CASE WHEN ahead IS NOT NULL AND NOT has_ahead THEN 'unknown reference ' || ahead END], lambda x: x IS NOT NULL)), '; ')) AS found
+  FROM known k LEFT JOIN r USING (conv_id, call_id) JOIN depth d ON d.call_id = k.call_id),
+o AS (SELECT *, regexp_replace(found, '; $', '') AS errors FROM e)
+SELECT conv_id, turn, 0 AS seq, 'call' AS kind, call_id, name, ready_turn, 0 AS ready_seq, wait, level, turn AS call_turn, 0 AS call_seq, other AS other_turn,
        CASE WHEN errors <> '' THEN 'invalid' WHEN other IS NULL THEN 'unanswered' ELSE 'linked' END AS status, errors,
-       '{"arguments":{' || CASE WHEN ref IS NOT NULL THEN '"after":[{"$ref":"' || ref || '"}],' ELSE '' END || '"query":' || CAST(to_json(text) AS VARCHAR)
-         || ',"turn":' || turn || '},"id":"' || call_id || '","name":"' || name || '"}' AS json
-FROM e
+       '{"arguments":{' || CASE WHEN back IS NOT NULL OR ahead IS NOT NULL THEN '"after":[' || concat_ws(',', '{"$ref":"' || back || '"}', '{"$ref":"' || ahead || '"}') || '],' ELSE '' END
+         || '"query":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '},"id":"' || call_id || '","name":"' || name || '"}' AS json
+FROM o
 UNION ALL
-SELECT r.conv_id, r.turn, 0, 'result', r.call_id, NULL, e.turn, CASE WHEN e.turn IS NOT NULL THEN 0 END, CASE WHEN e.turn IS NOT NULL THEN 0 END, e.turn, CASE WHEN e.turn IS NOT NULL THEN 0 END, e.turn,
-       CASE WHEN e.turn IS NULL THEN 'orphan' ELSE 'linked' END, '',
+SELECT r.conv_id, r.turn, 0, 'result', r.call_id, NULL, o.ready_turn, CASE WHEN o.turn IS NOT NULL THEN 0 END, o.wait, o.level, o.turn, CASE WHEN o.turn IS NOT NULL THEN 0 END, o.turn,
+       CASE WHEN o.turn IS NULL THEN 'orphan' ELSE 'linked' END, '',
        '{"content":' || CAST(to_json(r.text) AS VARCHAR) || ',"tool_call_id":"' || r.call_id || '"}'
-FROM r LEFT JOIN e ON e.conv_id = r.conv_id AND e.call_id = r.call_id
+FROM r LEFT JOIN o ON o.conv_id = r.conv_id AND o.call_id = r.call_id
 """

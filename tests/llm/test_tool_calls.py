@@ -80,6 +80,32 @@ def test_levels_and_waits_by_brute_force(spark):
     assert got == {key: want(*key) for key in refs} and got[9, 69][0] == 69
 
 
+def test_deep_odd_and_long_arguments(spark):
+    deep = "[" * 900 + "]" * 900
+    nest = lambda n: '<tool_call>{"name":"add","id":"d%d","arguments":{"x":%s}}</tool_call>' % (n, "[" * n + '{"$ref":"a"}' + "]" * n)
+    rows = [(1, 0, "assistant", call("a")), *((1, n, "assistant", nest(n)) for n in (900, 5000, 20000, 200000)), (1, 2, "tool", '{"tool_call_id":"a","content":%s}' % deep)]
+    rows += [(2, i, "assistant", f'<tool_call>{{"name":"add","id":"n{i}","arguments":{{"x":{x}}}}}</tool_call>') for i, x in enumerate(("NaN", "-Infinity", "1e999", "1e300", '"' + "y" * 3_000_000 + '"'))]
+    out = {(r["conv_id"], r["turn"]): r for r in linked(spark, rows)}
+    assert out[1, 900]["level"] == 1 and out[1, 900]["status"] == "unanswered" and out[1, 2]["status"] == "linked"
+    for n in (5000, 20000, 200000):  # read, or refused as a whole, but never a failure
+        assert out[1, n]["level"] == 1 or out[1, n]["errors"] == "not a JSON object"
+    assert [out[2, i]["errors"] for i in range(5)] == ["not a JSON object"] * 3 + ["", ""]
+    assert json.loads(out[2, 3]["json"])["arguments"]["x"] == 1e300 and len(out[2, 4]["json"]) > 3_000_000
+
+
+def test_types_of_a_schema():
+    kinds = {"type": ["string", "null"]}
+    assert tool_calls.violations(None, kinds) == [] == tool_calls.violations("a", kinds) == tool_calls.violations(3, {"type": "unheard of"})
+    assert tool_calls.violations(3, kinds) == ["arguments: not of type string or null"] and tool_calls.violations(True, {"type": "integer"}) == ["arguments: not of type integer"]
+
+
+def test_chain_of_a_thousand_steps(spark):
+    n = 1000
+    rows = [(1, 0, "assistant", "".join(call(f"k{i}", [f"k{i + 1}"] if i + 1 < n else []) for i in range(n)))]
+    out = {r["call_id"]: r for r in linked(spark, rows)}
+    assert all(out[f"k{i}"]["level"] == n - 1 - i and out[f"k{i}"]["ready_seq"] == n - 1 and out[f"k{i}"]["wait"] == n - 1 - i for i in range(n))
+
+
 def test_canonical_json():
     assert tool_calls.canonical({"b": [1, 2.5, None], "a": "é\n\""}) == '{"a":"é\\n\\"","b":[1,2.5,null]}'
     assert tool_calls.canonical("\ud800") == '"\\ud800"'
