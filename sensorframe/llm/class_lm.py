@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,23 +10,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import materialise, remainder, table
+from .common import materialise, remainder, table, width
 
-#: Least words that the driver clusters one by one, groups of words of like shape, least classes, words that workers hold.
-SINGLE, SHAPES, CLASSES, HEAD, SWEEPS, SMOOTHING = 512, 192, 48, 200_000, 12, 5.0
-#: Sweeps over all words in Spark; neighbours that a worker counts before it hands them on.
-WORD_SWEEPS, MOST_EVENTS = 2, 1_500_000
-END = textnp.mix(np.array([0xE0D], dtype=np.uint64))[0]
+#: Least words that the driver clusters one by one, groups of words of like shape (under 256), least classes, words that workers hold.
+SINGLE, SHAPES, CLASSES, HEAD, SWEEPS, SMOOTHING = 512, 192, 48, 1_000_000, 12, 5.0
+#: Sweeps over all words in Spark; events (tokens, neighbours) that a worker gathers before it hands them on; numbers that a task adds up at once.
+WORD_SWEEPS, MOST_EVENTS, DENSE = 2, 4_000_000, 4_000_000
+#: Ranks below are stored in two bytes. The number of the end among ranks.
+SHORT, END = 65_535, np.iinfo(np.int32).max
 
 
-def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, row and shape (by last byte and length) of every run of bytes that are not white space, A-Z in lower case."""
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code and row of every run of bytes that are not white space, A-Z in lower case. The code is a hash of 56 bits and the shape (by last byte and length)."""
     code, row, start, end = textnp.words(data, offsets, textnp.SOLID)
     if not len(code):
-        return code, row, np.zeros(0, dtype=np.int64)
+        return code, row
     length = np.searchsorted([4, 7, 10, 14], end - start, side="right").astype(np.uint64)
     last = textnp.LOWER[data[end - 1]].astype(np.uint64)
-    return code, row, (textnp.mix(last * np.uint64(8) + length) % np.uint64(SHAPES)).astype(np.int64)
+    return (code & ~np.uint64(255)) | (textnp.mix(last * np.uint64(8) + length) % np.uint64(SHAPES)), row
 
 
 def _lookup(code: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -89,37 +89,6 @@ def exchange_classes(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> n
     return cls
 
 
-@dataclass
-class ClassModel:
-    """What a worker needs to score: the frequent words, classes, and log10 probabilities."""
-
-    head: np.ndarray  # hashes in order
-    count: np.ndarray
-    single: np.ndarray  # hashes of the units of one word, in order
-    unit_cls: np.ndarray | None = None  # of the units that the driver clusters
-    head_cls: np.ndarray | None = None  # once all words have classes of their own
-    transition: np.ndarray | None = None
-    tokens: np.ndarray | None = None  # of each class
-    discount: np.ndarray | None = None  # of each class
-    shape_cls: np.ndarray | None = None  # of words unseen in training
-    shape_unseen: np.ndarray | None = None
-
-    def units(self, code: np.ndarray, shape: np.ndarray) -> np.ndarray:
-        at = _lookup(code, self.single)
-        return np.where(at >= 0, 1 + at, 1 + len(self.single) + shape)
-
-    def known(self, code: np.ndarray, shape: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place among the frequent words and class of every token, -1 where a worker does not know them."""
-        if self.head_cls is None:
-            return np.full(len(code), -1), self.unit_cls[self.units(code, shape)]
-        at = _lookup(code, self.head)
-        return at, np.where(at >= 0, self.head_cls[at] if len(self.head) else -1, -1)
-
-    def word(self, count: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        """log10 probability of a word that was seen in training within its class."""
-        return np.log10(np.maximum(count - self.discount[cls], 1e-9) / self.tokens[cls])
-
-
 def _pairs(value: np.ndarray, row: np.ndarray, rows: int, end: object) -> tuple[np.ndarray, np.ndarray]:
     """What stands before and after at each of all neighbouring places of the rows, their ends being ``end``."""
     before, last = np.full(len(value), end, dtype=value.dtype), np.full(rows, end, dtype=value.dtype)
@@ -130,23 +99,29 @@ def _pairs(value: np.ndarray, row: np.ndarray, rows: int, end: object) -> tuple[
 
 
 def _word_counts(texts: DataFrame) -> DataFrame:
-    """(code, shape, n) of every word of the corpus."""
+    """(code, n) of every word of the corpus."""
+
+    def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
+        u, n = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n, pa.int64())], ["code", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            parts = [tokens(data, offsets) for _, _, data, offsets in textnp.chunks(batch, "_t")]
-            if not parts:
-                continue
-            code, shape = np.concatenate([p[0] for p in parts]), np.concatenate([p[2] for p in parts])
-            u, first, n = np.unique(code, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(shape[first].astype(np.int32)), pa.array(n, pa.int64())], ["code", "shape", "n"])
+            for _, _, data, offsets in textnp.chunks(batch, "_t"):
+                parts.append(tokens(data, offsets)[0])
+                held += len(parts[-1])
+                if held >= MOST_EVENTS:
+                    yield counted(parts)
+                    parts, held = [], 0
+        if held:
+            yield counted(parts)
 
-    found = texts.mapInArrow(run, "code long, shape int, n long")
-    return found.groupBy("code").agg(F.min("shape").alias("shape"), F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def _frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The most frequent words, ``most`` at most: all of the highest bins of log counts that fit together, so no task sorts all words."""
+def _frequent(counts: DataFrame, most: int) -> Column:
+    """Which words are the most frequent, ``most`` at most: all of the highest bins of log counts that fit together, so no task sorts all words."""
     bin_ = F.floor(F.log2("n") * 64)
     left, least = most, None
     for r in sorted(counts.groupBy(bin_.alias("b")).agg(F.count(F.lit(1)).alias("v")).collect(), key=lambda r: -r["b"]):
@@ -154,145 +129,264 @@ def _frequent(counts: DataFrame, most: int) -> DataFrame:
         if left < 0:
             break
         least = r["b"]
-    return counts.where(F.lit(False) if least is None else bin_ >= least)
+    return F.lit(False) if least is None else bin_ >= least
+
+
+def _packed(values: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
+    """The values of each row as bytes."""
+    ends = (np.searchsorted(row, np.arange(rows + 1)) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(values.tobytes())])
 
 
-def _counted(texts: DataFrame, m: int, ids: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
-    """Counts of neighbouring numbers below ``m`` over the corpus, 0 being the end; pairs with a number below 0 are left out. Each task adds up its own matrix."""
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a column of bytes and the ends of its rows."""
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], dtype=np.uint8) if column.buffers()[2] else np.zeros(0, dtype=np.uint8)
+    return data[ends[0] : ends[-1]].view(kind), (ends - ends[0]) // np.dtype(kind).itemsize
+
+
+def _encoded(docs: DataFrame, code: np.ndarray) -> DataFrame:
+    """Each text as ranks of its words among ``code``, the frequent ones in turn: _lo (two bytes a token), _hi (four for ranks that do not fit), _rare (codes of words that are not frequent).
+
+    Texts are read once here; all that follows reads these numbers.
+    """
+    order = np.argsort(code)
+    held = docs.sparkSession.sparkContext.broadcast((code[order], order.astype(np.int32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(m * m, dtype=np.int64)
+        keys, ranks = held.value
         for batch in batches:
             for i, j, data, offsets in textnp.chunks(batch, "_t"):
-                code, row, shape = tokens(data, offsets)
-                a, b = _pairs(ids(code, shape), row, j - i, 0)
-                both = (a >= 0) & (b >= 0)
-                total += np.bincount(a[both] * m + b[both], minlength=m * m)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "n"])
+                code, row = tokens(data, offsets)
+                at = _lookup(code, keys)
+                rank = np.where(at >= 0, ranks[at] if len(ranks) else 0, -1 - (code & np.uint64(255)).astype(np.int32)).astype(np.int32)
+                near = (rank >= 0) & (rank < SHORT)
+                lo = np.where(near, rank, SHORT).astype(np.uint16)
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), _packed(lo, row, j - i), _packed(rank[~near], row[~near], j - i), _packed(code[rank < 0], row[rank < 0], j - i)], ["_id", "_train", "_lo", "_hi", "_rare"]
+                )
+
+    kind = docs.schema["_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"_id {kind}, _train boolean, _lo binary, _hi binary, _rare binary")
+
+
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, end row, ranks, rows, codes of the rare words) for pieces of a batch; the rank of a rare word is -1 less its shape."""
+    column = lambda name: batch.column(batch.schema.get_field_index(name))
+    (lo, ends), (hi, hi_ends), (rare, rare_ends) = _unpacked(column("_lo"), np.uint16), _unpacked(column("_hi"), np.int32), _unpacked(column("_rare"), np.uint64)
+    i = 0
+    while i < len(batch):
+        j = min(len(batch), max(i + 1, int(np.searchsorted(ends, ends[i] + (1 << 18), side="right")) - 1))
+        rank = lo[ends[i] : ends[j]].astype(np.int32)
+        rank[rank == SHORT] = hi[hi_ends[i] : hi_ends[j]]
+        yield i, j, rank, np.repeat(np.arange(j - i), np.diff(ends[i : j + 1])), rare[rare_ends[i] : rare_ends[j]]
+        i = j
 
-    rows = texts.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+
+def _sum_matrix(found: DataFrame, m: int) -> np.ndarray:
+    """The sum of (at, n) rows as an m x m matrix."""
+    rows = found.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(m * m, dtype=np.int64)
     out[rows.column("at").to_numpy()] = rows.column("n").to_numpy()
     return out.reshape(m, m)
 
 
-def _rare_pairs(texts: DataFrame, model: ClassModel) -> DataFrame:
-    """(a, b, ha, hb, n): neighbouring words of which workers do not hold both; ha and hb tell which they hold, the end being held."""
-    held = texts.sparkSession.sparkContext.broadcast(model.head)
+def _counted(train: DataFrame, m: int, of_rank: np.ndarray, of_shape: np.ndarray | None) -> np.ndarray:
+    """Counts of neighbouring numbers below ``m`` over the corpus, 0 being the end; each task adds up its own matrix.
+
+    Numbers come by rank, and for rare words by shape; without ``of_shape`` pairs with a rare word are left out.
+    """
+    held = train.sparkSession.sparkContext.broadcast((of_rank, of_shape))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_rank, of_shape = held.value
+        total = np.zeros(m * m, dtype=np.int64)
         for batch in batches:
-            for i, j, data, offsets in textnp.chunks(batch, "_t"):
-                code, row, _ = tokens(data, offsets)
-                a, b = _pairs(code, row, j - i, END)
-                ha, hb = _pairs(_lookup(code, held.value) >= 0, row, j - i, True)
-                at = np.flatnonzero(~(ha & hb))
-                yield pa.RecordBatch.from_arrays([pa.array(a[at].view(np.int64)), pa.array(b[at].view(np.int64)), pa.array(ha[at]), pa.array(hb[at])], ["a", "b", "ha", "hb"])
-
-    return texts.mapInArrow(run, "a long, b long, ha boolean, hb boolean").groupBy("a", "b", "ha", "hb").agg(F.count(F.lit(1)).alias("n"))
-
-
-def _class_pairs(texts: DataFrame, rare: DataFrame, words: DataFrame, model: ClassModel, classes: int) -> np.ndarray:
-    """Counts of neighbouring classes over the corpus, every word being in its own class."""
-    spark = texts.sparkSession
-    held = spark.sparkContext.broadcast(model)
-    g = _counted(texts, classes, lambda code, shape: held.value.known(code, shape)[1])
-    top = pa.table({"code": np.append(model.head, END).view(np.int64), "cls": np.append(model.head_cls, 0).astype(np.int32)})
-    of = {True: F.broadcast(spark.createDataFrame(top)), False: words.select("code", "cls")}  # as many rows as workers hold words; all words
-    for ha, hb in ((True, False), (False, True), (False, False)):
-        found = rare.where((F.col("ha") == ha) & (F.col("hb") == hb))
-        found = found.join(of[ha].toDF("a", "ca") if not ha else F.broadcast(of[ha].toDF("a", "ca")), "a")
-        found = found.join(of[hb].toDF("b", "cb") if not hb else F.broadcast(of[hb].toDF("b", "cb")), "b")
-        rows = found.groupBy("ca", "cb").agg(F.sum("n").alias("n")).toArrow()
-        np.add.at(g, (rows.column("ca").to_numpy(), rows.column("cb").to_numpy()), rows.column("n").to_numpy())
-    return g
-
-
-def _class_neighbours(texts: DataFrame, model: ClassModel, classes: int) -> DataFrame:
-    """(code, found): for every word the classes before it (k) and after it (classes + k) that workers know, each followed by its count."""
-    held = texts.sparkSession.sparkContext.broadcast(model)
-
-    def packed(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        code, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        at *= 2 * classes
-        at += np.concatenate([p[1] for p in parts])
-        event, n = np.unique(at, return_counts=True)
-        found = np.stack([event % (2 * classes), n], axis=1).astype(np.int32).ravel()
-        ends = pa.array((2 * np.searchsorted(event, np.arange(len(code) + 1) * (2 * classes))).astype(np.int32))
-        return pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), pa.ListArray.from_arrays(ends, pa.array(found))], ["code", "found"])
+            for i, j, rank, row, _ in _texts(batch):
+                a, b = _pairs(_numbers(rank, of_rank, of_shape), row, j - i, 0)
+                if of_shape is None:
+                    both = (a >= 0) & (b >= 0)
+                    a, b = a[both], b[both]
+                total += np.bincount(a * m + b, minlength=m * m)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "n"])
+
+    return _sum_matrix(train.mapInArrow(run, "at int, n long"), m)
+
+
+def _numbers(rank: np.ndarray, of_rank: np.ndarray, of_shape: np.ndarray | None) -> np.ndarray:
+    """The number of each token by its rank, or shape; -1 for rare words without."""
+    rare = np.flatnonzero(rank < 0)
+    out = of_rank[np.maximum(rank, 0)].astype(np.int64) if len(of_rank) else np.zeros(len(rank), dtype=np.int64)
+    out[rare] = -1 if of_shape is None else of_shape[-1 - rank[rare]]
+    return out
+
+
+def _rare_neighbours(train: DataFrame) -> DataFrame:
+    """(kind, a, b, n): rare words a with frequent words or ends b (ranks) before (kind 0) and after them (1), and rare words a before rare words b (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held_rows = [], 0
         for batch in batches:
-            for i, j, data, offsets in textnp.chunks(batch, "_t"):
-                code, row, shape = tokens(data, offsets)
-                (a, b), (ca, cb) = _pairs(code, row, j - i, END), _pairs(held.value.known(code, shape)[1], row, j - i, 0)
-                right, left = (a != END) & (cb >= 0), (b != END) & (ca >= 0)
-                parts.append((np.concatenate([a[right], b[left]]), np.concatenate([classes + cb[right], ca[left]]).astype(np.int32)))
-                held_rows += len(parts[-1][0])
-                if held_rows >= MOST_EVENTS:
-                    yield packed(parts)
-                    parts, held_rows = [], 0
-        if parts:
-            yield packed(parts)
+            for i, j, rank, row, rare in _texts(batch):
+                code = np.zeros(len(rank), dtype=np.uint64)
+                code[rank < 0] = rare
+                (a, b), (ca, cb) = _pairs(rank, row, j - i, END), _pairs(code, row, j - i, 0)
+                ra, rb = a < 0, b < 0
+                out = [(0, cb[rb & ~ra].view(np.int64), a[rb & ~ra]), (1, ca[ra & ~rb].view(np.int64), b[ra & ~rb]), (2, ca[ra & rb].view(np.int64), cb[ra & rb].view(np.int64))]
+                kind = np.concatenate([np.full(len(x), k, dtype=np.int32) for k, x, _ in out])
+                yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(np.concatenate([x for _, x, _ in out])), pa.array(np.concatenate([y.astype(np.int64) for _, _, y in out]))], ["kind", "a", "b"])
 
-    return texts.mapInArrow(run, "code long, found array<int>")
+    return train.mapInArrow(run, "kind int, a long, b long").groupBy("kind", "a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _sweep(texts: DataFrame, rare: DataFrame, words: DataFrame | None, model: ClassModel, g: np.ndarray) -> DataFrame:
-    """(code, cls): every word in the class where the counts of the classes before and after it are likeliest, by the class matrix.
+def _buckets(words: int, classes: int, least: int) -> int:
+    """How many tasks add up the class neighbours of the frequent words, so that none holds more than about :data:`DENSE` numbers."""
+    return max(least, -(-words * 2 * classes // DENSE))
 
-    That is the exchange of all words at once: to first order the likelihood of the class bigram model
-    grows most there. The words that the driver has clustered keep their classes.
-    """
-    classes = len(g)
-    found = _class_neighbours(texts, model, classes)
-    if words is not None:
-        own = words.select("code", "cls")
-        right = rare.where(~F.col("hb") & (F.col("a") != int(END.view(np.int64)))).join(own.toDF("b", "cls"), "b").select(F.col("a").alias("code"), (classes + F.col("cls")).alias("k"), "n")
-        left = rare.where(~F.col("ha") & (F.col("b") != int(END.view(np.int64)))).join(own.toDF("a", "cls"), "a").select(F.col("b").alias("code"), F.col("cls").alias("k"), "n")
-        more = right.union(left).groupBy("code", "k").agg(F.sum("n").cast("int").alias("n"))
-        found = found.union(more.select("code", F.array("k", "n")))
+
+def _flush(key: np.ndarray, n: np.ndarray | None, buckets: int, classes: int) -> pa.RecordBatch:
+    """(bucket, keys, counts) of (rank x 2 classes + event) keys: the bucket is the rank's remainder, the key within it of its quotient."""
+    if n is None:
+        key, n = np.unique(key, return_counts=True)
+    rank, event = np.divmod(key, 2 * classes)
+    bucket = rank % buckets
+    order = np.argsort(bucket, kind="stable")
+    local = ((rank // buckets) * (2 * classes) + event)[order].astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), _packed(local, bucket[order], buckets), _packed(n[order].astype(np.int64), bucket[order], buckets)], ["bucket", "keys", "counts"])
+
+
+def _frequent_events(train: DataFrame, cls: np.ndarray, of_shape: np.ndarray | None, classes: int, buckets: int) -> DataFrame:
+    """The classes before (k) and after (classes + k) every frequent word, as :func:`_flush` gives them."""
+    held = train.sparkSession.sparkContext.broadcast((cls, of_shape))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cls, of_shape = held.value
+        parts, size = [], 0
+        for batch in batches:
+            for i, j, rank, row, _ in _texts(batch):
+                (a, b), (ca, cb) = _pairs(rank, row, j - i, END), _pairs(_numbers(rank, cls, of_shape), row, j - i, 0)
+                right, left = (a >= 0) & (a != END) & (cb >= 0), (b >= 0) & (b != END) & (ca >= 0)
+                parts += [a[right].astype(np.int64) * (2 * classes) + classes + cb[right], b[left].astype(np.int64) * (2 * classes) + ca[left]]
+                size += len(parts[-1]) + len(parts[-2])
+                if size >= MOST_EVENTS:
+                    yield _flush(np.concatenate(parts), None, buckets, classes)
+                    parts, size = [], 0
+        if size:
+            yield _flush(np.concatenate(parts), None, buckets, classes)
+
+    return train.mapInArrow(run, "bucket int, keys binary, counts binary")
+
+
+def _scores_of(g: np.ndarray) -> np.ndarray:
+    """What a neighbour of each class before a word, and after it, adds to the log likelihood of each class for the word."""
     c = g.astype(np.float64)
     into, out = c.sum(axis=0), c.sum(axis=1)
-    share = lambda x: (x + 0.5) / (x.sum() + 0.5 * classes)
+    share = lambda x: (x + 0.5) / (x.sum() + 0.5 * len(c))
     left_of = np.log((c + SMOOTHING * share(out)[:, None]) / (into + SMOOTHING)[None, :])
     right_of = np.log((c + SMOOTHING * share(into)[None, :]) / (out + SMOOTHING)[:, None]).T
-    held = texts.sparkSession.sparkContext.broadcast((np.concatenate([left_of, right_of]).astype(np.float32), model.single, model.unit_cls))
+    weight = np.concatenate([left_of, right_of]).astype(np.float32)
+    weight[:, 0] = -np.inf  # the end's own class
+    return weight
+
+
+def _frequent_classes(events: DataFrame, g: np.ndarray, words: int, fixed: np.ndarray, buckets: int) -> np.ndarray:
+    """The class of every frequent word where its neighbours are likeliest; those of ``fixed``, the first, stay. Each task adds up the events of its own words."""
+    classes = len(g)
+    held = events.sparkSession.sparkContext.broadcast(_scores_of(g))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight, single, unit_cls = held.value
+        total, own = np.zeros((-(-words // buckets) + 1) * 2 * classes, dtype=np.float32), None
+        for batch in batches:
+            own = batch.column(0)[0].as_py() if len(batch) else own
+            np.add.at(total, _unpacked(batch.column(1), np.int64)[0], _unpacked(batch.column(2), np.int64)[0].astype(np.float32))
+        if own is None:
+            return
+        rank = own + buckets * np.arange(-(-words // buckets) + 1)
+        weight = np.maximum(held.value, np.float32(-1e30))
+        best = np.concatenate([(total.reshape(-1, 2 * classes)[x : x + 4096] @ weight)[:, 1:].argmax(axis=1) + 1 for x in range(0, len(rank), 4096)])
+        ok = rank < words
+        yield pa.RecordBatch.from_arrays([pa.array(rank[ok], pa.int32()), pa.array(best[ok], pa.int32())], ["rank", "cls"])
+
+    rows = events.repartitionById(buckets, F.col("bucket")).mapInArrow(run, "rank int, cls int").toArrow()
+    out = np.ones(words, dtype=np.int32)
+    out[rows.column("rank").to_numpy()] = rows.column("cls").to_numpy()
+    out[: len(fixed)] = fixed
+    return out
+
+
+def _rare_classes(events: DataFrame, g: np.ndarray) -> DataFrame:
+    """(code, cls) for (code, k, n) events of rare words: the class where they are likeliest."""
+    classes = len(g)
+    held = events.sparkSession.sparkContext.broadcast(np.maximum(_scores_of(g), np.float32(-1e30)))
 
-        def best(code: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
-            score[:, 0] = -np.inf
-            at = _lookup(code.view(np.uint64), single)
-            cls = np.where(at >= 0, unit_cls[1 + at], score.argmax(axis=1))
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(cls.astype(np.int32))], ["code", "cls"])
+    def best(code: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(code), pa.array((score[:, 1:].argmax(axis=1) + 1).astype(np.int32))], ["code", "cls"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = held.value
         open_code, open_score = np.zeros(0, dtype=np.int64), np.zeros((0, classes), dtype=np.float32)
         for batch in batches:
-            lists = batch.column(1)
-            length = lists.value_lengths().to_numpy() // 2
-            flat = lists.flatten().to_numpy().reshape(-1, 2)
-            for i in range(0, len(batch), 2048):
-                part = slice(i, min(i + 2048, len(batch)))
-                lo, hi = int(length[: part.start].sum()), int(length[: part.stop].sum())
-                code, at = np.unique(np.concatenate([open_code, batch.column(0).to_numpy()[part]]), return_inverse=True)
-                dense = np.bincount(np.repeat(at[len(open_code) :], length[part]) * (2 * classes) + flat[lo:hi, 0], flat[lo:hi, 1], len(code) * 2 * classes)
-                score = dense.reshape(len(code), 2 * classes).astype(np.float32) @ weight
+            code, k, n = (batch.column(c).to_numpy() for c in range(3))
+            for i in range(0, len(code), 8192):
+                part = slice(i, i + 8192)
+                own, at = np.unique(np.concatenate([open_code, code[part]]), return_inverse=True)
+                dense = np.bincount(at[len(open_code) :] * (2 * classes) + k[part], n[part], len(own) * 2 * classes)
+                score = dense.reshape(len(own), 2 * classes).astype(np.float32) @ weight
                 np.add.at(score, at[: len(open_code)], open_score)
-                # the last word may go on
-                last = np.flatnonzero(code == batch.column(0)[part.stop - 1].as_py())
-                done = np.ones(len(code), dtype=bool)
-                done[last] = False
+                done = own != code[part][-1]  # the last word may go on
                 if done.any():
-                    yield best(code[done], score[done])
-                open_code, open_score = code[last], score[last]
+                    yield best(own[done], score[done])
+                open_code, open_score = own[~done], score[~done]
         if len(open_code):
             yield best(open_code, open_score)
 
-    return found.repartition("code").sortWithinPartitions("code").mapInArrow(run, "code long, cls int")
+    return events.repartition("code").sortWithinPartitions("code").mapInArrow(run, "code long, cls int")
+
+
+def _known_side(one: DataFrame, cls: np.ndarray, classes: int) -> DataFrame:
+    """(code, k, n) of rare words from their frequent neighbours' classes."""
+    held = one.sparkSession.sparkContext.broadcast(cls)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, rank = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            k = np.where(rank == END, 0, held.value[np.where(rank == END, 0, rank)] if len(held.value) else 0) + kind * classes
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(k.astype(np.int32)), batch.column(3)], ["code", "k", "n"])
+
+    return one.select("kind", "a", "b", "n").mapInArrow(run, "code long, k int, n long").groupBy("code", "k").agg(F.sum("n").alias("n"))
+
+
+def _other_side(classed: DataFrame, classes: int, buckets: int) -> DataFrame:
+    """Events of frequent words from their rare neighbours' classes, as :func:`_flush` gives them; ``classed`` has kind, cls, b, n."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, cls, rank, n = (batch.column(c).to_numpy() for c in range(4))
+            at = np.flatnonzero(rank != END)
+            if len(at):  # a rare word after (1) its neighbour stands before for the rare one, and the reverse
+                yield _flush(rank[at] * (2 * classes) + (1 - kind[at]) * classes + cls[at], n[at], buckets, classes)
+
+    return classed.select("kind", "cls", "b", "n").mapInArrow(run, "bucket int, keys binary, counts binary")
+
+
+def _rare_pairs(classed: DataFrame, both: DataFrame, rare_words: DataFrame, cls: np.ndarray, classes: int) -> np.ndarray:
+    """Counts of neighbouring classes where at least one of the words is rare."""
+    held = classed.sparkSession.sparkContext.broadcast(cls)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes * classes, dtype=np.int64)
+        for batch in batches:
+            kind, own, rank, n = (batch.column(c).to_numpy() for c in range(4))
+            other = np.where(rank == END, 0, held.value[np.where(rank == END, 0, rank)] if len(held.value) else 0)
+            np.add.at(total, np.where(kind == 0, other * classes + own, own * classes + other), n)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["at", "n"])
+
+    found = classed.select("kind", "cls", "b", "n").mapInArrow(run, "at int, n long")
+    two = both.join(rare_words.toDF("a", "ca"), "a").join(rare_words.toDF("b", "cb"), "b")
+    return _sum_matrix(found.union(two.select((F.col("ca") * classes + F.col("cb")).cast("int"), "n")), classes)
 
 
 def class_lm_scores(
@@ -310,112 +404,125 @@ def class_lm_scores(
     Tokens are runs of bytes that are not white space, A-Z in lower case, and one end a text. All words of
     the training rows are counted. The ``single`` most frequent words and groups of the other words
     of like shape are the units that exchange clustering on the driver assigns to ``classes`` classes, by
-    the counts of all neighbouring units. From there ``word_sweeps`` sweeps in Spark put every other word into a class of its own choice, by the
-    counts of all classes before and after it. By default classes are twice the fourth root of the training tokens and single words four times
+    the counts of all neighbouring units. From there ``word_sweeps`` sweeps in Spark (one at least) put every other word into a class of its own choice, by the
+    counts of all classes before and after it; to first order that is the exchange of all words at once. By default classes are twice the fourth root of the training tokens and single words four times
     as many as classes, so both grow with the corpus (48 and 512 at least). A token's probability is that of its class after the
     class before (smoothed with the class's share), and of the word in the class: its count less an absolute discount, whose
     mass is that of words never seen in training. Those are in the class where most words of their shape that
-    were seen once are, as one symbol a shape. The base is
+    were seen once are, as one symbol a shape; a class's words and the symbols of its shapes add up to one. The base is
     an add-0.1 unigram model with one symbol for unseen words.
 
-    Workers hold the most frequent words, ``head`` at most; all others meet their counts in a join, so the
-    vocabulary may grow with the corpus. Returns one row per input row: id, n_tokens, n_known, train_tokens,
+    Texts are read twice, to count words and to write them as ranks; all else reads those. Workers hold the most frequent words, ``head`` at most; all others meet their counts and classes in joins, so the
+    vocabulary may grow with the corpus and ``head`` changes where words meet their classes, not the scores. Returns one row per input row: id, n_tokens, n_known, train_tokens,
     base_score, score, perplexity. Null texts are empty (one token, the end); null ids are returned;
     rows that repeat score alike; other columns are not read; an empty table gives an empty result. Without training
     rows the base is that of one unseen symbol and the score is uniform over classes.
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
-    text = F.coalesce(F.col(text_col), F.lit("")).alias("_t")
-    texts = docs.where(train).select(text)
-    counts = materialise(_word_counts(texts), "word-counts")
-    n_train = texts.count()
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(train, F.lit(False)).alias("_train"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
+    counts = materialise(_word_counts(rows.where("_train").select("_t")), "word-counts")
+    n_train = rows.where("_train").count()
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = n + n_train, v + (n_train > 0)
     classes = classes or max(CLASSES, round(2 * n**0.25))
-    single = single or max(SINGLE, 4 * classes)
-    top = _frequent(counts, head).toArrow()
+    frequent = _frequent(counts, head)
+    top = counts.where(frequent).toArrow()
     code, count = top.column("code").to_numpy().view(np.uint64), top.column("n").to_numpy()
-    order = np.argsort(code)
-    model = ClassModel(code[order], count[order], np.sort(code[np.lexsort((code, -count))[:single]]))
-    units = 1 + len(model.single) + SHAPES
-    held = spark.sparkContext.broadcast(model)
-    pairs = _counted(texts, units, lambda code, shape: held.value.units(code, shape))
-    model.unit_cls = exchange_classes(pairs, classes)
+    order = np.lexsort((code, -count))
+    code, count = code[order], count[order]
+    shape = (code & np.uint64(255)).astype(np.int64)
+    single = min(len(code), single or max(SINGLE, 4 * classes))
+    encoded = materialise(_encoded(rows, code), "ranks")
+    known = encoded.where("_train")
+
+    unit = np.where(np.arange(len(code)) < single, 1 + np.arange(len(code)), 1 + single + shape)
+    units = 1 + single + SHAPES
+    pairs = _counted(known, units, unit, 1 + single + np.arange(SHAPES))
+    unit_cls = exchange_classes(pairs, classes)
     g = np.zeros((classes, classes), dtype=np.int64)
-    np.add.at(g, (model.unit_cls[:, None].repeat(units, 1), model.unit_cls[None, :].repeat(units, 0)), pairs)
-    rare, words = materialise(_rare_pairs(texts, model), "rare-pairs"), None
-    for _ in range(word_sweeps):
-        words = materialise(counts.join(_sweep(texts, rare, words, model, g), "code"), "word-classes")
-        top = _frequent(words, head).toArrow()
-        order = np.argsort(top.column("code").to_numpy().view(np.uint64))
-        model.head_cls = top.column("cls").to_numpy()[order].astype(np.int64)
-        g = _class_pairs(texts, rare, words, model, classes)
+    np.add.at(g, (unit_cls[:, None].repeat(units, 1), unit_cls[None, :].repeat(units, 0)), pairs)
+    cls, of_shape = unit_cls[unit], unit_cls[1 + single :]
+    rare = materialise(_rare_neighbours(known), "rare-neighbours")
+    one, both = rare.where("kind < 2"), rare.where("kind = 2").select("a", "b", "n")
+    buckets = _buckets(len(code), classes, width(spark))
+    rare_words = classed = None
+    for _ in range(max(1, word_sweeps)):
+        events = _frequent_events(known, cls, of_shape if classed is None else None, classes, buckets)
+        of_rare = _known_side(one, cls, classes)
+        if classed is not None:
+            events = events.union(_other_side(classed, classes, buckets))
+            right = both.join(rare_words.toDF("b", "c"), "b").select(F.col("a").alias("code"), (classes + F.col("c")).alias("k"), "n")
+            left = both.join(rare_words.toDF("a", "c"), "a").select(F.col("b").alias("code"), F.col("c").alias("k"), "n")
+            of_rare = of_rare.union(right.union(left))
+        new = _frequent_classes(events, g, len(code), unit_cls[1 : 1 + single], buckets)
+        rare_words = materialise(_rare_classes(of_rare, g), "rare-classes")
+        cls = new
+        classed = materialise(one.join(rare_words.toDF("a", "cls"), "a").groupBy("kind", "cls", "b").agg(F.sum("n").alias("n")), "rare-classed")
+        g = _counted(known, classes, cls, None) + _rare_pairs(classed, both, rare_words, cls, classes)
 
     share = g.sum(axis=0)
     prior = (share + 0.5) / (share.sum() + 0.5 * classes)
-    model.transition = np.log10((g + SMOOTHING * prior[None, :]) / (g.sum(axis=1, keepdims=True) + SMOOTHING))
-    once = F.count_if(F.col("n") == 1)
-    stats = words.groupBy("shape", "cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), once.alias("n1"), F.count_if(F.col("n") == 2).alias("n2")).toArrow()
-    shape_of, cls_of = stats.column("shape").to_numpy(), stats.column("cls").to_numpy()
-    tokens_of, words_of, n1, n2 = (np.bincount(cls_of, stats.column(c).to_numpy(), classes) for c in ("n", "v", "n1", "n2"))
-    singly = np.zeros((SHAPES, classes))
-    np.add.at(singly, (shape_of, cls_of), stats.column("n1").to_numpy() + 1e-3 * stats.column("v").to_numpy())
-    model.shape_cls = np.where(singly.any(axis=1), singly.argmax(axis=1), model.unit_cls[1 + len(model.single) :])
+    transition = np.log10((g + SMOOTHING * prior[None, :]) / (g.sum(axis=1, keepdims=True) + SMOOTHING))
+    rare_counts = materialise(counts.where(~frequent).join(rare_words, "code"), "rare-words")
+    once = lambda c: F.count_if(F.col("n") == c)
+    stats = rare_counts.groupBy(F.col("code").bitwiseAND(255).alias("shape"), "cls").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), once(1).alias("n1"), once(2).alias("n2")).toArrow()
+    sums = {c: np.zeros((SHAPES, classes)) for c in ("n", "v", "n1", "n2")}
+    for c, total in sums.items():
+        np.add.at(total, (stats.column("shape").to_numpy(), stats.column("cls").to_numpy()), stats.column(c).to_numpy())
+        np.add.at(total, (shape, cls), {"n": count, "v": np.ones(len(count)), "n1": count == 1, "n2": count == 2}[c])
+    tokens_of, words_of, n1, n2 = (sums[c].sum(axis=0) for c in ("n", "v", "n1", "n2"))
+    singly = sums["n1"] + 1e-3 * sums["v"]
+    shape_cls = np.where(singly.any(axis=1), singly.argmax(axis=1), of_shape)
     weight = singly.sum(axis=1) + 0.5
-    some = np.bincount(model.shape_cls, weight, classes)  # classes that words unseen in training may have
-    model.tokens = np.maximum(tokens_of, 1)
-    model.discount = np.where(some > 0, np.clip((n1 + 0.5) / (n1 + 2 * n2 + 1), 0.1, 0.9), 0.0)
-    unseen = np.where(tokens_of > 0, np.maximum(model.discount * words_of, 1e-9) / model.tokens, 1.0)
-    model.shape_unseen = np.log10(unseen[model.shape_cls] * weight / some[model.shape_cls])
-    held = spark.sparkContext.broadcast(model)
+    some = np.bincount(shape_cls, weight, classes)  # classes that words unseen in training may have
+    size = np.maximum(tokens_of, 1)
+    discount = np.where(some > 0, np.clip((n1 + 0.5) / (n1 + 2 * n2 + 1), 0.1, 0.9), 0.0)
+    unseen = np.where(tokens_of > 0, np.maximum(discount * words_of, 1e-9) / size, 1.0)
+    shape_unseen = np.log10(unseen[shape_cls] * weight / some[shape_cls])
+    word = lambda count, cls: np.log10(np.maximum(count - discount[cls], 1e-9) / size[cls])
+    held = spark.sparkContext.broadcast((cls, word(count, cls), np.log10(count + 0.1), transition))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
+        cls, own, base, transition = held.value
         for batch in batches:
-            for i, j, data, offsets in textnp.chunks(batch, "_t"):
-                rows = j - i
-                code, row, shape = tokens(data, offsets)
-                at, cls = m.known(code, shape)
-                here = at >= 0
-                count = m.count[at[here]]
-                a, b = _pairs(cls, row, rows, 0)
+            for i, j, rank, row, code in _texts(batch):
+                total = j - i
+                number = _numbers(rank, cls, None)
+                here = rank >= 0
+                a, b = _pairs(number, row, total, 0)
                 both = (a >= 0) & (b >= 0)
-                score = np.bincount(np.concatenate([row, np.arange(rows)])[both], m.transition[a[both], b[both]], rows) + np.bincount(row[here], m.word(count, cls[here]), rows)
-                base = np.bincount(row[here], np.log10(count + 0.1), rows)
+                score = np.bincount(np.concatenate([row, np.arange(total)])[both], transition[a[both], b[both]], total) + np.bincount(row[here], own[rank[here]], total)
                 rare = np.flatnonzero(~here)
-                before, after = a[: len(code)], np.append(cls[1:], 0)
+                before, after = a[: len(rank)], np.append(number[1:], 0)
                 after[np.flatnonzero(np.append(row[1:] != row[:-1], True))[: len(after)]] = 0
-                ends = pa.array(np.searchsorted(row[rare], np.arange(rows + 1)).astype(np.int32))
+                ends = pa.array(np.searchsorted(row[rare], np.arange(total + 1)).astype(np.int32))
                 entry = pa.StructArray.from_arrays(
-                    [pa.array(rare.astype(np.int32)), pa.array(code[rare].view(np.int64)), *(pa.array(x[rare].astype(np.int32)) for x in (shape, before, after[: len(code)]))],
-                    ["at", "code", "shape", "before", "after"],
+                    [pa.array(rare.astype(np.int32)), pa.array(code.view(np.int64)), *(pa.array(x[rare].astype(np.int32)) for x in (before, after[: len(rank)]))], ["at", "code", "before", "after"]
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(i, rows), pa.array(np.bincount(row, minlength=rows) + 1, pa.int64()), pa.array(np.bincount(row[here], minlength=rows), pa.int64()),
-                        pa.array(base), pa.array(score), pa.ListArray.from_arrays(ends, entry),
+                        batch.column(0).slice(i, total), pa.array(np.bincount(row, minlength=total) + 1, pa.int64()), pa.array(np.bincount(row[here], minlength=total), pa.int64()),
+                        pa.array(np.bincount(row[here], base[rank[here]], total)), pa.array(score), pa.ListArray.from_arrays(ends, entry),
                     ],
                     [id_col, "n_tokens", "known", "base", "score", "rare"],
                 )
 
     def run_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, last = held.value, 0
+        last = 0
         for batch in batches:
-            row, shape, before, after, count, cls = (batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("_row", "shape", "before", "after", "n", "cls"))
-            seen = batch.column("n").is_valid().to_numpy(zero_copy_only=False)
-            cls = np.where(seen, cls, m.shape_cls[shape])
+            row, code, before, after, count, cls = (batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("_row", "code", "before", "after", "n", "cls"))
+            seen, shape = batch.column("n").is_valid().to_numpy(zero_copy_only=False), code & 255
+            cls = np.where(seen, cls, shape_cls[shape])
             before = np.where(before >= 0, before, np.append(last, cls[:-1])[: len(cls)])  # the one before is rare too
-            word = np.where(seen, m.word(count, cls), m.shape_unseen[shape])
-            score = word + m.transition[before, cls] + np.where(after >= 0, m.transition[cls, after], 0.0)
+            score = np.where(seen, word(count, cls), shape_unseen[shape]) + transition[before, cls] + np.where(after >= 0, transition[cls, after], 0.0)
             last = cls[-1] if len(cls) else last
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(seen.astype(np.int64)), pa.array(np.log10(count + 0.1)), pa.array(score)], ["_row", "_known", "_base", "_score"])
 
-    schema = f"`{id_col}` {kind}, n_tokens long, known long, base double, score double, rare array<struct<at:int,code:long,shape:int,before:int,after:int>>"
-    scored = docs.select(F.col(id_col), text).mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id())
-    scored = materialise(scored, "scored")
+    schema = f"`{id_col}` {kind}, n_tokens long, known long, base double, score double, rare array<struct<at:int,code:long,before:int,after:int>>"
+    scored = materialise(encoded.select("_id", "_lo", "_hi", "_rare").mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "scored")
     unheld = scored.select("_row", F.explode("rare").alias("_w")).select("_row", "_w.*")
-    met = unheld.join(words.select("code", "n", "cls"), "code", "left").select("_row", "at", "shape", "before", "after", "n", "cls")
+    met = unheld.join(rare_counts.select("code", "n", "cls"), "code", "left").select("_row", "at", "code", "before", "after", "n", "cls")
     met = met.repartition("_row").sortWithinPartitions("_row", "at").mapInArrow(run_rare, "_row long, _known long, _base double, _score double")
     more = met.groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("_known", "_base", "_score")))
     per_token = float(np.log10(n + 0.1 * (v + 1)))
