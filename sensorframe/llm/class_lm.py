@@ -16,6 +16,8 @@ from .common import materialise, remainder, table, width
 SINGLE, SHAPES, CLASSES, HEAD, SWEEPS, SMOOTHING = 512, 192, 48, 1_000_000, 12, 5.0
 #: Sweeps over all words in Spark; events (tokens, neighbours) that a worker gathers before it hands them on; numbers that a task adds up at once.
 WORD_SWEEPS, MOST_EVENTS, DENSE = 2, 4_000_000, 4_000_000
+#: What the class of its shape's group is ahead by for a word, in nats: words of few neighbours stay with their group unless those speak for another class.
+STAY = 4.0
 #: Ranks below are stored in two bytes. The number of the end among ranks.
 SHORT, END = 65_535, np.iinfo(np.int32).max
 
@@ -287,14 +289,20 @@ def _scores_of(g: np.ndarray) -> np.ndarray:
     left_of = np.log((c + SMOOTHING * share(out)[:, None]) / (into + SMOOTHING)[None, :])
     right_of = np.log((c + SMOOTHING * share(into)[None, :]) / (out + SMOOTHING)[:, None]).T
     weight = np.concatenate([left_of, right_of]).astype(np.float32)
-    weight[:, 0] = -np.inf  # the end's own class
     return weight
 
 
-def _frequent_classes(events: DataFrame, g: np.ndarray, words: int, fixed: np.ndarray, buckets: int) -> np.ndarray:
-    """The class of every frequent word where its neighbours are likeliest; those of ``fixed``, the first, stay. Each task adds up the events of its own words."""
-    classes = len(g)
-    held = events.sparkSession.sparkContext.broadcast(_scores_of(g))
+def _best(counts: np.ndarray, weight: np.ndarray, stay: np.ndarray) -> np.ndarray:
+    """The likeliest class of each row of neighbour counts; class 0 is the end's own."""
+    score = counts @ weight
+    score[np.arange(len(score)), stay] += STAY
+    return (score[:, 1:].argmax(axis=1) + 1).astype(np.int32)
+
+
+def _frequent_classes(events: DataFrame, g: np.ndarray, stay: np.ndarray, fixed: np.ndarray, buckets: int) -> np.ndarray:
+    """The class of every frequent word where its neighbours are likeliest, that of ``stay`` being ahead; those of ``fixed``, the first, do not move. Each task adds up the events of its own words."""
+    classes, words = len(g), len(stay)
+    held = events.sparkSession.sparkContext.broadcast((_scores_of(g), stay))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, own = np.zeros((-(-words // buckets) + 1) * 2 * classes, dtype=np.float32), None
@@ -304,10 +312,9 @@ def _frequent_classes(events: DataFrame, g: np.ndarray, words: int, fixed: np.nd
         if own is None:
             return
         rank = own + buckets * np.arange(-(-words // buckets) + 1)
-        weight = np.maximum(held.value, np.float32(-1e30))
-        best = np.concatenate([(total.reshape(-1, 2 * classes)[x : x + 4096] @ weight)[:, 1:].argmax(axis=1) + 1 for x in range(0, len(rank), 4096)])
-        ok = rank < words
-        yield pa.RecordBatch.from_arrays([pa.array(rank[ok], pa.int32()), pa.array(best[ok], pa.int32())], ["rank", "cls"])
+        rank = rank[rank < words]
+        best = [_best(total.reshape(-1, 2 * classes)[x : min(x + 4096, len(rank))], held.value[0], held.value[1][rank[x : x + 4096]]) for x in range(0, len(rank), 4096)]
+        yield pa.RecordBatch.from_arrays([pa.array(rank, pa.int32()), pa.array(np.concatenate([np.zeros(0, dtype=np.int32), *best]))], ["rank", "cls"])
 
     rows = events.repartitionById(buckets, F.col("bucket")).mapInArrow(run, "rank int, cls int").toArrow()
     out = np.ones(words, dtype=np.int32)
@@ -316,31 +323,30 @@ def _frequent_classes(events: DataFrame, g: np.ndarray, words: int, fixed: np.nd
     return out
 
 
-def _rare_classes(events: DataFrame, g: np.ndarray) -> DataFrame:
-    """(code, cls) for (code, k, n) events of rare words: the class where they are likeliest."""
+def _rare_classes(events: DataFrame, g: np.ndarray, of_shape: np.ndarray) -> DataFrame:
+    """(code, cls) for (code, k, n) events of rare words: the class where they are likeliest, that of the word's shape being ahead."""
     classes = len(g)
-    held = events.sparkSession.sparkContext.broadcast(np.maximum(_scores_of(g), np.float32(-1e30)))
+    held = events.sparkSession.sparkContext.broadcast((_scores_of(g), of_shape))
 
-    def best(code: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(code), pa.array((score[:, 1:].argmax(axis=1) + 1).astype(np.int32))], ["code", "cls"])
+    def best(code: np.ndarray, dense: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(code), pa.array(_best(dense, held.value[0], held.value[1][code & 255]))], ["code", "cls"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = held.value
-        open_code, open_score = np.zeros(0, dtype=np.int64), np.zeros((0, classes), dtype=np.float32)
+        open_code, open_counts = np.zeros(0, dtype=np.int64), np.zeros((0, 2 * classes), dtype=np.float32)
         for batch in batches:
             code, k, n = (batch.column(c).to_numpy() for c in range(3))
             for i in range(0, len(code), 8192):
                 part = slice(i, i + 8192)
                 own, at = np.unique(np.concatenate([open_code, code[part]]), return_inverse=True)
                 dense = np.bincount(at[len(open_code) :] * (2 * classes) + k[part], n[part], len(own) * 2 * classes)
-                score = dense.reshape(len(own), 2 * classes).astype(np.float32) @ weight
-                np.add.at(score, at[: len(open_code)], open_score)
+                dense = dense.reshape(len(own), 2 * classes).astype(np.float32)
+                np.add.at(dense, at[: len(open_code)], open_counts)
                 done = own != code[part][-1]  # the last word may go on
                 if done.any():
-                    yield best(own[done], score[done])
-                open_code, open_score = own[~done], score[~done]
+                    yield best(own[done], dense[done])
+                open_code, open_counts = own[~done], dense[~done]
         if len(open_code):
-            yield best(open_code, open_score)
+            yield best(open_code, open_counts)
 
     return events.repartition("code").sortWithinPartitions("code").mapInArrow(run, "code long, cls int")
 
@@ -455,8 +461,8 @@ def class_lm_scores(
             right = both.join(rare_words.toDF("b", "c"), "b").select(F.col("a").alias("code"), (classes + F.col("c")).alias("k"), "n")
             left = both.join(rare_words.toDF("a", "c"), "a").select(F.col("b").alias("code"), F.col("c").alias("k"), "n")
             of_rare = of_rare.union(right.union(left))
-        new = _frequent_classes(events, g, len(code), unit_cls[1 : 1 + single], buckets)
-        rare_words = materialise(_rare_classes(of_rare, g), "rare-classes")
+        new = _frequent_classes(events, g, of_shape[shape], unit_cls[1 : 1 + single], buckets)
+        rare_words = materialise(_rare_classes(of_rare, g, of_shape), "rare-classes")
         cls = new
         classed = materialise(one.join(rare_words.toDF("a", "cls"), "a").groupBy("kind", "cls", "b").agg(F.sum("n").alias("n")), "rare-classed")
         g = _counted(known, classes, cls, None) + _rare_pairs(classed, both, rare_words, cls, classes)
