@@ -234,7 +234,9 @@ def grams(text, k=5):
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
 
 
-def test_items_found_as_by_brute_force(spark):
+@pytest.mark.parametrize("block", [2_000_000, 5])
+def test_items_found_as_by_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(decontamination, "SHINGLES_A_BLOCK", block)  # held by workers, or met in joins
     rng = random.Random(8)
     items = [(i, words(rng, n, 5000)) for i, n in enumerate([5, 6, 8, 9, 13, 20, 21, 37, 60, 64, 65, 120, 300])] + [(50, None), (51, ""), (52, "two words"), (None, words(rng, 30, 5000))]
     rows = []
@@ -261,11 +263,21 @@ def test_items_found_as_by_brute_force(spark):
     assert decontamination.find_test_items(docs, bench.limit(0)).count() == 0 == decontamination.find_test_items(docs.limit(0), bench).count()
 
 
-def test_item_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("block", [2_000_000, 5])
+def test_items_of_other_identifiers(spark, monkeypatch, block):
     rng = random.Random(3)
-    items = [(i, words(rng, 25, 5000)) for i in range(12)]
-    monkeypatch.setattr(decontamination, "SHINGLES_A_BLOCK", 60)
-    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in items] + [(99, words(rng, 40, 5000), "en", "s")], DOCS)
-    bench = spark.createDataFrame(items, "item_id long, text string")
-    assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_test_items(docs, bench).collect()} == {(i, i) for i in range(12)}
-    assert [r["doc_id"] for r in decontamination.decontaminate(docs, bench).collect()] == [99]
+    items = [(f"i{i}", words(rng, 25, 5000)) for i in range(12)]
+    monkeypatch.setattr(decontamination, "SHINGLES_A_BLOCK", block)
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "z") for i, t in items] + [("x", words(rng, 40, 5000), "en", "s", 1, "z"), (None, None, None, None, None, None)], "doc_id string, text string, lang string, source string, _row int, _item string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontamination.find_test_items(docs, bench).collect()} == {(i, i) for i, _ in items}
+    clean = decontamination.decontaminate(docs, bench)
+    assert clean.columns == docs.columns and {r["doc_id"] for r in clean.collect()} == {"x", None}
+
+
+def test_filter_lets_its_values_through(spark, monkeypatch):
+    value = textnp.mix(np.arange(5000, dtype=np.uint64))
+    for most in (22, 28, 12):
+        monkeypatch.setattr(decontamination, "MOST_FILTER_BITS", most)
+        held = decontamination._filter(spark.createDataFrame(pa.table({"_v": pa.array(value[:2500].view(np.int64))})), 2500)
+        assert decontamination._passes(value[:2500], held).all() and (most == 12 or decontamination._passes(value[2500:], held).mean() < 0.01)
