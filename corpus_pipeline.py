@@ -27,7 +27,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold an item of the benchmark."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"), stored=True)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
