@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import materialise, numbered, table
+from .common import materialise, numbered, spread_join, table
 
 COORDINATES, BAND_ROWS, SIMILARITY = 128, 4, 0.8
-BLOCK_ROWS, MATRIX_COLUMNS = 512, 8192
+#: Rows of a block of a mixed band, at least and at most; shingles of a block at most, about; columns of a matrix.
+BLOCK_ROWS, MOST_BLOCK_ROWS, BLOCK_SHINGLES, MATRIX_COLUMNS = 512, 2048, 2_000_000, 4096
 
 
 def dart_minhash(element: np.ndarray, row: np.ndarray, weight: np.ndarray, rows: int, k: int = COORDINATES, seed: int = 1) -> np.ndarray:
@@ -230,15 +231,16 @@ def _classes(
     weighted: bool = False,
 ) -> DataFrame:
     """What :func:`near_duplicates` returns, with ``_key``, a hash of each row's identifier and text."""
-    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
     keyed = rows.select("_id", F.xxhash64("_id", "_t").alias("_key"), "_t")
-    sketch = keyed.mapInArrow(_sketcher(shingle, coordinates, rows_a_band, weighted), "_id long, _key long, _print binary, _n int, _bands array<long>")
+    sketch = keyed.mapInArrow(_sketcher(shingle, coordinates, rows_a_band, weighted), f"_id {kind}, _key long, _print binary, _n int, _bands array<long>")
     sketch = materialise(sketch.withColumn("_row", F.monotonically_increasing_id()), "sketch")
     nodes = materialise(sketch.groupBy("_print").agg(F.min("_row").alias("_node"), F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")), "nodes")
-    first = sketch.select(F.col("_row").alias("_node"), "_bands").join(nodes.select("_node"), "_node", "left_semi")
-    members = materialise(first.select("_node", F.explode("_bands").alias("_band")), "bands")
+    first = sketch.select(F.col("_row").alias("_node"), "_bands", "_n").join(nodes.select("_node"), "_node", "left_semi")
+    members = materialise(first.select("_node", "_n", F.explode("_bands").alias("_band")), "bands")
     buckets = members.groupBy("_band").agg(F.min("_node").alias("_leader"), F.count(F.lit(1)).alias("_members")).where("_members > 1")
-    members = materialise(members.join(materialise(buckets.select("_band", "_leader"), "buckets"), "_band"), "candidates")
+    members = materialise(spread_join(members, materialise(buckets, "buckets"), "_band", "_members", "_node").drop("_members"), "candidates")
 
     named = members.select("_node").distinct().join(nodes.select("_node", "_print"), "_node")
     wanted = named.join(sketch.select(F.col("_row").alias("_node"), "_key"), "_node").select("_node", F.col("_print").alias("_want"), "_key")
@@ -249,17 +251,20 @@ def _classes(
     # every member against the least of its band
     pairs = members.where("_node != _leader").select(F.col("_leader").alias("_a"), F.col("_node").alias("_b")).distinct()
     of = lambda n: sets.select(F.col("_node").alias(f"_{n}"), F.col("_set").alias(f"_s{n}"))
-    both = pairs.join(of("b"), "_b").join(of("a"), "_a")
+    led = of("a").join(pairs.groupBy("_a").agg(F.count(F.lit(1)).alias("_led")), "_a")
+    both = spread_join(pairs.join(of("b"), "_b"), led, "_a", "_led", "_b")
     measured = both.select("_a", "_b", F.size(F.array_intersect("_sa", "_sb")).alias("_common"), (F.size("_sa") + F.size("_sb")).alias("_both"))
     alike = F.col("_common") >= similarity * (F.col("_both") - F.col("_common")) - 1e-6
     edges = materialise(measured.where(alike).select("_a", "_b"), "edges")
     labels = components(edges)
 
     # bands that still hold several classes: all pairs of different classes, block against block
-    placed = members.join(labels, "_node", "left").select("_band", "_node", F.coalesce("_comp", "_node").alias("_comp"))
-    mixed = placed.groupBy("_band").agg(F.count(F.lit(1)).alias("_size"), F.min("_comp").alias("_x"), F.max("_comp").alias("_y")).where("_x != _y")
-    mixed = materialise(mixed.select("_band", F.ceil(F.col("_size") / BLOCK_ROWS).cast("int").alias("_blocks")), "mixed-bands")
-    dealt = placed.join(mixed, "_band").withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
+    placed = members.join(labels, "_node", "left").select("_band", "_node", "_n", F.coalesce("_comp", "_node").alias("_comp"))
+    mixed = placed.groupBy("_band").agg(F.count(F.lit(1)).alias("_size"), F.sum("_n").alias("_shingles"), F.min("_comp").alias("_x"), F.max("_comp").alias("_y")).where("_x != _y")
+    rows_of = F.greatest(F.lit(BLOCK_ROWS), F.least(F.lit(MOST_BLOCK_ROWS), F.floor(F.col("_size") / 16)))
+    blocks = F.ceil(F.greatest(F.col("_size") / rows_of, F.col("_shingles") / BLOCK_SHINGLES)).cast("int")
+    mixed = materialise(mixed.select("_band", "_size", blocks.alias("_blocks")), "mixed-bands")
+    dealt = spread_join(placed, mixed, "_band", "_size", "_node").withColumn("_block", F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int"))
     dealt = dealt.join(sets, "_node").withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     units = dealt.select("_band", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_block", "_node", "_comp", "_set")
     units = units.repartition("_band", "_i", "_j").sortWithinPartitions("_band", "_i", "_j")
@@ -267,10 +272,11 @@ def _classes(
     if not more.isEmpty():
         labels = components(materialise(edges.union(more), "edges"))
     classed = nodes.join(labels, "_node", "left").withColumn("_comp", F.coalesce("_comp", "_node"))
-    least = classed.groupBy("_comp").agg(F.min("_first").alias("_class"), F.sum("_rows").alias("_size"), F.min(F.struct(F.col("_first").isNull(), "_first", "_node")).alias("_best"))
-    whole = materialise(classed.join(materialise(least, "classes"), "_comp").select("_print", "_node", "_class", "_size", F.col("_best._node").alias("_stay"), "_first"), "node-classes")
+    least = classed.groupBy("_comp").agg(F.count(F.lit(1)).alias("_nodes"), F.min("_first").alias("_class"), F.sum("_rows").alias("_size"), F.min(F.struct(F.col("_first").isNull(), "_first", "_node")).alias("_best"))
+    whole = spread_join(classed, materialise(least, "classes"), "_comp", "_nodes", "_node")
+    whole = materialise(whole.select("_print", "_rows", "_node", "_class", "_size", F.col("_best._node").alias("_stay"), "_first"), "node-classes")
     # of the node that stays, its first row with the least id
-    out = sketch.select("_row", "_id", "_n", "_print", "_key").join(whole, "_print")
+    out = spread_join(sketch.select("_row", "_id", "_n", "_print", "_key"), whole, "_print", "_rows", "_row")
     lead = out.where((F.col("_node") == F.col("_stay")) & F.col("_id").eqNullSafe(F.col("_first"))).groupBy("_node").agg(F.min("_row").alias("_row")).select("_row", F.lit(True).alias("_kept"))
     return out.join(lead, "_row", "left").select(
         F.col("_id").alias(id_col), F.col("_class").alias("class_id"), F.col("_size").cast("long").alias("class_size"), F.col("_n").alias("n_shingles"), F.coalesce("_kept", F.lit(False)).alias("kept"), "_key",
@@ -297,14 +303,15 @@ def near_duplicates(
     the chance to miss a link of exactly 0.8 is 5e-8.
 
     Not all pairs of a band are looked at: each member is held against the least one of the band.
-    Where a band then still holds several classes, its members are dealt into blocks of about 512, and
-    two blocks at a time meet in a task that multiplies their 0/1 matrices and returns
+    Where a band then still holds several classes, its members are dealt into blocks (a sixteenth of the band, 512 rows at least, 2,048 and two million shingles
+    at most), and two blocks at a time meet in a task that multiplies their 0/1 matrices and returns
     as many links as join the classes that are alike. What is skipped are pairs already in one class; no pairs are
-    emitted but links, and no task holds more than two blocks.
+    emitted but links, and no task holds more than two blocks. A band of n rows that are not alike is thus copied 16 times, or n / 2,048 times if that is more.
+    Bands, leaders, classes and equal sets that a large part of all rows share are joined in parts.
 
     Returns one row per input row: id, class_id (least id of the class), class_size, n_shingles,
     kept (one row of the class: of least id, repeated rows once). Null text is empty; texts without words are one class. Null
-    ids sort after others. Other columns of ``docs`` are not read; an empty table gives an empty result.
+    ids sort after others; identifiers may be of any type that has an order. Other columns of ``docs`` are not read; an empty table gives an empty result.
     """
     return _classes(docs, id_col, text_col, similarity, shingle, coordinates, rows_a_band, weighted).drop("_key")
 
@@ -313,10 +320,10 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The rows that :func:`near_duplicates` keeps, with all their columns; of rows that repeat, one."""
     kept = _classes(docs, id_col, text_col, **options).where("kept").select("_key")
     plain, own = numbered(docs)
-    keyed = plain.withColumn("_key", F.xxhash64(F.col(own[id_col]).cast("long"), F.coalesce(F.col(own[text_col]), F.lit(""))))
+    keyed = plain.withColumn("_key", F.xxhash64(F.col(own[id_col]), F.coalesce(F.col(own[text_col]), F.lit(""))))
     return keyed.join(kept, "_key", "left_semi").dropDuplicates(["_key", own[id_col]]).select(*(F.col(c).alias(name) for name, c in own.items()))
 
 
 def op3_dart_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The near-duplicate class of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    """The near-duplicate class of every document, by bags of shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), weighted=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -16,8 +17,16 @@ def shingles(text, k=5):
     return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else {tuple(words)} if words else set()
 
 
-def classes(rows):
-    sets = {i: shingles(t) for i, t in rows}
+def bag(text, k=5):
+    """Shingles as elements of their own for every copy, so that sizes of common parts are sums of lesser counts."""
+    words = re.findall(r"[0-9a-z_\u0080-\U0010ffff]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    grams = [tuple(words[i : i + k]) for i in range(len(words) - k + 1)] if len(words) >= k else [tuple(words)] if words else []
+    seen = Counter()
+    return {(g, seen.update([g]) or seen[g]) for g in grams}
+
+
+def classes(rows, of=shingles):
+    sets = {i: of(t) for i, t in rows}
     root = {i: i for i in sets}
 
     def find(x):
@@ -66,6 +75,17 @@ def test_classes_equal_those_of_all_pairs(spark, rows, monkeypatch):
     assert {i for i, r in got.items() if r["kept"]} == set(want.values())
 
 
+def test_classes_of_bags_and_hot_keys(spark, rows, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(near_dup.spread_join, "__defaults__", (3,))  # whatever has more than three rows is joined in parts
+    line = "alpha beta gamma delta epsilon zeta eta theta "
+    more = [t for _, t in rows] + [line * n for n in (10, 11, 12, 20, 30, 33)] + [line * 40] * 9
+    docs = spark.createDataFrame([(f"d{i:03d}", t) for i, t in enumerate(more)], "doc_id string, text string").repartition(5)
+    for weighted, of in ((True, bag), (False, shingles)):
+        got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs, weighted=weighted).collect()}
+        assert got == classes([(f"d{i:03d}", t) for i, t in enumerate(more)], of)
+
+
 def test_kept_rows_and_extra_columns(spark, rows):
     again = [(i, t, "a", 1, 2) for i, t in rows[:40]] + [(rows[0][0], rows[0][1], "a", 1, 2), (None, "null id " * 9, None, None, None)]
     docs = spark.createDataFrame(again, "doc_id long, text string, class_id string, kept int, _key int")

@@ -11,7 +11,7 @@ import corpus_pipeline
 from sensorframe.llm.common import materialise, table
 from sensorframe.llm.mixing import mix_sources
 from sensorframe.llm.sharding import with_place
-from tests.llm.test_near_dup import classes, shingles
+from tests.llm.test_near_dup import bag, classes, shingles
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{SF}/documents.parquet"), reason="no test tables")
@@ -30,7 +30,7 @@ def test_stages(spark):
         assert all(after[i][c] == before[i][c] for i in after for c in columns)
         kept.append(len(rows))
         if name == "near-dedup":
-            assert set(after) == set(classes([(i, r["text"]) for i, r in before.items()]).values())
+            assert set(after) == set(classes([(i, r["text"]) for i, r in before.items()], bag).values())
         if name == "decontamination":
             held = {i for i, r in before.items() if any(len(s & shingles(r["text"])) >= 0.8 * len(s) for s in items if s)}
             assert held and set(before) - set(after) == held
