@@ -21,8 +21,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near-duplicates keep the document of least identifier."""
-    return keep_one_of_each(docs)
+    """Of each class of near-duplicates, by bags of shingles, keep the document of least identifier."""
+    return keep_one_of_each(docs, weighted=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
