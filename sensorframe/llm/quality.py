@@ -44,6 +44,8 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     runs[1:] = sign[1:] & sign[:-1]
     followed = np.zeros(len(data), dtype=bool)
     followed[1:] = sign[1:] & textnp.WORD[data[:-1]]
+    first = offsets[:-1][np.diff(offsets) > 0]
+    runs[first] = followed[first] = False  # no text has the neighbours of another
     not_line = np.ones(256, dtype=bool)
     not_line[10] = False
     line, line_row, line_start, line_end = textnp.words(data, offsets, not_line)

@@ -19,12 +19,14 @@ INSULTS = """idiot idiots moron morons stupid dumb fool loser losers scum trash
 idiota estupido estúpido imbecil imbécil basura asqueroso inutil inútil idiote stupide imbécile ordure minable ridicule débile
 dumm dummkopf blöd blödmann trottel abschaum wertlos erbärmlich widerlich müll kill hate die shut""".split()
 SECOND_PERSON = "you your yours yourself u ur du dich dir dein deine deinem ihr euch tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros vuestro".split()
-NEAR, STEM_BYTES, LEARNED, FOLDS = 5, (4, 5, 6), 600, 3
+NEAR, STEM_BYTES, LEXICON, FOLDS, WINDOW = 5, (4, 5, 6), 600, 3, 50
 #: Look-alikes that hide letters.
 _LEET = np.arange(256, dtype=np.uint8)
 for _a, _b in zip(b"013457@$!", b"oieastasi", strict=True):
     _LEET[_a] = _b
-NAMES = ["insults", "learned words", "learned stems", "distinct learned", "hidden insults", "near second person", "second person", "best word", "sum of weights", "capitals", "capital words", "exclamations", "punctuation", "obfuscation", "digits", "words", "insult share"]
+#: Each of the first is measured as a share of the words and as the logarithm of its count, so that long texts neither drown it nor pile it up.
+COUNTED = ["insults", "learned words", "learned stems", "distinct learned", "hidden insults", "near second person", "sum of weights"]
+NAMES = [f"{how} {c}" for c in COUNTED for how in ("share of", "log")] + ["second person", "best word", "densest window", "capitals", "capital words", "exclamations", "punctuation", "obfuscation", "digits", "words", "share of bad words"]
 
 
 def _hashes(texts: list[str]) -> np.ndarray:
@@ -51,6 +53,16 @@ def _weights(code: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarr
     return np.where(keys[at] == code, values[at], 0.0)
 
 
+def _densest(flag: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """The most flagged words among any :data:`WINDOW` words in turn of each row."""
+    out = np.zeros(rows)
+    if len(flag):
+        total = np.concatenate([[0], np.cumsum(flag)])
+        end = np.cumsum(np.bincount(row, minlength=rows))[row]
+        np.maximum.at(out, row, total[np.minimum(np.arange(len(flag)) + WINDOW, end)] - total[:-1])
+    return out
+
+
 @dataclass
 class ToxicityModel:
     """A learned lexicon (words and stems with their weights), trees and the calibration of their score."""
@@ -75,7 +87,7 @@ class ToxicityModel:
         word = _weights(code, self.words, self.word_weight)
         stem = np.max([_weights(x, self.stems, self.stem_weight) for x in _stems(data, start, end)], axis=0) if len(code) else np.zeros(0)
         plain = _LEET[data]
-        masked = textnp.words(plain, offsets, textnp.SOLID) if (plain != data).any() else (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), None, None)
+        masked = textnp.words(plain, offsets, textnp.SOLID)
         hidden = np.isin(masked[0], self.insults) | (_weights(masked[0], self.words, self.word_weight) > 0)
         bad = insult | (word > 0) | (stem > 0)
         person = np.isin(code, self.persons)
@@ -98,13 +110,16 @@ class ToxicityModel:
         if len(data) > 2:
             odd = symbol | ((data >= 48) & (data <= 57))
             inside[1:-1] = odd[1:-1] & letters[:-2] & letters[2:]
+            full = np.diff(offsets) > 0
+            inside[offsets[:-1][full]] = inside[offsets[1:][full] - 1] = False  # no text has the neighbours of another
         dots = symbol & np.isin(data, np.frombuffer(b".,'-", dtype=np.uint8), invert=True)
         per = lambda flag: rows_of(flag.astype(np.float64), row, rows)
-        hid = rows_of(hidden.astype(np.float64), masked[1], rows) if len(masked[0]) else np.zeros(rows)
+        hid = rows_of(hidden.astype(np.float64), masked[1], rows)
+        counts = [per(insult), per(word > 0), per(stem > 0), np.bincount(kinds, minlength=rows), hid, per(near), per(np.maximum(word, stem))]
         return np.stack(
             [
-                np.minimum(per(insult), 8), np.minimum(per(word > 0), 8), np.minimum(per(stem > 0), 8), np.minimum(np.bincount(kinds, minlength=rows), 8), np.minimum(hid, 8), np.minimum(per(near), 8), per(person) / n, best,
-                np.minimum(per(np.maximum(word, stem)), 40), byte_sums(caps, offsets) / size, per(shout) / n, byte_sums(data == 33, offsets) / size,
+                *(x for c in counts for x in (c / n, np.log1p(c))), per(person) / n, best, _densest(bad, row, rows) / np.minimum(n, WINDOW),
+                byte_sums(caps, offsets) / size, per(shout) / n, byte_sums(data == 33, offsets) / size,
                 byte_sums(dots, offsets) / size, byte_sums(inside, offsets) / n, byte_sums((data >= 48) & (data <= 57), offsets) / size, np.log1p(n), per(bad) / n,
             ],
             axis=1,
@@ -133,14 +148,14 @@ def _term_counts(sample: DataFrame) -> DataFrame:
     return sample.mapInArrow(run, "kind int, code long, n long, y long").groupBy("kind", "code").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
 
 
-def _lexicon(sample: DataFrame) -> ToxicityModel:
-    """The words and stems that toxic texts of a sample hold far more often than others do, with their log odds."""
+def _lexicon(sample: DataFrame, most: int) -> ToxicityModel:
+    """The words and stems (``most`` of either) that toxic texts of a sample hold far more often than others do, with their log odds."""
     n, pos = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("_y"), F.lit(0.0))).first()
     odds = F.log(((F.col("y") + 0.1) / (pos + 0.2)) / ((F.col("n") - F.col("y") + 0.1) / (n - pos + 0.2)))
     terms = _term_counts(sample).where("y >= 3").withColumn("w", odds).where("w > 2.5")
 
     def table_of(kind: int) -> tuple[np.ndarray, np.ndarray]:
-        pairs = terms.where(F.col("kind") == kind).orderBy(F.desc("y"), "code").limit(LEARNED).collect()
+        pairs = terms.where(F.col("kind") == kind).orderBy(F.desc("y"), "code").limit(most).collect()
         code = np.array([r["code"] for r in pairs], dtype=np.int64).view(np.uint64)
         order = np.argsort(code)
         return code[order], np.array([r["w"] for r in pairs])[order]
@@ -148,8 +163,8 @@ def _lexicon(sample: DataFrame) -> ToxicityModel:
     return ToxicityModel(*table_of(0), *table_of(1))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Fit on at most about ``sample_rows`` labelled rows that meet ``train``, each text once.
+def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, lexicon: int = LEXICON) -> ToxicityModel:
+    """Fit on at most about ``sample_rows`` labelled rows that meet ``train``, each text once; learn ``lexicon`` words and as many stems at most.
 
     The sample is dealt into two halves by a hash of the text. The lexicon that a half's texts are
     measured by is learned from the other half, so the trees do not learn to trust words that were memorised; the
@@ -160,11 +175,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, label_col: s
     half = F.pmod(F.xxhash64("_t", F.lit(3)), F.lit(2))
     parts = []
     for h in (0, 1):
-        parts.append(feature_rows(sample.where(half == h), _lexicon(sample.where(half != h)).features, len(NAMES)))
+        parts.append(feature_rows(sample.where(half == h), _lexicon(sample.where(half != h), lexicon).features, len(NAMES)))
     x, y = (np.concatenate(z) for z in zip(*parts, strict=True))
     order = np.lexsort((*x.T, y))  # the same folds however the rows arrive
     x, y = x[order], y[order]
-    model = _lexicon(sample)
+    model = _lexicon(sample, lexicon)
     model.trees = gbt.fit(x, y)
     fold, unseen = np.arange(len(y)) % FOLDS, np.zeros(len(y))
     for f in range(FOLDS):
