@@ -11,11 +11,11 @@ from sensorframe.llm.near_dup import keep_one_of_each
 from sensorframe.llm.sharding import shard
 from sensorframe.llm.toxicity import drop_toxic, fit_toxicity
 
-TOXIC = 0.5
+TOXIC = 0.3
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose calibrated toxicity is one half or more."""
+    """Drop the documents that operator 1 predicts to be toxic: a calibrated score of 0.3 or more."""
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
     return drop_toxic(docs, model, TOXIC)
 
