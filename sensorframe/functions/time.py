@@ -20,28 +20,35 @@ def floor_to(ts: Column, seconds: int = STEP) -> Column:
     return F.timestamp_add("SECOND", seconds_of(ts) - F.pmod(seconds_of(ts), F.lit(seconds)), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+#: An offset or Z at the end of a time.
+AWARE = r"([zZ]|[+-]\d{2}:?\d{2})\s*$"
+
+
+def local_of(instant: Column, zone: str = LOCAL_ZONE) -> Column:
+    """The naive local time of an instant, whatever the zone of the session."""
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
 def to_local_naive(text: Column, aware_zone: str = LOCAL_ZONE, naive_means: str = "local") -> Column:
     """A naive local timestamp from text.
 
     Text with an offset or Z is moved to ``aware_zone``. Text without is local already, or UTC where
     ``naive_means`` is "utc". What cannot be parsed is null.
     """
-    aware = text.rlike(r"([zZ]|[+-]\d{2}:?\d{2})\s*$")
-    utc = F.try_to_timestamp(text)
-    moved = F.convert_timezone(F.lit("UTC"), F.lit(aware_zone), utc.cast("timestamp_ntz"))
-    plain = F.try_to_timestamp(text).cast("timestamp_ntz")
+    aware = text.rlike(AWARE)
+    plain = text.try_cast("timestamp_ntz")
     if naive_means == "utc":
         plain = F.convert_timezone(F.lit("UTC"), F.lit(aware_zone), plain)
-    return F.when(aware, moved).otherwise(plain)
+    return F.when(aware, local_of(F.try_to_timestamp(text), aware_zone)).otherwise(plain)
+
 
+def message_time(text: Column, zone: str = LOCAL_ZONE) -> Column:
+    """A naive local timestamp from a message's time in any of its forms (F03): ISO, blank or underscore between date and time, or seconds since 1970.
 
-def message_time(text: Column) -> Column:
-    """A naive timestamp from a message's time in any of its forms (F03): ISO, blank or underscore between date and time, or seconds since 1970."""
+    Seconds and text with an offset or Z are instants, whose local time in ``zone`` counts; all other text is local already.
+    """
     number = text.rlike(r"^\s*\d+(\.\d+)?\s*$")
-    epoch = F.when(number, F.timestamp_seconds(text.try_cast("double")).cast("timestamp_ntz"))
-    return F.coalesce(
-        epoch,
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz"),
-        F.try_to_timestamp(text, F.lit("yyyy-MM-dd_HH-mm-ss")).cast("timestamp_ntz"),
-        F.try_to_timestamp(text).cast("timestamp_ntz"),
-    )
+    epoch = F.when(number, local_of(F.timestamp_seconds(text.try_cast("double")), zone))
+    underscored = F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}\s*$"), F.regexp_replace(text, r"^\s*(\S+)_(\d+)-(\d+)-(\d+)\s*$", "$1 $2:$3:$4").try_cast("timestamp_ntz"))
+    return F.coalesce(epoch, underscored, F.when(~number, to_local_naive(F.trim(text), zone)))

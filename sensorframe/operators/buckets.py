@@ -9,11 +9,12 @@ from pyspark.sql.window import Window
 from ..functions.scalars import clean_label, no_nan
 from ..functions.time import floor_to
 from .merge import keep_last
+from .query import pruned
 
 
 def bucket_mean(readings: DataFrame, values: dict[str, Column], seconds: int, keys: list[str], start=None, end=None, ts: str = "timestamp") -> DataFrame:
     """Mean of each value in each slot and key (A01); NaN counts as missing; times from start to before end."""
-    rows = readings
+    rows = pruned(readings, start, end)
     if start is not None:
         rows = rows.where(F.col(ts) >= F.lit(str(start)).cast("timestamp_ntz"))
     if end is not None:
@@ -60,7 +61,7 @@ def state_carry(events: DataFrame, grid: DataFrame, seconds: int, gap: int, keys
     before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = both.withColumn("_carry", F.last("_last", ignorenulls=True).over(before)).where("_grid")
     newest = F.coalesce(F.col("_last.t"), F.col("_carry.t"))
-    age = F.timestamp_diff("SECOND", newest, F.timestamp_add("SECOND", F.lit(seconds), F.col("_slot")))
+    age = F.timestamp_diff("MICROSECOND", newest, F.timestamp_add("SECOND", F.lit(seconds), F.col("_slot"))) / 1e6
     return carried.select(F.col("_slot").alias(ts), *keys, F.when(age <= gap, F.greatest("_carry.l", "_m")).alias(state))
 
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.time import floor_to
-
 
 def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """The frame, if no key repeats; else an error (J10: each side for one-to-one, the right for many-to-one)."""
@@ -56,9 +57,10 @@ def to_zone(readings: DataFrame, zones: DataFrame, device: str = "device_id", ts
 
 def dense_grid(values: DataFrame, start, end, seconds: int, zones: DataFrame, ts: str = "timestamp", zone: str = "zone_id") -> DataFrame:
     """Every slot of [floor(start), end) for every zone, with the values there are."""
-    at = lambda x: F.lit(str(x)).cast("timestamp_ntz")
-    last = F.timestamp_add("SECOND", F.lit(-1), at(end))
-    slots = values.sparkSession.range(1).select(F.explode(F.sequence(floor_to(at(start), seconds), last, F.make_dt_interval(secs=F.lit(seconds)))).alias(ts))
+    first, last = (datetime.fromisoformat(str(x)) for x in (start, end))
+    first -= timedelta(seconds=(first - datetime(1970, 1, 1)).total_seconds() % seconds)
+    count = max(0, math.ceil((last - first).total_seconds() / seconds))
+    slots = values.sparkSession.range(count).select(F.timestamp_add("SECOND", F.col("id") * seconds, F.lit(str(first)).cast("timestamp_ntz")).alias(ts))
     grid = slots.crossJoin(zones.select(zone).distinct())  # the grid itself is the result
     return grid.join(values, [ts, zone], "left")
 

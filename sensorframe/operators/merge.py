@@ -6,21 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def keep_last(df: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
     """One row of each key, the last by ``seq`` (M01; M06 with the row number as ``seq``)."""
-    return _one(df, keys, [F.desc(c) for c in seq])
+    return _one(df, keys, F.max_by, seq)
 
 
 def keep_first(df: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
     """One row of each key, the first by ``seq``."""
-    return _one(df, keys, [F.asc(c) for c in seq])
+    return _one(df, keys, F.min_by, seq)
 
 
-def _one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
+def _one(df: DataFrame, keys: list[str], chosen: Callable[[Column, Column], Column], seq: list[str]) -> DataFrame:
+    """An aggregation with partial results where the rows are, not a sort of all of them."""
+    row = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    return df.groupBy(*keys).agg(chosen(row, F.struct(*seq)).alias("_row")).select("_row.*")
 
 
 def insert_if_absent(table: DataFrame, batch: DataFrame, keys: list[str], seq: list[str] | None = None) -> tuple[DataFrame, DataFrame]:

@@ -21,26 +21,27 @@ def time_range(df: DataFrame, start, end, ts: str = "timestamp") -> DataFrame:
     """Rows of the closed range (P02, P14); both bounds are needed. Partition columns year, month and day, if there, are filtered too."""
     if start is None or end is None:
         raise ValueError("both bounds are needed")
-    return _pruned(df, start, end).where(F.col(ts).between(_ts(start), _ts(end)))
+    return pruned(df, start, end).where(F.col(ts).between(_ts(start), _ts(end)))
 
 
 def since(df: DataFrame, start, ts: str = "timestamp") -> DataFrame:
     """Rows from a time on."""
-    return _pruned(df, start, None).where(F.col(ts) >= _ts(start))
+    return pruned(df, start, None).where(F.col(ts) >= _ts(start))
 
 
 def half_open(df: DataFrame, start, end, ts: str = "timestamp", seconds: int | None = None) -> DataFrame:
-    """Rows from start to before end (P12); an end that is a date alone means the whole day. With ``seconds`` times are floored first."""
+    """Rows from start to before end (P12); an end that is a date alone means the whole day. With ``seconds`` times are floored first. Partitions are pruned as in :func:`time_range`."""
     if isinstance(end, date) and not isinstance(end, datetime):
         end = datetime(end.year, end.month, end.day) + timedelta(days=1)
     at = floor_to(F.col(ts), seconds) if seconds else F.col(ts)
-    return df.where((at >= _ts(start)) & (at < _ts(end)))
+    last = end + timedelta(seconds=seconds) if seconds and isinstance(end, datetime) else None if seconds else end  # a time that is floored lies later
+    return pruned(df, start, last).where((at >= _ts(start)) & (at < _ts(end)))
 
 
 def by_region(df: DataFrame, start=None, end=None, devices: list | None = None, ts: str = "timestamp", device: str = "device_id") -> DataFrame:
-    """Optional bounds and devices."""
+    """Optional bounds and devices (P04); partitions are pruned as in :func:`time_range`."""
     conditions = ([F.col(ts) >= _ts(start)] if start is not None else []) + ([F.col(ts) <= _ts(end)] if end is not None else []) + ([F.col(device).isin(list(devices))] if devices else [])
-    return df.where(all_of(conditions))
+    return pruned(df, start, end).where(all_of(conditions))
 
 
 def filtered(df: DataFrame, filters: dict[str, object]) -> DataFrame:
@@ -109,10 +110,11 @@ def _ts(value) -> Column:
     return value if isinstance(value, Column) else F.lit(str(value)).cast("timestamp_ntz")
 
 
-def _pruned(df: DataFrame, start, end) -> DataFrame:
+def pruned(df: DataFrame, start, end) -> DataFrame:
     """Filters on year, month and day partitions that follow from the bounds."""
     if not {"year", "month", "day"} <= set(df.columns):
         return df
+    start, end = (None if isinstance(x, Column) else x for x in (start, end))
     day = F.col("year").cast("int") * 10000 + F.col("month").cast("int") * 100 + F.col("day").cast("int")
     number = lambda x: int(str(x)[:10].replace("-", ""))
     df = df.where(day >= number(start)) if start is not None else df

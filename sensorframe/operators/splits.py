@@ -25,8 +25,11 @@ def blind_last_days(df: DataFrame, days: int, ts: str = "timestamp") -> DataFram
 
 
 def blind_date(df: DataFrame, day: str, ts: str = "timestamp") -> DataFrame:
-    """``split``: pre_test before a date, test on it, excluded after."""
+    """``split``: pre_test before a date, test on it, excluded after (T02); no rows before it or on it is an error."""
     date, at = F.col(ts).cast("date"), F.lit(day).cast("date")
+    for part, rows in (("pre_test", df.where(date < at)), ("test", df.where(date == at))):
+        if rows.isEmpty():
+            raise ValueError(f"no rows in {part}")
     return df.withColumn("split", F.when(date < at, "pre_test").when(date == at, "test").otherwise("excluded"))
 
 
@@ -58,7 +61,9 @@ def _ranked(df: DataFrame, ts: str, grouped: bool, order: list[str]) -> DataFram
 
 
 def chronological_fold(df: DataFrame, share: float = 0.2, grouped: bool = False, ts: str = "timestamp", order: list[str] | None = None) -> DataFrame:
-    """``role``: validation for the last share of rows, or of times where ``grouped``, rounded up, at least 1 and at most all but one."""
+    """``role``: validation for the last share of rows, or of times where ``grouped``, rounded up, at least 1 and at most all but one (T04); fewer than two are an error."""
+    if (df.select(ts).distinct() if grouped else df.select(ts)).limit(2).count() < 2:
+        raise ValueError("at least 2 rows are needed")
     n = F.col("_n")
     last = F.least(F.greatest(F.lit(1), F.ceil(n * share)), n - 1)
     return _ranked(df, ts, grouped, order or [ts]).withColumn("role", F.when(F.col("_r") > n - last, "validation").otherwise("train")).drop("_r", "_n")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,7 +50,7 @@ def positive_runs(df: DataFrame, keys: list[str], seconds: int, label: str = "oc
     """Adds ``starts_event`` and ``event`` (a number within the keys) to positive rows (W04): an event starts after a row that is not positive or a gap of more than ``seconds``."""
     line = _line(keys, ts)
     positive = F.coalesce(F.col(label) == 1, F.lit(False))
-    gap = F.timestamp_diff("SECOND", F.lag(ts).over(line), F.col(ts))
+    gap = F.timestamp_diff("MICROSECOND", F.lag(ts).over(line), F.col(ts)) / 1e6
     starts = positive & (~F.coalesce(F.lag(positive).over(line), F.lit(False)) | (gap > seconds))
     out = df.withColumn("starts_event", starts.cast("int"))
     return out.withColumn("event", F.when(positive, F.sum("starts_event").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
@@ -61,9 +63,10 @@ def evidence(df: DataFrame, keys: list[str], seconds: int, label: str = "occupie
 
 def cadence(df: DataFrame, keys: list[str], now, step: int = 10, most_gap: int = 300, most_age: int = 900, ts: str = "timestamp") -> DataFrame:
     """Largest and least gap and age of each key in seconds, and whether they are in order."""
-    gaps = df.withColumn("_gap", F.timestamp_diff("SECOND", F.lag(ts).over(_line(keys, ts)), F.col(ts)))
-    out = gaps.groupBy(*keys).agg(F.max("_gap").alias("max_gap"), F.min("_gap").alias("min_gap"), F.timestamp_diff("SECOND", F.max(ts), F.lit(str(now)).cast("timestamp_ntz")).alias("age"))
-    ok = (F.coalesce("max_gap", F.lit(0)) <= most_gap) & (F.coalesce(F.col("min_gap"), F.lit(step)) >= step / 2) & (F.col("age") <= most_age)
+    seconds = lambda a, b: F.timestamp_diff("MICROSECOND", a, b) / 1e6
+    gaps = df.withColumn("_gap", seconds(F.lag(ts).over(_line(keys, ts)), F.col(ts)))
+    out = gaps.groupBy(*keys).agg(F.max("_gap").alias("max_gap"), F.min("_gap").alias("min_gap"), seconds(F.max(ts), F.lit(str(now)).cast("timestamp_ntz")).alias("age"))
+    ok = (F.coalesce("max_gap", F.lit(0.0)) <= most_gap) & (F.coalesce(F.col("min_gap"), F.lit(float(step))) >= step / 2) & (F.col("age") <= most_age)
     return out.withColumn("in_order", ok)
 
 
@@ -88,18 +91,20 @@ def carry_forward(df: DataFrame, columns: list[str], keys: list[str], order: lis
     return df.select(*(F.last(c, ignorenulls=True).over(line).alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
-def ema(df: DataFrame, value: str, keys: list[str], order: list[str], span: int = 5, frame: int = 120) -> DataFrame:
-    """Exponential average with factor 2 / (span + 1) over the finite values of each key (W08); it starts at the first.
+def ema(df: DataFrame, value: str, keys: list[str], order: list[str], span: int = 5, error: float = 1e-18) -> DataFrame:
+    """Exponential average with factor 2 / (span + 1) over the finite values of each key (W08); it starts at the first and is carried over missing ones, however many.
 
-    It is taken over the last ``frame`` values: older ones weigh less than (1 - factor) ** frame, under 1e-21 by default.
+    It is taken over as many finite values as it takes for the older ones to weigh less than ``error``.
     """
     alpha = 2.0 / (span + 1)
-    line = Window.partitionBy(*keys).orderBy(*order).rowsBetween(-(frame - 1), Window.currentRow)
+    frame = max(1, math.ceil(math.log(error) / math.log(1 - alpha))) if alpha < 1 else 1
     v = no_nan(F.col(value))
     ok = F.when(~v.isin(float("inf"), float("-inf")), v)
-    values = F.collect_list(ok).over(line)
+    finite = Window.partitionBy(*keys, "_ok").orderBy(*order).rowsBetween(-(frame - 1), Window.currentRow)
     fold = F.aggregate(F.slice("_vs", 2, frame), F.element_at("_vs", 1), lambda s, x: x * alpha + s * (1 - alpha))
-    return df.withColumn("_vs", values).withColumn("ema", F.when(F.size("_vs") > 0, fold)).drop("_vs")
+    line = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = df.withColumn("_v", ok).withColumn("_ok", F.col("_v").isNotNull()).withColumn("_vs", F.collect_list("_v").over(finite))
+    return own.withColumn("_e", F.when(F.col("_ok"), fold)).withColumn("ema", F.last("_e", ignorenulls=True).over(line)).drop("_v", "_ok", "_vs", "_e")
 
 
 def latest_rows(df: DataFrame, device: str = "device_id", order: list[str] | None = None) -> DataFrame:
@@ -116,16 +121,22 @@ def strictly_rising(df: DataFrame, keys: list[str], ts: str = "timestamp") -> Da
 
 
 def replay(df: DataFrame, ticks: DataFrame, lookback: int, slack: int, start, order: list[str], ts: str = "timestamp") -> DataFrame:
-    """Rows that the n-th tick returns (S20): the last ``lookback + slack`` up to the cursor, which starts at the first row from ``start`` on.
+    """Rows that the n-th tick returns (S20): the last ``lookback + slack`` up to the cursor.
 
-    Each row goes to the ticks whose window has it, ``lookback + slack`` at most, so the join is on equal row numbers.
+    The cursor begins at the first row from ``start`` on (the first of all where it is None) or the ``lookback``-th row, whichever is later, moves a row a tick and stays at the last row. A start after all rows
+    and a table of fewer rows than ``lookback`` are errors. Ticks are spread over the row numbers that they want, so the join is on equal numbers.
     """
     take = lookback + slack
     ranked = _numbered(df, order, ts)
-    first = ranked.where(F.col(ts) >= F.lit(str(start)).cast("timestamp_ntz")).agg(F.min("rn").alias("_first"))
-    spread = ranked.withColumn("_cursor", F.explode(F.sequence(F.col("rn"), F.col("rn") + take - 1)))
-    at = ticks.crossJoin(F.broadcast(first)).select("tick", (F.col("_first") + F.col("tick")).alias("_cursor"))  # one row
-    return spread.join(at, "_cursor").drop("_cursor")
+    from_ = F.lit(True) if start is None else F.col(ts) >= F.lit(str(start)).cast("timestamp_ntz")
+    first, rows = ranked.agg(F.min(F.when(from_, F.col("rn"))), F.count(F.lit(1))).first()
+    if first is None:
+        raise ValueError("the start is after all rows")
+    if rows < lookback:
+        raise ValueError(f"{rows} rows, {lookback} are needed")
+    end = F.least(F.lit(rows), F.lit(max(first, lookback)) + F.col("tick"))
+    wanted = ticks.select("tick", F.explode(F.sequence(F.greatest(F.lit(1), end - (take - 1)), end)).alias("rn"))
+    return ranked.join(wanted, "rn")
 
 
 def _numbered(df: DataFrame, order: list[str], ts: str) -> DataFrame:

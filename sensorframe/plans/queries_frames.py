@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import scalars
 from ..functions import time as ft
@@ -49,7 +50,7 @@ def a04_single_power(spark, sf):
     f"""WITH {v.GRID}{v.STATES[len(v.READINGS):]}, s AS (SELECT date_trunc('hour', timestamp) AS h, zone_id, max(state) AS m, arg_max(state, (timestamp, seq)) AS l, max(timestamp) AS t FROM states GROUP BY 1, 2),
     j AS (SELECT g.timestamp, g.zone_id, s.m, s.l, s.t, last_value(s.l IGNORE NULLS) OVER w AS cl, last_value(s.t IGNORE NULLS) OVER w AS ct
       FROM grid g LEFT JOIN s ON s.h = g.timestamp AND s.zone_id = g.zone_id WINDOW w AS (PARTITION BY g.zone_id ORDER BY g.timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-    SELECT timestamp, zone_id, CASE WHEN timestamp + INTERVAL 1 HOUR - coalesce(t, ct) < INTERVAL 18001 SECOND THEN greatest(cl, m) END AS state FROM j"""
+    SELECT timestamp, zone_id, CASE WHEN timestamp + INTERVAL 1 HOUR - coalesce(t, ct) <= INTERVAL 18000 SECOND THEN greatest(cl, m) END AS state FROM j"""
 )
 def a05_state_carry(spark, sf):
     return buckets.state_carry(v.states(spark, sf), v.grid(spark, sf), v.HOUR, 18000, ["zone_id"], "seq")
@@ -251,10 +252,9 @@ def w04_positive_events(spark, sf):
     return windows.evidence(v.frame(spark, sf), ["zone_id"], v.HOUR)
 
 
-@query(f"{W}, g AS (SELECT zone_id, date_trunc('second', timestamp) AS t FROM readings), d AS (SELECT zone_id, t, date_diff('second', lag(t) OVER (PARTITION BY zone_id ORDER BY t), t) AS gap FROM g) SELECT zone_id, max(gap) AS max_gap, min(gap) AS min_gap, date_diff('second', max(t), TIMESTAMP '2024-01-31') AS age, max(gap) <= 30000 AND min(gap) >= 5 AND date_diff('second', max(t), TIMESTAMP '2024-01-31') <= 9000 AS in_order FROM d GROUP BY 1")
+@query(f"{W}, d AS (SELECT zone_id, timestamp AS t, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY zone_id ORDER BY timestamp))) / 1e6 AS gap FROM readings), a AS (SELECT zone_id, max(gap) AS max_gap, min(gap) AS min_gap, (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(t))) / 1e6 AS age FROM d GROUP BY 1) SELECT *, max_gap <= 30000 AND min_gap >= 5 AND age <= 9000 AS in_order FROM a")
 def w05_cadence(spark, sf):
-    r = v.readings(spark, sf).withColumn("timestamp", F.date_trunc("SECOND", "timestamp").cast("timestamp_ntz"))
-    return windows.cadence(r, ["zone_id"], "2024-01-31 00:00:00", 10, 30000, 9000)
+    return windows.cadence(v.readings(spark, sf), ["zone_id"], "2024-01-31 00:00:00", 10, 30000, 9000)
 
 
 @query(f"WITH {v.FRAME}, q AS (SELECT *, row_number() OVER l AS n FROM frame WINDOW l AS (PARTITION BY zone_id ORDER BY timestamp)), b AS (SELECT unnest([6, 24, 72]) AS lookback) SELECT lookback, count(*) FILTER (n >= lookback AND occupied IS NOT NULL) AS windows, count(*) FILTER (n >= lookback AND occupied = 1) AS positive_windows FROM q, b GROUP BY 1")
@@ -269,11 +269,14 @@ def w07_carry_forward(spark, sf):
 
 
 @query(
-    f"""WITH RECURSIVE {v.READINGS}, n AS (SELECT device_id, seq, value, row_number() OVER (PARTITION BY device_id ORDER BY timestamp, seq) AS i FROM readings),
-    e AS (SELECT device_id, seq, i, value AS ema FROM n WHERE i = 1 UNION ALL SELECT n.device_id, n.seq, n.i, n.value / 3 + e.ema * 2 / 3 FROM e JOIN n ON n.device_id = e.device_id AND n.i = e.i + 1) SELECT seq, device_id, round(ema, 8) AS ema FROM e"""
+    f"""WITH RECURSIVE {v.READINGS}, n AS (SELECT zone_id, seq, i, CASE WHEN i % 400 BETWEEN 20 AND 180 OR k % 10 = 1 THEN NULL ELSE value END AS x FROM (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY timestamp, seq) AS i FROM readings)),
+    e AS (SELECT zone_id, seq, i, x AS ema FROM n WHERE i = 1 UNION ALL SELECT n.zone_id, n.seq, n.i, CASE WHEN n.x IS NULL THEN e.ema WHEN e.ema IS NULL THEN n.x ELSE n.x / 3 + e.ema * 2 / 3 END FROM e JOIN n ON n.zone_id = e.zone_id AND n.i = e.i + 1) SELECT seq, zone_id, round(ema, 8) AS ema FROM e"""
 )
 def w08_ema(spark, sf):
-    return windows.ema(v.readings(spark, sf), "value", ["device_id"], ["timestamp", "seq"]).select("seq", "device_id", F.round("ema", 8).alias("ema"))
+    """With over 150 missing values in a row, and infinite ones."""
+    r = v.readings(spark, sf).withColumn("i", F.row_number().over(Window.partitionBy("zone_id").orderBy("timestamp", "seq")) % 400)
+    x = F.when(F.col("i").between(20, 180), None).when(F.col("k") % 10 == 1, float("inf")).otherwise(F.col("value"))
+    return windows.ema(r.withColumn("value", x), "value", ["zone_id"], ["timestamp", "seq"]).select("seq", "zone_id", F.round("ema", 8).alias("ema"))
 
 
 @query(f"{W} SELECT device_id, max(timestamp) AS timestamp, arg_max(value, timestamp) AS value FROM readings GROUP BY 1")
@@ -345,10 +348,15 @@ def f02_to_local(spark, sf):
     return v.readings(spark, sf).select("seq", ft.to_local_naive(F.concat(text, F.lit("Z"))).alias("aware"), ft.to_local_naive(text).alias("local"), ft.to_local_naive(text, naive_means="utc").alias("utc"))
 
 
-@query(f"{W} SELECT seq, CASE WHEN seq % 5 < 4 THEN date_trunc('second', timestamp) END AS t FROM readings")
+@query(f"{W} SELECT seq, CASE WHEN seq % 7 < 3 THEN date_trunc('second', timestamp) WHEN seq % 7 < 5 THEN date_trunc('second', timestamp) + INTERVAL 8 HOUR WHEN seq % 7 = 5 THEN date_trunc('second', timestamp) + INTERVAL 3 HOUR END AS t FROM readings")
 def f03_message_time(spark, sf):
-    kind, t = F.col("seq") % 5, F.col("timestamp")
-    text = F.when(kind == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss")).when(kind == 1, F.date_format(t, "yyyy-MM-dd_HH-mm-ss")).when(kind == 2, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")).when(kind == 3, F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), t).cast("string")).otherwise("no time")
+    """Three forms without a zone, which are local; seconds since 1970, Z and +05:00, which are instants; and no time."""
+    kind, t = F.col("seq") % 7, F.col("timestamp")
+    iso = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
+    text = (
+        F.when(kind == 0, F.date_format(t, "yyyy-MM-dd HH:mm:ss")).when(kind == 1, F.date_format(t, "yyyy-MM-dd_HH-mm-ss")).when(kind == 2, iso)
+        .when(kind == 3, F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), t).cast("string")).when(kind == 4, F.concat(iso, F.lit("Z"))).when(kind == 5, F.concat(iso, F.lit("+05:00"))).otherwise("no time")
+    )
     return v.readings(spark, sf).select("seq", ft.message_time(text).alias("t"))
 
 
@@ -489,20 +497,39 @@ def l07_score_latest(spark, sf):
     return models.score_latest(models.fit_occupancy(rows, FEATURES), rows)
 
 
-RUN = "r AS (SELECT device_id AS run, avg(value) / 100 AS pr_auc, avg(k) / 100 AS cv_pr_auc, 1 + device_id % 3 AS folds, count(*) AS positive_windows, max(k) AS positive_buckets, min(k) AS positive_events, min(value) / 10 AS brier, avg(k) / 80 AS log_loss, CASE WHEN device_id % 2 = 0 THEN max(k) / 250 END AS production_pr_auc FROM readings GROUP BY 1)"
+RUN = """r AS (SELECT device_id AS run, CASE WHEN device_id % 11 = 0 THEN 'bootstrap' WHEN device_id % 13 = 0 THEN 'degenerate' ELSE 'strict' END AS mode, CASE WHEN device_id % 17 > 0 THEN 1 + device_id % 3 END AS folds,
+    CASE WHEN device_id % 19 = 0 THEN 'NaN'::DOUBLE ELSE avg(value) / 100 END AS pr_auc, CASE WHEN device_id % 23 > 0 THEN avg(k) / 100 END AS cv_pr_auc, CASE WHEN device_id % 29 > 0 THEN count(*) END AS positive_windows,
+    CASE WHEN device_id % 31 > 0 THEN max(k) END AS positive_buckets, CASE WHEN device_id % 37 > 0 THEN min(k) END AS positive_events, CASE WHEN device_id % 41 = 0 THEN 'Infinity'::DOUBLE ELSE min(value) / 10 END AS brier, CASE WHEN device_id % 43 > 0 THEN avg(k) / 80 END AS log_loss,
+    CASE WHEN device_id % 4 = 1 THEN 'bootstrap' WHEN device_id % 4 > 1 THEN 'strict' END AS production_mode, 1 + device_id % 2 AS production_folds, CASE WHEN device_id % 7 = 0 THEN avg(value) / 100 ELSE max(k) / 250 END AS production_reported,
+    CASE WHEN device_id % 5 = 0 THEN avg(value) / 100 WHEN device_id % 9 > 0 THEN max(k) / 250 END AS production_pr_auc FROM readings GROUP BY 1)"""
+BAD = lambda name, least: f"{name} IS NULL OR NOT isfinite({name}::DOUBLE) OR {name} < {least}"
+OVER = lambda name, most: f"{name} IS NULL OR NOT isfinite({name}::DOUBLE) OR {name} > {most}"
 
 
 @query(
-    f"""{W}, {RUN}, x AS (SELECT *, CASE WHEN pr_auc IS NULL THEN 'no test score' WHEN positive_windows < 50 THEN 'too few positive windows' WHEN positive_buckets < 50 THEN 'too few positive buckets' WHEN positive_events < 1 THEN 'too few positive events' WHEN pr_auc < 0.4 THEN 'test score too low'
-    WHEN folds > 1 AND (cv_pr_auc IS NULL OR cv_pr_auc < 0.4) THEN 'fold score too low' WHEN brier > 0.25 THEN 'brier score too high' WHEN log_loss > 0.7 THEN 'log loss too high' WHEN production_pr_auc IS NOT NULL AND pr_auc < production_pr_auc + 0.01 THEN 'not better than production' END AS z FROM r)
-    SELECT run, CASE WHEN z IS NULL THEN 'promote' ELSE 'hold' END AS decision, coalesce(z, 'all thresholds met') AS reason FROM x"""
+    f"""{W}, {RUN}, q AS (SELECT *, CASE WHEN production_mode = 'strict' THEN least(production_folds + 1, 3) ELSE 1 END AS required,
+      coalesce(mode = 'strict' AND production_mode = 'strict' AND folds = 1 AND production_folds = 1 AND isfinite(pr_auc) AND isfinite(production_reported) AND pr_auc > production_reported + 0.01, false) AS better FROM r),
+    p AS (SELECT *, CASE WHEN better AND folds < required THEN production_reported ELSE production_pr_auc END AS against FROM q),
+    x AS (SELECT *, CASE WHEN mode = 'bootstrap' AND production_mode IS NOT NULL THEN 'bootstrap only without production' WHEN mode = 'degenerate' THEN 'degenerate validation' WHEN mode <> 'bootstrap' AND folds IS NULL THEN 'no strict folds'
+      WHEN mode = 'strict' AND folds < required AND NOT better THEN 'too few folds' WHEN {BAD('pr_auc', 0.4)} THEN 'test score too low' WHEN {BAD('cv_pr_auc', 0.4)} THEN 'fold score too low' WHEN {BAD('positive_windows', 50)} THEN 'too few positive windows'
+      WHEN {BAD('positive_buckets', 50)} THEN 'too few positive buckets' WHEN {BAD('positive_events', 1)} THEN 'too few positive events' WHEN {OVER('brier', 0.25)} THEN 'brier score too high' WHEN {OVER('log_loss', 0.7)} THEN 'log loss too high'
+      WHEN production_mode IS NOT NULL AND (against IS NULL OR NOT isfinite(against)) THEN 'no production score' WHEN production_mode IS NOT NULL AND pr_auc <= against + 0.01 THEN 'not better than production' END AS z FROM p)
+    SELECT run, CASE WHEN z IS NULL THEN 'promote' WHEN z = 'not better than production' THEN 'skip' ELSE 'fail' END AS decision, coalesce(z, 'all thresholds met') AS reason FROM x"""
 )
 def l08_promotion(spark, sf):
-    k, val = F.col("k"), F.col("value")
-    runs = v.readings(spark, sf).groupBy(F.col("device_id").alias("run")).agg(
-        (F.avg(val) / 100).alias("pr_auc"), (F.avg(k) / 100).alias("cv_pr_auc"), F.count(F.lit(1)).alias("positive_windows"), F.max(k).alias("positive_buckets"), F.min(k).alias("positive_events"), (F.min(val) / 10).alias("brier"), (F.avg(k) / 80).alias("log_loss"), F.max(k).alias("mk")
-    ).withColumn("folds", 1 + F.col("run") % 3).withColumn("production_pr_auc", F.when(F.col("run") % 2 == 0, F.col("mk") / 250))
-    return metrics.promotion(runs, {"positive_events": 1, "pr_auc": 0.4}).select("run", "decision", "reason")
+    """Runs of devices, with missing, NaN and infinite evidence and production of every kind."""
+    k, val, d = F.col("k"), F.col("value"), F.col("device_id")
+    some = lambda n, x: F.when(F.first(d) % n > 0, x)
+    runs = v.readings(spark, sf).groupBy(d.alias("run")).agg(
+        F.when(F.first(d) % 19 == 0, float("nan")).otherwise(F.avg(val) / 100).alias("pr_auc"), some(23, F.avg(k) / 100).alias("cv_pr_auc"), some(29, F.count(F.lit(1))).alias("positive_windows"), some(31, F.max(k)).alias("positive_buckets"), some(37, F.min(k)).alias("positive_events"),
+        F.when(F.first(d) % 41 == 0, float("inf")).otherwise(F.min(val) / 10).alias("brier"), some(43, F.avg(k) / 80).alias("log_loss"), (F.max(k) / 250).alias("mk"), (F.avg(val) / 100).alias("mean"),
+    )
+    r = F.col("run")
+    runs = runs.withColumns({
+        "mode": F.when(r % 11 == 0, "bootstrap").when(r % 13 == 0, "degenerate").otherwise("strict"), "folds": F.when(r % 17 > 0, 1 + r % 3), "production_mode": F.when(r % 4 == 1, "bootstrap").when(r % 4 > 1, "strict"), "production_folds": 1 + r % 2,
+        "production_reported": F.when(r % 7 == 0, F.col("mean")).otherwise(F.col("mk")), "production_pr_auc": F.when(r % 5 == 0, F.col("mean")).when(r % 9 > 0, F.col("mk")),
+    })
+    return metrics.promotion(runs, {"positive_windows": 50, "positive_buckets": 50, "pr_auc": 0.4, "cv_pr_auc": 0.4, "brier": 0.25, "log_loss": 0.7, "delta": 0.01}).select("run", "decision", "reason")
 
 
 @query(f"{W} SELECT zone_id, round(avg(value), 8) AS mean_score, round(stddev_pop(value), 8) AS std_score, CAST(ceil(median(k)) AS BIGINT) AS epochs FROM readings GROUP BY 1")
@@ -530,10 +557,11 @@ def x01_x02_stream_buckets(spark, sf):
     return out.select(F.col("bucket").cast("timestamp_ntz").alias("bucket"), "zone_id", "sample_count", "min_count", "max_count", "mean_count", "median_count", "occupied")
 
 
-@query(f"{W} SELECT count(*) AS n, count(DISTINCT timestamp) AS times FROM readings")
+@query(f"{W} SELECT DISTINCT timestamp, zone_id FROM readings")
 def x04_stream_once(spark, sf):
-    out = _streamed(spark, sf, "x04", lambda rows: streams.once(rows, ["zone_id", "event_time"]))
-    return out.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_time").alias("times"))
+    """The rows themselves, each message being there twice."""
+    out = _streamed(spark, sf, "x04", lambda rows: streams.once(rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))), ["zone_id", "event_time"]))
+    return out.select(F.col("event_time").cast("timestamp_ntz").alias("timestamp"), "zone_id")
 
 
 @query(

@@ -123,12 +123,15 @@ def s19_backfill_plan(spark, sf):
 
 
 @query(
-    f"""{W}, n AS (SELECT *, row_number() OVER (ORDER BY timestamp, seq) AS rn FROM readings), f AS (SELECT min(rn) AS first FROM n WHERE timestamp >= TIMESTAMP '2024-01-03'),
-    t AS (SELECT unnest(range(0, 40))::BIGINT AS tick) SELECT tick, seq, rn FROM t, f JOIN n ON n.rn BETWEEN first + tick - 11 AND first + tick"""
+    f"""{W}, n AS (SELECT *, row_number() OVER (ORDER BY timestamp, seq) AS rn FROM readings), b AS (SELECT 'start' AS part, min(rn) FILTER (timestamp >= TIMESTAMP '2024-01-03') AS first, count(*) AS n FROM n UNION ALL SELECT 'none', 1, count(*) FROM n),
+    t AS (SELECT unnest(range(0, 40))::BIGINT AS tick UNION ALL SELECT unnest(range(1000000000, 1000000003))), c AS (SELECT part, tick, least(n, greatest(first, 10) + tick) AS last FROM t, b)
+    SELECT part, tick, seq, rn FROM c JOIN n ON n.rn BETWEEN last - 11 AND last"""
 )
 def s20_replay(spark, sf):
-    ticks = spark.range(40).select(F.col("id").alias("tick"))
-    return windows.replay(v.readings(spark, sf), ticks, 10, 2, "2024-01-03 00:00:00", ["timestamp", "seq"]).select("tick", "seq", F.col("rn").cast("long").alias("rn"))
+    """From a time, and from the first row, where the first tick waits for a whole window; ticks beyond the end repeat the last window."""
+    ticks = spark.range(40).union(spark.range(1_000_000_000, 1_000_000_003)).select(F.col("id").alias("tick"))
+    of = lambda part, start: windows.replay(v.readings(spark, sf), ticks, 10, 2, start, ["timestamp", "seq"]).select(F.lit(part).alias("part"), "tick", "seq", F.col("rn").cast("long").alias("rn"))
+    return of("start", "2024-01-03 00:00:00").union(of("none", None))
 
 
 @query(f"WITH {v.GRID}, c AS (SELECT date_trunc('hour', timestamp) AS timestamp, zone_id, CAST(count(*) AS DOUBLE) AS n FROM readings GROUP BY ALL), j AS (SELECT g.*, c.n FROM grid g LEFT JOIN c USING (timestamp, zone_id)) SELECT timestamp, " + ", ".join(f"round(max(value) FILTER (zone_id = {z}), 8) AS value_s{z}, max(n) FILTER (zone_id = {z}) AS n_s{z}" for z in range(1, 16)) + " FROM j GROUP BY 1")

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import random
 from datetime import date, datetime, timedelta
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sensorframe.functions import scalars
 from sensorframe.functions import time as ft
 from sensorframe.operators import buckets, joins, merge, metrics, models, query, reports, splits, windows
+from sensorframe.sources import io
 
 T0 = datetime(2024, 3, 4)
 ROW = "timestamp timestamp_ntz, device_id long, value double, seq long"
@@ -130,13 +132,14 @@ def test_events_restart_after_gaps_nulls_and_zones(spark):
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(values=st.lists(st.one_of(st.none(), st.floats(-50, 50, allow_nan=False)), min_size=1, max_size=30))
+@example(values=[5.0] + [None] * 199 + [8.0, float("inf"), float("nan")])
+@given(values=st.lists(st.one_of(st.none(), st.floats(-50, 50)), min_size=1, max_size=30))
 def test_ema_against_a_loop(spark, values):
     df = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)], "k long, i long, v double").repartition(2)
     got = [r["ema"] for r in windows.ema(df, "v", ["k"], ["i"]).orderBy("i").collect()]
     s = None
     for v, g in zip(values, got, strict=True):
-        s = s if v is None else v if s is None else v / 3 + s * 2 / 3
+        s = s if v is None or not math.isfinite(v) else v if s is None else v / 3 + s * 2 / 3
         assert (g is None and s is None) or abs(g - s) < 1e-9
 
 
@@ -145,6 +148,12 @@ def test_splits(spark):
     assert {r["split"]: r["n"] for r in splits.blind_last_days(df, 2).groupBy("split").agg(F.count("*").alias("n")).collect()} == {"test": 8, "pre_test": 12}
     with pytest.raises(ValueError):
         splits.blind_last_days(df, 5)
+    for day in ("2024-03-04", "2024-03-20"):
+        with pytest.raises(ValueError):
+            splits.blind_date(df, day)
+    for grouped, few in ((False, df.limit(1)), (True, df.where("seq = 0 AND device_id = 0").unionByName(df.where("seq = 0 AND device_id = 0")))):
+        with pytest.raises(ValueError):
+            splits.chronological_fold(few, 0.2, grouped)
     one = splits.chronological_fold(df.where("seq = 0"), 0.01)
     assert one.where("role = 'validation'").count() == 1
     folds = splits.rolling_folds(spark.createDataFrame([(date(2024, 1, d), d != 3) for d in range(1, 7)], "date date, eligible boolean"), 9, 2)
@@ -167,6 +176,55 @@ def test_metrics_of_degenerate_sets(spark):
     assert metrics.class_weight(of([(0, 0.1), (0, 0.2)])).first()[0] == 2.0
 
 
+def test_replay_is_held_at_both_ends(spark):
+    df = frame(spark, [(T0 + timedelta(seconds=10 * i), 1, float(i), i) for i in range(20)])
+    ticks = spark.range(15).select(F.col("id").alias("tick"))
+    got = {}
+    for r in windows.replay(df, ticks, 10, 3, None, ["timestamp", "seq"]).collect():
+        got.setdefault(r["tick"], []).append(r["seq"])
+    assert {t: sorted(x) for t, x in got.items()} == {t: list(range(max(0, min(9 + t, 19) - 12), min(9 + t, 19) + 1)) for t in range(15)}
+    for start, lookback in ((T0 + timedelta(days=1), 10), (None, 21)):
+        with pytest.raises(ValueError):
+            windows.replay(df, ticks, lookback, 3, start, ["timestamp", "seq"])
+
+
+def test_promotion_refuses_what_is_not_finite(spark):
+    good = {"mode": "strict", "folds": 2, "pr_auc": 0.9, "cv_pr_auc": 0.8, "positive_windows": 60.0, "positive_buckets": 60.0, "positive_events": 6.0, "brier": 0.1, "log_loss": 0.3, "production_mode": "strict", "production_folds": 1, "production_reported": 0.5, "production_pr_auc": 0.5}
+    evidence = ["pr_auc", "cv_pr_auc", "positive_windows", "positive_buckets", "positive_events", "brier", "log_loss", "production_pr_auc"]
+    cases = [(good, "promote")] + [({**good, c: bad}, "fail") for c in evidence for bad in (None, float("nan"), float("inf"))]
+    cases += [({**good, "production_pr_auc": 0.9}, "skip"), ({**good, "folds": 1}, "promote"), ({**good, "folds": 1, "production_reported": 0.9}, "fail"), ({**good, "folds": 2, "production_folds": 2}, "fail"), ({**good, "folds": 3, "production_folds": 3}, "promote")]
+    cases += [({**good, "mode": "bootstrap"}, "fail"), ({**good, "mode": "bootstrap", "production_mode": None, "folds": None}, "promote"), ({**good, "mode": "degenerate"}, "fail"), ({**good, "folds": None}, "fail"), ({**good, "production_mode": "other"}, "fail"), ({**good, "mode": None}, "fail")]
+    names = list(good)
+    schema = ", ".join(f"{n} {'string' if 'mode' in n else 'int' if 'folds' in n else 'double'}" for n in names)
+    runs = spark.createDataFrame([(i, *(c[n] for n in names)) for i, (c, _) in enumerate(cases)], f"run int, {schema}")
+    got = {r["run"]: (r["decision"], r["reason"]) for r in metrics.promotion(runs).collect()}
+    assert {i: d for i, (d, _) in got.items()} == {i: d for i, (_, d) in enumerate(cases)}, got
+
+
+def test_message_times_do_not_depend_on_the_zone_of_the_session(spark):
+    texts = ["1704067200", "1704067200.5", "2024-01-01T00:00:00Z", "2024-01-01 05:00:00+05:00", "2024-01-01 08:00:00", "2024-01-01_08-00-00", "2024-01-01T08:00:00", "nan", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    want = [datetime(2024, 1, 1, 8)] * 7 + [None, None]
+    want[1] = datetime(2024, 1, 1, 8, 0, 0, 500000)
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Singapore"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r["x"] for r in df.select("i", ft.message_time(F.col("t")).alias("x")).orderBy("i").collect()] == want
+            assert [r["x"] for r in df.where("i BETWEEN 2 AND 4").select("i", ft.to_local_naive(F.col("t")).alias("x")).orderBy("i").collect()] == want[2:5]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_stores_are_pruned(spark, tmp_path):
+    path = str(tmp_path / "store")
+    io.save_by_day(frame(spark, [(T0 + timedelta(hours=6 * i), 1, float(i), i) for i in range(40)]), path)
+    store = io.scan_raw(spark, path)
+    a, b = T0 + timedelta(days=2), T0 + timedelta(days=3)
+    hour = buckets.bucket_mean(store, {"value": F.col("value")}, 3600, ["device_id"], a, b)
+    for df, n in ((query.half_open(store, a, b), 4), (query.half_open(store, a, b, seconds=3600), 4), (query.half_open(store, a, date(2024, 3, 7)), 8), (query.by_region(store, a, b, [1]), 5), (hour, 4)):
+        assert df.count() == n and "PartitionFilters: []" not in df._jdf.queryExecution().toString()
+
+
 def test_rank_metrics_against_loops(spark):
     rng = random.Random(5)
     rows = [(int(rng.random() < 0.4), round(rng.random(), 1)) for _ in range(300)]
