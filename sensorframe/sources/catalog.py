@@ -62,8 +62,8 @@ def migrate_flat(spark: SparkSession) -> list[str]:
 
 
 def available(spark: SparkSession, layer: str) -> list[str]:
-    """Names of a layer's tables; none where the layer is not there."""
-    return sorted(t.name for t in spark.catalog.listTables(layer)) if spark.catalog.databaseExists(layer) else []
+    """Names of a layer's tables, without temporary views; none where the layer is not there."""
+    return sorted(t.name for t in spark.catalog.listTables(layer) if not t.isTemporary) if spark.catalog.databaseExists(layer) else []
 
 
 def row_count(spark: SparkSession, table: str) -> int:

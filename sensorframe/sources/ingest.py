@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..operators.merge import keep_first
+
 #: Keys of an envelope that may hold its records, in order.
 LISTS = ("data", "readings", "history", "results", "items")
 
@@ -65,6 +67,16 @@ def due_buffers(staged: DataFrame, now: Column, most_rows: int = 500, most_secon
     return g.withColumn("flush", (F.col("rows") >= most_rows) | (F.timestamp_diff("SECOND", F.col("oldest"), now) >= most_seconds) | F.lit(force))
 
 
+def flush_due(staged: DataFrame, now: Column, keys: list[str], seq: list[str], most_rows: int = 500, most_seconds: int = 300, by: str = "table", ts: str = "staged_at", force: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows to insert from the buffers that are due, the first of each key, and the staged rows that stay.
+
+    Write the former with :func:`sensorframe.operators.merge.insert_if_absent`, then put the latter in place of the staged rows.
+    """
+    due = due_buffers(staged, now, most_rows, most_seconds, [by], ts, force).where("flush").select(F.col(by).alias("_due"))
+    due = staged.join(due, F.col(by) == F.col("_due"), "left")  # a row a buffer
+    return keep_first(due.where("_due IS NOT NULL").drop("_due"), [by, *keys], seq), due.where("_due IS NULL").drop("_due")
+
+
 def backfill_plan(spark: SparkSession, devices: DataFrame, start: datetime, end: datetime, days: int = 5, lookback_seconds: Column | None = None) -> DataFrame:
     """Jobs of device x chunk (S19): half-open chunks clipped to the end; a source's first chunk may start earlier; sources take turns.
 

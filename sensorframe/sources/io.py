@@ -40,19 +40,34 @@ def build_bronze(table: DataFrame | None, scan: DataFrame, rebuild: bool = False
     return scan if rebuild or table is None else table.unionByName(scan, allowMissingColumns=True).distinct()
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, number, value) for every line of text files, numbered from 1 in each file.
+
+    Lines are numbered within the pieces that files are read in, and pieces by where they begin, from a row a piece; so a large file is not read by one task.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_piece"), F.monotonically_increasing_id().alias("_id"))
+    pieces = lines.groupBy("file", "_piece").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("file").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.select(F.col("file").alias("_file"), F.col("_piece").alias("_of"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = lines.join(starts, (F.col("file") == F.col("_file")) & (F.col("_piece") == F.col("_of")))
+    return own.select("file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("number"), "value")
+
+
 def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, skip: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rows of the right width, and the text of the lines that are not (S07); unless ``skip``, any such line is an error.
+    """Rows of the right width, and (file, number, width, line) of the lines that are not (S07); unless ``skip``, any such line is an error.
 
-    The first line of each file is the header, which is that of the schema; a value does not span lines.
+    The first line of each file is its header, whose width counts too; a line that reads like a header elsewhere is a row. A separator within double quotes
+    is part of its value; a value does not span lines; blank lines are none.
     """
-    wide = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    lines = spark.read.text(path).where(F.col("value") != ",".join(schema.names))
-    row = F.from_csv("value", wide.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = lines.withColumn("_row", row)
-    bad = parsed.where("_row._corrupt_record IS NOT NULL").select(F.col("value").alias("line"))
-    if not skip and (first := bad.head(3)):
-        raise ValueError(f"lines of another width: {[r['line'] for r in first]}")
-    return parsed.where("_row._corrupt_record IS NULL").select(*(F.col(f"_row.`{c}`").alias(c) for c in schema.names)), bad
+    lines = numbered_lines(spark, path).where(F.trim("value") != "")
+    width = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), ",", -1))
+    sized = lines.withColumn("width", width)
+    bad = sized.where(F.col("width") != len(schema.names)).select("file", "number", "width", F.col("value").alias("line"))
+    if not skip and (first := bad.orderBy("file", "number").head(3)):
+        raise ValueError(f"lines of another width than {len(schema.names)}: {[(r['number'], r['width']) for r in first]}")
+    row = F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "PERMISSIVE"})
+    good = sized.where((F.col("width") == len(schema.names)) & (F.col("number") > 1)).withColumn("_row", row)
+    return good.select(*(F.col(f"_row.`{c}`").alias(c) for c in schema.names)), bad
 
 
 def labelled_snapshot(df: DataFrame, label: str = "occupied") -> tuple[DataFrame, DataFrame]:

@@ -35,15 +35,66 @@ def test_convert_deals_rows_to_their_own_days(spark, tmp_path):
 
 
 def test_csv_width(spark, tmp_path):
-    (tmp_path / "x.csv").write_text("a,b\n1,2\n3\n4,5,6\n7,8\n")
+    (tmp_path / "x.csv").write_text('a,b\n1,2\n3\n4,5,6\n"7",8\n')
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
     good, bad = io.read_csv_checked(spark, str(tmp_path / "x.csv"), schema, skip=True)
     assert sorted(r["a"] for r in good.collect()) == [1, 7] and good.count() == 2
-    assert sorted(r["line"] for r in bad.collect()) == ["3", "4,5,6"]
+    assert sorted((r["number"], r["width"], r["line"]) for r in bad.collect()) == [(3, 1, "3"), (4, 3, "4,5,6")]
     with pytest.raises(ValueError):
         io.read_csv_checked(spark, str(tmp_path / "x.csv"), schema)
 
 
+def test_csv_lines_are_numbered_in_every_part(spark, tmp_path):
+    for part, header in ((1, "a,b"), (2, "a,b,c")):
+        lines = [header] + [f'{i},"x,{i}"' if i % 50 else "a,b" if i % 100 else f"{i}" for i in range(1, 2000)]
+        (tmp_path / f"p{part}.csv").write_text("\n".join(lines) + "\n")
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        good, bad = io.read_csv_checked(spark, str(tmp_path / "*.csv"), schema, skip=True)
+        want = [(p, i + 1, 1) for p in (1, 2) for i in range(100, 2000, 100)] + [(2, 1, 3)]
+        assert sorted((int(r["file"][-5]), r["number"], r["width"]) for r in bad.collect()) == sorted(want)
+        rows = good.collect()
+        assert len(rows) == 2 * (1999 - 19) and sum(r["a"] == "a" for r in rows) == 40 and {r["b"] for r in rows if r["a"] == "7"} == {"x,7"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_flush_takes_what_is_due_and_leaves_the_rest(spark):
+    now = F.lit(str(T0 + timedelta(seconds=400))).cast("timestamp_ntz")
+    staged = spark.createDataFrame([("old", T0, 1, 1), ("old", T0 + timedelta(seconds=390), 1, 2), ("new", T0 + timedelta(seconds=350), 1, 3)], "table string, staged_at timestamp_ntz, k int, seq long")
+    flush, stay = ingest.flush_due(staged, now, ["k"], ["seq"])
+    assert [r["seq"] for r in flush.collect()] == [1] and [r["seq"] for r in stay.collect()] == [3]
+    flush, stay = ingest.flush_due(staged, now, ["k"], ["seq"], force=True)
+    assert sorted(r["seq"] for r in flush.collect()) == [1, 3] and stay.count() == 0
+
+
+def test_late_payloads_are_counted_across_batches(spark, tmp_path):
+    schema = "room long, event_time timestamp, seq long, x double"
+    at = [0, 12, 5, 31, 22, 8, 45, 33, 60]
+    rows = [(1, T0 + timedelta(seconds=s), i, float(s)) for i, s in enumerate(at)]
+    df = stream_of(spark, tmp_path, [rows[:4], rows[4:]], schema)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = streams.to_memory(streams.room_buckets_in_order(df, ["x"]), "x03", str(tmp_path / "c3"))
+        q.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    closed, late, held, want = -1, 0, {}, []
+    for s in at:
+        for b in sorted(x for x in held if x < s // 10):
+            v = held.pop(b)
+            want.append((b, sum(v) / len(v), len(v), late))
+            closed = b
+        if s // 10 <= closed:
+            late += 1
+        else:
+            held.setdefault(s // 10, []).append(s)
+    got = [(int((r["bucket"] - T0).total_seconds()) // 10, r["x"], r["samples"], r["late"]) for r in spark.table("x03").orderBy("bucket").collect()]
+    assert got == want and late == 3
+
+
 def test_snapshot_needs_labels(spark, tmp_path):
     df = rows(spark).withColumn("occupied", F.lit(None).cast("int"))
     with pytest.raises(ValueError):
