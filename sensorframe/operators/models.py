@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .metrics import average_precision
+from .splits import blind_last_days
 
 
 def window_features(df: DataFrame, features: list[str], lookback: int, keys: list[str], ts: str = "timestamp") -> DataFrame:
@@ -60,7 +61,25 @@ def cross_validate(rows: DataFrame, folds: DataFrame, features: list[str], ts: s
         scored = predict(model, part.where(F.col("role") == "validation").where(F.col(label).isNotNull()), [ts], label).withColumnRenamed("y_true", "y")
         one = average_precision(scored).withColumn("fold", F.lit(f))
         out = one if out is None else out.unionByName(one)
-    return out
+    return rows.sparkSession.createDataFrame([], "pr_auc double, fold int") if out is None else out
+
+
+def select_and_test(rows: DataFrame, folds: DataFrame, candidates: dict[str, list[str]], test_days: int, ts: str = "timestamp", label: str = "occupied") -> dict[str, object]:
+    """Choose among candidates (a name and its features) by their mean average precision over the folds, fit the chosen one again to all rows before the last ``test_days`` dates and score it on those.
+
+    The folds are to lie before the blind dates; without folds the first candidate is chosen. Returns candidate, folds (scores by candidate), mean, model, test_pr_auc and test_rows: a few numbers a fold.
+    """
+    blind = blind_last_days(rows, test_days, ts).where(F.col(label).isNotNull())
+    before = blind.where("split = 'pre_test'").drop("split")
+    scores = {}
+    for name, features in candidates.items():
+        scores[name] = [r["pr_auc"] for r in cross_validate(before, folds, features, ts, label).collect() if r["pr_auc"] is not None]
+    mean = {name: sum(x) / len(x) if x else -1.0 for name, x in scores.items()}
+    chosen = max(mean, key=lambda name: mean[name])
+    model = fit_occupancy(before, candidates[chosen], label)
+    scored = predict(model, blind.where("split = 'test'"), [ts], label).withColumnRenamed("y_true", "y")
+    tested = average_precision(scored).first()["pr_auc"]
+    return {"candidate": chosen, "folds": scores, "mean": mean, "model": model, "test_pr_auc": 0.0 if tested is None else tested, "test_rows": scored.count()}
 
 
 def score_latest(model: PipelineModel, windows: DataFrame, zone: str = "zone_id", ts: str = "timestamp") -> DataFrame:

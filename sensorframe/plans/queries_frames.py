@@ -321,6 +321,13 @@ def t05_split_70_15_15(spark, sf):
     return splits.split_70_15_15(v.readings(spark, sf), False, order=["timestamp", "seq"]).select("seq", "split")
 
 
+@query(f"{W}, c AS (SELECT count(DISTINCT CAST(timestamp AS DATE)) - 1 AS dates FROM readings) SELECT dates, CASE WHEN dates >= 2 THEN 'rolling' ELSE 'emergency' END AS strict, 'bootstrap' AS without FROM c")
+def t06_choose_mode(spark, sf):
+    """How to validate on the dates before the last, with and without a look-back that strict rules allow."""
+    dates = v.readings(spark, sf).select(F.col("timestamp").cast("date")).distinct().count() - 1
+    return spark.createDataFrame([(dates, splits.choose_mode(dates, True), splits.choose_mode(dates, False))], "dates long, strict string, without string")
+
+
 VIABLE = "c AS (SELECT lookback, CASE WHEN CAST(timestamp AS DATE) < DATE '2024-01-20' THEN 'train' ELSE 'validation' END AS role, zone_id, timestamp, occupied FROM frame, (SELECT unnest([6, 24, 2000]) AS lookback)), q AS (SELECT *, row_number() OVER (PARTITION BY lookback, role, zone_id ORDER BY timestamp) AS n FROM c), g AS (SELECT 1 AS fold, role, lookback, count(*) FILTER (n >= lookback AND occupied IS NOT NULL) AS windows, count(*) FILTER (n >= lookback AND occupied = 1) AS positive_windows FROM q GROUP BY 2, 3)"
 
 
@@ -497,6 +504,33 @@ def l07_score_latest(spark, sf):
     return models.score_latest(models.fit_occupancy(rows, FEATURES), rows)
 
 
+BLIND = f"q AS (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY timestamp) AS n FROM frame), {DATES.replace('FROM frame', 'FROM q WHERE n >= 6')}, blind AS (SELECT q.* FROM q JOIN dates ON d = CAST(timestamp AS DATE) WHERE q.n >= 6 AND occupied IS NOT NULL AND i > dates.n - 3)"
+
+
+@query(f"WITH {v.FRAME}, {BLIND} SELECT timestamp, zone_id, 'test' AS split, occupied AS y_true, true AS within FROM blind")
+def l06_prediction_rows(spark, sf):
+    """The rows of the prediction table, and whether each probability is one."""
+    return l06_predictions(spark, sf).select(*KEYS, "split", "y_true", F.col("probability").between(0.0, 1.0).alias("within"))
+
+
+@query(f"WITH {v.GRID} SELECT zone_id, max(timestamp) AS timestamp, true AS within FROM grid GROUP BY 1")
+def l07_scored_zones(spark, sf):
+    """The latest window of each zone, and whether its probability is one."""
+    return l07_score_latest(spark, sf).select("zone_id", "timestamp", F.col("probability").between(0.0, 1.0).alias("within"))
+
+
+@query(f"WITH {v.FRAME}, {COVERAGE}, {BLIND}, p AS (SELECT count(*) AS n FROM coverage WHERE eligible AND date <= (SELECT max(date) FROM coverage) - 3) SELECT greatest(0, least(2, (n - 1) // 2))::INTEGER AS folds, true AS best_mean, true AS within, (SELECT count(*) FROM blind) AS test_rows FROM p")
+def l05_selection(spark, sf):
+    """Of two candidates the one of the better mean fold score, fitted again to all days before the blind ones and scored on those."""
+    coverage = reports.date_coverage(v.hourly(spark, sf), v.HOUR, 0.2, "zone_id")
+    last = coverage.agg(F.max("date")).first()[0]
+    folds = splits.rolling_folds(coverage.where(F.col("date") <= F.date_sub(F.lit(last), 3)), 2, 2)
+    chosen = models.select_and_test(_occupancy(spark, sf), folds, {"level": ["value"], "level and flag": FEATURES}, 3)
+    best = chosen["mean"][chosen["candidate"]] >= max(chosen["mean"].values())
+    scores = [x for fold in chosen["folds"].values() for x in fold] + [chosen["test_pr_auc"]]
+    return spark.createDataFrame([(len(chosen["folds"][chosen["candidate"]]), best, all(0 <= x <= 1 for x in scores), chosen["test_rows"])], "folds int, best_mean boolean, within boolean, test_rows long")
+
+
 RUN = """r AS (SELECT device_id AS run, CASE WHEN device_id % 11 = 0 THEN 'bootstrap' WHEN device_id % 13 = 0 THEN 'degenerate' ELSE 'strict' END AS mode, CASE WHEN device_id % 17 > 0 THEN 1 + device_id % 3 END AS folds,
     CASE WHEN device_id % 19 = 0 THEN 'NaN'::DOUBLE ELSE avg(value) / 100 END AS pr_auc, CASE WHEN device_id % 23 > 0 THEN avg(k) / 100 END AS cv_pr_auc, CASE WHEN device_id % 29 > 0 THEN count(*) END AS positive_windows,
     CASE WHEN device_id % 31 > 0 THEN max(k) END AS positive_buckets, CASE WHEN device_id % 37 > 0 THEN min(k) END AS positive_events, CASE WHEN device_id % 41 = 0 THEN 'Infinity'::DOUBLE ELSE min(value) / 10 END AS brier, CASE WHEN device_id % 43 > 0 THEN avg(k) / 80 END AS log_loss,
@@ -537,13 +571,30 @@ def l09_fold_summary(spark, sf):
     return metrics.fold_summary(v.readings(spark, sf), "value", "k", ["zone_id"]).transform(rounded("mean_score", "std_score"))
 
 
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _with_rocks(spark, run):
+    """Operators with their own state keep it in RocksDB."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKS)
+    try:
+        return run()
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def _streamed(spark, sf, name, make):
     """Run a streaming query over the events as a file stream into Parquet and read it back."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = v.load(spark, sf, "events").schema
     # a file stream takes a folder; the glob leaves the other tables out
     e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    rows = e.select(F.col("ts").cast("timestamp").alias("event_time"), (F.col("user_id") % 15 + 1).alias("zone_id"), F.get_json_object("props", "$.k").cast("int").alias("k"), "event_type", F.col("event_id").alias("seq"))
+    rows = e.select(F.col("ts").cast("timestamp").alias("event_time"), (F.col("user_id") % 15 + 1).alias("zone_id"), F.get_json_object("props", "$.k").cast("int").alias("k"), "event_type", F.col("event_id").alias("seq"), "value")
     out = make(rows)
     out.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).outputMode("append").start().awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{path}/out")
@@ -571,3 +622,81 @@ def x04_stream_once(spark, sf):
 def x09_stream_sessions(spark, sf):
     out = _streamed(spark, sf, "x09", lambda rows: streams.sessions(rows.where("event_type = 'click'"), 7200, ["zone_id"]))
     return out.select("zone_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), F.col("last_row").cast("timestamp_ntz").alias("last_row"), "rows")
+
+
+@query(
+    f"""{W}, s AS (SELECT zone_id, seq, value, date_trunc('hour', timestamp) AS b, max(date_trunc('hour', timestamp)) OVER (PARTITION BY zone_id ORDER BY timestamp, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM readings),
+    l AS (SELECT zone_id, max(b) AS last FROM s GROUP BY 1) SELECT s.zone_id, b AS bucket, round(avg(value), 8) AS value, count(*) AS samples, 0::BIGINT AS late FROM s JOIN l ON l.zone_id = s.zone_id AND s.b < l.last GROUP BY 1, 2"""
+)
+def x03_room_buckets(spark, sf):
+    """Hourly means of zones in the order of time: a later hour closes those before, the last one stays open, and nothing is late."""
+    make = lambda rows: streams.room_buckets_in_order(rows.withColumn("seq", F.unix_micros("event_time") * 4096 + F.col("seq") % 4096), ["value"], v.HOUR, "zone_id")
+    out = _with_rocks(spark, lambda: _streamed(spark, sf, "x03", make))
+    return out.select(F.col("room").alias("zone_id"), F.col("bucket").cast("timestamp_ntz").alias("bucket"), F.round("value", 8).alias("value"), "samples", "late")
+
+
+def _batches(spark, sf):
+    """Two micro-batches of partial rows: values first, then some labels and newer values of the same keys."""
+    r = v.readings(spark, sf).select("device_id", "seq", "value", "k")
+    one = r.where("seq % 2 = 0").select("device_id", F.col("seq").alias("at"), F.when(F.col("k") % 4 > 0, F.col("value")).alias("value"), F.lit(None).cast("int").alias("label"))
+    two = r.where("seq % 2 = 1").select("device_id", F.col("seq").alias("at"), F.when(F.col("k") % 5 == 0, F.col("value")).alias("value"), F.when(F.col("k") % 3 == 0, F.col("k")).alias("label"))
+    return one, two
+
+
+@query(f"{W} SELECT device_id, coalesce(arg_max(value, seq) FILTER (seq % 2 = 1 AND k % 5 = 0), arg_max(value, seq) FILTER (seq % 2 = 0 AND k % 4 > 0)) AS value, arg_max(k, seq) FILTER (seq % 2 = 1 AND k % 3 = 0) AS label FROM readings GROUP BY 1")
+def x05_sparse_appends(spark, sf):
+    """A table into which two micro-batches are merged, column by column."""
+    path, state = f"{shared_dir(spark)}/x05-{uuid.uuid4().hex}", []
+
+    def replace(df):
+        df.write.parquet(f"{path}/{len(state)}")
+        state.append(spark.read.schema(df.schema).parquet(f"{path}/{len(state)}"))
+
+    run = streams.merge_sparse(lambda: state[-1] if state else None, replace, ["device_id"], "at")
+    for i, batch in enumerate(_batches(spark, sf)):
+        run(batch, i)
+    return state[-1].select("device_id", "value", "label")
+
+
+@query(f"{W} SELECT seq, zone_id, last_value(CASE WHEN k % 3 = 0 THEN k::VARCHAR END IGNORE NULLS) OVER l AS brightness, last_value(CASE WHEN k % 5 = 0 THEN device_type END IGNORE NULLS) OVER l AS state FROM readings WINDOW l AS (PARTITION BY zone_id ORDER BY timestamp, seq ROWS UNBOUNDED PRECEDING)")
+def x06_stream_carry_forward(spark, sf):
+    """Partial updates of zones filled from state."""
+    updates = lambda rows: rows.select("zone_id", "event_time", "seq", F.when(F.col("k") % 3 == 0, F.col("k").cast("string")).alias("brightness"), F.when(F.col("k") % 5 == 0, F.col("event_type")).alias("state"))
+    out = _with_rocks(spark, lambda: _streamed(spark, sf, "x06", lambda rows: streams.carry_forward_stream(updates(rows), ["brightness", "state"], "zone_id")))
+    return out.select("seq", "zone_id", "brightness", "state")
+
+
+@query(f"{W} SELECT date_trunc('hour', timestamp) AS bucket, zone_id, count(*) AS n FROM readings GROUP BY 1, 2")
+def x07_restart(spark, sf):
+    """Buckets written by a run that stops half way and is started again from the beginning."""
+    path, parts = f"{shared_dir(spark)}/x07-{uuid.uuid4().hex}", []
+
+    def write(df):
+        df.write.parquet(f"{path}/{len(parts)}")
+        parts.append(f"{path}/{len(parts)}")
+
+    rows = v.readings(spark, sf).groupBy(buckets.floor_to(F.col("timestamp"), v.HOUR).alias("bucket"), "zone_id").agg(F.count(F.lit(1)).alias("n"))
+    run = streams.append_new(lambda: spark.read.schema(rows.schema).parquet(*parts) if parts else None, write, ["bucket", "zone_id"], ["n"])
+    run(rows.where("zone_id <= 7"), 0)
+    run(rows, 0)
+    return spark.read.schema(rows.schema).parquet(*parts)
+
+
+@query(f"{W} SELECT seq, CASE WHEN k % 3 > 0 THEN timestamp ELSE timestamp + INTERVAL 5 SECOND END AS payload_first, timestamp + INTERVAL 5 SECOND AS received FROM readings")
+def x08_event_time(spark, sf):
+    payload, received = F.when(F.col("k") % 3 > 0, F.col("timestamp")), F.timestamp_add("SECOND", F.lit(5), F.col("timestamp"))
+    return v.readings(spark, sf).select("seq", streams.event_time(payload, received).alias("payload_first"), streams.event_time(payload, received, False).alias("received"))
+
+
+@query(
+    f"""WITH {v.GAPPY}{v.LABELS[len(v.READINGS):]}, g AS (SELECT count(value) / count(*) >= 0.7 AND count(k) / count(*) >= 0.95 AS gate_ok FROM gappy), d AS (SELECT zone_id, timestamp, epoch_us(timestamp) - epoch_us(lag(timestamp) OVER (PARTITION BY zone_id ORDER BY timestamp)) AS gap FROM gappy),
+    c AS (SELECT zone_id, max(timestamp) AS timestamp, max(gap) <= 300000000 AND min(gap) >= 5000000 AND epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(timestamp)) <= 900000000 AS in_order FROM d GROUP BY 1),
+    l AS (SELECT timestamp AS lt, zone_id, max(source_topic) AS label FROM labels_raw GROUP BY 1, 2)
+    SELECT c.zone_id, c.timestamp, 0.5::DOUBLE AS probability, coalesce(c.in_order, false) AS in_order, g.gate_ok, l.label FROM g, c ASOF LEFT JOIN l ON l.zone_id = c.zone_id AND c.timestamp >= l.lt"""
+)
+def x10_live_scores(spark, sf):
+    """One event for each zone from its newest row: gate, cadence, probability and the label as of then."""
+    labels = v.labels_raw(spark, sf).groupBy(F.col("timestamp").alias("label_time"), "zone_id").agg(F.max("source_topic").alias("label"))
+    score = lambda df: df.select("zone_id", "timestamp", F.lit(0.5).alias("probability"))
+    out = streams.live_scores(v.gappy(spark, sf), score, labels, {"value": 0.7, "k": 0.95}, "2024-01-31 00:00:00", ["zone_id"])
+    return out.select("zone_id", "timestamp", "probability", F.coalesce("in_order", F.lit(False)).alias("in_order"), "gate_ok", "label")

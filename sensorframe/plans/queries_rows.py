@@ -6,11 +6,12 @@ import uuid
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars
 from ..operators import buckets, joins, merge, windows
 from ..operators import query as q
-from ..sources import ingest, io
+from ..sources import catalog, ingest, io
 from ..session import shared_dir
 from . import views as v
 from .registry import query
@@ -40,6 +41,66 @@ def s01_s02_partitioned_store(spark, sf):
     return io.scan_raw(spark, path).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("total"))
 
 
+def shared_path(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(f"{W} SELECT CAST(strftime(timestamp, '%Y') AS INTEGER) AS year, CAST(strftime(timestamp, '%m') AS INTEGER) AS month, CAST(strftime(timestamp, '%d') AS INTEGER) AS day, count(*) AS n, sum(seq)::BIGINT AS total, count(DISTINCT device_type) AS types FROM readings GROUP BY ALL")
+def s03_convert(spark, sf):
+    """CSV files of a device into its store by day."""
+    path = shared_path(spark, "convert")
+    rows = base(spark, sf).select(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"), "device_id", "device_type", "seq")
+    rows.write.option("header", True).csv(f"{path}/csv")
+    io.convert(spark, f"{path}/csv", "csv", f"{path}/store", device="air-1")
+    return io.scan_raw(spark, f"{path}/store/air-1").groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"), F.sum("seq").cast("long").alias("total"), F.countDistinct("device_type").alias("types"))
+
+
+@query(f"{W} SELECT 'bronze.air_1' AS \"table\", count(*) AS rows, 5 AS columns FROM readings UNION ALL SELECT 'silver.msr_2', 0, 0")
+def s05_catalog(spark, sf):
+    """A flat table moved to its layer, and one that is not there."""
+    catalog.create_layers(spark)
+    own = f"bronze_s05_{uuid.uuid4().hex[:12]}"
+    base(spark, sf).write.mode("overwrite").saveAsTable(own)
+    moved = [t for t in catalog.migrate_flat(spark) if t.endswith(own[len("bronze_") :])]
+    rows = [("bronze.air_1", catalog.row_count(spark, moved[0]), len(catalog.column_names(spark, moved[0]))), ("silver.msr_2", catalog.row_count(spark, "silver.no_such_table"), len(catalog.column_names(spark, "silver.no_such_table")))]
+    return spark.createDataFrame(rows, "`table` string, rows long, columns int")
+
+
+@query(
+    f"""{W}, l AS (SELECT seq, device_id % 10 AS file, 1 + row_number() OVER (PARTITION BY device_id % 10 ORDER BY seq) AS number, CASE WHEN seq % 97 = 0 THEN 1 WHEN seq % 89 = 0 THEN 4 ELSE 3 END AS width FROM readings)
+    SELECT 'bad' AS part, file, number, width FROM l WHERE width <> 3 UNION ALL SELECT 'good', file, count(*), 3 FROM l WHERE width = 3 GROUP BY 2"""
+)
+def s07_csv_width(spark, sf):
+    """Files of lines some of which are too short or too long: where those are, and how many rows of each file are good."""
+    path = shared_path(spark, "csv")
+    r = v.readings(spark, sf).withColumn("file", F.col("device_id") % 10)
+    text = F.when(F.col("seq") % 97 == 0, F.col("seq").cast("string")).when(F.col("seq") % 89 == 0, F.concat_ws(",", "seq", "file", "k", F.lit("more"))).otherwise(F.concat_ws(",", "seq", "file", F.lit('"a, b"')))
+    header = r.select("file", F.lit(-1).cast("long").alias("seq"), F.lit("seq,file,text").alias("value")).distinct()
+    lines = r.select("file", "seq", text.alias("value")).unionByName(header)
+    lines.repartition("file").sortWithinPartitions("file", "seq").select("file", "value").write.partitionBy("file").text(path)
+    schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("file", T.LongType()), T.StructField("text", T.StringType())])
+    good, bad = io.read_csv_checked(spark, f"{path}/file=*/*.txt", schema, skip=True)
+    bad = bad.select(F.lit("bad").alias("part"), F.regexp_extract("file", r"/file=(\d+)/", 1).cast("long").alias("file"), "number", "width")
+    return bad.unionByName(good.where("text = 'a, b'").groupBy("file").agg(F.count(F.lit(1)).alias("number")).select(F.lit("good").alias("part"), "file", "number", F.lit(3).alias("width")))
+
+
+@query(f"{W}, f AS (SELECT count(*) AS rows, sum(seq)::BIGINT AS total FROM readings) SELECT rows, total, true AS within FROM f")
+def s17_parts(spark, sf):
+    """A store in files of 50 rows at most, read as one."""
+    path = shared_path(spark, "parts")
+    io.save_by_day(base(spark, sf), path, most_rows=50)
+    files = io.scan_raw(spark, path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("t"))
+    return files.agg(F.sum("n").alias("rows"), F.sum("t").alias("total"), (F.max("n") <= 50).alias("within"))
+
+
+@query(f"{W}, b AS (SELECT device_id, count(*) >= 70 OR epoch_us(TIMESTAMP '2024-01-30 00:00:00') - epoch_us(min(timestamp)) >= 2500000000000 AS due FROM readings GROUP BY 1) SELECT 'flushed' AS part, r.device_id, min(seq) AS seq FROM readings r JOIN b USING (device_id) WHERE due GROUP BY r.device_id, k UNION ALL SELECT 'staged', r.device_id, seq FROM readings r JOIN b USING (device_id) WHERE NOT due")
+def s13_flush(spark, sf):
+    """Rows of the buffers that are due, the first of each key, and those that stay."""
+    staged = v.readings(spark, sf).select("device_id", F.col("timestamp").alias("staged_at"), "k", "seq")
+    flush, stay = ingest.flush_due(staged, F.lit("2024-01-30 00:00:00").cast("timestamp_ntz"), ["k"], ["seq"], 70, 2_500_000, by="device_id")
+    return flush.select(F.lit("flushed").alias("part"), "device_id", "seq").unionByName(stay.select(F.lit("staged").alias("part"), "device_id", "seq"))
+
+
 @query(f"{W} SELECT DISTINCT {COLS} FROM readings")
 def s06_build_bronze(spark, sf):
     r = base(spark, sf)
