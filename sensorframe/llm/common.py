@@ -27,11 +27,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     It cuts lineage, survives the loss of executors and is columnar and compressed. The folder
-    is unique to the call; whoever owns the shared folder clears it.
+    is unique to the call. Tables that rounds replace are discarded as they go; those that a result reads last as long as it does, and
+    whoever owns the shared folder clears it.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete what :func:`materialise` has written, once nothing reads it any more; other frames are left alone."""
+    for df in tables:
+        if path := getattr(df, "_folder", None) if df is not None else None:
+            jvm = df.sparkSession._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textnp
-from .common import materialise, numbered, spread_join, table
+from .common import discard, materialise, numbered, spread_join, table
 
 COORDINATES, BAND_ROWS, SIMILARITY = 128, 4, 0.8
 #: Rows of a block of a mixed band, at least and at most; shingles of a block at most, about; columns of a matrix.
@@ -210,13 +210,17 @@ def components(edges: DataFrame) -> DataFrame:
             further = parent.join(up, "_lo", "left")
             if further.where(F.col("_up").isNotNull()).isEmpty():
                 break
-            parent = materialise(further.select("_hi", F.coalesce("_up", "_lo").alias("_lo")), "parents")
+            old, parent = parent, materialise(further.select("_hi", F.coalesce("_up", "_lo").alias("_lo")), "parents")
+            discard(old)
         root = parent.select(F.col("_hi").alias("_comp"), F.col("_lo").alias("_root"))
-        labels = materialise(labels.join(root, "_comp", "left").select("_node", F.coalesce("_root", "_comp").alias("_comp")), "labels")
+        old, labels = labels, materialise(labels.join(root, "_comp", "left").select("_node", F.coalesce("_root", "_comp").alias("_comp")), "labels")
+        discard(old)
         a = parent.select("_hi", F.col("_lo").alias("_ra"))
         b = parent.select(F.col("_hi").alias("_lo"), F.col("_lo").alias("_rb"))
         moved = left.join(a, "_hi", "left").join(b, "_lo", "left").select(F.coalesce("_ra", "_hi").alias("_x"), F.coalesce("_rb", "_lo").alias("_y"))
-        left = materialise(moved.where("_x != _y").select(F.greatest("_x", "_y").alias("_hi"), F.least("_x", "_y").alias("_lo")).distinct(), "links")
+        old, left = left, materialise(moved.where("_x != _y").select(F.greatest("_x", "_y").alias("_hi"), F.least("_x", "_y").alias("_lo")).distinct(), "links")
+        discard(old, parent)
+    discard(left)
     return labels
 
 
@@ -240,7 +244,9 @@ def _classes(
     first = sketch.select(F.col("_row").alias("_node"), "_bands", "_n").join(nodes.select("_node"), "_node", "left_semi")
     members = materialise(first.select("_node", "_n", F.explode("_bands").alias("_band")), "bands")
     buckets = members.groupBy("_band").agg(F.min("_node").alias("_leader"), F.count(F.lit(1)).alias("_members")).where("_members > 1")
-    members = materialise(spread_join(members, materialise(buckets, "buckets"), "_band", "_members", "_node").drop("_members"), "candidates")
+    every, buckets = members, materialise(buckets, "buckets")
+    members = materialise(spread_join(every, buckets, "_band", "_members", "_node").drop("_members"), "candidates")
+    discard(every, buckets)
 
     named = members.select("_node").distinct().join(nodes.select("_node", "_print"), "_node")
     wanted = named.join(sketch.select(F.col("_row").alias("_node"), "_key"), "_node").select("_node", F.col("_print").alias("_want"), "_key")
@@ -269,8 +275,10 @@ def _classes(
     units = dealt.select("_band", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_block", "_node", "_comp", "_set")
     units = units.repartition("_band", "_i", "_j").sortWithinPartitions("_band", "_i", "_j")
     more = materialise(units.mapInArrow(_swept(similarity), "_a long, _b long").distinct(), "more-edges")
+    discard(mixed, sets, members)
     if not more.isEmpty():
-        labels = components(materialise(edges.union(more), "edges"))
+        first, labels = labels, components(materialise(edges.union(more), "edges"))
+        discard(first)
     classed = nodes.join(labels, "_node", "left").withColumn("_comp", F.coalesce("_comp", "_node"))
     least = classed.groupBy("_comp").agg(F.count(F.lit(1)).alias("_nodes"), F.min("_first").alias("_class"), F.sum("_rows").alias("_size"), F.min(F.struct(F.col("_first").isNull(), "_first", "_node")).alias("_best"))
     whole = spread_join(classed, materialise(least, "classes"), "_comp", "_nodes", "_node")

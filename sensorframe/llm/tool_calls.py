@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import discard, materialise, table
 
 CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
 KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
@@ -160,12 +160,14 @@ def _depths(edges: DataFrame, most: int, places: DataFrame | None = None) -> tup
         if places is not None:
             met = steps.join(places.withColumnRenamed("_node", "_to"), "_to").groupBy(F.col("_from").alias("_node")).agg(F.max("_ready").alias("_met"))
             later = F.when(F.col("_met") > F.col("_ready"), F.col("_met")).otherwise(F.col("_ready"))
-            places = materialise(places.join(met, "_node", "left").select("_node", later.alias("_ready")), "places")
+            old, places = places, materialise(places.join(met, "_node", "left").select("_node", later.alias("_ready")), "places")
+            discard(old)
         on = steps.select(F.col("_from").alias("_to"), F.col("_to").alias("_next"))
         further = materialise(steps.join(on, "_to").select("_from", F.col("_next").alias("_to")).distinct(), "steps")
         ended = steps.join(further.select("_from").distinct(), "_from", "left_anti").join(depth.withColumnRenamed("_node", "_to"), "_to", "left")
         found = ended.groupBy(F.col("_from").alias("_node")).agg((F.max(F.coalesce("_depth", F.lit(0))) + reach).cast("int").alias("_depth"))
-        depth = materialise(depth.union(found), "depths")
+        old, depth = depth, materialise(depth.union(found), "depths")
+        discard(old, steps)
         steps, reach = further, 2 * reach
     return depth, places
 
