@@ -10,6 +10,7 @@ from ..functions.scalars import clean_label, no_nan
 from ..functions.time import floor_to
 from .merge import keep_last
 from .query import pruned
+from .windows import in_blocks
 
 
 def bucket_mean(readings: DataFrame, values: dict[str, Column], seconds: int, keys: list[str], start=None, end=None, ts: str = "timestamp") -> DataFrame:
@@ -133,9 +134,9 @@ def occupied(count: Column, target: Column, rule: str = "threshold", threshold:
 
 def time_weighted_average(readings: DataFrame, keys: list[str], value: str = "value", ts: str = "timestamp", seq: str = "seq") -> DataFrame:
     """Average of the line through the readings of each key (A12); one reading, or no time between them, gives null."""
-    line = Window.partitionBy(*keys).orderBy(ts, seq)
-    rows = readings.where(no_nan(F.col(value)).isNotNull())
-    steps = rows.select(*keys, F.col(value).alias("v"), F.lead(value).over(line).alias("w"), (F.timestamp_diff("MICROSECOND", F.col(ts), F.lead(ts).over(line)) / 1e6).alias("dt"))
+    rows = in_blocks(readings.where(no_nan(F.col(value)).isNotNull()), keys, [ts, seq], 1)
+    line = Window.partitionBy(*keys, "_block").orderBy("_rn")
+    steps = rows.select(*keys, "_halo", F.col(value).alias("v"), F.lag(value).over(line).alias("w"), (F.timestamp_diff("MICROSECOND", F.lag(ts).over(line), F.col(ts)) / 1e6).alias("dt")).where("NOT _halo")
     total = F.sum("dt")
     return steps.groupBy(*keys).agg(F.when(total > 0, F.sum((F.col("v") + F.col("w")) / 2 * F.col("dt")) / total).alias("time_weighted_avg"), F.count(F.lit(1)).alias("samples"))
 

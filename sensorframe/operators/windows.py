@@ -6,13 +6,60 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.scalars import no_nan
 
 
-def _line(keys: list[str], ts: str):
-    return Window.partitionBy(*keys).orderBy(ts)
+#: Rows of a series that one task works on.
+BLOCK_ROWS = 100_000
+#: What blocks add to a frame.
+OWN = ("_rn", "_block", "_halo")
+
+
+def joined_within(df: DataFrame, facts: DataFrame, on: list[str]) -> DataFrame:
+    """Left join on columns that may be null; the facts' other columns are added."""
+    named = facts.select(*(F.col(c).alias(f"_on{i}") for i, c in enumerate(on)), *(c for c in facts.columns if c not in on))
+    same = F.lit(True)
+    for i, c in enumerate(on):
+        same = same & F.col(c).eqNullSafe(F.col(f"_on{i}"))
+    return df.join(named, same, "left").drop(*(f"_on{i}" for i in range(len(on))))
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], piece: Column) -> DataFrame:
+    """``_rn``, the row number of each key from 1: rows are numbered within pieces by ``piece``, which has to rise with the order, and offset by the sizes of the pieces before."""
+    cut = df.withColumn("_piece", piece)
+    sizes = cut.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)  # a row a piece
+    offsets = sizes.select(*keys, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = cut.withColumn("_own", F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy(*order)))
+    return joined_within(own, offsets, [*keys, "_piece"]).withColumn("_rn", F.col("_own") + F.col("_before")).drop("_own", "_before", "_piece")
+
+
+def coarse(df: DataFrame, column: str) -> Column:
+    """Pieces that rise with a column: days of times, ranges of numbers; other types are one piece."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(column) / BLOCK_ROWS)
+    return F.col(column).cast("date") if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)) else F.lit(0)
+
+
+def in_blocks(df: DataFrame, keys: list[str], order: list[str], halo: int) -> DataFrame:
+    """Adds _rn, _block and _halo: a series is cut into blocks of :data:`BLOCK_ROWS` rows, and each block also holds the ``halo`` rows before it, marked.
+
+    So a series of any length is many tasks; windows that look back ``halo`` rows at most see the same in their block.
+    """
+    rows = max(BLOCK_ROWS, halo)
+    at = numbered(df, keys, order, coarse(df, order[0]))
+    block = F.floor((F.col("_rn") - 1) / rows)
+    ends = (F.col("_rn") - 1) % rows >= rows - halo
+    places = F.array_compact(F.array(F.struct(block.alias("b"), F.lit(False).alias("h")), F.when(ends, F.struct((block + 1).alias("b"), F.lit(True).alias("h")))))
+    return at.withColumn("_at", F.explode(places)).withColumns({"_block": F.col("_at.b"), "_halo": F.col("_at.h")}).drop("_at")
+
+
+def _line(keys: list[str]):
+    return Window.partitionBy(*keys, "_block").orderBy("_rn")
 
 
 def present(df: DataFrame, feature: str) -> Column:
@@ -24,12 +71,12 @@ def present(df: DataFrame, feature: str) -> Column:
 
 def window_quality(df: DataFrame, features: list[str], lookback: int, required: float, keys: list[str], ts: str = "timestamp") -> DataFrame:
     """Mean presence over the last ``lookback`` rows of each core feature (W01): ``quality_ok`` needs a full window and all of them at ``required``."""
-    line = _line(keys, ts)
-    last = line.rowsBetween(-(lookback - 1), Window.currentRow)
+    last = _line(keys).rowsBetween(-(lookback - 1), Window.currentRow)
     shares = [F.avg(present(df, c)).over(last) for c in features]
     least = F.least(*shares) if len(shares) > 1 else shares[0]
-    full = F.row_number().over(line) >= lookback
-    return df.withColumn("window_full", full).withColumn("window_present", F.when(full, least)).withColumn("quality_ok", full & (F.col("window_present") >= required))
+    full = F.col("_rn") >= lookback
+    out = in_blocks(df, keys, [ts], lookback - 1).withColumns({"window_full": full, "window_present": F.when(full, least)}).where("NOT _halo")
+    return out.withColumn("quality_ok", full & (F.col("window_present") >= required)).drop(*OWN)
 
 
 def window_labels(df: DataFrame, features: list[str], lookback: int, required: float | None, keys: list[str], label: str = "occupied", ts: str = "timestamp") -> DataFrame:
@@ -41,19 +88,22 @@ def window_labels(df: DataFrame, features: list[str], lookback: int, required: f
 
 def make_windows(df: DataFrame, features: list[str], lookback: int, keys: list[str], label: str = "occupied", ts: str = "timestamp") -> DataFrame:
     """One row for each labelled end with its lookback x features values as floats (W03); windows stay within their keys."""
-    line = _line(keys, ts)
-    rows = F.collect_list(F.array(*(F.col(c).cast("float") for c in features))).over(line.rowsBetween(-(lookback - 1), Window.currentRow))
-    return df.withColumn("window", rows).where((F.size("window") == lookback) & F.col(label).isNotNull()).select(*keys, ts, label, "window")
+    rows = F.collect_list(F.array(*(F.col(c).cast("float") for c in features))).over(_line(keys).rowsBetween(-(lookback - 1), Window.currentRow))
+    return in_blocks(df, keys, [ts], lookback - 1).withColumn("window", rows).where((F.size("window") == lookback) & F.col(label).isNotNull() & ~F.col("_halo")).select(*keys, ts, label, "window")
 
 
 def positive_runs(df: DataFrame, keys: list[str], seconds: int, label: str = "occupied", ts: str = "timestamp") -> DataFrame:
     """Adds ``starts_event`` and ``event`` (a number within the keys) to positive rows (W04): an event starts after a row that is not positive or a gap of more than ``seconds``."""
-    line = _line(keys, ts)
+    line = _line(keys)
     positive = F.coalesce(F.col(label) == 1, F.lit(False))
     gap = F.timestamp_diff("MICROSECOND", F.lag(ts).over(line), F.col(ts)) / 1e6
     starts = positive & (~F.coalesce(F.lag(positive).over(line), F.lit(False)) | (gap > seconds))
-    out = df.withColumn("starts_event", starts.cast("int"))
-    return out.withColumn("event", F.when(positive, F.sum("starts_event").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    out = in_blocks(df, keys, [ts], 1).withColumn("starts_event", starts.cast("int")).where("NOT _halo")
+    sums = out.groupBy(*keys, "_block").agg(F.sum("starts_event").alias("_s"))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    offsets = sums.select(*keys, "_block", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_events"))
+    own = F.sum("starts_event").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return joined_within(out.withColumn("_e", own), offsets, [*keys, "_block"]).withColumn("event", F.when(positive, F.col("_e") + F.col("_events"))).drop("_e", "_events", *OWN)
 
 
 def evidence(df: DataFrame, keys: list[str], seconds: int, label: str = "occupied", ts: str = "timestamp") -> DataFrame:
@@ -64,7 +114,7 @@ def evidence(df: DataFrame, keys: list[str], seconds: int, label: str = "occupie
 def cadence(df: DataFrame, keys: list[str], now, step: int = 10, most_gap: int = 300, most_age: int = 900, ts: str = "timestamp") -> DataFrame:
     """Largest and least gap and age of each key in seconds, and whether they are in order."""
     seconds = lambda a, b: F.timestamp_diff("MICROSECOND", a, b) / 1e6
-    gaps = df.withColumn("_gap", seconds(F.lag(ts).over(_line(keys, ts)), F.col(ts)))
+    gaps = in_blocks(df, keys, [ts], 1).withColumn("_gap", seconds(F.lag(ts).over(_line(keys)), F.col(ts))).where("NOT _halo")
     out = gaps.groupBy(*keys).agg(F.max("_gap").alias("max_gap"), F.min("_gap").alias("min_gap"), seconds(F.max(ts), F.lit(str(now)).cast("timestamp_ntz")).alias("age"))
     ok = (F.coalesce("max_gap", F.lit(0.0)) <= most_gap) & (F.coalesce(F.col("min_gap"), F.lit(float(step))) >= step / 2) & (F.col("age") <= most_age)
     return out.withColumn("in_order", ok)
@@ -72,8 +122,8 @@ def cadence(df: DataFrame, keys: list[str], now, step: int = 10, most_gap: int =
 
 def windows_by_lookback(df: DataFrame, features: list[str], lookbacks: list[int], required: float | None, keys: list[str], label: str = "occupied", ts: str = "timestamp") -> DataFrame:
     """Windows and positive windows for each look-back (W06), from one pass over the sorted rows."""
-    line = _line(keys, ts)
-    out = df.withColumn("_n", F.row_number().over(line))
+    line = _line(keys)
+    out = in_blocks(df, keys, [ts], max(lookbacks) - 1).withColumn("_n", F.col("_rn"))
     cells = []
     for n in lookbacks:
         shares = [F.avg(present(df, c)).over(line.rowsBetween(-(n - 1), Window.currentRow)) for c in features]
@@ -82,13 +132,18 @@ def windows_by_lookback(df: DataFrame, features: list[str], lookbacks: list[int]
             good = good & ((F.least(*shares) if len(shares) > 1 else shares[0]) >= required)
         out = out.withColumn(f"_ok{n}", good & F.col(label).isNotNull())
         cells.append(F.struct(F.lit(n).alias("lookback"), F.count_if(F.col(f"_ok{n}")).alias("windows"), F.count_if(F.col(f"_ok{n}") & (F.col(label) == 1)).alias("positive_windows")))
-    return out.agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
+    return out.where("NOT _halo").agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
 
 
 def carry_forward(df: DataFrame, columns: list[str], keys: list[str], order: list[str]) -> DataFrame:
-    """Last known value of each column for partial updates."""
-    line = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.select(*(F.last(c, ignorenulls=True).over(line).alias(c) if c in columns else F.col(c) for c in df.columns))
+    """Last known value of each column for partial updates (W07), within blocks of a series and from the blocks before."""
+    own = in_blocks(df, keys, order, 0)
+    known = own.groupBy(*keys, "_block").agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_rn"))).alias(f"_k{i}") for i, c in enumerate(columns)))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    carried = known.select(*keys, "_block", *(F.last(f"_k{i}", ignorenulls=True).over(before).alias(f"_c{i}") for i in range(len(columns))))
+    line = _line(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(line), F.col(f"_c{i}")) for i, c in enumerate(columns)}
+    return joined_within(own, carried, [*keys, "_block"]).select(*(filled[c].alias(c) if c in filled else F.col(f"`{c}`") for c in df.columns))
 
 
 def ema(df: DataFrame, value: str, keys: list[str], order: list[str], span: int = 5, error: float = 1e-18) -> DataFrame:
@@ -99,12 +154,20 @@ def ema(df: DataFrame, value: str, keys: list[str], order: list[str], span: int
     alpha = 2.0 / (span + 1)
     frame = max(1, math.ceil(math.log(error) / math.log(1 - alpha))) if alpha < 1 else 1
     v = no_nan(F.col(value))
-    ok = F.when(~v.isin(float("inf"), float("-inf")), v)
-    finite = Window.partitionBy(*keys, "_ok").orderBy(*order).rowsBetween(-(frame - 1), Window.currentRow)
-    fold = F.aggregate(F.slice("_vs", 2, frame), F.element_at("_vs", 1), lambda s, x: x * alpha + s * (1 - alpha))
-    line = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = df.withColumn("_v", ok).withColumn("_ok", F.col("_v").isNotNull()).withColumn("_vs", F.collect_list("_v").over(finite))
-    return own.withColumn("_e", F.when(F.col("_ok"), fold)).withColumn("ema", F.last("_e", ignorenulls=True).over(line)).drop("_v", "_ok", "_vs", "_e")
+    own = in_blocks(df.withColumn("_v", F.when(~v.isin(float("inf"), float("-inf")), v)), keys, order, 0).withColumn("_ok", F.col("_v").isNotNull())
+    finite = Window.partitionBy(*keys, "_block", "_ok").orderBy("_rn")
+    # what the finite values of the block add, and how many there are so far
+    own = own.withColumns({"_vs": F.collect_list("_v").over(finite.rowsBetween(-(frame - 1), Window.currentRow)), "_m": F.when(F.col("_ok"), F.row_number().over(finite))})
+    own = own.withColumn("_p", F.when(F.col("_ok"), F.aggregate("_vs", F.lit(0.0), lambda s, x: x * alpha + s * (1 - alpha)))).drop("_vs")
+    line = _line(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = own.withColumns({c: F.last(c, ignorenulls=True).over(line) for c in ("_m", "_p")})
+    ends = own.groupBy(*keys, "_block").agg(F.max_by(F.struct("_p", "_m"), F.when(F.col("_m").isNotNull(), F.col("_rn"))).alias("_end"), F.min_by("_v", F.when(F.col("_ok"), F.col("_rn"))).alias("_x"))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    first = F.first("_x", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    carried = ends.select(*keys, "_block", F.aggregate(F.collect_list("_end").over(before), first, lambda s, e: e["_p"] + F.pow(F.lit(1 - alpha), e["_m"]) * s).alias("_carry"), F.coalesce(F.count("_end").over(before) > 0, F.lit(False)).alias("_some"))
+    out = joined_within(own, carried, [*keys, "_block"])
+    ema_ = F.when(F.col("_m").isNotNull(), F.col("_p") + F.pow(F.lit(1 - alpha), F.col("_m")) * F.col("_carry")).when(F.col("_some"), F.col("_carry"))
+    return out.withColumn("ema", ema_).select(*(F.col(f"`{c}`") for c in df.columns), "ema")
 
 
 def latest_rows(df: DataFrame, device: str = "device_id", order: list[str] | None = None) -> DataFrame:
@@ -115,8 +178,7 @@ def latest_rows(df: DataFrame, device: str = "device_id", order: list[str] | Non
 
 def strictly_rising(df: DataFrame, keys: list[str], ts: str = "timestamp") -> DataFrame:
     """Whether each key's times rise and are unique in arrival order ``seq``."""
-    line = Window.partitionBy(*keys).orderBy("seq")
-    step = df.withColumn("_up", F.coalesce(F.lag(ts).over(line) < F.col(ts), F.lit(True)))
+    step = in_blocks(df, keys, ["seq"], 1).withColumn("_up", F.coalesce(F.lag(ts).over(_line(keys)) < F.col(ts), F.lit(True))).where("NOT _halo")
     return step.groupBy(*keys).agg(F.every("_up").alias("rising"), (F.countDistinct(ts) == F.count(F.lit(1))).alias("unique"))
 
 
@@ -127,7 +189,7 @@ def replay(df: DataFrame, ticks: DataFrame, lookback: int, slack: int, start, or
     and a table of fewer rows than ``lookback`` are errors. Ticks are spread over the row numbers that they want, so the join is on equal numbers.
     """
     take = lookback + slack
-    ranked = _numbered(df, order, ts)
+    ranked = numbered(df, [], order, F.col(ts).cast("date")).withColumnRenamed("_rn", "rn")
     from_ = F.lit(True) if start is None else F.col(ts) >= F.lit(str(start)).cast("timestamp_ntz")
     first, rows = ranked.agg(F.min(F.when(from_, F.col("rn"))), F.count(F.lit(1))).first()
     if first is None:
@@ -137,12 +199,3 @@ def replay(df: DataFrame, ticks: DataFrame, lookback: int, slack: int, start, or
     end = F.least(F.lit(rows), F.lit(max(first, lookback)) + F.col("tick"))
     wanted = ticks.select("tick", F.explode(F.sequence(F.greatest(F.lit(1), end - (take - 1)), end)).alias("rn"))
     return ranked.join(wanted, "rn")
-
-
-def _numbered(df: DataFrame, order: list[str], ts: str) -> DataFrame:
-    """Global row number ``rn`` from 1 in time order: numbered within days, with each day's offset."""
-    day = df.withColumn("_day", F.col(ts).cast("date"))
-    sizes = day.groupBy("_day").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")  # a row a day
-    own = day.withColumn("_own", F.row_number().over(Window.partitionBy("_day").orderBy(*order)))
-    return own.join(offsets, "_day").withColumn("rn", F.col("_own") + F.col("_before")).drop("_own", "_before", "_day")

@@ -10,6 +10,7 @@ import pytest
 from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sensorframe.functions import scalars
 from sensorframe.functions import time as ft
@@ -176,6 +177,35 @@ def test_metrics_of_degenerate_sets(spark):
     assert metrics.class_weight(of([(0, 0.1), (0, 0.2)])).first()[0] == 2.0
 
 
+def test_blocks_of_a_series_do_not_show(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = []
+    for z in (1, 2, None):
+        at = 0
+        for i in range(rng.choice([1, 40, 75])):
+            at += rng.choice([10, 10, 10, 3600, 40000])
+            rows.append((T0 + timedelta(seconds=at), z, rng.choice([None, float(i), float("nan"), 2.5]), rng.choice([None, 0, 1, 1]), len(rows)))
+    df = frame(spark, rows, "timestamp timestamp_ntz, zone_id long, value double, occupied int, seq long")
+
+    def all_of():
+        k = ["zone_id"]
+        frames = [
+            windows.window_quality(df, ["value"], 5, 0.5, k), windows.make_windows(df, ["value"], 5, k), windows.positive_runs(df, k, 10), windows.cadence(df, k, T0 + timedelta(days=60)),
+            windows.windows_by_lookback(df, ["value"], [2, 5], 0.4, k), windows.carry_forward(df, ["value", "occupied"], k, ["timestamp", "seq"]), windows.ema(df, "value", k, ["timestamp", "seq"]),
+            windows.strictly_rising(df, k), buckets.time_weighted_average(df, k),
+        ]
+        plain = lambda x: round(x, 9) if isinstance(x, float) and x == x else str(x)
+        return [(f.columns, sorted(([plain(x) for x in r] for r in f.collect()), key=str)) for f in frames]
+
+    whole = all_of()
+    for size in (7, 4):
+        monkeypatch.setattr(windows, "BLOCK_ROWS", size)
+        assert all_of() == whole
+    line = Window.partitionBy("zone_id").orderBy("timestamp")
+    want = df.withColumn("w", F.avg(windows.present(df, "value")).over(line.rowsBetween(-4, 0))).where("w IS NOT NULL").agg(F.sum("w")).first()[0]
+    assert len(whole[0][1]) == df.count() and want is not None
+
+
 def test_replay_is_held_at_both_ends(spark):
     df = frame(spark, [(T0 + timedelta(seconds=10 * i), 1, float(i), i) for i in range(20)])
     ticks = spark.range(15).select(F.col("id").alias("tick"))
