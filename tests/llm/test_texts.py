@@ -135,6 +135,42 @@ def test_class_lm_base_and_totals(spark):
     assert class_lm.class_lm_scores(spark.createDataFrame([], DOCS), F.lit(True)).count() == 0
 
 
+def test_scores_against_a_brute_force_model_of_one_class(spark):
+    rng = random.Random(11)
+    texts = [words(rng, rng.randrange(0, 40), 60) + rng.choice(["", " rare" + str(rng.randrange(500)), " q" * 3]) for _ in range(300)] + ["w1 " * 30000, "", None, "unheard of WORDS here"]
+    rows = [(i, t, "x", 1, 2) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string, rare int, _row int").repartition(3)
+    out = {r["doc_id"]: r["score"] for r in class_lm.class_lm_scores(docs, remainder("doc_id", 10) != 0, single=10, classes=2, head=25).collect()}
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+    shape = {}
+    for t in texts:
+        batch = pa.RecordBatch.from_arrays([pa.array([t or ""])], ["t"])
+        for _, _, data, offsets in textnp.chunks(batch, "t"):
+            shape |= dict(zip(split(t), (int(c) & 255 for c in class_lm.tokens(data, offsets)[0]), strict=True))
+    train = [split(t) for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 10]
+    count = Counter(w for t in train for w in t)
+    g = np.zeros((2, 2))
+    for t in train:
+        cls = [0, *[1] * len(t), 0]
+        for a, b in zip(cls, cls[1:], strict=False):
+            g[a, b] += 1
+    share = g.sum(axis=0)
+    prior = (share + 0.5) / (share.sum() + 1)
+    transition = (g + 5 * prior) / (g.sum(axis=1, keepdims=True) + 5)
+    n1, n2, total = (sum(n == x for n in count.values()) for x in (1, 2, -1))
+    total = sum(count.values())
+    d = min(0.9, max(0.1, (n1 + 0.5) / (n1 + 2 * n2 + 1)))
+    weight = np.full(class_lm.SHAPES, 0.5)
+    for w, n in count.items():
+        weight[shape[w]] += (n == 1) + 1e-3
+    unseen = d * len(count) / total * weight / weight.sum()
+    assert abs(sum((n - d) / total for n in count.values()) + unseen.sum() - 1) < 1e-9 and np.allclose(transition.sum(axis=1), 1)
+    for i, t in enumerate(texts):
+        cls = [0, *[1] * len(split(t)), 0]
+        want = sum(math.log10(transition[a, b]) for a, b in zip(cls, cls[1:], strict=False)) + sum(math.log10((count[w] - d) / total if w in count else unseen[shape[w]]) for w in split(t))
+        assert abs(out[i] - want) < 1e-6 * max(1, abs(want)), i
+
+
 def test_class_bigrams_beat_the_base_where_order_matters(spark):
     rng = random.Random(9)
     line = lambda: " ".join(f"{k}{rng.randrange(12)}" for _ in range(20) for k in ("noun", "verb", "adj"))
