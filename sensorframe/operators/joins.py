@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Rectangles that workers hold; pixels of a cell in which more of them meet boxes.
+MOST_ZONES, CELL = 10_000, 128
+
+
 def assert_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """The frame, if no key repeats; else an error (J10: each side for one-to-one, the right for many-to-one)."""
     if not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
@@ -90,8 +94,14 @@ def _overlaps(boxes: DataFrame, zones: DataFrame, width: int, height: int) -> Da
     """Boxes clipped to the frame with the zones they touch; rectangles are half-open in pixels, so the far edge is not in."""
     clip = lambda c, n: F.greatest(F.lit(0), F.least(F.lit(n), F.col(c)))
     box = boxes.withColumns({"x1": clip("x1", width), "x2": clip("x2", width), "y1": clip("y1", height), "y2": clip("y2", height)})
-    # zones are the rectangles drawn for one room
-    met = box.join(F.broadcast(zones), (F.col("x1") < F.col("zx2")) & (F.col("x2") > F.col("zx1")) & (F.col("y1") < F.col("zy2")) & (F.col("y2") > F.col("zy1")))
+    touch = (F.col("x1") < F.col("zx2")) & (F.col("x2") > F.col("zx1")) & (F.col("y1") < F.col("zy2")) & (F.col("y2") > F.col("zy1"))
+    if zones.limit(MOST_ZONES + 1).count() <= MOST_ZONES:
+        met = box.join(F.broadcast(zones), touch)
+    else:  # both sides meet in cells of the picture; a pair counts in the cell where its common part begins
+        cells = lambda df, side, a, b: df.withColumn(side, F.explode(F.sequence(F.floor(F.col(a) / CELL), F.floor(F.greatest(F.col(a), F.col(b) - 1) / CELL))))
+        left, right = cells(cells(box, "_cx", "x1", "x2"), "_cy", "y1", "y2"), cells(cells(zones, "_cx", "zx1", "zx2"), "_cy", "zy1", "zy2")
+        begins = (F.col("_cx") == F.floor(F.greatest("x1", "zx1") / CELL)) & (F.col("_cy") == F.floor(F.greatest("y1", "zy1") / CELL))
+        met = left.join(right, ["_cx", "_cy"]).where(touch & begins).drop("_cx", "_cy")
     side = lambda a, b, c, d: F.greatest(F.lit(0), F.least(b, d) - F.greatest(a, c))
     inside = side(F.col("x1"), F.col("x2"), F.col("zx1"), F.col("zx2")) * side(F.col("y1"), F.col("y2"), F.col("zy1"), F.col("zy2"))
     return met.withColumn("ratio", inside / F.greatest(F.lit(1), (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))))

@@ -12,18 +12,18 @@ from pyspark.sql.window import Window
 
 from .metrics import average_precision
 from .splits import blind_last_days
+from .windows import OWN, in_blocks
 
 
 def window_features(df: DataFrame, features: list[str], lookback: int, keys: list[str], ts: str = "timestamp") -> DataFrame:
     """Mean, spread, least, greatest and last of each feature over the last ``lookback`` rows of its key; full windows only."""
-    line = Window.partitionBy(*keys).orderBy(ts)
-    last = line.rowsBetween(-(lookback - 1), Window.currentRow)
-    out = df.withColumn("_n", F.row_number().over(line))
+    last = Window.partitionBy(*keys, "_block").orderBy("_rn").rowsBetween(-(lookback - 1), Window.currentRow)
+    out = in_blocks(df, keys, [ts], lookback - 1)
     made = {}
     for c in features:
         v = F.col(c).cast("double")
         made |= {f"{c}_avg": F.avg(v).over(last), f"{c}_sd": F.stddev_pop(v).over(last), f"{c}_min": F.min(v).over(last), f"{c}_max": F.max(v).over(last), f"{c}_now": F.coalesce(v, F.avg(v).over(last))}
-    return out.select("*", *(F.coalesce(x, F.lit(0.0)).alias(n) for n, x in made.items())).where(F.col("_n") >= lookback).drop("_n")
+    return out.select("*", *(F.coalesce(x, F.lit(0.0)).alias(n) for n, x in made.items())).where((F.col("_rn") >= lookback) & ~F.col("_halo")).drop(*OWN)
 
 
 def model_columns(features: list[str]) -> list[str]:

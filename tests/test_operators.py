@@ -96,13 +96,16 @@ def test_as_of_across_days_and_ties(spark):
     assert out == {0: (None, None), 1: ("a", 0.0), 2: ("b", 8 * 1440.0), 3: (None, None), 4: (None, None)}
 
 
-def test_largest_overlap_first_zone_on_ties(spark):
+def test_largest_overlap_first_zone_on_ties(spark, monkeypatch):
     zones = spark.createDataFrame([(1, 0, 0, 0, 10, 10), (2, 1, 10, 0, 20, 10), (16, 2, 0, 0, 99, 99)], "zone_id long, zone_order long, zx1 long, zy1 long, zx2 long, zy2 long")
     boxes = spark.createDataFrame([(1, 5, 0, 15, 10), (2, 8, 0, 18, 10), (3, 50, 50, 60, 60), (4, -5, -5, 5, 5), (5, 3, 3, 3, 3)], "box_id long, x1 int, y1 int, x2 int, y2 int")
     got = {r["box_id"]: r["zone_id"] for r in joins.assign_zone(boxes, zones, 0.0, 100, 100).collect()}
     assert got == {1: 1, 2: 2, 4: 1}
-    both = {(r["box_id"], r["zone_id"]) for r in joins.zones_of(boxes, zones.where("zone_id < 16"), 0.4, 100, 100).collect()}
-    assert both == {(1, 1), (1, 2), (2, 2), (4, 1)}
+    for most, cell in ((10_000, 128), (1, 7), (1, 128)):
+        monkeypatch.setattr(joins, "MOST_ZONES", most)
+        monkeypatch.setattr(joins, "CELL", cell)
+        both = sorted((r["box_id"], r["zone_id"]) for r in joins.zones_of(boxes, zones.where("zone_id < 16"), 0.4, 100, 100).collect())
+        assert both == [(1, 1), (1, 2), (2, 2), (4, 1)]
 
 
 def test_state_carry_edges(spark):
