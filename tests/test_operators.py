@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import statistics
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -209,6 +210,18 @@ def test_blocks_of_a_series_do_not_show(spark, monkeypatch):
     assert len(whole[0][1]) == df.count() and want is not None
 
 
+def test_median_in_rounds(spark, monkeypatch):
+    rng = random.Random(2)
+    for n in (1, 2, 7, 500, 501):
+        values = [rng.choice([rng.gauss(0, 1e6), 3.0, rng.random()]) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in [*values, None, float("nan"), float("inf")]], "x double")
+        for few in (10_000, 4):
+            monkeypatch.setattr(reports, "FEW_ROWS", few)
+            assert reports.exact_median(df, "x") == pytest.approx(statistics.median(values), abs=1e-9)
+    assert reports.fill_values(df.where("x IS NULL"), ["x"]).first()["x"] == 0.0
+    assert reports.exact_median(spark.createDataFrame([(2.0,)] * 50, "x double"), "x") == 2.0
+
+
 def test_replay_is_held_at_both_ends(spark):
     df = frame(spark, [(T0 + timedelta(seconds=10 * i), 1, float(i), i) for i in range(20)])
     ticks = spark.range(15).select(F.col("id").alias("tick"))
