@@ -53,6 +53,26 @@ def test_stages(spark):
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF).collect()) == sorted(after)
 
 
+def test_nulls_repeated_rows_and_other_columns(spark, tmp_path):
+    docs = table(spark, SF, "documents").limit(60)
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, None, None, None, None), (None, "you idiot scum, you moron " * 3, None, "web", 1), (10**9, "", "en", None, 0), (10**9, "", "en", None, 0), (10**9 + 1, "word " * 200_000, "en", "web", 1)], docs.schema)
+    more = docs.unionByName(odd).unionByName(docs.limit(20)).selectExpr("*", "1 AS _row", "'x' AS shard", "2 AS _key", "3 AS mix_position", "4 AS _place", "'y' AS _t")
+    path = str(tmp_path / "odd")
+    more.repartition(4).write.parquet(path)
+    docs = spark.read.parquet(path)
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs.count()
+        docs = materialise(stage(spark, docs, SF), "test-odd")
+        assert 0 < docs.count() <= before
+        if name != "sharding":
+            assert docs.columns == columns
+        if name in ("mixing", "sharding"):
+            assert docs.count() == before
+    ids = [r["doc_id"] for r in docs.collect()]
+    assert ids.count(10**9) <= 1 and len(ids) == len(set(ids)) and "slot" in docs.columns and docs.where("shard BETWEEN 0 AND 23").count() == len(ids)
+
+
 def test_empty_documents(spark):
     docs = table(spark, SF, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
