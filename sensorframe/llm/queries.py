@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import class_lm, decontamination, exact_dedup, mixing, near_dup, quality, secrets, sharding, tool_calls, toxicity
+from . import class_lm, decontamination, divergence, exact_dedup, mixing, near_dup, quality, secrets, sharding, spelling, token_counts, tool_calls, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,9 @@ def queries() -> dict[str, Query]:
         "op8_pfair_mixing": mixing.op8_pfair_mixing,
         "op9_content_sort_dedup": exact_dedup.op9_content_sort_dedup,
         "op10_tool_call_linking": tool_calls.op10_tool_call_linking,
+        "op11_spelling_variants": spelling.op11_spelling_variants,
+        "op12_source_divergence": divergence.op12_source_divergence,
+        "op13_token_counts": token_counts.op13_token_counts,
     }
 
 
@@ -31,4 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_containment_search": decontamination.OP4_SQL,
         "op9_content_sort_dedup": exact_dedup.OP9_SQL,
         "op10_tool_call_linking": tool_calls.OP10_SQL,
+        "op11_spelling_variants": spelling.OP11_SQL,
+        "op12_source_divergence": divergence.OP12_SQL,
     }

@@ -46,34 +46,42 @@ def chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.nd
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, row, start and end of every word; words are runs of ``solid`` bytes, A-Z in lower case."""
-    if not len(data):
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every run of marked bytes; runs end where their row does."""
+    if not len(inside):
         none = np.zeros(0, dtype=np.int64)
-        return none.astype(np.uint64), none, none, none
-    is_word = solid[data]
-    before = np.empty_like(is_word)
+        return none, none
+    before = np.empty_like(inside)
     before[0] = False
-    before[1:] = is_word[:-1]
+    before[1:] = inside[:-1]
     edges = offsets[1:-1]
-    before[edges[edges < len(data)]] = False
-    after = np.empty_like(is_word)
+    before[edges[edges < len(inside)]] = False
+    after = np.empty_like(inside)
     after[-1] = False
-    after[:-1] = is_word[1:]
-    inner = edges[(edges > 0) & (edges <= len(data))] - 1
+    after[:-1] = inside[1:]
+    inner = edges[(edges > 0) & (edges <= len(inside))] - 1
     after[inner] = False
-    start, end = np.flatnonzero(is_word & ~before), np.flatnonzero(is_word & ~after) + 1
-    length = end - start
-    if not len(start):
-        return np.zeros(0, dtype=np.uint64), start, start, end
+    return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+
+
+def hashes(data: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A hash of each of the strings that the bytes hold one after the other."""
     first = np.cumsum(length) - length
     at = np.arange(first[-1] + length[-1]) - np.repeat(first, length)
-    terms = (LOWER[data[is_word]].astype(np.uint64) + np.uint64(1)) * _POWERS[at & 1023]
+    terms = (data.astype(np.uint64) + np.uint64(1)) * _POWERS[at & 1023]
     if length.max() > 1024:
         far = np.flatnonzero(at >= 1024)
         terms[far] *= _KILO[(at[far] >> 10) & 1023] * _MEGA[at[far] >> 20]
-    code = mix(np.add.reduceat(terms, first) + length.astype(np.uint64) * _MIX[1])
-    return code, np.searchsorted(offsets, start, side="right") - 1, start, end
+    return mix(np.add.reduceat(terms, first) + length.astype(np.uint64) * _MIX[1])
+
+
+def words(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, row, start and end of every word; words are runs of ``solid`` bytes, A-Z in lower case."""
+    is_word = solid[data]
+    start, end = runs(is_word, offsets)
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64), start, start, end
+    return hashes(LOWER[data[is_word]], end - start), np.searchsorted(offsets, start, side="right") - 1, start, end
 
 
 def shingles(code: np.ndarray, row: np.ndarray, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
