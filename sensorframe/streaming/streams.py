@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..operators.joins import as_of
-from ..operators.merge import insert_if_absent, sparse_merge
+from ..operators.merge import insert_if_absent, keep_first, sparse_merge
 from ..operators.reports import live_gate
 from ..operators.windows import cadence, latest_rows
+from ..sources.ingest import split_dead_letters
+from ..sources.versions import VersionedTable
+from .ordered import carry_forward_stream, live_tail, room_buckets_in_order, staged_rows  # noqa: F401  forms with their own state
 
 
 def event_time(payload_time: Column, received: Column, use_payload: bool = True) -> Column:
@@ -46,60 +46,6 @@ def room_buckets(samples: DataFrame, numbers: list[str], seconds: int = 10, ts:
     return stats.select(F.col("window.start").alias("bucket"), *numbers, "samples")
 
 
-class RoomBuckets(StatefulProcessor):
-    """Open buckets and the last closed one of a room, with the number of late payloads."""
-
-    def __init__(self, numbers: list[str], seconds: int):
-        self.numbers, self.seconds = numbers, seconds
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getMapState("open", "bucket long", "n long, " + ", ".join(f"`{c}` double, `n_{c}` long" for c in self.numbers))
-        self.state = handle.getValueState("state", "closed long, late long")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        closed, late = self.state.get() if self.state.exists() else (None, 0)
-        held = {b[0]: list(v) for b, v in self.open.iterator()}
-        out = []
-        for pdf in rows:
-            pdf = pdf.sort_values("seq", kind="stable")
-            slots = (pdf["event_time"].astype("int64") // {"ns": 10**9, "us": 10**6, "ms": 10**3, "s": 1}[pdf["event_time"].dt.unit] // self.seconds * self.seconds).tolist()
-            for slot, *values in zip(slots, *(pdf[c].tolist() for c in self.numbers), strict=True):
-                for b in sorted(x for x in held if x < slot):  # a later bucket closes those before
-                    out.append((b, held.pop(b), late))
-                    closed = b
-                if closed is not None and slot <= closed:
-                    late += 1
-                    continue
-                sums = held.setdefault(slot, [0] + [0.0, 0] * len(self.numbers))
-                sums[0] += 1
-                for i, x in enumerate(values):
-                    if x == x and x is not None:
-                        sums[1 + 2 * i] += x
-                        sums[2 + 2 * i] += 1
-        for b in list(self.open.keys()):
-            if b[0] not in held:
-                self.open.removeKey(b)
-        for b, v in held.items():
-            self.open.updateValue((b,), tuple(v))
-        self.state.update((closed, late))
-        columns = {"room": [key[0]] * len(out), "bucket": pd.to_datetime([b for b, _, _ in out], unit="s", utc=True)}
-        columns |= {c: [v[1 + 2 * i] / v[2 + 2 * i] if v[2 + 2 * i] else None for _, v, _ in out] for i, c in enumerate(self.numbers)}
-        yield pd.DataFrame(columns | {"samples": [v[0] for _, v, _ in out], "late": [n for _, _, n in out]})
-
-    def close(self) -> None:
-        pass
-
-
-def room_buckets_in_order(samples: DataFrame, numbers: list[str], seconds: int = 10, room: str = "room") -> DataFrame:
-    """Means of air-quality samples in the order ``seq`` in which they arrive (X03): a later bucket closes those before, and ``late`` counts the payloads that came for a closed one until then.
-
-    ``samples`` has room, event_time, seq and the numbers. Unlike :func:`room_buckets`, which rows are late does not depend on the batches. It needs the RocksDB state store; each room is a key.
-    """
-    schema = f"room {samples.schema[room].dataType.simpleString()}, bucket timestamp, " + ", ".join(f"`{c}` double" for c in numbers) + ", samples long, late long"
-    rows = samples.select(F.col(room).alias("room"), "event_time", "seq", *(F.col(c).cast("double").alias(c) for c in numbers))
-    return rows.groupBy("room").transformWithStateInPandas(RoomBuckets(numbers, seconds), outputStructType=schema, outputMode="Append", timeMode="None")
-
-
 def once(messages: DataFrame, keys: list[str], within: str = "10 minutes", ts: str = "event_time") -> DataFrame:
     """The first of messages with equal keys within a time."""
     return messages.withWatermark(ts, within).dropDuplicatesWithinWatermark(keys)
@@ -111,36 +57,6 @@ def sessions(positive: DataFrame, gap: int = 11, keys: list[str] | None = None,
     return s.select(*(keys or []), F.col("session_window.start").alias("session_start"), F.timestamp_add("SECOND", F.lit(-gap), F.col("session_window.end")).alias("last_row"), "rows")
 
 
-class CarryForward(StatefulProcessor):
-    """Last known text of each field of a device."""
-
-    def __init__(self, columns: list[str]):
-        self.columns = columns
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("known", ", ".join(f"`{c}` string" for c in self.columns))
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        known = list(self.state.get()) if self.state.exists() else [None] * len(self.columns)
-        for pdf in rows:
-            pdf = pdf.sort_values(["event_time", "seq"], kind="stable")
-            for i, c in enumerate(self.columns):
-                filled = pdf[c].astype(object).where(pdf[c].notna(), None).ffill()
-                filled = filled.where(filled.notna(), known[i])
-                pdf[c] = filled
-                known[i] = filled.iloc[-1] if len(filled) and pd.notna(filled.iloc[-1]) else known[i]
-            yield pdf
-        self.state.update(tuple(known))
-
-    def close(self) -> None:
-        pass
-
-
-def carry_forward_stream(updates: DataFrame, columns: list[str], key: str = "device_id") -> DataFrame:
-    """Partial updates filled with the last known values of the device, across batches (X06); it needs the RocksDB state store. The fields are texts."""
-    return updates.groupBy(key).transformWithStateInPandas(CarryForward(columns), outputStructType=updates.schema, outputMode="Append", timeMode="None")
-
-
 def append_new(read: Callable[[], DataFrame | None], write: Callable[[DataFrame], None], keys: list[str], seq: list[str]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that adds only rows whose keys the table lacks, so a restart writes no bucket twice."""
 
@@ -164,6 +80,64 @@ def merge_sparse(read: Callable[[], DataFrame | None], replace: Callable[[DataFr
     return run
 
 
+def merge_days(table: VersionedTable, keys: list[str], seq: str, stream: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that merges partial rows column by column into the days that they are of (X05); files of other days stay, and a batch that is played again changes nothing.
+
+    The table's part is the day of a row, which its keys decide. ``seq`` orders the rows of a batch and is not stored; all of them come after the table's.
+    """
+
+    def combine(old: DataFrame, new: DataFrame) -> DataFrame:
+        return sparse_merge([old.withColumn(seq, F.lit(0).cast(new.schema[seq].dataType)), new], keys, seq)
+
+    return lambda batch, number: table.merge(batch, combine, stream, number) and None
+
+
+def append_once(table: VersionedTable, keys: list[str], seq: list[str], stream: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that adds rows whose keys the table lacks (X07): a batch that was committed is left out by its number, and rows that another run or checkpoint has written by their keys.
+
+    Only the parts that the batch has rows of are read.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        if not table.done(stream, number):
+            parts = [r[0] for r in batch.select(table.part).distinct().collect()]  # days of a batch
+            table.append(insert_if_absent(table.read(parts), batch, keys, seq)[1], stream, number)
+
+    return run
+
+
+def two_sinks(good: VersionedTable, bad: VersionedTable, parse: Callable[[DataFrame], DataFrame], stream: str, ts: str = "timestamp", device: str = "topic", payload: str = "payload") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes good messages to one table and dead letters to another (S10). Each knows the batches it has, so one that is played again after a crash between the two completes what is missing.
+
+    ``parse`` adds reason (:func:`sensorframe.sources.ingest.parse_messages`). The batch is kept while both are written.
+    """
+
+    def run(batch: DataFrame, number: int) -> None:
+        if good.done(stream, number) and bad.done(stream, number):
+            return
+        parsed = parse(batch).persist()
+        try:
+            rows, letters = split_dead_letters(parsed, ts, device, payload)
+            good.append(rows, stream, number)
+            bad.append(letters, stream, number)
+        finally:
+            parsed.unpersist()
+
+    return run
+
+
+def flush_to(table: VersionedTable, keys: list[str], seq: list[str], stream: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function for the rows that :func:`staged_rows` hands over (S13): the first of each key goes in where the table lacks it."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        if not table.done(stream, number):
+            parts = [r[0] for r in batch.select(table.part).distinct().collect()]  # days or tables of a batch
+            fresh = keep_first(batch, keys, seq)
+            table.append(insert_if_absent(table.read(parts), fresh, keys, seq)[1], stream, number)
+
+    return run
+
+
 def live_scores(batch: DataFrame, score: Callable[[DataFrame], DataFrame], labels: DataFrame, required: dict[str, float], now, keys: list[str], ts: str = "timestamp") -> DataFrame:
     """One event for each key from the newest rows (X10): gate, cadence, probability and the label as of then."""
     gate = live_gate(batch, required).agg(F.every("passes").alias("gate_ok"))
