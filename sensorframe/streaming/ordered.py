@@ -49,12 +49,18 @@ class InOrder(StatefulProcessor):
     def begin(self, handle: StatefulProcessorHandle) -> None:
         """Make the states of the operator."""
 
+    def load(self) -> None:
+        """Read the states, before the first rows of a call."""
+
     def take(self, key: tuple, rows: pd.DataFrame, now: int | None) -> Iterator[pd.DataFrame]:
         """Rows in order; ``now`` is the end of their slot in seconds."""
         raise NotImplementedError
 
+    def store(self) -> None:
+        """Write the states, after the last rows of a call."""
+
     def passed(self, key: tuple, now: int) -> Iterator[pd.DataFrame]:
-        """The watermark is at ``now``, in seconds, and all rows before it have been taken."""
+        """The watermark has passed ``now``, the end of a slot, and all rows before it have been taken."""
         return iter(())
 
     def wants(self) -> int | None:
@@ -83,7 +89,9 @@ class InOrder(StatefulProcessor):
         rows = (pdf.set_axis(self.names, axis=1) for pdf in rows if len(pdf))
         if not self.clock:
             if all_rows := list(rows):
+                self.load()
                 yield from self.take(key, pd.concat(all_rows, ignore_index=True).sort_values(self.order, kind="stable", ignore_index=True), None)
+                self.store()
             return
         piece, timer = self.next.get() if self.next.exists() else (0, 0)
         due = [timer] if timer else []
@@ -101,15 +109,18 @@ class InOrder(StatefulProcessor):
         piece, _ = self.next.get()
         held = sorted(tuple(k) for k in self.waiting.keys())
         ready = [k for k in held if (k[0] + 1) * self.step <= now]
+        self.load()
         for slot in sorted({k[0] for k in ready}):
             own = [k for k in ready if k[0] == slot]
             pdf = pd.concat([unpacked(self.waiting.getValue(k)[0]) for k in own], ignore_index=True)
             yield from self.take(key, pdf.sort_values(self.order, kind="stable", ignore_index=True), (slot + 1) * self.step)
             for k in own:
                 self.waiting.removeKey(k)
-        yield from self.passed(key, now)
+        yield from self.passed(key, now // self.step * self.step)  # later slots may still wait
         wanted = self.wants()
-        self._plan(piece, 0, [(k[0] + 1) * self.step for k in held[len(ready) :]] + ([max(wanted, now + 1)] if wanted is not None else []))
+        self.store()
+        later = [] if wanted is None else [max(-(-wanted // self.step), now // self.step + 1) * self.step]
+        self._plan(piece, 0, [(k[0] + 1) * self.step for k in held[len(ready) :]] + later)
 
     def close(self) -> None:
         pass
@@ -118,43 +129,45 @@ class InOrder(StatefulProcessor):
 class RoomBuckets(InOrder):
     """Open buckets and the last closed one of a room, with the number of late payloads."""
 
-    def __init__(self, names: list[str], numbers: list[str], seconds: int, order: list[str], clock: str | None = None, idle: int | None = None):
-        super().__init__(names, order, clock, seconds)
+    def __init__(self, names: list[str], numbers: list[str], seconds: int, order: list[str], clock: str | None = None, idle: int | None = None, step: int | None = None):
+        super().__init__(names, order, clock, step or seconds)
         self.numbers, self.seconds, self.idle = numbers, seconds, idle
 
     def begin(self, handle: StatefulProcessorHandle) -> None:
         self.open = handle.getMapState("open", "bucket long", "n long, " + ", ".join(f"`{c}` double, `n_{c}` long" for c in self.numbers))
         self.state = handle.getValueState("state", "closed long, late long, told long")
 
-    def _load(self) -> None:
+    def load(self) -> None:
         self.closed, self.late, self.told = self.state.get() if self.state.exists() else (None, 0, 0)
         self.held = {b[0]: list(v) for b, v in self.open.iterator()}
+        self.before = {b: list(v) for b, v in self.held.items()}
         self.out: list[tuple[int | None, list | None, int]] = []
 
+    def store(self) -> None:
+        for b in self.before.keys() - self.held.keys():
+            self.open.removeKey((b,))
+        for b, v in self.held.items():
+            if v != self.before.get(b):
+                self.open.updateValue((b,), tuple(v))
+        self.state.update((self.closed, self.late, self.told))
+
     def _close(self, before: int) -> None:
         """The open buckets before one are closed."""
         for b in sorted(x for x in self.held if x < before):
             self.out.append((b, self.held.pop(b), self.late))
             self.closed, self.told = b, self.late
 
-    def _store(self, key: tuple) -> Iterator[pd.DataFrame]:
+    def _told(self, key: tuple) -> Iterator[pd.DataFrame]:
         if self.late > self.told:  # late payloads come out though no bucket closes
             self.out.append((None, None, self.late))
             self.told = self.late
-        for b in list(self.open.keys()):
-            if b[0] not in self.held:
-                self.open.removeKey(b)
-        for b, v in self.held.items():
-            self.open.updateValue((b,), tuple(v))
-        self.state.update((self.closed, self.late, self.told))
         none = [0] + [0.0, 0] * len(self.numbers)
-        found = [(b, v or none, n) for b, v, n in self.out]
+        found, self.out = [(b, v or none, n) for b, v, n in self.out], []
         columns = {"room": [key[0]] * len(found), "bucket": pd.to_datetime([b for b, _, _ in found], unit="s", utc=True)}
         columns |= {c: [v[1 + 2 * i] / v[2 + 2 * i] if v[2 + 2 * i] else None for _, v, _ in found] for i, c in enumerate(self.numbers)}
         yield pd.DataFrame(columns | {"samples": [v[0] for _, v, _ in found], "late": [n for _, _, n in found]})
 
     def take(self, key: tuple, rows: pd.DataFrame, now: int | None) -> Iterator[pd.DataFrame]:
-        self._load()
         if now is not None and self.idle is not None:
             self._close(now - self.step - self.idle - self.seconds + 1)  # what the clock had closed before this slot began
         slots = (seconds_of(rows["event_time"]) // self.seconds * self.seconds).tolist()
@@ -169,25 +182,24 @@ class RoomBuckets(InOrder):
                 if x == x and x is not None:
                     sums[1 + 2 * i] += x
                     sums[2 + 2 * i] += 1
-        yield from self._store(key)
+        yield from self._told(key)
 
     def passed(self, key: tuple, now: int) -> Iterator[pd.DataFrame]:
         if self.idle is not None:
-            self._load()
             self._close(now - self.idle - self.seconds + 1)
-            yield from self._store(key)
+            yield from self._told(key)
 
     def wants(self) -> int | None:
-        first = min((b[0] for b in self.open.keys()), default=None) if self.idle is not None else None
+        first = min(self.held, default=None) if self.idle is not None else None
         return None if first is None else first + self.seconds + self.idle
 
 
-def room_buckets_in_order(samples: DataFrame, numbers: list[str], seconds: int = 10, room: str = "room", clock: str | None = None, wait: str = "0 seconds", idle: int | None = None) -> DataFrame:
+def room_buckets_in_order(samples: DataFrame, numbers: list[str], seconds: int = 10, room: str = "room", clock: str | None = None, wait: str = "0 seconds", idle: int | None = None, step: int | None = None) -> DataFrame:
     """Means of air-quality samples in the order in which they arrive (X03): a later bucket closes those before, and a payload for a closed bucket is late.
 
     ``samples`` has room, event_time, seq and the numbers. Without ``clock`` rows are taken in the order of ``seq`` within each micro-batch. ``clock`` names the time at which a sample arrived: rows are then taken by it and
     ``seq`` once the watermark, ``wait`` behind the latest arrival, has passed, whatever the batches; Spark leaves out what arrives later than that, and the last slot waits for the next rows. With ``idle`` a bucket also closes so
-    many seconds after its end, by that clock, though no later one comes.
+    many seconds after its end, by that clock, though no later one comes; that is seen to when a slot of ``step`` seconds of arrivals (as long as a bucket unless told otherwise) begins, and when the watermark moves on.
 
     ``late`` is how many payloads of the room were late so far. A row without a bucket and with 0 samples brings the number where no bucket has closed since. It needs the RocksDB state store; each room is a key.
     """
@@ -198,7 +210,7 @@ def room_buckets_in_order(samples: DataFrame, numbers: list[str], seconds: int =
     rows = samples.select(F.col(room).alias("room"), "event_time", "seq", *([F.col(clock).alias("_arrived")] if clock else []), *(F.col(c).cast("double").alias(c) for c in numbers))
     if clock:
         rows = rows.withWatermark("_arrived", wait)
-    keeper = RoomBuckets(rows.columns, numbers, seconds, ["_arrived", "seq"] if clock else ["seq"], "_arrived" if clock else None, idle)
+    keeper = RoomBuckets(rows.columns, numbers, seconds, ["_arrived", "seq"] if clock else ["seq"], "_arrived" if clock else None, idle, step)
     return rows.groupBy("room").transformWithStateInPandas(keeper, outputStructType=schema, outputMode="Append", timeMode="EventTime" if clock else "None")
 
 
@@ -212,16 +224,19 @@ class CarryForward(InOrder):
     def begin(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("known", ", ".join(f"`{c}` string" for c in self.columns))
 
+    def load(self) -> None:
+        self.known = list(self.state.get()) if self.state.exists() else [None] * len(self.columns)
+
     def take(self, key: tuple, rows: pd.DataFrame, now: int | None) -> Iterator[pd.DataFrame]:
-        known = list(self.state.get()) if self.state.exists() else [None] * len(self.columns)
         for i, c in enumerate(self.columns):
             filled = rows[c].astype(object).where(rows[c].notna(), None).ffill()
-            filled = filled.where(filled.notna(), known[i])
-            rows[c] = filled
-            known[i] = filled.iloc[-1] if len(filled) and pd.notna(filled.iloc[-1]) else known[i]
-        self.state.update(tuple(known))
+            rows[c] = filled.where(filled.notna(), self.known[i])
+            self.known[i] = filled.iloc[-1] if len(filled) and pd.notna(filled.iloc[-1]) else self.known[i]
         yield rows
 
+    def store(self) -> None:
+        self.state.update(tuple(self.known))
+
 
 def carry_forward_stream(updates: DataFrame, columns: list[str], key: str = "device_id", ts: str = "event_time", wait: str | None = None, step: int = 10) -> DataFrame:
     """Partial updates filled with the last known values of the device, across batches (X06); it needs the RocksDB state store. The fields are texts.
@@ -246,17 +261,26 @@ class LiveTail(InOrder):
         self.tail = handle.getListState("tail", "held binary")  # one value: the last rows, as many as a window has
         self.label = handle.getValueState("label", "label string, at timestamp")
 
+    def load(self) -> None:
+        held = [unpacked(v[0]) for v in self.tail.get()] if self.tail.exists() else []
+        self.window = held[0] if held else None
+        self.known = self.label.get() if self.label.exists() else (None, None)
+
+    def store(self) -> None:
+        if self.window is not None:
+            self.tail.put([(packed(self.window),)])
+        if self.known[0] is not None:
+            self.label.update(tuple(self.known))
+
     def take(self, key: tuple, rows: pd.DataFrame, now: int | None) -> Iterator[pd.DataFrame]:
-        new = rows[~rows["_is_label"]]
-        if labels := [r for r in rows[rows["_is_label"]][["label", "_at"]].itertuples(index=False)]:
-            self.label.update((labels[-1][0], labels[-1][1].to_pydatetime()))
+        is_label = rows["_is_label"].astype(bool)
+        new, labels = rows[~is_label], rows[is_label]
+        if len(labels):
+            self.known = (labels["label"].iloc[-1], labels["_at"].iloc[-1].to_pydatetime())
         if not len(new):
             return
-        old = [unpacked(v[0]) for v in self.tail.get()] if self.tail.exists() else []
-        window = pd.concat([*old, new], ignore_index=True).tail(self.lookback)
-        self.tail.put([(packed(window),)])
-        latest = window["_at"].iloc[-1]
-        label = self.label.get() if self.label.exists() else (None, None)
+        self.window = window = (new if self.window is None else pd.concat([self.window, new], ignore_index=True)).tail(self.lookback)
+        latest, label = window["_at"].iloc[-1], self.known
         at = window["_at"].astype("datetime64[us]").astype("int64").to_numpy() / 1e6
         gaps = np.diff(at)
         out: dict[str, Any] = {"zone": key[0], "timestamp": latest, "rows": len(window)}

@@ -127,10 +127,10 @@ def two_sinks(good: VersionedTable, bad: VersionedTable, parse: Callable[[DataFr
 
 
 def flush_to(table: VersionedTable, keys: list[str], seq: list[str], stream: str) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function for the rows that :func:`staged_rows` hands over (S13): the first of each key goes in where the table lacks it."""
+    """A ``foreachBatch`` function for the rows that :func:`staged_rows` hands over (S13): the first of each key goes in where the table lacks it. Ticks without rows write nothing."""
 
     def run(batch: DataFrame, number: int) -> None:
-        if not table.done(stream, number):
+        if not batch.isEmpty() and not table.done(stream, number):
             parts = [r[0] for r in batch.select(table.part).distinct().collect()]  # days or tables of a batch
             fresh = keep_first(batch, keys, seq)
             table.append(insert_if_absent(table.read(parts), fresh, keys, seq)[1], stream, number)
