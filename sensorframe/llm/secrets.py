@@ -16,7 +16,7 @@ MORE = [
     ("github", r"(gh[pousr]_[A-Za-z0-9]{20,})", 1, 20),
     ("slack", r"(xox[abprs]-[A-Za-z0-9-]{10,})", 1, 10),
     ("google", r"(AIza[0-9A-Za-z_-]{35})", 1, 39),
-    ("jwt", r"(eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})", 1, 20),
+    ("jwt", r"((?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)", 1, 20),
     ("pem", r"-----BEGIN (?:(?:RSA|DSA|EC|OPENSSH|ENCRYPTED|PGP|ED25519) )?PRIVATE KEY(?: BLOCK)?-----\s*+([A-Za-z0-9+/=\s]{16,}+)", 1, 16),
     ("url", r"(?<=[a-z0-9+.-])://[^\s:@/]*+:([^\s:@/]{3,}+)@", 1, 3),
     ("mixed", rf"((?<![{TOKEN}])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])(?=[A-Za-z+/_-]*+[0-9])[{TOKEN}]{{32,}}+)", 1, 32),

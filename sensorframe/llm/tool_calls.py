@@ -15,7 +15,7 @@ from .common import discard, materialise, table
 
 CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
 KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
-EVENT = "conv_id long, turn long, seq int, kind string, call_id string, name string, refs array<string>, errors array<string>, json string"
+EVENT = "turn long, seq int, kind string, call_id string, name string, refs array<string>, errors array<string>, json string"
 
 #: The tools of the registered query.
 TOOLS = {
@@ -132,16 +132,19 @@ def extract_events(messages: DataFrame, tools: dict) -> DataFrame:
     """One row for every tool call in a message of the assistant and for every message of a tool."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("seq", pa.int32()), *((c, pa.string()) for c in ("kind", "call_id", "name")), ("refs", pa.list_(pa.string())), ("errors", pa.list_(pa.string())), ("json", pa.string())])
+        schema = pa.schema([("turn", pa.int64()), ("seq", pa.int32()), *((c, pa.string()) for c in ("kind", "call_id", "name")), ("refs", pa.list_(pa.string())), ("errors", pa.list_(pa.string())), ("json", pa.string())])
         for batch in batches:
-            out = []
-            for conv, turn, role, text in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                out += [(conv, turn, seq, *e) for seq, e in enumerate(_events(role, text, tools))]
+            of, out = [], []
+            for i, (turn, role, text) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(1, 4)), strict=True)):
+                made = [(turn, seq, *e) for seq, e in enumerate(_events(role, text, tools))]
+                of += [i] * len(made)
+                out += made
             columns = list(zip(*out, strict=True)) if out else [[] for _ in schema]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            convs = batch.column(0).take(pa.array(of, pa.int64()))
+            yield pa.RecordBatch.from_arrays([convs, *(pa.array(c, f.type) for c, f in zip(columns, schema, strict=True))], names=["conv_id", *schema.names])
 
-    rows = messages.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
-    return rows.mapInArrow(run, EVENT)
+    rows = messages.select("conv_id", F.col("turn").cast("long"), "role", "text")
+    return rows.mapInArrow(run, f"conv_id {messages.schema['conv_id'].dataType.simpleString()}, {EVENT}")
 
 
 def _depths(edges: DataFrame, most: int, places: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
@@ -196,7 +199,7 @@ def _order(edges: DataFrame, most: int) -> DataFrame:
 def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
     """Calls and results of conversations, linked by identifier.
 
-    ``messages`` has conv_id, turn, role, text. Calls are JSON objects (id, name, arguments) in
+    ``messages`` has conv_id (of any type), turn, role, text. Calls are JSON objects (id, name, arguments) in
     ``<tool_call>`` tags of the assistant's messages; a result is a message of role tool with the JSON object (tool_call_id,
     content). Arguments may refer to the results of other calls as {"$ref": id}. Ordering a conversation by (ready_turn,
     ready_seq, wait, call_turn, call_seq, kind) puts every call after all that it refers to and every result after its call:

@@ -117,3 +117,11 @@ def test_empty_table_and_extra_columns(spark):
     assert linked(spark, []) == []
     df = spark.createDataFrame([(1, 1, "assistant", call("a"), "x", 3)], "conv_id long, turn long, role string, text string, status string, level int")
     assert [r["status"] for r in tool_calls.link_tool_calls(df, TOOLS).collect()] == ["unanswered"]
+
+
+def test_conversations_of_any_type(spark):
+    call = '<tool_call>{"id": "a", "name": "search", "arguments": {"query": "x", "turn": 1}}</tool_call>'
+    rows = [("conv-1", 0, "assistant", call), ("conv-1", 1, "tool", '{"tool_call_id": "a", "content": "y"}'), (None, 0, "assistant", call), ("conv-2", 0, "tool", '{"tool_call_id": "a", "content": "y"}')]
+    out = tool_calls.link_tool_calls(spark.createDataFrame(rows, "conv_id string, turn int, role string, text string"), tool_calls.TOOLS)
+    assert out.schema["conv_id"].dataType.simpleString() == "string"
+    assert sorted((str(r["conv_id"]), r["kind"], r["status"]) for r in out.collect() if r["status"] != "invalid") == [("None", "call", "unanswered"), ("conv-1", "call", "linked"), ("conv-1", "result", "linked"), ("conv-2", "result", "orphan")]
