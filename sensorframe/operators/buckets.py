@@ -10,7 +10,7 @@ from ..functions.scalars import clean_label, no_nan
 from ..functions.time import floor_to
 from .merge import keep_last
 from .query import pruned
-from .windows import in_blocks
+from .windows import carry_forward, in_blocks
 
 
 def bucket_mean(readings: DataFrame, values: dict[str, Column], seconds: int, keys: list[str], start=None, end=None, ts: str = "timestamp") -> DataFrame:
@@ -52,15 +52,14 @@ def state_carry(events: DataFrame, grid: DataFrame, seconds: int, gap: int, keys
 
     A slot's value is the greatest of the state carried in and the states in it; it is unknown (null) where the newest
     event is more than ``gap`` seconds before the slot's end. Events before the grid seed the carry. Each slot
-    with events is one row; the carry looks back over those rows of the key.
+    with events is one row; the carry goes from row to row within blocks of the key, and from block to block.
     """
     slots = (
         events.where(F.col(state).isNotNull()).withColumn("_slot", floor_to(F.col(ts), seconds)).groupBy(*keys, "_slot")
         .agg(F.max(state).alias("_m"), F.max_by(F.struct(F.col(state).alias("l"), F.col(ts).alias("t")), F.struct(ts, seq)).alias("_last"))
     )
     both = grid.select(*keys, F.col(ts).alias("_slot"), F.lit(True).alias("_grid")).join(slots, [*keys, "_slot"], "full_outer")
-    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    carried = both.withColumn("_carry", F.last("_last", ignorenulls=True).over(before)).where("_grid")
+    carried = carry_forward(both.withColumn("_carry", F.col("_last")), ["_carry"], keys, ["_slot"], own_row=False).where("_grid")
     newest = F.coalesce(F.col("_last.t"), F.col("_carry.t"))
     age = F.timestamp_diff("MICROSECOND", newest, F.timestamp_add("SECOND", F.lit(seconds), F.col("_slot"))) / 1e6
     return carried.select(F.col("_slot").alias(ts), *keys, F.when(age <= gap, F.greatest("_carry.l", "_m")).alias(state))

@@ -70,12 +70,12 @@ def sparse_merge(parts: list[DataFrame], keys: list[str], seq: str) -> DataFrame
 
 
 def append_stats(table: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows existing, fetched, inserted, updated and total by distinct keys."""
-    a = table.select(*keys).distinct().withColumn("_a", F.lit(1))
-    b = batch.select(*keys).distinct().withColumn("_b", F.lit(1))
-    count = lambda c, name: F.count_if(c).alias(name)
-    has_a, has_b = F.col("_a").isNotNull(), F.col("_b").isNotNull()
-    return a.join(b, keys, "full_outer").agg(count(has_a, "existing"), count(has_b, "fetched"), count(has_b & ~has_a, "inserted"), count(has_a & has_b, "updated"), F.count(F.lit(1)).alias("total"))
+    """Rows existing and fetched, repeated ones too, and keys inserted, updated and in total after the merge, which leaves a row a key (M09). Null keys are a key."""
+    both = table.select(*keys, F.lit(1).alias("_a"), F.lit(0).alias("_b")).unionByName(batch.select(*keys, F.lit(0).alias("_a"), F.lit(1).alias("_b")))
+    n = both.groupBy(*keys).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    has_a, has_b = F.col("_a") > 0, F.col("_b") > 0
+    return n.agg(total("_a", "existing"), total("_b", "fetched"), F.count_if(has_b & ~has_a).alias("inserted"), F.count_if(has_a & has_b).alias("updated"), F.count(F.lit(1)).alias("total"))
 
 
 def rolling_cache(old: DataFrame, new: DataFrame, keys: list[str], seq: list[str], most: int, order: list[str]) -> DataFrame:

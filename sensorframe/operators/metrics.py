@@ -65,12 +65,6 @@ def class_weight(rows: DataFrame, label: str = "y") -> DataFrame:
     return rows.agg((F.count_if(F.col(label) == 0) / F.greatest(F.count_if(F.col(label) == 1), F.lit(1))).alias("positive_weight"))
 
 
-def fold_summary(folds: DataFrame, score: str = "pr_auc", best: str = "best_epoch", keys: list[str] | None = None) -> DataFrame:
-    """Mean and population deviation of finite scores, and epochs as the rounded-up median."""
-    s = F.when(~F.isnan(score), F.col(score))
-    return folds.groupBy(*(keys or [])).agg(F.avg(s).alias("mean_score"), F.stddev_pop(s).alias("std_score"), F.ceil(F.median(best)).alias("epochs"))
-
-
 #: What a candidate needs unless told otherwise, and the most folds that are ever asked for.
 THRESHOLDS = {"pr_auc": 0.0, "cv_pr_auc": 0.0, "positive_windows": 5, "positive_buckets": 5, "positive_events": 1, "brier": 1.0, "log_loss": 10.0, "delta": 0.0, "folds": 3}
 
@@ -81,6 +75,17 @@ def finite(c: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
 
 
+def fold_summary(folds: DataFrame, score: str = "pr_auc", best: str = "best_epoch", keys: list[str] | None = None, most_epochs: int = 100) -> DataFrame:
+    """Mean and population deviation of finite scores, -1 and null without any, and epochs as the rounded-up median of the best ones.
+
+    A best epoch of 0 or null does not count; epochs are between 1 and ``most_epochs``, and the latter where no fold has a best one.
+    """
+    s = F.when(finite(F.col(score)), F.col(score))
+    median = F.ceil(F.median(F.when(F.col(best) > 0, F.col(best)))).cast("long")
+    most = F.lit(max(1, most_epochs)).cast("long")
+    return folds.groupBy(*(keys or [])).agg(F.coalesce(F.avg(s), F.lit(-1.0)).alias("mean_score"), F.stddev_pop(s).alias("std_score"), F.least(most, F.greatest(F.lit(1).cast("long"), F.coalesce(median, most))).alias("epochs"))
+
+
 def promotion(runs: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:
     """decision (promote, fail or skip) and reason for each run.
 

@@ -85,11 +85,16 @@ def choose_mode(pre_test_dates: int, strict_viable: bool) -> str:
 
 
 def lookback_viability(parts: dict[tuple[int, str], DataFrame], features: list[str], lookbacks: list[int], required: float | None, keys: list[str], label: str = "occupied", ts: str = "timestamp") -> DataFrame:
-    """Whether each look-back leaves windows of both classes in every part (fold, role), and why not."""
-    out = None
+    """Whether each look-back leaves windows of both classes in every part (fold, role), and why not (T07). All parts are one pass; an empty one has no windows."""
+    rows = None
     for (fold, role), df in parts.items():
-        w = windows_by_lookback(df, features, lookbacks, required, keys, label, ts).select(F.lit(fold).alias("fold"), F.lit(role).alias("role"), "*")
-        out = w if out is None else out.unionByName(w)
+        own = df.select("*", F.lit(fold).alias("fold"), F.lit(role).alias("role"))
+        rows = own if rows is None else rows.unionByName(own)
+    own = ["fold", "role"]
+    found = windows_by_lookback(rows, features, lookbacks, required, [*own, *keys], label, ts, own)
+    asked = rows.sparkSession.createDataFrame([(f, r, n) for f, r in parts for n in lookbacks], "fold int, role string, lookback int")
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("windows", "positive_windows")]
+    out = asked.join(found, [*own, "lookback"], "left").select(*own, "lookback", *zero)
     both = (F.col("positive_windows") > 0) & (F.col("positive_windows") < F.col("windows"))
     reason = F.when(F.col("windows") == 0, "no windows").when(F.col("positive_windows") == 0, "no positive windows").when(~both, "no negative windows")
     return out.withColumn("viable", both).withColumn("reason", reason)

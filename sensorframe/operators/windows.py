@@ -120,8 +120,8 @@ def cadence(df: DataFrame, keys: list[str], now, step: int = 10, most_gap: int =
     return out.withColumn("in_order", ok)
 
 
-def windows_by_lookback(df: DataFrame, features: list[str], lookbacks: list[int], required: float | None, keys: list[str], label: str = "occupied", ts: str = "timestamp") -> DataFrame:
-    """Windows and positive windows for each look-back (W06), from one pass over the sorted rows."""
+def windows_by_lookback(df: DataFrame, features: list[str], lookbacks: list[int], required: float | None, keys: list[str], label: str = "occupied", ts: str = "timestamp", by: list[str] | None = None) -> DataFrame:
+    """Windows and positive windows for each look-back (W06), from one pass over the sorted rows; for each value of ``by``, which are among the keys, where given."""
     line = _line(keys)
     out = in_blocks(df, keys, [ts], max(lookbacks) - 1).withColumn("_n", F.col("_rn"))
     cells = []
@@ -132,42 +132,60 @@ def windows_by_lookback(df: DataFrame, features: list[str], lookbacks: list[int]
             good = good & ((F.least(*shares) if len(shares) > 1 else shares[0]) >= required)
         out = out.withColumn(f"_ok{n}", good & F.col(label).isNotNull())
         cells.append(F.struct(F.lit(n).alias("lookback"), F.count_if(F.col(f"_ok{n}")).alias("windows"), F.count_if(F.col(f"_ok{n}") & (F.col(label) == 1)).alias("positive_windows")))
-    return out.where("NOT _halo").agg(F.array(*cells).alias("_c")).select(F.inline("_c"))
+    return out.where("NOT _halo").groupBy(*(by or [])).agg(F.array(*cells).alias("_c")).select(*(by or []), F.inline("_c"))
 
 
-def carry_forward(df: DataFrame, columns: list[str], keys: list[str], order: list[str]) -> DataFrame:
-    """Last known value of each column for partial updates (W07), within blocks of a series and from the blocks before."""
+def carry_forward(df: DataFrame, columns: list[str], keys: list[str], order: list[str], own_row: bool = True) -> DataFrame:
+    """Last known value of each column for partial updates (W07), within blocks of a series and from the blocks before; without ``own_row`` that of the rows before."""
     own = in_blocks(df, keys, order, 0)
     known = own.groupBy(*keys, "_block").agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_rn"))).alias(f"_k{i}") for i, c in enumerate(columns)))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
     carried = known.select(*keys, "_block", *(F.last(f"_k{i}", ignorenulls=True).over(before).alias(f"_c{i}") for i in range(len(columns))))
-    line = _line(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = _line(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow if own_row else -1)
     filled = {c: F.coalesce(F.last(c, ignorenulls=True).over(line), F.col(f"_c{i}")) for i, c in enumerate(columns)}
     return joined_within(own, carried, [*keys, "_block"]).select(*(filled[c].alias(c) if c in filled else F.col(f"`{c}`") for c in df.columns))
 
 
-def ema(df: DataFrame, value: str, keys: list[str], order: list[str], span: int = 5, error: float = 1e-18) -> DataFrame:
+#: The weight that the first row of a run of finite values has against the last is e to the minus this, at least, so that sums of a run stay within doubles.
+RUN_DECAY = 230.0
+
+
+def ema(df: DataFrame, value: str, keys: list[str], order: list[str], span: int = 5) -> DataFrame:
     """Exponential average with factor 2 / (span + 1) over the finite values of each key (W08); it starts at the first and is carried over missing ones, however many.
 
-    It is taken over as many finite values as it takes for the older ones to weigh less than ``error``.
+    A row maps the average s to d s + (1 - d) x; such maps compose to maps of the same form, so averages are prefixes of them. Finite values are numbered, and runs of as many as keep d^n above
+    e^-230 are summed up with weights that grow by 1 / d, by one window sum, in the pieces of :func:`coarse`; what a run begins with comes from the two runs before it, older ones weighing less than e^-460. A row
+    holds two numbers, whatever the span, and a series is many tasks.
     """
     alpha = 2.0 / (span + 1)
-    frame = max(1, math.ceil(math.log(error) / math.log(1 - alpha))) if alpha < 1 else 1
+    d = 1 - alpha
+    run = max(1, int(RUN_DECAY / -math.log(d))) if d > 0 else 1
     v = no_nan(F.col(value))
-    own = in_blocks(df.withColumn("_v", F.when(~v.isin(float("inf"), float("-inf")), v)), keys, order, 0).withColumn("_ok", F.col("_v").isNotNull())
-    finite = Window.partitionBy(*keys, "_block", "_ok").orderBy("_rn")
-    # what the finite values of the block add, and how many there are so far
-    own = own.withColumns({"_vs": F.collect_list("_v").over(finite.rowsBetween(-(frame - 1), Window.currentRow)), "_m": F.when(F.col("_ok"), F.row_number().over(finite))})
-    own = own.withColumn("_p", F.when(F.col("_ok"), F.aggregate("_vs", F.lit(0.0), lambda s, x: x * alpha + s * (1 - alpha)))).drop("_vs")
-    line = _line(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    own = own.withColumns({c: F.last(c, ignorenulls=True).over(line) for c in ("_m", "_p")})
-    ends = own.groupBy(*keys, "_block").agg(F.max_by(F.struct("_p", "_m"), F.when(F.col("_m").isNotNull(), F.col("_rn"))).alias("_end"), F.min_by("_v", F.when(F.col("_ok"), F.col("_rn"))).alias("_x"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row a block
-    first = F.first("_x", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    carried = ends.select(*keys, "_block", F.aggregate(F.collect_list("_end").over(before), first, lambda s, e: e["_p"] + F.pow(F.lit(1 - alpha), e["_m"]) * s).alias("_carry"), F.coalesce(F.count("_end").over(before) > 0, F.lit(False)).alias("_some"))
-    out = joined_within(own, carried, [*keys, "_block"])
-    ema_ = F.when(F.col("_m").isNotNull(), F.col("_p") + F.pow(F.lit(1 - alpha), F.col("_m")) * F.col("_carry")).when(F.col("_some"), F.col("_carry"))
-    return out.withColumn("ema", ema_).select(*(F.col(f"`{c}`") for c in df.columns), "ema")
+    cut = df.withColumn("_v", F.when(~v.isin(float("inf"), float("-inf")), v)).withColumn("_piece", coarse(df, order[0]))
+    before = lambda *by: Window.partitionBy(*keys, *by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)  # noqa: E731  a row a piece
+    sizes = cut.groupBy(*keys, "_piece").agg(F.count("_v").alias("_n"))
+    offsets = sizes.select(*keys, "_piece", F.coalesce(F.sum("_n").over(before()), F.lit(0)).alias("_before"))
+    line = lambda *by: Window.partitionBy(*keys, "_piece", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = joined_within(cut.withColumn("_m", F.count("_v").over(line())), offsets, [*keys, "_piece"])
+    at = F.col("_m") + F.col("_before")  # finite values so far: a missing one has the number of the last before it
+    own = own.withColumns({"_run": F.floor((at - 1) / run), "_place": F.when(at > 0, F.pmod(at - 1, F.lit(run)) + 1)})
+    weighed = F.col("_v") * alpha * F.pow(F.lit(1 / d), F.col("_place")) if d > 0 else F.col("_v")
+    own = own.withColumn("_w", weighed).withColumn("_sum", F.sum("_w").over(line("_run")))
+    # a row a piece and run
+    parts = own.groupBy(*keys, "_run", "_piece").agg(F.sum("_w").alias("_s"), F.min_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order))).alias("_x"))
+    inner = parts.select(*keys, "_run", "_piece", F.coalesce(F.sum("_s").over(before("_run")), F.lit(0.0)).alias("_head"))
+    full = F.pow(F.lit(d), F.lit(float(run))) if d > 0 else F.lit(0.0)
+    runs = parts.where("_run >= 0").groupBy(*keys, "_run").agg(F.sum("_s").alias("_s"), F.min_by("_x", F.when(F.col("_x").isNotNull(), F.col("_piece"))).alias("_x"))
+    ordered = Window.partitionBy(*keys).orderBy("_run")  # a row a run
+    first = F.first("_x").over(ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    old = lambda k: F.coalesce(F.lag("_s", k).over(ordered), F.lit(0.0)) * F.pow(full, F.lit(float(k)))
+    begins = runs.select(*keys, "_run", (old(1) + old(2) + F.when(F.col("_run") <= 2, first * F.pow(full, F.col("_run"))).otherwise(0.0)).alias("_carry"))
+    out = joined_within(joined_within(own, inner, [*keys, "_run", "_piece"]), begins, [*keys, "_run"])
+    if d <= 0:  # each finite value is a run of its own: the average is the last of them
+        known = parts.where("_x IS NOT NULL").select(*keys, "_run", F.col("_x").alias("_last"))
+        return joined_within(own, known, [*keys, "_run"]).select(*(F.col(f"`{c}`") for c in df.columns), F.col("_last").alias("ema"))
+    average = F.pow(F.lit(d), F.col("_place")) * (F.coalesce("_sum", F.lit(0.0)) + F.col("_head") + F.col("_carry"))
+    return out.select(*(F.col(f"`{c}`") for c in df.columns), F.when(F.col("_place").isNotNull(), average).alias("ema"))
 
 
 def latest_rows(df: DataFrame, device: str = "device_id", order: list[str] | None = None) -> DataFrame:

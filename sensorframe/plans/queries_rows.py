@@ -84,6 +84,26 @@ def s07_csv_width(spark, sf):
     return bad.unionByName(good.where("text = 'a, b'").groupBy("file").agg(F.count(F.lit(1)).alias("number")).select(F.lit("good").alias("part"), "file", "number", F.lit(3).alias("width")))
 
 
+@query(
+    f"""{W}, l AS (SELECT seq, device_id % 10 AS file, CASE WHEN seq % 97 = 0 THEN 1 WHEN seq % 89 = 0 THEN 4 WHEN seq % 83 = 0 THEN 0 ELSE 3 END AS width, CASE WHEN seq % 7 = 0 AND seq % 97 > 0 AND seq % 89 > 0 AND seq % 83 > 0 THEN 2 ELSE 1 END AS lines FROM readings),
+    n AS (SELECT *, 2 + sum(lines) OVER (PARTITION BY file ORDER BY seq)::BIGINT AS number FROM l)
+    SELECT 'bad' AS part, file, number, width FROM n WHERE width <> 3 UNION ALL SELECT DISTINCT 'bad', file, 1::BIGINT, 0 FROM n UNION ALL SELECT CASE lines WHEN 1 THEN 'good' ELSE 'spans lines' END, file, count(*), 3 FROM n WHERE width = 3 GROUP BY 1, 2"""
+)
+def s07_csv_records(spark, sf):
+    """Files that begin with a blank line and have others, and values that span two lines and hold quotes: the number and width of what is malformed, and how many rows are good."""
+    path = shared_path(spark, "records")
+    r = v.readings(spark, sf).withColumn("file", F.col("device_id") % 10)
+    line = lambda text: F.concat_ws(",", "seq", "file", F.lit(text))
+    text = F.when(F.col("seq") % 97 == 0, F.col("seq").cast("string")).when(F.col("seq") % 89 == 0, F.concat_ws(",", "seq", "file", "k", F.lit("more"))).when(F.col("seq") % 83 == 0, "").when(F.col("seq") % 7 == 0, line('"a\n""b"", c"')).otherwise(line('5" pipe'))
+    first = r.select("file").distinct().select("file", F.explode(F.array(F.struct(F.lit(-2).cast("long").alias("seq"), F.lit("").alias("value")), F.struct(F.lit(-1).cast("long").alias("seq"), F.lit("seq,file,text").alias("value"))))).select("file", "col.*")
+    r.select("file", "seq", text.alias("value")).unionByName(first).repartition("file").sortWithinPartitions("file", "seq").select("file", "value").write.partitionBy("file").text(path)
+    schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("file", T.LongType()), T.StructField("text", T.StringType())])
+    good, bad = io.read_csv_checked(spark, f"{path}/file=*/*.txt", schema, skip=True)
+    bad = bad.select(F.lit("bad").alias("part"), F.regexp_extract("file", r"/file=(\d+)/", 1).cast("long").alias("file"), "number", "width")
+    kind = F.when(F.col("text") == 'a\n"b", c', "spans lines").when(F.col("text") == '5" pipe', "good").otherwise("garbled")
+    return bad.unionByName(good.groupBy(kind.alias("part"), "file").agg(F.count(F.lit(1)).alias("number")).select("part", "file", "number", F.lit(3).alias("width")))
+
+
 @query(f"{W}, f AS (SELECT count(*) AS rows, sum(seq)::BIGINT AS total FROM readings) SELECT rows, total, true AS within FROM f")
 def s17_parts(spark, sf):
     """A store in files of 50 rows at most, read as one."""
@@ -336,10 +356,14 @@ def m08_sparse_merge(spark, sf):
     return merge.sparse_merge([a, b], ["device_id"], "seq").select("device_id", "value", "note")
 
 
-@query("SELECT count(*) FILTER (o_orderkey % 3 < 2) AS existing, count(*) FILTER (o_orderkey % 3 <> 1) AS fetched, count(*) FILTER (o_orderkey % 3 = 2) AS inserted, count(*) FILTER (o_orderkey % 3 = 0) AS updated, count(*) AS total FROM (SELECT DISTINCT o_orderkey FROM orders)")
+@query(
+    """WITH a AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 3 < 2), b AS (SELECT l_orderkey AS k FROM lineitem WHERE l_orderkey % 3 <> 1), n AS (SELECT k, bool_or(s = 1) AS a, bool_or(s = 2) AS b FROM (SELECT k, 1 AS s FROM a UNION ALL SELECT k, 2 FROM b) GROUP BY 1)
+    SELECT (SELECT count(*) FROM a) AS existing, (SELECT count(*) FROM b) AS fetched, count(*) FILTER (b AND NOT a) AS inserted, count(*) FILTER (a AND b) AS updated, count(*) AS total FROM n"""
+)
 def m09_append_stats(spark, sf):
-    o = v.load(spark, sf, "orders")
-    return merge.append_stats(o.where("o_orderkey % 3 < 2"), o.where("o_orderkey % 3 <> 1"), ["o_orderkey"])
+    """A batch that has most keys several times."""
+    o, i = v.load(spark, sf, "orders"), v.load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return merge.append_stats(o.where("o_orderkey % 3 < 2"), i.where("o_orderkey % 3 <> 1"), ["o_orderkey"])
 
 
 @query(f"{WG}, u AS (SELECT timestamp, device_id, value, seq FROM gappy QUALIFY row_number() OVER (PARTITION BY timestamp, device_id ORDER BY seq DESC) = 1) SELECT timestamp, device_id, value FROM u ORDER BY timestamp DESC, device_id DESC LIMIT 500")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..operators.windows import in_blocks, joined_within
+
 
 def scan_raw(spark: SparkSession, base: str) -> DataFrame:
     """All Parquet under a path, partition columns as they are written, columns by name."""
@@ -41,7 +43,7 @@ def build_bronze(table: DataFrame | None, scan: DataFrame, rebuild: bool = False
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, number, value) for every line of text files, numbered from 1 in each file.
+    """(file, _piece, number, value) for every line of text files, numbered from 1 in each file.
 
     Lines are numbered within the pieces that files are read in, and pieces by where they begin, from a row a piece; so a large file is not read by one task.
     """
@@ -50,23 +52,80 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     before = Window.partitionBy("file").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = pieces.select(F.col("file").alias("_file"), F.col("_piece").alias("_of"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     own = lines.join(starts, (F.col("file") == F.col("_file")) & (F.col("_piece") == F.col("_of")))
-    return own.select("file", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("number"), "value")
+    return own.select("file", "_piece", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("number"), "value")
+
+
+#: A field in quotes from its beginning to the separator behind it: inside, a quote is written twice; what follows the closing one is part of the field.
+QUOTED = r'''(^|,)"[^"]*+(?:""[^"]*+)*+"[^,]*+'''
+#: The same with its parts: what stands behind the closing quote belongs to the value.
+QUOTED_AND_MORE = r'''(^|,)"([^"]*+(?:""[^"]*+)*+)"([^,]*+)'''
+#: Lines of a record that are put together.
+RECORD_LINES = 10_000
+
 
+def _open(text: Column) -> Column:
+    """Whether a record that begins with this text is still within quotes at its end."""
+    return F.regexp_replace(text, QUOTED, "$1").rlike('(^|,)"')
 
-def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, skip: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rows of the right width, and (file, number, width, line) of the lines that are not (S07); unless ``skip``, any such line is an error.
 
-    The first line of each file is its header, whose width counts too; a line that reads like a header elsewhere is a row. A separator within double quotes
-    is part of its value; a value does not span lines; blank lines are none.
+def csv_records(spark: SparkSession, path: str, most_lines: int = RECORD_LINES) -> DataFrame:
+    """(file, number, lines, value) of every record of CSV files: one line, or several that a value in quotes spans; ``number`` is that of its last line, as CSV readers count.
+
+    Each line says whether it ends within quotes if it begins outside them, and if it begins inside. Such pairs compose, so what state a line begins in is a prefix over the lines of a piece of a file and
+    over the pieces: the last line that ends alike in both cases, and how many turn the state after it. Files are read in parallel, however large. A record of over ``most_lines`` lines, as an unclosed quote
+    makes, is not put together: it has null as value.
+    """
+    lines = numbered_lines(spark, path).withColumns({"_o0": _open(F.col("value")), "_o1": _open(F.concat(F.lit('"'), "value"))})
+    fixed, turns = F.col("_o0") == F.col("_o1"), (F.col("_o0") & ~F.col("_o1")).cast("int")
+    line = Window.partitionBy("file", "_piece").orderBy("number")
+    upto, earlier = line.rowsBetween(Window.unboundedPreceding, Window.currentRow), line.rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumns({"_turns": F.sum(turns).over(upto)}).withColumn("_fix", F.when(fixed, F.struct(F.col("_o0").alias("s"), F.col("_turns").alias("t"))))
+    odd = lambda c: c % 2 == 1
+
+    def after(entry: Column, fix: Column, turned: Column) -> Column:
+        """The state behind lines that were entered in one state, whose last fixed line and turns are known."""
+        return F.when(fix.isNotNull(), fix["s"] != odd(turned - fix["t"])).otherwise(entry != odd(turned))
+
+    # pieces of a file: a row each
+    pieces = lines.groupBy("file", "_piece").agg(F.max_by("_fix", F.when(F.col("_fix").isNotNull(), F.col("number"))).alias("_f"), F.max("_turns").alias("_t"))
+    order = Window.partitionBy("file").orderBy("_piece")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("_all", F.coalesce(F.sum("_t").over(before), F.lit(0)))
+    pieces = pieces.withColumn("_fixed", F.last(F.when(F.col("_f").isNotNull(), F.struct(F.col("_f.s").alias("s"), (F.col("_all") + F.col("_f.t")).alias("t"))), ignorenulls=True).over(before))
+    entries = pieces.select(F.col("file").alias("_file"), F.col("_piece").alias("_of"), after(F.lit(False), F.col("_fixed"), F.col("_all")).alias("_entry"))
+    inside = lines.join(entries, (F.col("file") == F.col("_file")) & (F.col("_piece") == F.col("_of"))).drop("_file", "_of")
+    fix_before, turned_before = F.last("_fix", ignorenulls=True).over(earlier), F.coalesce(F.sum(turns).over(earlier), F.lit(0))
+    inside = inside.withColumn("_in", after(F.col("_entry"), fix_before, turned_before)).withColumn("_out", F.when(F.col("_in"), F.col("_o1")).otherwise(F.col("_o0")))
+    # the line that a record begins with, for those of several lines
+    single = inside.where("NOT _in AND NOT _out").select("file", "number", F.lit(1).cast("long").alias("lines"), "value")
+    several = inside.where("_in OR _out").withColumn("_start", F.last(F.when(~F.col("_in"), F.col("number")), ignorenulls=True).over(upto))
+    last = several.groupBy("file", "_piece").agg(F.max("_start").alias("_s"))
+    starts = last.select(F.col("file").alias("_file"), F.col("_piece").alias("_of"), F.last("_s", ignorenulls=True).over(before).alias("_carried"))
+    several = several.join(starts, (F.col("file") == F.col("_file")) & (F.col("_piece") == F.col("_of"))).withColumn("_start", F.coalesce("_start", "_carried"))
+    sizes = several.groupBy("file", "_start").agg(F.max("number").alias("_last"), F.count(F.lit(1)).alias("lines"))
+    few = several.join(sizes.where(F.col("lines") <= most_lines).select(F.col("file").alias("_f2"), F.col("_start").alias("_s2")), (F.col("file") == F.col("_f2")) & (F.col("_start") == F.col("_s2")))
+    whole = few.groupBy("file", "_start").agg(F.array_sort(F.collect_list(F.struct("number", "value"))).alias("_l")).select(F.col("file").alias("_f3"), F.col("_start").alias("_s3"), F.array_join("_l.value", "\n").alias("value"))
+    joined = sizes.join(whole, (F.col("file") == F.col("_f3")) & (F.col("_start") == F.col("_s3")), "left").select("file", F.col("_last").alias("number"), "lines", "value")
+    return single.unionByName(joined)
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, skip: bool = False, most_lines: int = RECORD_LINES) -> tuple[DataFrame, DataFrame]:
+    """Rows of the right width, and (file, number, width, line) of the records that are not (S07); unless ``skip``, any such record is an error.
+
+    The first record of each file that is not blank is its header, whose width counts too; one that reads like a header elsewhere is a row. Values in double quotes may hold separators, quotes and line ends. A blank line is a record
+    of width 0, wherever it is. A record that an unclosed quote makes longer than ``most_lines`` lines is of width null.
     """
-    lines = numbered_lines(spark, path).where(F.trim("value") != "")
-    width = F.size(F.split(F.regexp_replace("value", '"[^"]*"', ""), ",", -1))
-    sized = lines.withColumn("width", width)
-    bad = sized.where(F.col("width") != len(schema.names)).select("file", "number", "width", F.col("value").alias("line"))
+    records = csv_records(spark, path, most_lines)
+    width = F.when(F.col("value") == "", 0).otherwise(F.size(F.split(F.regexp_replace("value", QUOTED, "$1"), ",", -1)))
+    sized = records.withColumn("width", width)
+    heads = sized.where("width IS NULL OR width > 0").groupBy("file").agg(F.min("number").alias("_head")).withColumnRenamed("file", "_of")  # a row a file
+    wanted = F.coalesce(F.col("width") == len(schema.names), F.lit(False))
+    bad = sized.where(~wanted).select("file", "number", "width", F.col("value").alias("line"))
     if not skip and (first := bad.orderBy("file", "number").head(3)):
-        raise ValueError(f"lines of another width than {len(schema.names)}: {[(r['number'], r['width']) for r in first]}")
-    row = F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "PERMISSIVE"})
-    good = sized.where((F.col("width") == len(schema.names)) & (F.col("number") > 1)).withColumn("_row", row)
+        raise ValueError(f"records of another width than {len(schema.names)}: {[(r['number'], r['width']) for r in first]}")
+    whole = F.regexp_replace("value", QUOTED_AND_MORE, '$1"$2$3"')
+    row = F.from_csv(whole, schema.simpleString()[len("struct<") : -1].replace(":", " "), {"mode": "PERMISSIVE", "multiLine": "true", "escape": '"'})
+    good = sized.where(wanted).join(heads, F.col("file") == F.col("_of")).where(F.col("number") > F.col("_head")).withColumn("_row", row)
     return good.select(*(F.col(f"_row.`{c}`").alias(c) for c in schema.names)), bad
 
 
@@ -92,9 +151,17 @@ def export_summary(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 
 
 def newest_within_bytes(df: DataFrame, size: str, cap: int, keys: list[str], order: list[str]) -> DataFrame:
-    """The newest rows of each key whose sizes add up to the cap at most."""
-    line = Window.partitionBy(*keys).orderBy(*(F.desc(c) for c in order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumn("_bytes", F.sum(size).over(line)).where(F.col("_bytes") <= cap).drop("_bytes")
+    """The newest rows of each key whose sizes add up to the cap at most.
+
+    What a row and all newer ones add up to is the key's total less what is before it: sums within blocks of the series, and of the blocks before.
+    """
+    own = in_blocks(df, keys, order, 0)
+    sums = own.groupBy(*keys, "_block").agg(F.sum(size).alias("_s"))
+    line = Window.partitionBy(*keys).orderBy("_block")  # a row a block
+    offsets = sums.select(*keys, "_block", F.coalesce(F.sum("_s").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_head"), F.sum("_s").over(Window.partitionBy(*keys)).alias("_all"))
+    within = F.coalesce(F.sum(size).over(Window.partitionBy(*keys, "_block").orderBy("_rn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = joined_within(own.withColumn("_own", within), offsets, [*keys, "_block"])
+    return placed.where(F.col("_all") - F.col("_head") - F.col("_own") <= cap).select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def wide_export(grid: DataFrame, metrics: list[str], zones: list[int], ts: str = "timestamp", zone: str = "zone_id") -> DataFrame:

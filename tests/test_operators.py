@@ -306,3 +306,50 @@ def test_model_beats_the_base_rate(spark):
     scored = models.predict(model, w, ["timestamp"]).withColumnRenamed("y_true", "y")
     assert metrics.average_precision(scored).first()[0] > 0.9
     assert models.score_latest(model, w).count() == 2
+
+
+def test_medians_of_all_columns_in_few_scans(spark, monkeypatch):
+    monkeypatch.setattr(reports, "FEW_ROWS", 20)
+    rng = random.Random(12)
+    for n in (1, 2, 7, 20_000, 20_001):
+        columns = {
+            "flat": [3.0] * n, "wide": [rng.choice([-1.7e308, 1.7e308]) for _ in range(n)], "ties": [float(rng.randrange(3)) for _ in range(n)],
+            "spread": [rng.gauss(0, 1e6) for _ in range(n)], "gaps": [rng.choice([None, float("nan"), float("inf"), 1.0, 2.5]) for _ in range(n)], "none": [None] * n,
+        }
+        df = spark.createDataFrame(list(zip(*columns.values(), strict=True)), ", ".join(f"{c} double" for c in columns)).repartition(3)
+        got = reports.exact_medians(df, list(columns))
+        for c, values in columns.items():
+            known = sorted(x for x in values if x is not None and math.isfinite(x))
+            a, b = (known[(len(known) - 1) // 2], known[len(known) // 2]) if known else (None, None)
+            assert got[c] == (None if a is None else (a + b) / 2 if math.isfinite(a + b) else a / 2 + b / 2), (n, c)
+    assert reports.fill_values(df, ["none", "flat"]).first().asDict() == {"none": 0.0, "flat": 3.0}
+    assert set(reports.exact_medians(df.limit(0), ["flat"]).values()) == {None} and reports.exact_medians(df, []) == {}
+
+
+def test_append_stats_count_rows_and_keys(spark):
+    table = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    batch = spark.createDataFrame([(2,), (2,), (3,), (None,), (4,), (4,)], "k int")
+    assert merge.append_stats(table, batch, ["k"]).first().asDict() == {"existing": 4, "fetched": 6, "inserted": 2, "updated": 2, "total": 5}
+    assert merge.append_stats(table.limit(0), batch.limit(0), ["k"]).first().asDict() == {"existing": 0, "fetched": 0, "inserted": 0, "updated": 0, "total": 0}
+
+
+def test_fold_summary_counts_what_is_finite(spark):
+    schema = "run int, pr_auc double, best_epoch int"
+    rows = [(1, 0.5, 4), (1, float("inf"), 0), (1, float("nan"), 7), (2, float("nan"), 0), (2, None, None), (3, 0.25, 90), (3, 0.75, 80)]
+    got = {r["run"]: (r["mean_score"], r["std_score"], r["epochs"]) for r in metrics.fold_summary(spark.createDataFrame(rows, schema), keys=["run"], most_epochs=60).collect()}
+    assert got == {1: (0.5, 0.0, 6), 2: (-1.0, None, 60), 3: (0.5, 0.25, 60)}
+
+
+@pytest.mark.parametrize("span", [1, 2, 5, 100, 3000])
+def test_ema_of_any_span(spark, monkeypatch, span):
+    monkeypatch.setattr(windows, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(windows, "RUN_DECAY", 20.0 if span < 100 else 230.0)
+    rng = random.Random(span)
+    rows = [(k, i, rng.choice([None, float("inf"), float("nan")]) if rng.random() < 0.3 or 700 < i < 1900 else rng.gauss(5, 50)) for k in (1, 2) for i in range(2500)]
+    out = {(r["k"], r["i"]): r["ema"] for r in windows.ema(frame(spark, rows, "k int, i int, v double"), "v", ["k"], ["i"], span).collect()}
+    for k in (1, 2):
+        s = None
+        for _, i, x in (r for r in rows if r[0] == k):
+            if x is not None and math.isfinite(x):
+                s = x if s is None else 2 / (span + 1) * x + (1 - 2 / (span + 1)) * s
+            assert out[k, i] == (None if s is None else pytest.approx(s, abs=1e-9 if span < 100 else 1e-7)), (k, i)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -211,3 +213,38 @@ def test_live_scores(spark):
     labels = spark.createDataFrame([(1, T0 + timedelta(seconds=70), 1)], "zone_id long, label_time timestamp_ntz, label int")
     out = streams.live_scores(w, lambda df: df.withColumn("probability", F.lit(0.5)), labels, {"x": 0.9}, T0 + timedelta(seconds=100), ["zone_id"]).collect()
     assert len(out) == 1 and out[0]["gate_ok"] and out[0]["in_order"] and out[0]["label"] == 1
+
+
+def test_records_span_lines_and_pieces(spark, tmp_path):
+    rng = random.Random(3)
+    value = lambda: rng.choice(['plain', '5" pipe', '"quoted, too"', '"two\nlines"', '"a ""b"", \n\n,"""', '""', '"closed" and more', '"x\n' + "y" * 300 + '\n"'])
+    for part in (1, 2):
+        lines = ["", "a,b"] + ["" if i % 41 == 0 else ",".join(value() for _ in range(3 if i % 37 == 0 else 2)) for i in range(1, 900)]
+        (tmp_path / f"p{part}.csv").write_text("\n".join(lines) + "\n")
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    want_bad, want = [], []
+    for part in (1, 2):
+        with open(tmp_path / f"p{part}.csv", newline="") as f:
+            reader, header = csv.reader(f), None
+            for row in reader:
+                if len(row) != 2:
+                    want_bad.append((part, reader.line_num, len(row)))
+                elif header is None:
+                    header = row
+                else:
+                    want.append(tuple(row))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        good, bad = io.read_csv_checked(spark, str(tmp_path / "*.csv"), schema, skip=True)
+        assert sorted((int(r["file"][-5]), r["number"], r["width"]) for r in bad.collect()) == sorted(want_bad)
+        assert sorted((r["a"] or "", r["b"] or "") for r in good.collect()) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_an_unclosed_quote_is_one_record_of_no_width(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,2\n3,"open\n' + "4,5\n" * 50)
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    good, bad = io.read_csv_checked(spark, str(tmp_path / "x.csv"), schema, skip=True, most_lines=20)
+    assert [tuple(r) for r in good.collect()] == [(1, "2")] and [(r["number"], r["width"], r["line"]) for r in bad.collect()] == [(53, None, None)]
