@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorframe.llm.common import materialise, remainder, table
+from sensorframe.llm.common import discard, materialise, remainder, table
 from sensorframe.llm.decontamination import decontaminate
 from sensorframe.llm.mixing import in_mixed_order
 from sensorframe.llm.near_dup import keep_one_of_each
@@ -56,5 +56,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, each over the whole output of the one before, which is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(before)  # nothing reads a stage once the next is stored
     return STAGES[-1][1](spark, docs, sf_dir)
