@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -576,6 +578,46 @@ def l09_fold_summary(spark, sf):
     return metrics.fold_summary(v.readings(spark, sf).withColumn("value", score), "value", "k", ["zone_id"], 45).transform(rounded("mean_score", "std_score"))
 
 
+def _fixed(spark, weights: str):
+    """A model of fixed weights, saved and loaded, so that SQL can tell its probabilities."""
+    path = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+    score = f"1 / (1 + exp(-({weights})))"
+    PipelineModel([SQLTransformer(statement=f"SELECT *, array(1 - {score}, {score}) AS _both FROM __THIS__"), SQLTransformer(statement="SELECT *, _both[1] AS probability FROM __THIS__")]).write().save(path)
+    return PipelineModel.load(path)
+
+
+PAIR = """q AS (SELECT *, row_number() OVER (PARTITION BY zone_id ORDER BY timestamp) AS n, avg(value) OVER w AS a, max(value) OVER w AS m FROM frame WINDOW w AS (PARTITION BY zone_id ORDER BY timestamp ROWS 5 PRECEDING)),
+    d AS (SELECT max(CAST(timestamp AS DATE)) AS last FROM q), z AS (SELECT q.*, round(1 / (1 + exp(-(0.01 * coalesce(a, 0) - 1))), 3) AS c, round(1 / (1 + exp(-(1 - 0.01 * coalesce(m, 0)))), 3) AS p FROM q, d WHERE n >= 6 AND occupied IS NOT NULL AND CAST(timestamp AS DATE) > last - 3),
+    t AS (SELECT zone_id % 3 AS run, occupied AS y, c, p FROM z), u AS (SELECT run, c AS s, y, 'c' AS who FROM t UNION ALL SELECT run, p, y, 'p' FROM t),
+    g AS (SELECT run, who, s, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM u GROUP BY 1, 2, 3), h AS (SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp, sum(p) OVER (PARTITION BY run, who) AS a FROM g WINDOW w AS (PARTITION BY run, who ORDER BY s DESC)),
+    ap AS (SELECT run, sum(p / a * tp / (tp + fp)) FILTER (who = 'c')::DOUBLE AS pr_auc, sum(p / a * tp / (tp + fp)) FILTER (who = 'p')::DOUBLE AS production_pr_auc FROM h GROUP BY 1)"""
+
+
+@query(
+    f"""WITH {v.FRAME}, {PAIR} SELECT run, (SELECT count(*) FROM t WHERE t.run = ap.run) AS rows, round(pr_auc, 8) AS pr_auc, round(production_pr_auc, 8) AS production_pr_auc, CASE WHEN pr_auc > production_pr_auc + 0.01 THEN 'promote' ELSE 'skip' END AS decision FROM ap"""
+)
+def l08_same_window(spark, sf):
+    """Two saved models, loaded and scored on the same blind windows of three groups of zones, and what is decided from that."""
+    rows = splits.blind_last_days(models.window_features(v.frame(spark, sf), ["value"], 6, ["zone_id"]), 3).where("split = 'test' AND occupied IS NOT NULL")
+    candidate, production = _fixed(spark, "0.01 * value_avg - 1"), _fixed(spark, "1 - 0.01 * value_max")
+    scored = lambda m, run: m.transform(rows.where(F.col("zone_id") % 3 == run)).select(*KEYS, F.col("occupied").alias("y_true"), F.round("probability", 3).alias("probability"))
+    out = None
+    for run in range(3):
+        pair = models.same_window(scored(candidate, run), scored(production, run), KEYS).withColumn("run", F.lit(run))
+        out = pair if out is None else out.unionByName(pair)
+    full = out.withColumns({"mode": F.lit("strict"), "folds": F.lit(3), "cv_pr_auc": F.lit(0.5), "positive_buckets": F.lit(99), "positive_events": F.lit(9), "production_mode": F.lit("strict"), "production_folds": F.lit(2), "production_reported": F.lit(0.9)})
+    decided = metrics.promotion(full, {"positive_windows": 1, "delta": 0.01})
+    return decided.select(F.col("run").cast("long").alias("run"), "rows", F.round("pr_auc", 8).alias("pr_auc"), F.round("production_pr_auc", 8).alias("production_pr_auc"), "decision")
+
+
+@query()
+def l05_best_rounds(spark, sf):
+    """Best boosting round and average precision of each rolling fold, and the rounds that the model of all folds is fitted for."""
+    folds = splits.rolling_folds(reports.date_coverage(v.hourly(spark, sf), v.HOUR, 0.2, "zone_id"), 2, 2)
+    model, found, summary = models.fit_at_best_round(_occupancy(spark, sf), folds, FEATURES, 8)
+    return found.withColumns({"rounds": F.lit(model.stages[-1].getNumTrees), "mean_score": F.lit(summary["mean_score"])})
+
+
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 

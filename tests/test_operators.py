@@ -7,6 +7,7 @@ import random
 import statistics
 from datetime import date, datetime, timedelta
 
+import duckdb
 import pytest
 from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
@@ -353,3 +354,57 @@ def test_ema_of_any_span(spark, monkeypatch, span):
             if x is not None and math.isfinite(x):
                 s = x if s is None else 2 / (span + 1) * x + (1 - 2 / (span + 1)) * s
             assert out[k, i] == (None if s is None else pytest.approx(s, abs=1e-9 if span < 100 else 1e-7)), (k, i)
+
+
+def test_rounds_of_the_folds_drive_the_refit(spark):
+    rng = random.Random(21)
+    rows = [(T0 + timedelta(hours=h), z, float(h % 24 > 8) * 3 + rng.gauss(0, 1.5), int(h % 24 > 8) if rng.random() > 0.1 else rng.randrange(2)) for h in range(24 * 6) for z in (1, 2, 3)]
+    df = models.window_features(spark.createDataFrame(rows, "timestamp timestamp_ntz, zone_id int, x double, occupied int"), ["x"], 3, ["zone_id"]).persist()
+    day = lambda k: (T0 + timedelta(days=k)).date()
+    folds = spark.createDataFrame([(f, day(k), "train" if k < f + 2 else "validation") for f in (1, 2) for k in range(f + 3)], "fold int, date date, role string")
+    model, found, summary = models.fit_at_best_round(df, folds, ["x"], 6)
+    got = {r["fold"]: r for r in found.collect()}
+    assert got.keys() == {1, 2} and all(1 <= r["best_epoch"] <= 6 and r["pr_auc"] > 0.8 for r in got.values())
+    assert summary["epochs"] == math.ceil(statistics.median(r["best_epoch"] for r in got.values())) == model.stages[-1].getNumTrees
+    assert summary["mean_score"] == pytest.approx(statistics.mean(r["pr_auc"] for r in got.values()))
+    # trees of fewer rounds are the first of those of more, so a model that stops at the best round is the one of the curve
+    held = df.where(F.col("timestamp").cast("date") == F.lit(day(3)))
+    long, short = (models.fit_boosted(df, ["x"], n) for n in (4, 2))
+    curve, again = models.loss_by_round(long, held), models.loss_by_round(short, held)
+    assert curve[:2] == pytest.approx(again)
+    one = models.best_rounds(df.withColumn("occupied", F.lit(1)), folds.where("fold = 1"), ["x"], 3).first()
+    assert (one["best_epoch"], one["pr_auc"]) == (0, None)
+
+
+def test_models_are_compared_on_the_same_windows(spark):
+    rng = random.Random(22)
+    rows = [(T0 + timedelta(hours=h), z, rng.randrange(2), rng.random(), rng.random()) for h in range(40) for z in (1, 2)]
+    schema = "timestamp timestamp_ntz, zone_id int, y_true int, probability double"
+    a = spark.createDataFrame([r[:4] for r in rows], schema)
+    b = spark.createDataFrame([(*r[:3], r[4]) for r in rows], schema)
+    got = models.same_window(a, b, ["timestamp", "zone_id"]).first()
+
+    def precision(scores):
+        ranked, seen, total = sorted(zip(scores, (r[2] for r in rows), strict=True), reverse=True), 0, 0.0
+        for k, (_, y) in enumerate(ranked, 1):
+            seen += y
+            total += y * seen / k
+        return total / sum(r[2] for r in rows)
+
+    assert got["rows"] == 80 and got["pr_auc"] == pytest.approx(precision([r[3] for r in rows])) and got["production_pr_auc"] == pytest.approx(precision([r[4] for r in rows]))
+    for wrong in (b.where("zone_id = 1"), b.union(b.limit(1)), b.withColumn("y_true", 1 - F.col("y_true"))):
+        with pytest.raises(ValueError):
+            models.same_window(a, wrong, ["timestamp", "zone_id"])
+
+
+def test_predictions_from_the_models_coefficients(spark):
+    """The stored probabilities are those that SQL gets from the coefficients, on the rows that were left out of the fit."""
+    rng = random.Random(23)
+    rows = [(T0 + timedelta(minutes=m), z, rng.gauss(z + (m // 30) % 2, 1), (m // 30) % 2) for m in range(400) for z in (1, 2)]
+    df = models.window_features(spark.createDataFrame(rows, "timestamp timestamp_ntz, zone_id int, x double, occupied int"), ["x"], 4, ["zone_id"])
+    model = models.fit_occupancy(df.where("timestamp < TIMESTAMP_NTZ '2024-03-04 05:00:00'"), ["x"])
+    scored = models.predict(model, df.where("timestamp >= TIMESTAMP_NTZ '2024-03-04 05:00:00'"), ["timestamp", "zone_id", *models.model_columns(["x"])]).toPandas()
+    scaler, fitted = model.stages[1], model.stages[2]
+    terms = " + ".join(f"{w!r} * ({c} - {m!r}) / {s!r}" for c, w, m, s in zip(models.model_columns(["x"]), fitted.coefficients.tolist(), scaler.mean.tolist(), scaler.std.tolist(), strict=True))
+    worst = duckdb.sql(f"SELECT max(abs(probability - 1 / (1 + exp(-({fitted.intercept!r} + {terms}))))) FROM scored").fetchall()[0][0]
+    assert len(scored) == 200 and worst < 1e-9 and scored["probability"].std() > 0.1
