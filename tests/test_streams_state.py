@@ -303,8 +303,8 @@ def test_two_sinks_take_a_batch_once(spark, tmp_path):
 
 
 def ticking(df, sink, checkpoint, until):
-    """Run with a trigger by the clock until something holds, for 40 seconds at most."""
-    q, end = started(df, sink, checkpoint, {"processingTime": "1 second"}), time.time() + 40
+    """Run with a trigger by the clock until something holds, for 150 seconds at most."""
+    q, end = started(df, sink, checkpoint, {"processingTime": "1 second"}), time.time() + 150
     try:
         while time.time() < end and not until(q) and q.exception() is None:
             time.sleep(0.5)
