@@ -168,7 +168,7 @@ def divergence_audit(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     kept = counts.groupBy("lang", "term").agg(F.array_sort(F.collect_list(F.struct("source", "n"))).alias("counts"), F.sum("n").alias("whole"), F.sum("docs").alias("docs")).where(F.col("docs") >= least_docs).drop("docs")
     kept = materialise(kept, "divergence-kept")
     flat = kept.select("lang", "term", "whole", F.inline("counts"))
-    sizes = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("whole").alias("lang_n"))
+    sizes = materialise(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("whole").alias("lang_n")), "divergence-sizes")
     groups = docs.select(text(lang_col).alias("lang"), text(source_col).alias("source")).distinct()
     totals = groups.join(flat.groupBy("lang", "source").agg(F.sum("n").alias("group_n")), ["lang", "source"], "left").join(sizes, "lang", "left")
     totals = materialise(totals.select("lang", "source", F.coalesce("group_n", F.lit(0)).alias("group_n"), F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("lang_n", F.lit(0)).alias("lang_n")), "divergence-totals")
@@ -177,7 +177,8 @@ def divergence_audit(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     key = F.array_join(F.transform("counts", lambda x: F.concat_ws("\x01", x["source"], x["n"])), "\x02")
     vectors = kept.groupBy("lang", "counts").agg(F.count(F.lit(1)).alias("terms"))
     vectors = materialise(vectors, "divergence-vectors")
-    slices = vectors.groupBy("lang").agg(F.ceil(F.sum(F.size("counts")) / slice_counts).cast("int").alias("slices"))
+    # a row a language: stored, so that Spark knows its size and broadcasts it where it is small, and vectors of a language that most have do not meet in a task
+    slices = materialise(vectors.groupBy("lang").agg(F.ceil(F.sum(F.size("counts")) / slice_counts).cast("int").alias("slices")), "divergence-slices")
     sliced = vectors.join(slices, "lang").select("lang", F.pmod(F.xxhash64("counts"), F.col("slices")).cast("int").alias("slice"), key.alias("key"), "counts", "terms", F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("total"))
     facts = totals.join(slices, "lang").select(
         "lang", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.lit(None).cast("string").alias("key"), F.lit(None).cast(vectors.schema["counts"].dataType).alias("counts"), F.lit(None).cast("long").alias("terms"), "source", (F.col("group_n") + F.col("kept")).alias("total")
