@@ -202,10 +202,12 @@ def blocks(words: DataFrame, block_words: int, most_words: int) -> DataFrame:
     done: list[DataFrame] = []
     while True:
         rows = materialise(rows, "spelling-blocks")
-        sized = rows.join(_sizes(rows), ["s", "lo", "hi", "part"])
+        # a row a block: stored, so that Spark knows its size and broadcasts it where it is small, and words of a wide block do not meet in a task
+        sizes = materialise(_sizes(rows), "spelling-sizes")
+        sized = rows.join(sizes, ["s", "lo", "hi", "part"])
         wide = (F.col("size") > most_words) & (F.col("hi") - F.col("lo") > 1)
         done.append(sized.where(~wide & (F.col("size") > 1)).drop("size"))
-        if not _sizes(rows).where(wide).limit(1).count():
+        if not sizes.where(wide).limit(1).count():
             break
         mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
         # so many parts that a part has about a block's words, where no first or last part is shared by more
