@@ -124,10 +124,11 @@ def same_window(candidate: DataFrame, production: DataFrame, keys: list[str], la
 
 
 def predict(model: PipelineModel, rows: DataFrame, keep: list[str], label: str | None = "occupied", split: str | None = None) -> DataFrame:
-    """Prediction table: the kept columns, y_true, probability, split."""
+    """Prediction table: the kept columns, y_true, probability, split (L06). A model that makes a column ``probability`` is taken at its word."""
     out = model.transform(rows.drop("_w"))
+    probability = F.col("probability") if "probability" in out.columns and "probability" not in rows.columns else vector_to_array("_prob")[1]
     extra = ([F.col(label).cast("int").alias("y_true")] if label else []) + ([F.lit(split).alias("split")] if split else [])
-    return out.select(*keep, *extra, vector_to_array("_prob")[1].alias("probability"))
+    return out.select(*keep, *extra, probability.alias("probability"))
 
 
 def cross_validate(rows: DataFrame, folds: DataFrame, features: list[str], ts: str = "timestamp", label: str = "occupied") -> DataFrame:

@@ -610,6 +610,25 @@ def l08_same_window(spark, sf):
     return decided.select(F.col("run").cast("long").alias("run"), "rows", F.round("pr_auc", 8).alias("pr_auc"), F.round("production_pr_auc", 8).alias("production_pr_auc"), "decision")
 
 
+LEVEL = "0.004 * value_avg - 0.003 * value_sd + 0.002 * value_min - 0.001 * value_max + 0.005 * value_now - 0.6"
+WINDOWS = """u AS (SELECT *, row_number() OVER o AS n, avg(value) OVER w AS a, stddev_pop(value) OVER w AS s, min(value) OVER w AS lo, max(value) OVER w AS hi FROM frame WINDOW o AS (PARTITION BY zone_id ORDER BY timestamp), w AS (PARTITION BY zone_id ORDER BY timestamp ROWS 5 PRECEDING)),
+    s AS (SELECT *, round(1 / (1 + exp(-(0.004 * coalesce(a, 0) - 0.003 * coalesce(s, 0) + 0.002 * coalesce(lo, 0) - 0.001 * coalesce(hi, 0) + 0.005 * coalesce(value, a, 0) - 0.6))), 8) AS probability FROM u WHERE n >= 6)"""
+
+
+@query(f"WITH {v.FRAME}, {WINDOWS}, d AS (SELECT max(CAST(timestamp AS DATE)) AS last FROM s) SELECT timestamp, zone_id, 'test' AS split, occupied AS y_true, probability FROM s, d WHERE occupied IS NOT NULL AND CAST(timestamp AS DATE) > last - 3")
+def l06_stored_model(spark, sf):
+    """The prediction table of a saved model for the blind days, probabilities included."""
+    rows = splits.blind_last_days(models.window_features(v.frame(spark, sf), ["value"], 6, ["zone_id"]), 3).where("split = 'test' AND occupied IS NOT NULL")
+    return models.predict(_fixed(spark, LEVEL), rows, KEYS, split="test").withColumn("probability", F.round("probability", 8))
+
+
+@query(f"WITH {v.FRAME}, {WINDOWS} SELECT zone_id, max(timestamp) AS timestamp, arg_max(probability, timestamp) AS probability FROM s GROUP BY 1")
+def l07_stored_model(spark, sf):
+    """The latest window of each zone, scored by a saved model."""
+    windows_ = models.window_features(v.grid(spark, sf), ["value"], 6, ["zone_id"])
+    return models.score_latest(_fixed(spark, LEVEL), windows_).withColumn("probability", F.round("probability", 8))
+
+
 @query()
 def l05_best_rounds(spark, sf):
     """Best boosting round and average precision of each rolling fold, and the rounds that the model of all folds is fitted for."""

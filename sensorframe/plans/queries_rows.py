@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions import scalars
 from ..operators import buckets, joins, merge, windows
 from ..operators import query as q
-from ..sources import catalog, ingest, io
+from ..sources import catalog, ingest, io, versions
 from ..session import shared_dir
 from . import views as v
 from .registry import query
@@ -84,6 +84,27 @@ def s07_csv_width(spark, sf):
     return bad.unionByName(good.where("text = 'a, b'").groupBy("file").agg(F.count(F.lit(1)).alias("number")).select(F.lit("good").alias("part"), "file", "number", F.lit(3).alias("width")))
 
 
+@query(f"{W} SELECT device_id, CAST(timestamp AS DATE)::VARCHAR AS day, count(*) AS n, round(sum(value), 4) AS total FROM readings GROUP BY 1, 2")
+def s04_other_store(spark, sf):
+    """A day-partitioned store and a table of versions, written and read through another file system than that of the session: a view with a mount."""
+    inner = shared_path(spark, "store")
+    store = versions.Files(spark, inner)
+    store.fs.mkdirs(store.path(inner))
+    name = f"s04{uuid.uuid4().hex[:12]}"
+    mount = f"fs.viewfs.mounttable.{name}.link./data"
+    spark.conf.set(mount, inner if "://" in inner else f"file://{inner}")
+    try:
+        base_ = f"viewfs://{name}/data"
+        io.save_by_day(base(spark, sf), f"{base_}/raw")
+        rows = io.scan_raw(spark, f"{base_}/raw").groupBy("device_id", F.col("timestamp").cast("date").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+        table = versions.VersionedTable(spark, f"{base_}/table", rows.schema, F.col("day"))
+        table.append(rows, "s04", 0)
+        # read by its own name, as the mount ends with this call
+        return versions.VersionedTable(spark, f"{inner}/table", rows.schema, F.col("day")).read()
+    finally:
+        spark.conf.unset(mount)
+
+
 @query(
     f"""{W}, l AS (SELECT seq, device_id % 10 AS file, CASE WHEN seq % 97 = 0 THEN 1 WHEN seq % 89 = 0 THEN 4 WHEN seq % 83 = 0 THEN 0 ELSE 3 END AS width, CASE WHEN seq % 7 = 0 AND seq % 97 > 0 AND seq % 89 > 0 AND seq % 83 > 0 THEN 2 ELSE 1 END AS lines FROM readings),
     n AS (SELECT *, 2 + sum(lines) OVER (PARTITION BY file ORDER BY seq)::BIGINT AS number FROM l)
