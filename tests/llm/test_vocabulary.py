@@ -223,3 +223,15 @@ def test_table_misses_where_it_is_full():
     assert ((found == np.arange(1000)) | (found == -1)).all() and (found >= 0).mean() > 0.95
     other = [b"x%d" % k for k in range(1000)]
     assert (known.find(token_counts.hashed(other), np.array([len(p) for p in other])) == -1).all()
+
+
+def test_the_sample_is_of_some_files_only(spark, library, tmp_path):
+    rows = [(i, f"file {i % 80} has some words, and again some words {i}") for i in range(800)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(80, "doc_id").write.parquet(str(tmp_path / "many"))
+    docs = spark.read.parquet(str(tmp_path / "many"))
+    assert len(docs.inputFiles()) > token_counts.SAMPLE_FILES
+    known = token_counts.frequent_pretokens(docs, open(MODEL, "rb").read(), rows=400)
+    assert (known.lengths > 0).sum() > 5  # pre-tokens of the files that were chosen
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(docs, MODEL).collect()} == {i: len(library.encode(t)) for i, t in rows}
+    filtered = docs.where("doc_id < 100").withColumn("text", F.upper("text"))  # not the files as they are
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(filtered, MODEL).collect()} == {i: len(library.encode(t.upper())) for i, t in rows[:100]}
