@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Layers and device types.
@@ -47,17 +48,55 @@ def reset_layers(spark: SparkSession) -> None:
     create_layers(spark)
 
 
+#: Property of a table that is being moved: where from.
+MOVING = "moved_from"
+
+
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+
+
+def _take_over(spark: SparkSession, old: str, new: str) -> None:
+    """Hand the files of a table to another of the same schema, which is empty: a rename of the folder, or a copy where the store cannot rename."""
+    jvm = spark._jvm
+    here, there = (jvm.org.apache.hadoop.fs.Path(_described(spark, t)["Location"]) for t in (old, new))
+    files = here.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(here):  # else an earlier run has got as far as this
+        try:
+            files.delete(there, True)  # it is empty, or holds a copy that broke off
+            files.mkdirs(there.getParent())
+            renamed = files.rename(here, there)
+        except Py4JJavaError:  # the two folders are in different stores
+            renamed = False
+        if not renamed:
+            spark.table(old).write.insertInto(new, overwrite=True)
+
+
 def migrate_flat(spark: SparkSession) -> list[str]:
-    """Move flat tables such as bronze_air_1 of the current database to bronze.air_1, unless that is there."""
+    """Move flat tables such as bronze_air_1 of the current database to bronze.air_1, unless that is there.
+
+    No row is read: the new table has the schema, format and partitions of the old, whose folder becomes its own; a table outside the warehouse stays where
+    it is and only its name moves. Views are left alone. A move that broke off goes on when the function is called again.
+    """
     moved = []
     for t in spark.catalog.listTables():
         for layer in LAYERS:
-            if t.name.startswith(f"{layer}_") and not t.isTemporary:
+            if t.name.startswith(f"{layer}_") and t.tableType in ("MANAGED", "EXTERNAL"):
                 new = f"{layer}.{t.name[len(layer) + 1 :]}"
-                if not spark.catalog.tableExists(new):
-                    spark.table(t.name).write.saveAsTable(new)
-                    spark.sql(f"DROP TABLE {t.name}")
-                    moved.append(new)
+                if spark.catalog.tableExists(new):
+                    if f"{MOVING}={t.name}" not in _described(spark, new).get("Table Properties", "").strip("[]").split(","):
+                        continue
+                else:
+                    outside = f" LOCATION '{_described(spark, t.name)['Location']}'" if t.tableType == "EXTERNAL" else ""
+                    spark.sql(f"CREATE TABLE {new} LIKE {t.name} TBLPROPERTIES ('{MOVING}'='{t.name}'){outside}")
+                if t.tableType == "MANAGED":
+                    _take_over(spark, t.name, new)
+                spark.catalog.refreshTable(new)
+                if any(c.isPartition for c in spark.catalog.listColumns(new)):
+                    spark.catalog.recoverPartitions(new)
+                spark.sql(f"DROP TABLE {t.name}")
+                spark.sql(f"ALTER TABLE {new} UNSET TBLPROPERTIES IF EXISTS ('{MOVING}')")
+                moved.append(new)
     return moved
 
 

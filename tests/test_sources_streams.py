@@ -120,6 +120,37 @@ def test_catalog(spark):
     assert catalog.available(spark, "bronze") == []
 
 
+def test_flat_tables_move_without_a_copy(spark, tmp_path):
+    catalog.reset_layers(spark)
+    frame = rows(spark).withColumn("day", F.dayofmonth("timestamp"))
+    frame.write.partitionBy("day").saveAsTable("silver_parts")
+    frame.write.option("path", str(tmp_path / "own")).saveAsTable("gold_outside")
+    frame.createOrReplaceTempView("gold_view")
+    names = lambda t: sorted(f.rsplit("/", 1)[1] for f in spark.table(t).inputFiles())
+    want, files, outside = sorted(map(str, spark.table("silver_parts").collect())), names("silver_parts"), spark.table("gold_outside").inputFiles()
+    assert sorted(catalog.migrate_flat(spark)) == ["gold.outside", "silver.parts"]
+    assert sorted(map(str, spark.table("silver.parts").collect())) == want and names("silver.parts") == files  # the same files
+    assert sorted(spark.table("gold.outside").inputFiles()) == sorted(outside) and catalog.row_count(spark, "gold.outside") == 6
+    assert [c.name for c in spark.catalog.listColumns("silver.parts") if c.isPartition] == ["day"]
+    assert catalog.migrate_flat(spark) == [] and not spark.catalog.tableExists("silver_parts")
+    catalog.reset_layers(spark)
+
+
+@pytest.mark.parametrize("renamed", [False, True])
+def test_a_move_that_broke_off_goes_on(spark, renamed):
+    catalog.reset_layers(spark)
+    rows(spark).write.saveAsTable("bronze_b")
+    spark.sql(f"CREATE TABLE bronze.b LIKE bronze_b TBLPROPERTIES ('{catalog.MOVING}'='bronze_b')")
+    if renamed:
+        catalog._take_over(spark, "bronze_b", "bronze.b")
+    assert catalog.migrate_flat(spark) == ["bronze.b"] and catalog.row_count(spark, "bronze.b") == 6
+    assert catalog.MOVING not in str(spark.sql("SHOW TBLPROPERTIES bronze.b").collect())
+    rows(spark).write.saveAsTable("bronze_b")  # a table of that name is there now
+    assert catalog.migrate_flat(spark) == [] and catalog.row_count(spark, "bronze_b") == 6
+    spark.sql("DROP TABLE bronze_b")
+    catalog.reset_layers(spark)
+
+
 def test_messages(spark):
     allowed = {"air": ["co2"], "air_one": ["co2", "pm"]}
     m = spark.createDataFrame([("air_one_7/data", '{"pm":1}'), ("air_7/data", '{"pm":1}'), ("air_7/data", "{"), ("toaster", "{}"), ("air_7", '{"co2":null}')], "topic string, payload string")
