@@ -7,6 +7,7 @@ import math
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
 KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
 EVENT = "turn long, seq int, kind string, call_id string, name string, refs array<string>, errors array<string>, json string"
 
+PLACE = "struct<turn: bigint, seq: int, _event: bigint>"
+#: References of a conversation that one task orders, at most, and of all conversations that it has at a time, about.
+OWN_EDGES, TASK_EDGES = 500_000, 250_000
+
 #: The tools of the registered query.
 TOOLS = {
     "search": {"type": "object", "required": ["query", "turn"], "additionalProperties": False, "properties": {"query": {"type": "string", "minLength": 1}, "turn": {"type": "integer", "minimum": 0}, "after": {"type": "array", "items": {"type": "object"}}}},
@@ -175,9 +180,71 @@ def _depths(edges: DataFrame, most: int, places: DataFrame | None = None) -> tup
     return depth, places
 
 
-def _order(edges: DataFrame, most: int) -> DataFrame:
+def sorted_calls(source: np.ndarray, target: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Level, latest place and wait of every call by Kahn's order: a call comes once all it refers to have come. The level is -1 on or behind a cycle.
+
+    Calls are numbers, and refer from ``source`` to ``target``; ``place`` is that of each, no two alike. Time and memory grow with the references.
+    """
+    n = len(place)
+    by = np.argsort(target, kind="stable")
+    users, begin = source[by].tolist(), np.searchsorted(target[by], np.arange(n + 1)).tolist()
+    missing = np.bincount(source, minlength=n).tolist()
+    level, ready, wait = [0] * n, place.tolist(), [0] * n
+    come = [i for i in range(n) if not missing[i]]
+    for u in come:
+        for v in users[begin[u] : begin[u + 1]]:
+            level[v] = max(level[v], level[u] + 1)
+            if ready[u] > ready[v]:
+                ready[v], wait[v] = ready[u], wait[u] + 1
+            elif ready[u] == ready[v]:
+                wait[v] = max(wait[v], wait[u] + 1)
+            missing[v] -= 1
+            if not missing[v]:
+                come.append(v)
+    known = np.array(missing, dtype=np.int64) == 0
+    return np.where(known, level, -1), np.array(ready, dtype=np.int64), np.array(wait, dtype=np.int64)
+
+
+def _sorted_edges(edges: pa.Table) -> pa.Table:
+    """(_call, _level, _ready, _wait) for every call of whole conversations that refers to others."""
+    ends = [(edges.column(f"_{end}").combine_chunks(), edges.column(f"_{end}_place").combine_chunks()) for end in ("from", "to")]
+    events, first = np.unique(np.concatenate([e.to_numpy(zero_copy_only=False) for e, _ in ends]), return_index=True)
+    source, target = (np.searchsorted(events, e.to_numpy(zero_copy_only=False)) for e, _ in ends)
+    places = pa.concat_arrays([p for _, p in ends]).take(pa.array(first))
+    turn, seq = places.field("turn"), places.field("seq").to_numpy(zero_copy_only=False)
+    order = np.lexsort((events, seq, turn.fill_null(0).to_numpy(zero_copy_only=False), turn.is_valid().to_numpy(zero_copy_only=False)))  # a null turn comes first
+    place = np.empty(len(events), dtype=np.int64)
+    place[order] = np.arange(len(events))
+    level, ready, wait = sorted_calls(source, target, place)
+    calls = np.unique(source)
+    lost = level[calls] < 0
+    return pa.table({
+        "_call": pa.array(events[calls], pa.int64()), "_level": pa.array(level[calls], pa.int32(), mask=lost),
+        "_ready": places.take(pa.array(order[ready[calls]], pa.int64(), mask=lost)), "_wait": pa.array(wait[calls], pa.int32(), mask=lost),
+    })
+
+
+def _order(edges: DataFrame, most: int, own_edges: int = OWN_EDGES) -> DataFrame:
     """(_call, _level, _ready, _wait) for every call that refers to others.
 
+    ``edges`` has _conv, _from, _from_place, _to, _to_place, each pair once. Conversations of up to ``own_edges`` references are ordered whole, many in a task, in time
+    that grows with the references; those of more by doubled steps, where no task has a whole conversation. Both give the same.
+    """
+    edges = edges.withColumn("_whole", F.xxhash64("_conv"))
+    sizes = materialise(edges.groupBy("_whole").agg(F.count(F.lit(1)).alias("_size")), "conversation-sizes")
+    large = sizes.where(F.col("_size") > own_edges).select("_whole")
+    total = sizes.agg(F.sum("_size")).first()[0] or 0
+    tasks = -(-total // TASK_EDGES) + 1
+    small = edges.join(large, "_whole", "left_anti").withColumn("_task", F.pmod(F.col("_whole"), F.lit(tasks)))
+    found = small.select("_task", "_from", "_from_place", "_to", "_to_place").groupBy("_task").applyInArrow(_sorted_edges, f"_call long, _level int, _ready {PLACE}, _wait int")
+    if large.isEmpty():
+        return found
+    return found.unionByName(_order_by_steps(materialise(edges.join(large, "_whole", "left_semi").drop("_whole", "_conv"), "large-conversations"), most))
+
+
+def _order_by_steps(edges: DataFrame, most: int) -> DataFrame:
+    """(_call, _level, _ready, _wait) for every call that refers to others, by doubled steps.
+
     ``edges`` has _from, _from_place, _to, _to_place. The level is one more than that of the deepest call referred to. A call is ready at
     the latest place among itself and all it refers to, directly or not; where all references go back that is its own. It
     waits one more than those it refers to of the same place. Calls on or behind a cycle have none of these.
@@ -196,7 +263,7 @@ def _order(edges: DataFrame, most: int) -> DataFrame:
     return placed.select(F.col("_node").alias("_call"), F.col("_depth").alias("_level"), F.when(known, F.col("_ready")).alias("_ready"), F.when(known, F.coalesce("_wait", F.lit(0))).alias("_wait"))
 
 
-def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
+def link_tool_calls(messages: DataFrame, tools: dict, own_edges: int = OWN_EDGES) -> DataFrame:
     """Calls and results of conversations, linked by identifier.
 
     ``messages`` has conv_id (of any type), turn, role, text. Calls are JSON objects (id, name, arguments) in
@@ -204,7 +271,8 @@ def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
     content). Arguments may refer to the results of other calls as {"$ref": id}. Ordering a conversation by (ready_turn,
     ready_seq, wait, call_turn, call_seq, kind) puts every call after all that it refers to and every result after its call:
     a call is ready at the latest place among itself and all that it needs, and waits one more than those it needs of the same
-    place. Its level is one more than that of the deepest call it refers to, 0 where it refers to none. No conversation is gathered in one task.
+    place. Its level is one more than that of the deepest call it refers to, 0 where it refers to none. Conversations of up to ``own_edges`` references
+    are ordered within tasks; no larger one is gathered in one task.
 
     Returns one row per event: conv_id, turn, seq, kind, call_id, name, ready_turn, ready_seq, wait, level, call_turn, call_seq, other_turn (of the
     result or the call), status, errors, json (canonical). Status of a call: duplicate (not the first of its identifier), cycle,
@@ -220,16 +288,16 @@ def link_tool_calls(messages: DataFrame, tools: dict) -> DataFrame:
     call = firsts.where("kind = 'call'").select("_key", F.col("_first._event").alias("_call"), F.col("_first").alias("_place"))
     result = firsts.where("kind = 'result'").select("_key", F.col("_first._event").alias("_result"), F.col("_first.turn").alias("_result_turn"))
     pairs = materialise(call.join(result, "_key", "full_outer"), "links")
-    refs = keyed.where("kind = 'call'").select("_event", "conv_id", place.alias("_from_place"), F.explode("refs").alias("call_id"))
+    refs = keyed.where("kind = 'call'").select("_event", "conv_id", F.to_json(F.struct("conv_id"), {"ignoreNullFields": "false"}).alias("_conv"), place.alias("_from_place"), F.explode("refs").alias("call_id"))
     refs = refs.withColumn("_key", F.to_json(F.struct("conv_id", "call_id"), {"ignoreNullFields": "false"})).join(call, "_key", "left")
-    refs = materialise(refs.select("_event", "_from_place", "call_id", "_call", "_place"), "refs")
+    refs = materialise(refs.select("_event", "_conv", "_from_place", "call_id", "_call", "_place"), "refs")
     unknown = refs.where("_call IS NULL").groupBy("_event").agg(F.array_sort(F.collect_set(F.concat(F.lit("unknown reference "), "call_id"))).alias("_unknown"))
-    edges = refs.where("_call IS NOT NULL").select(F.col("_event").alias("_from"), "_from_place", F.col("_call").alias("_to"), F.col("_place").alias("_to_place")).distinct()
+    edges = refs.where("_call IS NOT NULL").select("_conv", F.col("_event").alias("_from"), "_from_place", F.col("_call").alias("_to"), F.col("_place").alias("_to_place")).distinct()
     edges = edges.join(call.select(F.col("_call").alias("_from")), "_from", "left_semi")
     edges = materialise(edges, "edges")
     most = keyed.where("kind = 'call'").groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
     own = F.struct(F.lit(0).alias("_level"), F.col("_place").alias("_ready"), F.lit(0).alias("_wait"))
-    known = _order(edges, most).select("_call", F.struct("_level", "_ready", "_wait").alias("_w"))
+    known = _order(edges, most, own_edges).select("_call", F.struct("_level", "_ready", "_wait").alias("_w"))
     pairs = pairs.join(known, "_call", "left").withColumn("_order", F.when(F.col("_w").isNotNull(), F.col("_w")).when(F.col("_call").isNotNull(), own)).drop("_w")
     joined = keyed.join(materialise(pairs, "ordered"), "_key", "left").join(unknown, "_event", "left")
     errors = F.concat("errors", F.coalesce("_unknown", F.array().cast("array<string>")))

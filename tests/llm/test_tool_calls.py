@@ -6,6 +6,9 @@ import functools
 import json
 import random
 
+import numpy as np
+import pytest
+
 from sensorframe.llm import tool_calls
 
 TOOLS = {"add": {"type": "object", "required": ["x"], "additionalProperties": False, "properties": {"x": {}, "n": {"type": "integer", "minimum": 1, "maximum": 5}, "mode": {"type": "string", "enum": ["a", "b"]}}}}
@@ -19,19 +22,24 @@ def result(own, content=1):
     return json.dumps({"tool_call_id": own, "content": content})
 
 
-def linked(spark, rows):
+def linked(spark, rows, **options):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
-    return tool_calls.link_tool_calls(df, TOOLS).collect()
+    return tool_calls.link_tool_calls(df, TOOLS, **options).collect()
+
+
+#: All conversations within tasks, those of more than 60 references by doubled steps, all by doubled steps.
+WAYS = pytest.mark.parametrize("own_edges", [tool_calls.OWN_EDGES, 60, 0])
 
 
-def test_status_and_order(spark):
+@WAYS
+def test_status_and_order(spark, own_edges):
     rows = [
         (1, 0, "user", "hello"), (1, 1, "assistant", call("a") + " and " + call("b", ["c"])), (1, 2, "assistant", call("c", ["a"])), (1, 3, "tool", result("c")), (1, 4, "tool", result("a")),
         (1, 5, "assistant", call("d", ["b", "c"])), (1, 6, "tool", result("zzz")), (1, 7, "assistant", call("a")), (1, 8, "tool", result("a")), (1, 9, "assistant", call("e", ["nowhere"])),
         (2, 0, "assistant", call("p", ["q"]) + call("q", ["p"]) + call("r", ["q"]) + call("s", ["s"])), (2, 1, "assistant", call("t", n=9, mode="c", y=1)), (2, 2, "assistant", "<tool_call>{oops</tool_call>"), (2, 3, "tool", "not json"),
         (None, 0, "assistant", call("a")), (None, 1, "tool", result("a")), (3, None, "assistant", None), (3, 1, None, call("a")),
     ]
-    out = linked(spark, rows)
+    out = linked(spark, rows, own_edges=own_edges)
     status = {(r["conv_id"], r["turn"], r["seq"]): r["status"] for r in out}
     assert status[1, 1, 0] == "linked" and status[1, 1, 1] == "unanswered" and status[1, 2, 0] == "linked"
     assert status[1, 6, 0] == "orphan" and status[1, 7, 0] == "duplicate" and status[1, 8, 0] == "duplicate" and status[1, 9, 0] == "invalid"
@@ -54,7 +62,8 @@ def test_long_chains_of_either_direction(spark):
     assert {r["status"] for r in out} == {"unanswered"}
 
 
-def test_levels_and_waits_by_brute_force(spark):
+@WAYS
+def test_levels_and_waits_by_brute_force(spark, own_edges):
     rng, rows, refs = random.Random(5), [], {}
     for c in range(6):
         rank = rng.sample(range(40), 40)  # references go to calls of less rank, before or after
@@ -67,7 +76,7 @@ def test_levels_and_waits_by_brute_force(spark):
     texts = {}
     for c, turn, _, text in rows + chain:
         texts[c, turn] = texts.get((c, turn), "") + text
-    out = linked(spark, [(c, turn, "assistant", text) for (c, turn), text in texts.items()])
+    out = linked(spark, [(c, turn, "assistant", text) for (c, turn), text in texts.items()], own_edges=own_edges)
     place = {(r["conv_id"], r["call_id"]): (r["call_turn"], r["call_seq"]) for r in out}
 
     @functools.cache
@@ -99,6 +108,29 @@ def test_types_of_a_schema():
     assert tool_calls.violations(3, kinds) == ["arguments: not of type string or null"] and tool_calls.violations(True, {"type": "integer"}) == ["arguments: not of type integer"]
 
 
+def test_ten_thousand_calls_of_fifty_references():
+    n, each, rng = 10_000, 50, np.random.default_rng(3)
+    rank = rng.permutation(n)
+    at = np.argsort(rank)
+    source = np.repeat(np.arange(n), each)
+    target = at[(rng.random(n * each) * rank[source]).astype(np.int64)]
+    source, target = source[rank[source] > 0], target[rank[source] > 0]
+    place = rng.permutation(n)
+    level, ready, wait = tool_calls.sorted_calls(source, target, place)
+    want = {int(at[0]): (0, int(place[at[0]]), 0)}
+    refs = [set(x.tolist()) for x in np.split(target, np.searchsorted(source, np.arange(1, n)))]
+    for i in at[1:].tolist():
+        below = [want[j] for j in refs[i]]
+        latest, waits = max((b[1], b[2]) for b in below)
+        want[i] = max(b[0] for b in below) + 1, max(latest, int(place[i])), waits + 1 if latest > place[i] else 0
+    assert [(int(level[i]), int(ready[i]), int(wait[i])) for i in range(n)] == [want[i] for i in range(n)]
+
+
+def test_cycles_and_what_is_behind_them():
+    source, target = np.array([0, 1, 2, 3, 5, 6]), np.array([1, 0, 0, 4, 5, 3])
+    assert tool_calls.sorted_calls(source, target, np.arange(7))[0].tolist() == [-1, -1, -1, 1, 0, -1, 2]
+
+
 def test_chain_of_a_thousand_steps(spark):
     n = 1000
     rows = [(1, 0, "assistant", "".join(call(f"k{i}", [f"k{i + 1}"] if i + 1 < n else []) for i in range(n)))]
