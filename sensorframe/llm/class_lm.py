@@ -14,6 +14,8 @@ from .common import materialise, remainder, table, width
 
 #: Least words that the driver clusters one by one, groups of words of like shape (under 256), least classes, words that workers hold.
 SINGLE, SHAPES, CLASSES, HEAD, SWEEPS, SMOOTHING = 512, 192, 48, 1_000_000, 12, 5.0
+#: Most classes by default. It bounds what the driver clusters: units (four a class, and the shapes) and their matrix (about 18 million counts, 150 MB).
+MOST_CLASSES = 1024
 #: Sweeps over all words in Spark; events (tokens, neighbours) that a worker gathers before it hands them on; numbers that a task adds up at once.
 WORD_SWEEPS, MOST_EVENTS, DENSE = 2, 4_000_000, 4_000_000
 #: What the class of its shape's group is ahead by for a word, in nats: words of few neighbours stay with their group unless those speak for another class.
@@ -404,6 +406,7 @@ def class_lm_scores(
     classes: int | None = None,
     head: int = HEAD,
     word_sweeps: int = WORD_SWEEPS,
+    most_classes: int = MOST_CLASSES,
 ) -> DataFrame:
     """log10 probabilities of every text under a class bigram model fitted to the rows that meet ``train``.
 
@@ -412,7 +415,8 @@ def class_lm_scores(
     of like shape are the units that exchange clustering on the driver assigns to ``classes`` classes, by
     the counts of all neighbouring units. From there ``word_sweeps`` sweeps in Spark (one at least) put every other word into a class of its own choice, by the
     counts of all classes before and after it; to first order that is the exchange of all words at once. By default classes are twice the fourth root of the training tokens and single words four times
-    as many as classes, so both grow with the corpus (48 and 512 at least). A token's probability is that of its class after the
+    as many as classes, so both grow with the corpus (from 48 and 512 on, up to ``most_classes`` and four times that, at 7 x 10^10 tokens); words and their
+    counts grow without bound, in Spark. A token's probability is that of its class after the
     class before (smoothed with the class's share), and of the word in the class: its count less an absolute discount, whose
     mass is that of words never seen in training. Those are in the class where most words of their shape that
     were seen once are, as one symbol a shape; a class's words and the symbols of its shapes add up to one. The base is
@@ -431,7 +435,7 @@ def class_lm_scores(
     n_train = rows.where("_train").count()
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = n + n_train, v + (n_train > 0)
-    classes = classes or max(CLASSES, round(2 * n**0.25))
+    classes = classes or min(most_classes, max(CLASSES, round(2 * n**0.25)))
     frequent = _frequent(counts, head)
     top = counts.where(frequent).toArrow()
     code, count = top.column("code").to_numpy().view(np.uint64), top.column("n").to_numpy()

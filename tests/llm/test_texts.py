@@ -196,6 +196,12 @@ def test_rare_words_of_one_shape_get_classes_from_their_neighbours(spark):
     assert scores[0] == scores[1]
 
 
+def test_default_classes_are_bounded(spark):
+    docs = spark.createDataFrame([(i, "x", "y", f"a{i % 3} b{i % 5} c") for i in range(40)], "doc_id long, source string, lang string, text string")
+    score = lambda **k: {r["doc_id"]: round(r["score"], 9) for r in class_lm.class_lm_scores(docs, remainder("doc_id", 10) != 0, **k).collect()}
+    assert score(most_classes=4, single=5) == score(classes=4, single=5)
+
+
 def test_exchange_finds_two_classes():
     pairs = np.zeros((9, 9))
     for a in range(1, 5):
