@@ -32,10 +32,12 @@ def model_columns(features: list[str]) -> list[str]:
 
 
 def fit_occupancy(rows: DataFrame, features: list[str], label: str = "occupied", iterations: int = 30) -> PipelineModel:
-    """A weighted logistic regression: positives weigh as negatives do together (L04, L05). Rows without label are left out."""
+    """A weighted logistic regression: positives weigh as negatives do together (L04, L05). Rows without label are left out; none with one is an error.
+
+    Rows of one class make a model that says that class: probability 1, or 0.
+    """
     known = rows.where(F.col(label).isNotNull()).persist()  # each pass of the fit reads it
-    n = known.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
-    weighted = known.withColumn("_w", F.when(F.col(label) == 1, n["n"] / max(n["p"], 1)).otherwise(1.0)).withColumn(label, F.col(label).cast("double"))
+    weighted = _weighted(known, label)
     stages = [
         VectorAssembler(inputCols=model_columns(features), outputCol="_raw"), StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True),
         LogisticRegression(featuresCol="_x", labelCol=label, weightCol="_w", maxIter=iterations, regParam=0.01, probabilityCol="_prob", rawPredictionCol="_margin", predictionCol="_pred"),
@@ -46,10 +48,13 @@ def fit_occupancy(rows: DataFrame, features: list[str], label: str = "occupied",
 
 
 def _weighted(rows: DataFrame, label: str) -> DataFrame:
-    """The labelled rows with _w, by which positives weigh as negatives do together, and the label as a number."""
+    """The labelled rows with _w, by which positives weigh as negatives do together, and the label as a number. Without negatives each row weighs 1, as no fit takes rows that weigh nothing."""
     known = rows.where(F.col(label).isNotNull())
     n = known.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("n")).first()
-    return known.withColumn("_w", F.when(F.col(label) == 1, n["n"] / max(n["p"], 1)).otherwise(1.0)).withColumn(label, F.col(label).cast("double"))
+    if not n["p"] + n["n"]:
+        raise ValueError("no labelled rows")
+    weight = n["n"] / max(n["p"], 1) if n["n"] else 1.0
+    return known.withColumn("_w", F.when(F.col(label) == 1, weight).otherwise(1.0)).withColumn(label, F.col(label).cast("double"))
 
 
 def loss_by_round(model: PipelineModel, rows: DataFrame, label: str = "occupied") -> list[float]:

@@ -309,6 +309,24 @@ def test_model_beats_the_base_rate(spark):
     assert models.score_latest(model, w).count() == 2
 
 
+def test_models_of_rows_of_one_class(spark):
+    rows = [(T0 + timedelta(hours=6 * i), float(i % 7)) for i in range(48)]
+    base = frame(spark, rows, "timestamp timestamp_ntz, x double").withColumn("zone_id", F.lit(1))
+    day = lambda k: (T0 + timedelta(days=k)).date()
+    folds = spark.createDataFrame([(1, day(k), "train" if k < 6 else "validation") for k in range(8)], "fold int, date date, role string")
+    for y in (1, 0):
+        df = models.window_features(base.withColumn("occupied", F.lit(y)), ["x"], 3, ["zone_id"])
+        model = models.fit_occupancy(df, ["x"])
+        assert {r[0] for r in models.predict(model, df, ["timestamp"]).select("probability").collect()} == {float(y)}
+        assert [r["probability"] for r in models.score_latest(model, df).collect()] == [y]
+        assert [tuple(r) for r in models.cross_validate(df, folds, ["x"]).select("fold", "pr_auc").collect()] == [(1, y)]
+    chosen = models.select_and_test(df.withColumn("occupied", F.lit(1)), folds, {"x": ["x"]}, 3)
+    assert (chosen["folds"], chosen["test_pr_auc"], chosen["test_rows"]) == ({"x": [1.0]}, 1.0, 12)
+    assert models.loss_by_round(models.fit_boosted(df.withColumn("occupied", F.lit(1)), ["x"], 1), df.withColumn("occupied", F.lit(1)))[0] < 0.7
+    with pytest.raises(ValueError, match="no labelled rows"):
+        models.fit_occupancy(df.withColumn("occupied", F.lit(None).cast("int")), ["x"])
+
+
 def test_medians_of_all_columns_in_few_scans(spark, monkeypatch):
     monkeypatch.setattr(reports, "FEW_ROWS", 20)
     rng = random.Random(12)
