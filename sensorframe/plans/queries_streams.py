@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..session import shared_dir
 from ..sources import ingest
-from ..sources.versions import VersionedTable
+from ..sources.versions import Files, VersionedTable
 from ..streaming import streams
 from . import views as v
 from .queries_frames import W, _with_rocks
@@ -27,12 +27,25 @@ def fresh(spark, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of a file that a stream reads.
+FILE_ROWS = 100_000
+
+
 def fed(spark, rows: DataFrame, part: str, parts: int) -> DataFrame:
-    """A file stream that brings ``parts`` micro-batches, by a number of each row that the order follows."""
+    """A file stream that brings ``parts`` micro-batches, by a number of each row that the order follows.
+
+    Each batch has equally many files, as many as the largest needs, so that no task reads or writes a whole batch. Rows are dealt to them evenly; a batch of fewer rows than files is filled up with empty ones.
+    """
     path = fresh(spark, "fed")
-    for k in range(parts):  # a file a batch
-        rows.where(F.col(part) == k).drop(part).coalesce(1).write.parquet(f"{path}/b{k:03d}")
-    return spark.readStream.schema(rows.drop(part).schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(path)
+    schema = rows.drop(part).schema
+    largest = rows.where(F.col(part).between(0, parts - 1)).groupBy(part).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    files = max(1, -(-largest // FILE_ROWS))
+    at = Files(spark, path)
+    for k in range(parts):
+        rows.where(F.col(part) == k).drop(part).repartition(files).write.parquet(f"{path}/b{k:03d}")
+        for n in range(files - sum(name.endswith(".parquet") for name in at.names(f"{path}/b{k:03d}"))):
+            spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{path}/b{k:03d}/e{n:03d}")
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def stored(spark, out: DataFrame, name: str) -> DataFrame:

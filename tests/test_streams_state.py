@@ -336,3 +336,22 @@ def test_buffers_flush_by_rows_and_by_age(spark, tmp_path):
     aged = VersionedTable(spark, str(tmp_path / "t2"), STAGE, F.col("table"))
     ticking(streams.staged_rows(df, "table", 10_000, 4), streams.flush_to(aged, ["table", "k"], ["seq"], "s13"), tmp_path / "c2", lambda q: aged.read().count() >= 501)
     assert sorted((r["table"], r["k"]) for r in aged.read().collect()) == sorted([("old", 1), ("full", 5000), *(("full", i) for i in range(499))])
+
+
+def test_batches_of_streams_are_several_files(spark, tmp_path, monkeypatch):
+    from sensorframe.plans import queries_streams
+
+    monkeypatch.setattr(queries_streams, "FILE_ROWS", 20, raising=False)
+    rows = spark.range(138).select("id", F.when(F.col("id") < 95, 0).when(F.col("id") < 98, 1).otherwise(2).alias("_part"))
+    df = queries_streams.fed(spark, rows, "_part", 4)
+    batches = {}
+
+    def note(batch, number):
+        files = batch.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n")).collect()
+        batches[number] = (sorted(r["id"] for r in batch.select("id").collect()), max((r["n"] for r in files), default=0))
+
+    assert queries_streams.played(df.select("id", "_metadata"), note, str(tmp_path / "checkpoint"))
+    got = [batches[k][0] for k in sorted(batches)]
+    # the last batch has no rows at all, and may be left out
+    assert got[:3] == [list(range(95)), [95, 96, 97], list(range(98, 138))] and not any(got[3:])
+    assert all(n <= 40 for _, n in batches.values())
