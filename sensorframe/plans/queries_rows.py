@@ -129,8 +129,9 @@ def s07_csv_records(spark, sf):
 def s17_parts(spark, sf):
     """A store in files of 50 rows at most, read as one."""
     path = shared_path(spark, "parts")
-    io.save_by_day(base(spark, sf), path, most_rows=50)
-    files = io.scan_raw(spark, path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("t"))
+    rows = base(spark, sf)
+    io.save_by_day(rows, path, most_rows=50)
+    files = io.scan_raw(spark, path, rows.schema).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"), F.sum("seq").alias("t"))
     return files.agg(F.sum("n").alias("rows"), F.sum("t").alias("total"), (F.max("n") <= 50).alias("within"))
 
 

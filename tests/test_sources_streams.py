@@ -30,6 +30,38 @@ def test_partitioned_store_and_schema_evolution(spark, tmp_path):
     assert (tmp_path / "air-1" / "year=2024" / "month=03" / "day=04").exists()
 
 
+def test_small_files_are_made_without_checksum_files(spark, tmp_path):
+    start = datetime(2024, 1, 1)
+    rows = [(start + timedelta(hours=h) if h % 50 else None, h, f"k{h % 3}", None if h % 7 == 0 else h / 3) for h in range(500)]
+    df = spark.createDataFrame(rows, "timestamp timestamp_ntz, seq long, kind string, value double").withMetadata("kind", {"unit": "none"})
+    base = tmp_path / "parts"
+    io.save_by_day(df, f"file://{base}", most_rows=7)
+    files = [f for f in base.rglob("*") if f.is_file() and f.suffix == ".parquet"]
+    assert not list(base.rglob(".*.crc"))  # Hadoop's local file system makes one with each file, and two processes
+    assert {p.name for p in base.iterdir()} == {"_SUCCESS", "year=2024", "year=__HIVE_DEFAULT_PARTITION__"}
+    seen = io.scan_raw(spark, str(base))
+    most = seen.groupBy(F.col("_metadata.file_path").alias("file")).count().agg(F.max("count"), F.count("file")).first()
+    assert tuple(most) == (7, len(files))
+    # Spark's own writer gives the same rows, days, schema and metadata
+    io.save_by_day(df, str(tmp_path / "plain"))
+    plain = io.scan_raw(spark, str(tmp_path / "plain"))
+    assert seen.schema.json() == plain.schema.json() and seen.schema["kind"].metadata == {"unit": "none"}
+    assert sorted(map(str, seen.collect())) == sorted(map(str, plain.collect())) and seen.count() == 500
+    assert io.scan_raw(spark, str(base), df.schema).exceptAll(seen).isEmpty()
+    # more is appended, and files are full but for the last of a day in each partition
+    io.save_by_day(df.where("seq < 48").coalesce(1), str(base), most_rows=1000)
+    assert io.scan_raw(spark, str(base)).count() == 548
+
+
+def test_small_files_of_a_failed_write_are_not_seen(spark, tmp_path):
+    df = spark.range(400).select(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("t"), F.col("id").alias("seq")).withColumn("timestamp", F.col("t") + F.make_dt_interval(hours=F.col("seq").cast("int")))
+    base = str(tmp_path / "parts")
+    io.save_by_day(df, base, most_rows=5)
+    with pytest.raises(Exception, match="odd row"):
+        io.save_by_day(df.withColumn("seq", F.when(F.col("seq") == 399, F.raise_error(F.lit("odd row")).cast("long")).otherwise(F.col("seq"))), base, most_rows=5)
+    assert io.scan_raw(spark, base).count() == 400 and not list((tmp_path / "parts").glob("_temporary*"))
+
+
 def test_convert_deals_rows_to_their_own_days(spark, tmp_path):
     rows(spark, 4, 86400).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).coalesce(1).write.option("header", True).csv(str(tmp_path / "csv"))
     io.convert(spark, str(tmp_path / "csv"), "csv", str(tmp_path / "out"))
